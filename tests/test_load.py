@@ -114,55 +114,55 @@ def test_steps_in_a_row_equal_assemble(loaded):
     assert sorted(r[0] for r in missing.collect()) == [5, 6, 7]
 
 
-def failing_gate(spark, tmp_path, landed):
-    landing = Landing(spark, landed.write(tmp_path / "landing"))
-    store = Store(spark, str(tmp_path / "store"))
-    result = load_days(landing, store, "01/05/2026", "01/05/2026", NOW)
-    assert [r["STATUS"] for r in result.ledger.collect()] == ["failed"]
-    assert store.log().count() == 0
-    return {r["gate"] for r in result.gates.where("not pass").collect()}
-
-
-def simple(**kwargs):
-    landed = Landed()
-    landed.scoreboard(DAY1, "1")
-    landed.game(DAY1, "1", **({"home": [player(1)], "away": [player(2)]} | kwargs))
+def simple(day=DAY1, landed=None, home=None, away=None, listed=None, **kwargs):
+    landed = landed or Landed()
+    landed.scoreboard(day, *(listed or ["1"]))
+    landed.game(day, "1", [player(1)] if home is None else home, [player(2)] if away is None else away, **kwargs)
     landed.info(1, 2)
     return landed
 
 
-@pytest.mark.parametrize(
-    "change, gate",
-    [
-        ({"home": [player(1), player(1)]}, "repeated_key"),
-        ({"home": [player("oops")]}, "null_player_id"),
-        ({"home": [player(1, minutes="-1:30")]}, "negative_minutes"),
-        ({"home": [player(1, assists=None)]}, "null_values"),
-        ({"home": [player(99)]}, "null_values"),
-        ({"home": [], "away": []}, "missing_game"),
-        (
-            {"advanced": ([other(1, S.ADVANCED), other(8, S.ADVANCED), other(8, S.ADVANCED)], [other(2, S.ADVANCED)])},
-            "repeated_key",
-        ),
-    ],
-)
-def test_each_gate_fails_the_date(spark, tmp_path, change, gate):
-    assert gate in failing_gate(spark, tmp_path, simple(**change))
-
-
-def test_scoreboard_gates(spark, tmp_path):
-    landed = simple()
-    landed.files["scoreboard"] = [{"game_date": DAY1, "scoreboard": {}}]
-    assert failing_gate(spark, tmp_path, landed) == {"scoreboard_payload"}
-    bad = spark.read.schema(S.SCOREBOARD_PAYLOAD).json(str(tmp_path / "landing/scoreboard"))
-    with pytest.raises(Exception, match="no games"):
-        payloads.scoreboard_games(bad).collect()
+def test_each_gate_fails_only_its_date(spark, tmp_path):
+    twice = [other(1, S.ADVANCED), other(8, S.ADVANCED), other(8, S.ADVANCED)]
+    cases = {
+        "repeated_key": [
+            {"home": [player(1), player(1)]},
+            {"advanced": (twice, [other(2, S.ADVANCED)])},  # the repeated player has no traditional row
+            {"listed": ["1", "1"]},
+        ],
+        "null_player_id": [{"home": [player("oops")]}],
+        "negative_minutes": [{"home": [player(1, minutes="-1:30")]}],
+        "null_values": [{"home": [player(1, assists=None)]}, {"home": [player(99)]}],
+        "missing_game": [{"home": [], "away": []}, {"listed": ["1", "2"]}],
+        "none": [{}],
+    }
+    expected, landed = {}, Landed()
+    for gate, changes in cases.items():
+        for change in changes:
+            day = f"2026-03-{len(expected) + 1:02d}"
+            expected[day] = gate
+            simple(day, landed, **change)
+    broken = "2026-03-30"
+    expected[broken] = "scoreboard_payload"
+    landed.files["scoreboard"].append({"game_date": broken, "scoreboard": {}})
 
+    landing = Landing(spark, landed.write(tmp_path / "landing"))
+    store = Store(spark, str(tmp_path / "store"))
+    result = load_days(landing, store, "03/01/2026", "03/31/2026", NOW, max_days=None)
+    failed = {}
+    for row in result.gates.where("not pass").collect():
+        failed.setdefault(str(row["GAME_DATE"]), set()).add(row["gate"])
+    for day, gate in expected.items():
+        assert (gate in failed.get(day, set())) if gate != "none" else day not in failed, (day, gate, failed)
+    status = {str(r["GAME_DATE"]): r["STATUS"] for r in result.ledger.collect()}
+    assert status == {day: "loaded" if gate == "none" else "failed" for day, gate in expected.items()}
+    assert store.log().count() == 2
+    batches = {str(r["GAME_DATE"]): r["BATCH_NO"] for r in result.ledger.collect()}
+    assert batches["2026-03-01"] == 0 and batches["2026-03-08"] == 1 and batches[broken] == 4
 
-def test_repeated_scoreboard_game(spark, tmp_path):
-    landed = simple()
-    landed.scoreboard(DAY1, "1")
-    assert failing_gate(spark, tmp_path, landed) == {"repeated_key"}
+    bad = landing.scoreboard().where("scoreboard.games is null")
+    with pytest.raises(Exception, match="no games"):
+        payloads.scoreboard_games(bad).collect()
 
 
 def test_failed_date_keeps_its_partition(spark, tmp_path):
