@@ -31,12 +31,18 @@ def game_scores(
 ) -> DataFrame:
     """One row per game with the home and away totals; a side that never played is null.
 
-    A single combined aggregation by game, team and side shrinks the rows to a few per game first.
+    A side is one team, so its total is the side's sum, and both sums come from one combined
+    aggregation by game. Null points count as 0, which keeps a side without points apart from an
+    absent side.
     """
-    sides = team_points(df, [*game, is_home], team, points)
-    return sides.groupBy(*game).agg(
-        F.max(F.when(F.col(is_home), F.col("TEAM_POINTS"))).alias("HOME_POINTS"),
-        F.max(F.when(~F.col(is_home), F.col("TEAM_POINTS"))).alias("AWAY_POINTS"),
+    scored = F.coalesce(points, F.lit(0))
+    return (
+        df.dropna(subset=[*game, team, is_home])
+        .groupBy(*game)
+        .agg(
+            F.sum(F.when(F.col(is_home), scored)).alias("HOME_POINTS"),
+            F.sum(F.when(~F.col(is_home), scored)).alias("AWAY_POINTS"),
+        )
     )
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from courtside.functions import columns as C
 from courtside.operators import outcome, payloads
-from courtside.operators.joins import dimension_join, guarded_join, hot_keys, join_to_one
+from courtside.operators.joins import dimension_join, guarded_join, hot_keys, join_to_one, require_unique
 from courtside.operators.shape import fill_missing, lock_schema
 
 GAME = list(outcome.GAME)
@@ -28,13 +28,13 @@ def player_table(
     All three are unique by game, player and team, so the joins share one partitioning and no key
     can be hot. `checked` says that the caller has already shown this.
     """
-    table = traditional
-    for rows, suffix in ((advanced, "_ADV"), (usage, "_USAGE")):
-        right = payloads.suffixed(rows, suffix)
-        if checked:
-            table = table.join(right, payloads.STAT_KEYS, "left")
-        else:
-            table = guarded_join(table, right, payloads.STAT_KEYS, "1:1")
+    keys = payloads.STAT_KEYS
+    if not checked:
+        for name, rows in (("traditional", traditional), ("advanced", advanced), ("usage", usage)):
+            require_unique(rows, keys, name)
+    table = traditional.join(payloads.suffixed(advanced, "_ADV"), keys, "left").join(
+        payloads.suffixed(usage, "_USAGE"), keys, "left"
+    )
     return payloads.as_player_team(table)
 
 

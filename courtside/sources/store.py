@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from courtside import schema as S
-from courtside.operators.joins import dimension_join
+from courtside.operators.joins import SMALL_ROWS
 from courtside.sources.arenas import arena_rows
 
 # A day's rows go to files of about this many rows each.
@@ -36,19 +36,19 @@ def spread_days(
 ) -> DataFrame:
     """Rows laid out for a write by date, a large date split over as many files as its rows need.
 
-    `counts` has a row per date to write (day, rows); dates it lacks are dropped. Without the split
+    `counts` has one row per date to write (day, rows); dates it lacks are dropped. Without the split
     a date with a third of the table would be one task and one file. Sorting inside a file by player
     and team keeps its min/max statistics narrow for readers.
     """
     files = counts.select(
         day, F.greatest(F.lit(1), F.ceil(F.col("rows") / rows_per_file)).cast("int").alias("file_slots")
     )
-    total = files.agg(F.coalesce(F.sum("file_slots"), F.lit(1))).first()[0]
-    placed = dimension_join(df, files, [day]).where("file_slots is not null")
+    size = files.agg(F.count(day).alias("days"), F.sum("file_slots").alias("slots")).first()
+    placed = df.join(F.broadcast(files) if size["days"] <= SMALL_ROWS else files, day)
     slot = F.pmod(F.xxhash64(key), F.col("file_slots"))
     return (
         placed.withColumn("file_slot", slot)
-        .repartition(max(int(total), 1), day, "file_slot")
+        .repartition(int(size["slots"] or 1), day, "file_slot")
         .sortWithinPartitions(day, "file_slot", *order)
         .drop("file_slots", "file_slot")
     )

@@ -15,7 +15,7 @@ from courtside.plans.dimensions import build_player_dimension
 from courtside.session import scratch_folder
 from courtside.sources.landing import Landing
 from courtside.sources.store import Store
-from courtside.workload.registry import table
+from courtside.workload.registry import spread, table
 
 INGESTED = datetime(2026, 3, 14, 5, 20, 56, tzinfo=timezone.utc)
 FIRST_DAY, LAST_DAY = "01/01/1990", "12/31/2010"
@@ -140,7 +140,7 @@ def _live() -> str:
 
 def payloads_of(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Every endpoint's payloads as frames."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     keys = [
         "cast(trunc(o_orderdate, 'MM') as date) as game_date",
         "lpad(cast(o_orderkey as string), 10, '0') as game_id",
