@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from courtside.functions import columns as C
 from courtside.operators import outcome, payloads
 from courtside.operators.joins import dimension_join, guarded_join, hot_keys, join_to_one, require_unique
+from courtside.operators.gates import check_columns
 from courtside.operators.shape import fill_missing, lock_schema
 
 GAME = list(outcome.GAME)
@@ -35,6 +36,7 @@ def player_table(
     table = traditional.join(payloads.suffixed(advanced, "_ADV"), keys, "left").join(
         payloads.suffixed(usage, "_USAGE"), keys, "left"
     )
+    check_columns(table.columns, required=payloads.STAT_KEYS)
     return payloads.as_player_team(table)
 
 

@@ -29,7 +29,8 @@ def backfill_players(store: Store, wanted: DataFrame, info: DataFrame, updated_a
     """
     store.create_players()
     absent = missing_from(wanted, store.players(), PLAYER)
-    store.append_players(player_attributes(info, absent), updated_at)
+    if not absent.isEmpty():
+        store.append_players(player_attributes(info, absent), updated_at)
 
 
 def build_player_dimension(

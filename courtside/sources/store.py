@@ -37,8 +37,9 @@ def spread_days(
     """Rows laid out for a write by date, a large date split over as many files as its rows need.
 
     `counts` has one row per date to write (day, rows); dates it lacks are dropped. Without the split
-    a date with a third of the table would be one task and one file. Sorting inside a file by player
-    and team keeps its min/max statistics narrow for readers.
+    a date with a third of the table would be one task and one file. The slot comes from `key`, which
+    should be close to unique. Sorting inside a file by player and team keeps its min/max statistics
+    narrow for readers.
     """
     files = counts.select(
         day, F.greatest(F.lit(1), F.ceil(F.col("rows") / rows_per_file)).cast("int").alias("file_slots")
@@ -49,7 +50,7 @@ def spread_days(
     return (
         placed.withColumn("file_slot", slot)
         .repartition(int(size["slots"] or 1), day, "file_slot")
-        .sortWithinPartitions(day, "file_slot", *order)
+        .sortWithinPartitions(day, *order)
         .drop("file_slots", "file_slot")
     )
 

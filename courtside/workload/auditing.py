@@ -59,15 +59,18 @@ def run_summary(spark, sf_dir):
     return plain(audits.run_summary(ledger).withColumn("day_list", F.array_join("day_list", ",")))
 
 
+SEASON, SEASON_END = date(1994, 12, 1), date(2001, 12, 31)
+
+
 @query(f"""
 select cast(d as varchar) as game_date
-from (select cast(unnest(generate_series(timestamp '{FIRST}', timestamp '{LAST}', interval 1 day)) as date) as d) c
-where d not in ({EXCLUDED_SQL}) and d not in (select cast(o_orderdate as date) from orders where o_orderstatus = 'P')
+from (select cast(unnest(generate_series(timestamp '{SEASON}', timestamp '{SEASON_END}', interval 1 day)) as date) as d) c
+where d not in ({EXCLUDED_SQL}) and d not in (select cast(o_orderdate as date) from orders)
 """)
 def missing_dates(spark, sf_dir):
-    """Calendar days without a pending order that are not excluded."""
-    days = table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.to_date("o_orderdate").alias("GAME_DATE"))
-    return plain(audits.missing_days(days, FIRST, LAST, EXCLUDED))
+    """Calendar days without an order that are not excluded."""
+    days = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("GAME_DATE"))
+    return plain(audits.missing_days(days, SEASON, SEASON_END, EXCLUDED))
 
 
 @query(f"""

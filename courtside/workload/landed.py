@@ -86,10 +86,10 @@ def _player(endpoint: str, slot: str, text: str) -> str:
     )
 
 
-def _box(endpoint: str, envelope: str, text: str) -> str:
+def _box(endpoint: str, envelope: str, text: str, repeats: bool = False) -> str:
     def side(team: str, suffix: str, slots: tuple[str, ...]) -> str:
         players = "array(" + ", ".join(_player(endpoint, s, text) for s in slots) + ")"
-        if endpoint == "advanced" and "1" in slots:
+        if repeats and "1" in slots:
             repeated = f"array({_player(endpoint, '1', text)})"
             players = f"if({REPEATED_PLAYER}, concat({players}, {repeated}), {players})"
         return _struct(
@@ -138,8 +138,8 @@ def _live() -> str:
     return f"{_struct(game)} as game"
 
 
-def payloads_of(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Every endpoint's payloads as frames."""
+def payloads_of(spark: SparkSession, sf_dir: str, repeats: bool = True) -> dict[str, DataFrame]:
+    """Every endpoint's payloads as frames; `repeats` puts some players twice into an advanced box."""
     orders = spread(table(spark, sf_dir, "orders"))
     keys = [
         "cast(trunc(o_orderdate, 'MM') as date) as game_date",
@@ -154,7 +154,7 @@ def payloads_of(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
         "scoreboard": orders.selectExpr(keys[0], listed),
         "traditional": orders.selectExpr(*keys, _box("traditional", S.TRADITIONAL_ENVELOPE, S.TRADITIONAL)),
-        "advanced": orders.selectExpr(*keys, _box("advanced", S.ADVANCED_ENVELOPE, S.ADVANCED)),
+        "advanced": orders.selectExpr(*keys, _box("advanced", S.ADVANCED_ENVELOPE, S.ADVANCED, repeats)),
         "usage": orders.selectExpr(*keys, _box("usage", S.USAGE_ENVELOPE, S.USAGE)),
         "four_factors": orders.selectExpr(*keys, _factors()),
         "live": orders.selectExpr(*keys, _live()),

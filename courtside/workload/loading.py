@@ -14,7 +14,9 @@ from courtside.sources import store as stores
 from courtside.sources.export_csv import read_export, write_export
 from courtside.sources.store import Store
 from courtside.workload.landed import (
+    AWAY_TEAM,
     BAD_SQL,
+    HOME_TEAM,
     INGESTED,
     MONTH_SQL,
     NEGATIVE_MINUTES,
@@ -25,6 +27,7 @@ from courtside.workload.landed import (
     landing_of,
     loaded_store,
     load_all,
+    payloads_of,
     rows_sql,
 )
 from courtside.workload.matching import arenas_sql
@@ -137,27 +140,22 @@ def scoreboard_games(spark, sf_dir):
     return plain(payloads.scoreboard_games(landing_of(spark, sf_dir).scoreboard()))
 
 
-def _sound(payload):
-    """Payloads outside the months in which a player is repeated."""
-    return payload.where("month(game_date) <> 8")
-
-
 def _endpoints(spark, sf_dir):
-    landing = landing_of(spark, sf_dir)
+    """Flat rows of all endpoints, from payloads without repeated players."""
+    nested = payloads_of(spark, sf_dir, repeats=False)
     return (
-        payloads.player_rows(_sound(landing.traditional()), [S.TRADITIONAL_ENVELOPE]),
-        payloads.player_rows(_sound(landing.advanced()), [S.ADVANCED_ENVELOPE]),
-        payloads.player_rows(_sound(landing.usage()), [S.USAGE_ENVELOPE]),
-        payloads.team_factor_rows(_sound(landing.four_factors())),
-        payloads.live_game_rows(_sound(landing.live())),
+        payloads.player_rows(nested["traditional"], [S.TRADITIONAL_ENVELOPE]),
+        payloads.player_rows(nested["advanced"], [S.ADVANCED_ENVELOPE]),
+        payloads.player_rows(nested["usage"], [S.USAGE_ENVELOPE]),
+        payloads.team_factor_rows(nested["four_factors"]),
+        payloads.live_game_rows(nested["live"]),
     )
 
 
 def _stage_sql(names: list[str], overrides: dict[str, str] | None = None) -> str:
     sql = columns_sql() | (overrides or {})
     shown = ", ".join(f"{sql[name]} as {name.lower()}" for name in names)
-    return f"""select {shown} from orders cross join (values (1), (2), (3), (4)) as slots(slot)
-where month(o_orderdate) <> 8"""
+    return f"""select {shown} from orders cross join (values (1), (2), (3), (4)) as slots(slot)"""
 
 
 PLAYER_COLUMNS = [
@@ -284,26 +282,28 @@ def log_missing_days(spark, sf_dir):
     return plain(_health(spark, sf_dir).missing)
 
 
-def _integrity(spark, sf_dir):
-    """The integrity audit of one stored date."""
-    store, _ = loaded_store(spark, sf_dir)
-    return monitoring.game_integrity(store.log(), date(1997, 3, 1))
-
-
-DAY_SQL = f"{MONTH_SQL} = date '1997-03-01'"
+AUDIT_DAY = date(1997, 3, 1)
 
 
 @query(f"""
 select lpad(cast(o_orderkey as varchar), 10, '0') as game_id, team as player_team_id, 2 as player_count
-from orders cross join unnest([{"{}"}, {"{}"}]) as t(team) where {DAY_SQL}
-""".format("(1610612737 + o_custkey % 30)", "(1610612737 + (o_custkey + 1 + o_orderkey % 29) % 30)"))
+from orders cross join unnest([{HOME_TEAM}, {AWAY_TEAM}]) as t(team)
+where {MONTH_SQL} between date '{SEASON}' and date '{SEASON_END}' and {MONTH_SQL} in ({KEPT_SQL})
+""")
 def log_low_player_teams(spark, sf_dir):
-    return plain(_integrity(spark, sf_dir).low_team_players)
+    """The integrity audit over a range of stored dates; every derived team has two players."""
+    store, _ = loaded_store(spark, sf_dir)
+    return plain(monitoring.game_integrity(store.log(), SEASON, SEASON_END).low_team_players)
 
 
-@query(f"select lpad(cast(o_orderkey as varchar), 10, '0') as game_id, 4 as total_players from orders where {DAY_SQL}")
+@query(f"""
+select lpad(cast(o_orderkey as varchar), 10, '0') as game_id, 4 as total_players from orders
+where {MONTH_SQL} = date '{AUDIT_DAY}' and {MONTH_SQL} in ({KEPT_SQL})
+""")
 def log_low_player_games(spark, sf_dir):
-    return plain(_integrity(spark, sf_dir).low_game_players)
+    """The integrity audit of one stored date, which is how the audit runs day by day."""
+    store, _ = loaded_store(spark, sf_dir)
+    return plain(monitoring.game_integrity(store.log(), AUDIT_DAY).low_game_players)
 
 
 @query(f"""
