@@ -99,13 +99,21 @@ def is_small(df: DataFrame, most: int = SMALL_ROWS) -> bool:
 
 
 def dimension_join(
-    left: DataFrame, dimension: DataFrame, keys: Sequence[str], small_rows: int = SMALL_ROWS
+    left: DataFrame,
+    dimension: DataFrame,
+    keys: Sequence[str],
+    small_rows: int = SMALL_ROWS,
+    counted_on: DataFrame | None = None,
 ) -> DataFrame:
-    """m:1 join to a narrow dimension: broadcast when its counted size allows, by shuffle beyond that."""
+    """m:1 join to a narrow dimension: broadcast when its counted size allows, by shuffle beyond that.
+
+    `counted_on` names a cheaper frame with the same keys to look for hot ones, such as the stored
+    table the left side was derived from.
+    """
     require_unique(dimension, keys, "right")
     if is_small(dimension, small_rows):
         return left.join(F.broadcast(dimension), list(keys), "left")
-    return join_to_one(left, dimension, keys)
+    return join_to_one(left, dimension, keys, hot_keys(left if counted_on is None else counted_on, keys))
 
 
 def missing_from(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -64,10 +64,12 @@ def with_outcome(players: DataFrame) -> DataFrame:
     return outcome.with_outcome(players)
 
 
-def with_dimensions(players: DataFrame, player_dimension: DataFrame, arenas: DataFrame) -> DataFrame:
+def with_dimensions(
+    players: DataFrame, player_dimension: DataFrame, arenas: DataFrame, counted_on: DataFrame | None = None
+) -> DataFrame:
     """Player attributes by player id, venue by the home team; the arena's own team columns stay out."""
     venues = arenas.withColumnRenamed("TEAM_ID", "HOME_TEAM_ID").drop("TEAM_TRICODE")
-    known = dimension_join(players, player_dimension, ["PLAYER_ID"])
+    known = dimension_join(players, player_dimension, ["PLAYER_ID"], counted_on=counted_on)
     return dimension_join(known, venues, ["HOME_TEAM_ID"])
 
 

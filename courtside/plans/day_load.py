@@ -131,7 +131,7 @@ def load_days(
     # Players the dimension lacks are added before the one join to it.
     backfill_players(store, traditional.select("PLAYER_ID"), landing.player_info(), moment)
     joined = A.assemble(traditional, advanced, usage, factors, live)
-    described = A.with_dimensions(joined, store.players(), store.arenas(moment))
+    described = A.with_dimensions(joined, store.players(), store.arenas(moment), counted_on=traditional)
     complete = A.finished(described, moment)
     gates.check_columns(complete.columns)
     rows = staged("rows", complete)

@@ -105,7 +105,7 @@ def dimension_replace(spark, sf_dir):
 
 
 @query(f"""
-select o_orderkey, team_id as home_team_id, tricode as team_tricode, arena_name, arena_city, arena_state
+select o_orderkey, cast(team_id as bigint) as home_team_id, tricode as team_tricode, arena_name, arena_city, arena_state
 from orders join {arenas_sql()} on team_id = 1610612737 + o_custkey % 30
 """)
 def arena_dimension(spark, sf_dir):
@@ -265,7 +265,7 @@ def _health(spark, sf_dir):
 
 @query(f"""
 select cast({MONTH_SQL} as varchar) as game_date, 4 * count(*) as total_rows, 4 * count(*) as distinct_row_keys,
-       0 as duplicate_row_keys
+       cast(0 as bigint) as duplicate_row_keys
 from orders where {MONTH_SQL} between date '{SEASON}' and date '{SEASON_END}' and {MONTH_SQL} in ({KEPT_SQL})
 group by {MONTH_SQL}
 """)
@@ -286,7 +286,7 @@ AUDIT_DAY = date(1997, 3, 1)
 
 
 @query(f"""
-select lpad(cast(o_orderkey as varchar), 10, '0') as game_id, team as player_team_id, 2 as player_count
+select lpad(cast(o_orderkey as varchar), 10, '0') as game_id, team as player_team_id, cast(2 as bigint) as player_count
 from orders cross join unnest([{HOME_TEAM}, {AWAY_TEAM}]) as t(team)
 where {MONTH_SQL} between date '{SEASON}' and date '{SEASON_END}' and {MONTH_SQL} in ({KEPT_SQL})
 """)
@@ -297,7 +297,7 @@ def log_low_player_teams(spark, sf_dir):
 
 
 @query(f"""
-select lpad(cast(o_orderkey as varchar), 10, '0') as game_id, 4 as total_players from orders
+select lpad(cast(o_orderkey as varchar), 10, '0') as game_id, cast(4 as bigint) as total_players from orders
 where {MONTH_SQL} = date '{AUDIT_DAY}' and {MONTH_SQL} in ({KEPT_SQL})
 """)
 def log_low_player_games(spark, sf_dir):

@@ -180,7 +180,7 @@ STAMP = datetime(2026, 3, 14, 5, 20, 56, tzinfo=timezone.utc)
 
 @query("""
 select o_orderkey, cast(cast(o_orderdate as date) as varchar) as game_date,
-       '20260314052056' as load_batch_id, 1773465656 as ingested_at_epoch
+       '20260314052056' as load_batch_id, cast(1773465656 as bigint) as ingested_at_epoch
 from orders
 """)
 def lineage_stamp(spark, sf_dir):

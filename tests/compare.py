@@ -15,6 +15,8 @@ TABLES = (
     "conversations"
 ).split()
 
+SQL_KINDS = {"bigint": "bigint", "int": "integer", "double": "double", "string": "varchar", "boolean": "boolean"}
+
 
 def duck(sf_dir):
     con = duckdb.connect()
@@ -43,9 +45,15 @@ def difference(spark, con, sf_dir, run, sql):
     theirs = rows_of(names, result.fetchall())
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} against {sorted(names)}"
-    kinds = {n: str(t) for n, t in zip(names, con.execute(f"select * from ({sql}) q limit 0").df().dtypes)}
+    kinds = {d[0]: str(d[1]).lower() for d in con.execute(f"describe {sql}").fetchall()}
+    for name, kind in df.dtypes:
+        if SQL_KINDS[kind] != kinds[name]:
+            return f"type of {name}: {kind} against {kinds[name]}"
     if ours != theirs:
-        return f"{sum(ours.values())} rows against {sum(theirs.values())}; only ours {list((ours - theirs))[:2]}; only theirs {list((theirs - ours))[:2]}; {kinds}"
+        return (
+            f"{sum(ours.values())} rows against {sum(theirs.values())}; "
+            f"only ours {list(ours - theirs)[:2]}; only theirs {list(theirs - ours)[:2]}"
+        )
     return "" if sum(ours.values()) else "no rows"
 
 

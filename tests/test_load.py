@@ -165,6 +165,27 @@ def test_each_gate_fails_only_its_date(spark, tmp_path):
         payloads.scoreboard_games(bad).collect()
 
 
+def test_broken_lines(spark, tmp_path):
+    root = simple().write(tmp_path / "landing")
+    with open(f"{root}/live/part.json", "w") as out:
+        out.write('{"game_date": "2026-01-05", "game_id"\n')
+    store = Store(spark, str(tmp_path / "store"))
+    result = load_days(Landing(spark, root), store, "01/05/2026", "01/05/2026", NOW)
+    assert {r["gate"] for r in result.gates.where("not pass").collect()} == {"null_values"}
+    with open(f"{root}/scoreboard/part.json", "a") as out:
+        out.write("{broken\n")
+    with pytest.raises(Exception, match="[Mm]alformed"):
+        load_days(Landing(spark, root), store, "01/05/2026", "01/05/2026", NOW)
+
+
+def test_a_large_dimension_is_joined_by_shuffle(spark, loaded, monkeypatch):
+    landing, store, _, _ = loaded
+    before = sorted(map(tuple, store.log().collect()))
+    monkeypatch.setattr("courtside.operators.joins.is_small", lambda *_: False)
+    load_days(landing, store, "01/05/2026", "01/08/2026", NOW)
+    assert sorted(map(tuple, store.log().collect())) == before
+
+
 def test_failed_date_keeps_its_partition(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
     load_days(Landing(spark, simple().write(tmp_path / "a")), store, "01/05/2026", "01/05/2026", NOW)
