@@ -37,25 +37,33 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return counted.unpivot([], columns, "column_name", "null_rows")
 
 
+def null_cells(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """Per row, how many of its columns are missing."""
+    return reduce(Column.__add__, (_missing(df, c).cast("bigint") for c in (columns or df.columns)))
+
+
 def day_counts(
     df: DataFrame,
     day: str = "GAME_DATE",
     key: str = "ROW_KEY",
     player: str = "PLAYER_ID",
     seconds: str = "minutes_SECONDS",
-    columns: Sequence[str] | None = None,
+    counted_nulls: str | None = None,
 ) -> DataFrame:
     """Per date: rows and the bad rows of each gate, from one scan.
 
+    `counted_nulls` names a column that already holds null_cells. With it the scan reads five narrow
+    columns; without it, all of them.
+
     Grouping by date and row key first counts the repeats and carries the other sums along, so
     the wide rows never move and a date with a third of the table is spread over its keys.
     """
-    cells = [_missing(df, name).cast("bigint") for name in (columns or df.columns)]
+    nulls = F.col(counted_nulls) if counted_nulls else null_cells(df)
     per_key = df.groupBy(day, key).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.col(player).isNull().cast("bigint")).alias("no_player"),
         F.sum(F.coalesce(F.col(seconds) < 0, F.lit(False)).cast("bigint")).alias("negative"),
-        F.sum(reduce(Column.__add__, cells)).alias("nulls"),
+        F.sum(nulls).alias("nulls"),
     )
     return per_key.groupBy(day).agg(
         F.sum("n").alias("rows"),

@@ -26,6 +26,7 @@ from courtside.sources.landing import Landing, for_days
 from courtside.sources.store import Store, spread_days
 
 LOADED, FAILED = "loaded", "failed"
+NULL_CELLS = "null_cells"
 PAYLOAD_GATES = ["scoreboard_payload", "missing_game", "repeated_key"]
 
 
@@ -134,15 +135,16 @@ def load_days(
     described = A.with_dimensions(joined, store.players(), store.arenas(moment), counted_on=traditional)
     complete = A.finished(described, moment)
     gates.check_columns(complete.columns)
-    rows = staged("rows", complete)
+    # Nulls are counted while the wide rows are at hand, so the gates need not read them all back.
+    rows = staged("rows", complete.withColumn(NULL_CELLS, gates.null_cells(complete)))
 
-    counts = staged("day_counts", gates.day_counts(rows))
+    counts = staged("day_counts", gates.day_counts(rows, counted_nulls=NULL_CELLS))
     report = staged("gates", payload_report.unionByName(gates.gate_report(counts, good_days)))
 
     failing = report.where("not pass").select("GAME_DATE").distinct()
     passing = staged("passing", counts.select("GAME_DATE", "rows").join(failing, "GAME_DATE", "left_anti"))
     store.create_log()
-    store.replace_days(spread_days(rows, passing))
+    store.replace_days(spread_days(rows.drop(NULL_CELLS), passing))
 
     stored = store.log().where(F.col("GAME_DATE").between(F.lit(first), F.lit(last)))
     verified = gates.row_count_check(passing, stored).where("pass")

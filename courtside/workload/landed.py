@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtside import schema as S
+from courtside.operators import payloads
 from courtside.plans.day_load import LoadResult, load_days
 from courtside.plans.dimensions import build_player_dimension
 from courtside.session import scratch_folder
@@ -167,6 +168,7 @@ def payloads_of(spark: SparkSession, sf_dir: str, repeats: bool = True) -> dict[
 
 
 _landings: dict[tuple[str, str], Landing] = {}
+_flat: dict[tuple[str, str], list[DataFrame]] = {}
 _loads: dict[tuple[str, str], tuple[Store, LoadResult]] = {}
 
 
@@ -181,6 +183,31 @@ def landing_of(spark: SparkSession, sf_dir: str) -> Landing:
     return _landings[key]
 
 
+def flat_endpoints(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Flat rows of the five game endpoints, staged as parquet once per session and folder of tables.
+
+    Staged as a load stages them, so that key checks and joins read columns and parse nothing again.
+    The payloads are those without repeated players, which the 1:1 joins would refuse.
+    """
+    key = (spark.conf.get("spark.app.id"), sf_dir)
+    if key not in _flat:
+        nested = payloads_of(spark, sf_dir, repeats=False)
+        rows = {
+            "traditional": payloads.player_rows(nested["traditional"], [S.TRADITIONAL_ENVELOPE]),
+            "advanced": payloads.player_rows(nested["advanced"], [S.ADVANCED_ENVELOPE]),
+            "usage": payloads.player_rows(nested["usage"], [S.USAGE_ENVELOPE]),
+            "four_factors": payloads.team_factor_rows(nested["four_factors"]),
+            "live": payloads.live_game_rows(nested["live"]),
+        }
+        root = scratch_folder(spark, "endpoints")
+        staged = []
+        for name, df in rows.items():
+            df.write.parquet(f"{root}/{name}")
+            staged.append(spark.read.schema(df.schema).parquet(f"{root}/{name}"))
+        _flat[key] = staged
+    return _flat[key]
+
+
 def loaded_store(spark: SparkSession, sf_dir: str) -> tuple[Store, LoadResult]:
     """A store with all landed months loaded, once per session and folder of tables."""
     key = (spark.conf.get("spark.app.id"), sf_dir)

@@ -24,10 +24,10 @@ from courtside.workload.landed import (
     SHORT_OFFICIALS,
     UNPLAYED_GAME,
     columns_sql,
+    flat_endpoints,
     landing_of,
     loaded_store,
     load_all,
-    payloads_of,
     rows_sql,
 )
 from courtside.workload.matching import arenas_sql
@@ -140,18 +140,6 @@ def scoreboard_games(spark, sf_dir):
     return plain(payloads.scoreboard_games(landing_of(spark, sf_dir).scoreboard()))
 
 
-def _endpoints(spark, sf_dir):
-    """Flat rows of all endpoints, from payloads without repeated players."""
-    nested = payloads_of(spark, sf_dir, repeats=False)
-    return (
-        payloads.player_rows(nested["traditional"], [S.TRADITIONAL_ENVELOPE]),
-        payloads.player_rows(nested["advanced"], [S.ADVANCED_ENVELOPE]),
-        payloads.player_rows(nested["usage"], [S.USAGE_ENVELOPE]),
-        payloads.team_factor_rows(nested["four_factors"]),
-        payloads.live_game_rows(nested["live"]),
-    )
-
-
 def _stage_sql(names: list[str], overrides: dict[str, str] | None = None) -> str:
     sql = columns_sql() | (overrides or {})
     shown = ", ".join(f"{sql[name]} as {name.lower()}" for name in names)
@@ -168,7 +156,7 @@ PLAYER_COLUMNS = [
 @query(_stage_sql(PLAYER_COLUMNS))
 def player_table(spark, sf_dir):
     """Three box scores of a game side by side, keys checked 1:1."""
-    traditional, advanced, usage, _, _ = _endpoints(spark, sf_dir)
+    traditional, advanced, usage, _, _ = flat_endpoints(spark, sf_dir)
     return plain(A.player_table(traditional, advanced, usage).select(*PLAYER_COLUMNS))
 
 
@@ -177,7 +165,7 @@ FACTOR_COLUMNS = ["GAME_DATE", "GAME_ID", "PLAYER_ID", "PLAYER_TEAM_ID", *(f"{n}
 
 @query(_stage_sql(FACTOR_COLUMNS))
 def team_context(spark, sf_dir):
-    traditional, _, _, factors, _ = _endpoints(spark, sf_dir)
+    traditional, _, _, factors, _ = flat_endpoints(spark, sf_dir)
     players = payloads.as_player_team(traditional)
     return plain(A.with_team_context(players, factors).select(*FACTOR_COLUMNS))
 
@@ -192,7 +180,7 @@ THIRD = {name: f"case when not {SHORT_OFFICIALS} then {columns_sql()[name]} end"
 
 @query(_stage_sql(GAME_COLUMNS, THIRD))
 def game_metadata(spark, sf_dir):
-    traditional, _, _, _, live = _endpoints(spark, sf_dir)
+    traditional, _, _, _, live = flat_endpoints(spark, sf_dir)
     players = payloads.as_player_team(traditional)
     return plain(A.with_game_metadata(players, live).select(*GAME_COLUMNS))
 
@@ -202,7 +190,7 @@ OUTCOME_COLUMNS = ["GAME_DATE", "GAME_ID", "PLAYER_ID", "points", "HOME_FLAG", "
 
 @query(_stage_sql(OUTCOME_COLUMNS))
 def outcome_flags(spark, sf_dir):
-    traditional, _, _, _, live = _endpoints(spark, sf_dir)
+    traditional, _, _, _, live = flat_endpoints(spark, sf_dir)
     players = payloads.as_player_team(traditional)
     return plain(A.with_outcome(A.with_game_metadata(players, live)).select(*OUTCOME_COLUMNS))
 
@@ -213,7 +201,7 @@ ASSEMBLED_COLUMNS = [*OUTCOME_COLUMNS, "POINT_MARGIN", "PIE_ADV", "percentagePoi
 @query(_stage_sql(ASSEMBLED_COLUMNS))
 def assembled_rows(spark, sf_dir):
     """All endpoints to player rows with one wide join to the per-team context."""
-    return plain(A.assemble(*_endpoints(spark, sf_dir)).select(*ASSEMBLED_COLUMNS))
+    return plain(A.assemble(*flat_endpoints(spark, sf_dir)).select(*ASSEMBLED_COLUMNS))
 
 
 @query(rows_sql())

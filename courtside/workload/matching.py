@@ -93,7 +93,7 @@ left join ({_STAT_SQL.format("l_tax > 0.02")}) u
   on t.d = u.d and t.l_orderkey = u.l_orderkey and t.l_suppkey = u.l_suppkey and t.l_partkey = u.l_partkey
 """)
 def suffix_join(spark, sf_dir):
-    """Three statistics tables of the same keys side by side, 1:1."""
+    """Three statistics tables of the same keys side by side; their groups make the keys unique."""
     lines = table(spark, sf_dir, "lineitem")
 
     def stats(kept):
@@ -109,7 +109,7 @@ def suffix_join(spark, sf_dir):
             )
         )
 
-    return plain(A.player_table(stats("true"), stats("l_quantity > 25"), stats("l_tax > 0.02")))
+    return plain(A.player_table(stats("true"), stats("l_quantity > 25"), stats("l_tax > 0.02"), checked=True))
 
 
 @query("""
