@@ -46,6 +46,28 @@ def game_scores(
     )
 
 
+def game_flags(
+    df: DataFrame,
+    game: Sequence[str] = GAME,
+    team: str = "PLAYER_TEAM_ID",
+    points: str = "points",
+    is_home: str = "HOME_FLAG",
+) -> DataFrame:
+    """One row per game with HOME_TEAM_WIN_FLAG."""
+    scores = game_scores(df, game, team, points, is_home)
+    return scores.select(
+        *game, C.home_win(F.col("HOME_POINTS"), F.col("AWAY_POINTS")).alias("HOME_TEAM_WIN_FLAG")
+    )
+
+
+def with_win_flags(df: DataFrame, is_home: str = "HOME_FLAG") -> DataFrame:
+    """The game's flag, false where the game has none, and the own team's flag next to it."""
+    won = F.coalesce("HOME_TEAM_WIN_FLAG", F.lit(False))
+    return df.withColumns(
+        {"HOME_TEAM_WIN_FLAG": won, "PLAYER_TEAM_WIN_FLAG": C.own_team_win(F.col(is_home), won)}
+    )
+
+
 def with_outcome(
     df: DataFrame,
     game: Sequence[str] = GAME,
@@ -60,16 +82,5 @@ def with_outcome(
     Only the one flag per game travels back to the rows. A window over the game would put a whole
     game in one task; the aggregate and the hot-key-safe join do not.
     """
-    scores = game_scores(df, game, team, points, is_home)
-    flags = scores.select(
-        *game, C.home_win(F.col("HOME_POINTS"), F.col("AWAY_POINTS")).alias("HOME_TEAM_WIN_FLAG")
-    )
-    joined = join_to_one(df, flags, game, hot, hot_above)
-    return joined.withColumns(
-        {
-            "HOME_TEAM_WIN_FLAG": F.coalesce("HOME_TEAM_WIN_FLAG", F.lit(False)),
-            "PLAYER_TEAM_WIN_FLAG": C.own_team_win(
-                F.col(is_home), F.coalesce("HOME_TEAM_WIN_FLAG", F.lit(False))
-            ),
-        }
-    )
+    flags = game_flags(df, game, team, points, is_home)
+    return with_win_flags(join_to_one(df, flags, game, hot, hot_above), is_home)

@@ -44,11 +44,14 @@ def with_team_context(players: DataFrame, team_factors: DataFrame) -> DataFrame:
     return guarded_join(players, team_factors, GAME_TEAM, "m:1")
 
 
+def _home_flag(df: DataFrame) -> DataFrame:
+    return df.withColumn("HOME_FLAG", C.home_flag(F.col("PLAYER_TEAM_ID"), F.col("HOME_TEAM_ID")))
+
+
 def _game_facts(df: DataFrame) -> DataFrame:
     """Home flag, own-side margin and total from the joined game columns."""
-    with_flag = df.withColumn("HOME_FLAG", C.home_flag(F.col("PLAYER_TEAM_ID"), F.col("HOME_TEAM_ID")))
     home, away = F.col("HOME_TEAM_POINTS"), F.col("AWAY_TEAM_POINTS")
-    return with_flag.withColumns(
+    return _home_flag(df).withColumns(
         {
             "POINT_MARGIN": C.signed_margin(F.col("HOME_FLAG"), home, away),
             "GAME_TOTAL_POINTS": C.game_total(home, away),
@@ -83,12 +86,11 @@ def team_game_context(
     traditional: DataFrame, team_factors: DataFrame, live_games: DataFrame
 ) -> DataFrame:
     """One row per game and team: four factors, game facts, side, margin and win flags."""
-    rows = payloads.as_player_team(traditional)
-    teams = outcome.team_points(rows)
-    facts = _game_facts(
-        teams.join(team_factors, GAME_TEAM, "left").join(live_games, GAME, "left")
-    )
-    return outcome.with_outcome(facts, points="TEAM_POINTS", hot=[]).drop("TEAM_POINTS")
+    teams = outcome.team_points(payloads.as_player_team(traditional))
+    sided = _home_flag(teams.join(live_games.select(*GAME, "HOME_TEAM_ID"), GAME, "left"))
+    games = live_games.join(outcome.game_flags(sided, points="TEAM_POINTS"), GAME, "left")
+    facts = teams.drop("TEAM_POINTS").join(team_factors, GAME_TEAM, "left").join(games, GAME, "left")
+    return outcome.with_win_flags(_game_facts(facts))
 
 
 def assemble(
