@@ -38,11 +38,13 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Lower-case names, dates and timestamps as text: the same on both engines."""
+    """Lower-case names, dates and UTC timestamps as text: the same on both engines."""
     shown = []
     for field in df.schema.fields:
         value = F.col(field.name)
-        if isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        if isinstance(field.dataType, T.TimestampType):
+            value = F.to_utc_timestamp(value, F.current_timezone()).cast("string")
+        elif isinstance(field.dataType, (T.DateType, T.TimestampNTZType)):
             value = value.cast("string")
         shown.append(value.alias(field.name.lower()))
     return df.select(*shown)
