@@ -156,7 +156,7 @@ def described(texts: DataFrame, words: int, percent: int) -> DataFrame:
 
 def _groups(reps: DataFrame) -> DataFrame:
     """(key, doc_id, pivot, size) of groups of two or more; groups with the same members are kept once."""
-    rows = reps.select(F.explode("keys").alias("key"), "doc_id")
+    rows = reps.select(F.explode("keys").alias("key"), "doc_id").repartition("key")
     facts = rows.groupBy("key").agg(
         F.count("*").alias("size"),
         F.min("doc_id").alias("pivot"),
@@ -173,6 +173,30 @@ def _groups(reps: DataFrame) -> DataFrame:
     return staged(rows.join(kept, "key"), "groups")
 
 
+def plausible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and bitmaps allow the percentage."""
+    sizes = reps.select("doc_id", "n_shingles")
+    for side in ("a", "b"):
+        pairs = pairs.join(sizes.select(F.col("doc_id").alias(side), F.col("n_shingles").alias(f"n_{side}")), side)
+    pairs = pairs.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    for side in ("a", "b"):
+        pairs = pairs.join(reps.select(F.col("doc_id").alias(side), F.col("sig").alias(f"sig_{side}")), side)
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sizes = batch[["n_a", "n_b"]].to_numpy(np.int64)
+            keep = np.zeros(len(batch), bool)
+            for k, (x, y) in enumerate(zip(batch["sig_a"], batch["sig_b"], strict=True)):
+                kind = size_class(int(sizes[k].max()))
+                x, y = (fitted(np.frombuffer(v, np.uint8), kind) for v in (x, y))
+                lost = min(n - int(np.bitwise_count(v).sum()) for n, v in zip(sizes[k].tolist(), (x, y), strict=True))
+                overlap = int(np.bitwise_count(x & y).sum()) + lost
+                keep[k] = (100 + percent) * overlap >= percent * sizes[k].sum()
+            yield batch.loc[keep, ["a", "b"]]
+
+    return pairs.mapInPandas(check, "a long, b long").distinct()
+
+
 def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the percentage, compared on all shingles."""
 
@@ -191,7 +215,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
                 keep[i] = 100 * common >= percent * (len(x) + len(y) - common)
             yield batch.loc[keep, ["a", "b"]]
 
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    ids = staged(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
     known = staged(texts.join(ids, "doc_id", "left_semi").mapInPandas(sets, "doc_id long, tokens binary"), "sets")
     left, right = (known.select(F.col("doc_id").alias(i), F.col("tokens").alias(t)) for i, t in (("a", "x"), ("b", "y")))
     both = pairs.join(left, "a").join(right, "b")
@@ -348,14 +372,8 @@ def jaccard_components(
     )
     reps = staged(reps.dropDuplicates(["set_key"]).select("doc_id", "n_shingles", "sig", "keys"), "reps")
     members = _groups(reps)
-    sizes = reps.select("doc_id", "n_shingles")
-    star = (
-        members.where("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
-    )
-    for side in ("a", "b"):
-        star = star.join(sizes.select(F.col("doc_id").alias(side), F.col("n_shingles").alias(f"n_{side}")), side)
-    star = star.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)").select("a", "b").distinct()
-    links = staged(verified(staged(star, "pairs"), texts, words, percent), "links")
+    star = members.where("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
+    links = staged(verified(staged(plausible(star, reps, percent), "pairs"), texts, words, percent), "links")
     first = components(links)
     rest = staged(_tree_pairs(members, reps, first, percent), "pairs")
     if not rest.isEmpty():
@@ -385,7 +403,7 @@ WITH RECURSIVE words AS (
     SELECT doc_id, unnest(list_distinct(CASE
         WHEN len(w) = 0 THEN []
         WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-        ELSE list_transform(range(1, len(w) - 2), k -> array_to_string(w[k:k + 3], ' ')) END)) AS s
+        ELSE list_transform(range(1, len(w) - 2), lambda k: array_to_string(w[k:k + 3], ' ')) END)) AS s
     FROM words
 ), sizes AS (
     SELECT d.doc_id, count(s.s) AS n FROM documents d LEFT JOIN shingles s USING (doc_id) GROUP BY 1

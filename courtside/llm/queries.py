@@ -2,14 +2,27 @@
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from courtside.llm import jaccard_join
+from courtside.llm import bpe, exact_dedup, jaccard_join, mixing, quality, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": jaccard_join.op1_ngram_jaccard_join,
+    "op2_warc_records": warc.op2_warc_records,
+    "op3_bpe_encode_decode": bpe.op3_bpe_encode_decode,
+    "op4_mix_sources": mixing.op4_mix_sources,
+    "op7_quality_classifier": quality.op7_quality_classifier,
+    "op8_exact_dedup": exact_dedup.op8_exact_dedup,
+    "op9_token_id_files": token_files.op9_token_id_files,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
     "op1_ngram_jaccard_join": jaccard_join.ORACLE,
+    "op2_warc_records": warc.ORACLE,
+    "op4_mix_sources": mixing.ORACLE,
+    "op8_exact_dedup": exact_dedup.ORACLE,
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
