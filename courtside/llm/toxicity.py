@@ -1,10 +1,10 @@
 """Toxicity by weak supervision: voters, a generative label model, a linear classifier on its posteriors.
 
 Every voter looks at a whole text and votes or abstains: one for each term of the lexicons, and patterns (masked
-spelling, address followed by an insult, shouting, runs of exclamation marks). The label model takes each
-voter's chance of voting on toxic and on other texts, the prior, and the reliability of the
-given labels of the training folds, and estimates all of them by expectation maximisation over the counts of
-vote patterns. Pairs of voters whose votes go together more than the model explains are correlated;
+spelling, address followed by an insult, shouting, runs of exclamation marks, and the absence of all insults).
+A voter that abstains says nothing. The label model takes each
+voter's chance of voting on toxic and on other texts and the prior, and estimates them by expectation maximisation over the
+counts of vote patterns; given labels of the training folds are one more voter, of fixed reliability `GIVEN`. Pairs of voters whose votes go together more than the model explains are correlated;
 a voter's evidence is divided by one plus its correlations, so that voters that say the same thing count once.
 
 The posteriors of a bounded sample of training rows are the soft labels of a logistic classifier over hashed words and
@@ -40,13 +40,15 @@ LEXICON = {
     "es": "imbécil estúpido basura inútil escoria perdedor patético asqueroso cabrón payaso",
 }
 TERMS = sorted({w for words in LEXICON.values() for w in words.split()})
-PATTERNS = ("masked", "address", "shouting", "exclaiming")
+PATTERNS = ("masked", "address", "shouting", "exclaiming", "silent")
 VOTERS = (*TERMS, *PATTERNS)
 
+#: Chances of label 1 on other and on toxic texts.
+GIVEN = (0.02, 0.9)
 HASHED = 1 << 15
 PER_SIDE = 4000
 ROUNDS = 25
-STEPS = 300
+STEPS = 500
 CACHED_WORDS = 300_000
 FLOOR = 1e-4
 SEED = 3
@@ -70,7 +72,7 @@ class _Places(dict):
 
 
 def votes(text: str, words: set[str]) -> list[int]:
-    """The voters that call a text toxic, given its lower-case words."""
+    """The voters that speak up, given the lower-case words of a text; `silent` does where no insult was found."""
     low = text.lower()
     found = [_PLACE[t] for t in words & _TERM_SET]
     if any(c in low for c in "013457@$!*") and any(
@@ -79,6 +81,8 @@ def votes(text: str, words: set[str]) -> list[int]:
         found.append(_PLACE["masked"])
     if "you" in low and any(w in _TERM_SET for w in _ADDRESS.findall(low)):
         found.append(_PLACE["address"])
+    if not found:
+        found.append(_PLACE["silent"])
     upper = sum(map(str.isupper, text))
     if upper > 20 and 2 * upper > sum(map(str.isalpha, text)):
         found.append(_PLACE["shouting"])
@@ -123,9 +127,7 @@ class LabelModel:
 
     def log_odds(self, cast: np.ndarray, gold: np.ndarray | None = None) -> np.ndarray:
         """cast: rows of 0 and 1; gold: the given labels, -1 for none."""
-        yes = np.log(self.chances[1] / self.chances[0])
-        no = np.log((1 - self.chances[1]) / (1 - self.chances[0]))
-        odds = np.log(self.prior / (1 - self.prior)) + (cast * yes + (1 - cast) * no) @ self.weights
+        odds = np.log(self.prior / (1 - self.prior)) + cast @ (self.weights * np.log(self.chances[1] / self.chances[0]))
         if gold is not None:
             one, none = np.log(self.gold[1] / self.gold[0]), np.log((1 - self.gold[1]) / (1 - self.gold[0]))
             odds = odds + np.where(gold == 1, one, np.where(gold == 0, none, 0.0))
@@ -151,40 +153,40 @@ def label_model(votes_and_labels: DataFrame) -> LabelModel:
         .groupBy("votes", "y").agg(F.count("*").alias("n")),
         "votes",
     )
-    model = LabelModel(
-        np.vstack([np.full(v, 0.01), np.full(v, 0.2)]), np.array([0.05, 0.8]), 0.1, np.ones(v)
-    )
+    start = np.vstack([np.full(v, 0.01), np.full(v, 0.2)])
+    start[:, [_PLACE["shouting"], _PLACE["exclaiming"]]] = 0.05
+    start[:, _PLACE["silent"]] = 0.95, 0.2
+    model = LabelModel(start, np.array(GIVEN), 0.1, np.ones(v))
 
     def totals(use: LabelModel) -> np.ndarray:
-        """Per side: rows, votes by voter, labelled rows, labels 1; then votes by pairs of voters."""
+        """Per side: rows, votes by voter; then votes by pairs of voters."""
 
         def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            total = np.zeros(2 * (v + 3) + 2 * v * v)
+            total = np.zeros(2 * (v + 1) + 2 * v * v)
             for batch in batches:
                 cast, y, n = _matrix(batch["votes"].tolist(), v), batch["y"].to_numpy(), batch["n"].to_numpy()
                 p = _sigmoid(use.log_odds(cast, y))
                 sides, pairs = [], []
                 for share in ((1 - p) * n, p * n):
-                    sides.append(np.concatenate([[share.sum()], share @ cast, [share @ (y >= 0), share @ (y == 1)]]))
+                    sides.append(np.concatenate([[share.sum()], share @ cast]))
                     pairs.append(((cast * share[:, None]).T @ cast).ravel())
                 total += np.concatenate([*sides, *pairs])
             yield pd.DataFrame({"total": [total.tobytes()]})
 
         rows = patterns.mapInPandas(add, "total binary").collect()
-        return np.sum([np.frombuffer(r.total) for r in rows], axis=0) if rows else np.zeros(2 * (v + 3) + 2 * v * v)
+        return np.sum([np.frombuffer(r.total) for r in rows], axis=0) if rows else np.zeros(2 * (v + 1) + 2 * v * v)
 
     for k in range(ROUNDS):
         sums = totals(model)
-        sides = sums[: 2 * (v + 3)].reshape(2, v + 3)
+        sides = sums[: 2 * (v + 1)].reshape(2, v + 1)
         n = sides[:, :1]
         if not n.sum():
             raise ValueError("no rows to learn from")
-        chances = np.clip((sides[:, 1:-2] + [[0.001], [0.01]]) / (n + 1), FLOOR, 1 - FLOOR)
-        gold = np.clip((sides[:, -1] + [0.5, 5.0]) / (sides[:, -2] + [10.0, 6.0]), 0.01, 0.99)
+        chances = np.clip((sides[:, 1:] + [[0.001], [0.01]]) / (n + 1), FLOOR, 1 - FLOOR)
         weights = model.weights
         if k == ROUNDS // 2:
-            weights = 1 / (1 + _correlations(sums[2 * (v + 3) :].reshape(2, v, v), chances, n.ravel()))
-        new = LabelModel(chances, gold, float(np.clip(n[1, 0] / n.sum(), 0.001, 0.5)), weights)
+            weights = 1 / (1 + _correlations(sums[2 * (v + 1) :].reshape(2, v, v), chances, n.ravel()))
+        new = LabelModel(chances, model.gold, float(np.clip(n[1, 0] / n.sum(), 0.001, 0.5)), weights)
         settled = np.abs(new.chances - model.chances).max() < 1e-5 and k > ROUNDS // 2
         model = new
         if settled:
@@ -224,7 +226,7 @@ def train(found: list[tuple[list[int], list[int]]], target: np.ndarray) -> Toxic
     values = np.repeat([1 / np.sqrt(max(1, len(at))) for _, at in found], [len(at) for _, at in found])
     cast = _matrix([c for c, _ in found], len(VOTERS))
     p = np.zeros(HASHED + len(VOTERS) + 1)
-    shrink = np.concatenate([np.full(HASHED, 1e-3), np.full(len(VOTERS), 1e-5), [0.0]])
+    shrink = np.concatenate([np.full(HASHED, 3e-3), np.full(len(VOTERS), 1e-5), [0.0]])
     first, second = np.zeros_like(p), np.zeros_like(p)
     for k in range(1, STEPS + 1):
         raw = np.bincount(rows, values * p[columns], len(found)) + cast @ p[HASHED:-1] + p[-1]
