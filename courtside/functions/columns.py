@@ -45,12 +45,12 @@ def minutes_text(value: Column) -> Column:
 
 
 def minutes_to_seconds(value: Column) -> Column:
-    """"MM:SS" as seconds; null and malformed text give 0, signs are kept ("-1:30" is -30)."""
+    """"MM:SS" as seconds; null, malformed text and times beyond 64 bits give 0, signs are kept ("-1:30" is -30)."""
     parts = F.split(value, ":")
     minutes = F.get(parts, F.lit(0)).try_cast("bigint")
     seconds = F.get(parts, F.lit(1)).try_cast("bigint")
     return F.when(
-        value.rlike(_MINUTES_TEXT), F.coalesce(minutes * 60 + seconds, F.lit(0).cast("bigint"))
+        value.rlike(_MINUTES_TEXT), F.coalesce(F.try_add(F.try_multiply(minutes, F.lit(60)), seconds), F.lit(0).cast("bigint"))
     ).otherwise(F.lit(0).cast("bigint"))
 
 
@@ -67,13 +67,12 @@ def home_flag(team_id: Column, home_team_id: Column) -> Column:
 
 
 def signed_margin(is_home: Column, home_points: Column, away_points: Column) -> Column:
-    """Home minus away, seen from the row's own side."""
-    margin = home_points - away_points
-    return F.when(~is_home, -margin).otherwise(margin)
+    """Home minus away, seen from the row's own side; null beyond 64 bits."""
+    return F.when(~is_home, F.try_subtract(away_points, home_points)).otherwise(F.try_subtract(home_points, away_points))
 
 
 def game_total(home_points: Column, away_points: Column) -> Column:
-    return home_points + away_points
+    return F.try_add(home_points, away_points)
 
 
 def home_win(home_points: Column, away_points: Column) -> Column:

@@ -131,8 +131,22 @@ def season_coverage(season: DataFrame, dimension: DataFrame, player: str = "PLAY
     )
 
 
-def run_summary(ledger: DataFrame, status: str = "STATUS", day: str = "GAME_DATE") -> DataFrame:
-    """Days per status and their sorted list; the list is bounded by the calendar days of the ledger."""
-    return ledger.select(status, day).distinct().groupBy(status).agg(
+def current_status(
+    ledger: DataFrame, status: str = "STATUS", day: str = "GAME_DATE", run: str = "LOAD_BATCH_ID"
+) -> DataFrame:
+    """Per date the status of its latest run."""
+    return ledger.groupBy(day).agg(F.max_by(status, run).alias(status), F.max(run).alias(run))
+
+
+def run_summary(
+    ledger: DataFrame, status: str = "STATUS", day: str = "GAME_DATE", run: str | None = None
+) -> DataFrame:
+    """Days per status, and per run if its column is named, with their sorted list.
+
+    The list is bounded by the calendar days of the ledger. Without `run` a date counts under every status that it ever
+    had; give `current_status` for the state of the store.
+    """
+    keys = [run, status] if run else [status]
+    return ledger.select(*keys, day).distinct().groupBy(*keys).agg(
         F.count(day).alias("days"), F.sort_array(F.collect_list(F.col(day).cast("string"))).alias("day_list")
     )

@@ -37,6 +37,13 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return counted.unpivot([], columns, "column_name", "null_rows")
 
 
+def null_profile_by_day(df: DataFrame, day: str = "GAME_DATE") -> DataFrame:
+    """Per date the columns that have missing values, with their number, all columns counted in one pass."""
+    columns = [c for c in df.columns if c != day]
+    counted = df.groupBy(day).agg(*[F.sum(_missing(df, c).cast("bigint")).alias(c) for c in columns])
+    return counted.unpivot([day], columns, "column_name", "null_rows").where("null_rows > 0")
+
+
 def null_cells(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
     """Per row, how many of its columns are missing."""
     return reduce(Column.__add__, (_missing(df, c).cast("bigint") for c in (columns or df.columns)))

@@ -1,18 +1,15 @@
-"""Key-checked joins that hold up when one key owns a large share of the rows."""
+"""Key-checked joins.
+
+Each is one equi-join, so a side is scanned and exchanged once. A key, or null, that owns a large share of the rows is left
+to adaptive execution, which splits its shuffle partition by what the tasks before wrote; there is no list of
+hot keys and no bound on their number. Which side is broadcast is Spark's choice by bytes.
+"""
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key with more rows than this is joined apart from the rest.
-HOT_ROWS = 1_000_000
-# The most keys joined apart; every other key then holds under 1/1000 of the rows.
-HOT_KEYS = 1_000
-# A dimension of up to this many rows is broadcast; a larger one is joined by shuffle.
-SMALL_ROWS = 200_000
-
 
 class CardinalityError(ValueError):
     """A key that had to be unique is not."""
@@ -31,89 +28,19 @@ def require_unique(df: DataFrame, keys: Sequence[str], side: str) -> None:
         raise CardinalityError(f"{side} side repeats {tuple(keys)}, for example {shown}")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], above: int = HOT_ROWS) -> list[Row]:
-    """The largest keys above a row count, at most HOT_KEYS of them.
+def join_to_one(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join to a side that is unique by key, as after an aggregation by it; rows with a null key match nothing."""
+    return left.join(right, list(keys), "left")
 
-    Counted from the key columns alone with map-side combining, and cut before it reaches the driver.
-    """
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows"))
-    largest = counted.where(F.col("key_rows") > above).orderBy(F.desc("key_rows")).limit(HOT_KEYS)
-    return largest.select(*keys).collect()
-
-
-def join_to_one(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    hot: list[Row] | None = None,
-    hot_above: int = HOT_ROWS,
-) -> DataFrame:
-    """Left join to a side that is unique by key, whatever the spread of the left keys.
-
-    Hot keys match at most HOT_KEYS rows on the right, because the right is unique by key. Those
-    rows are broadcast, and the hot left rows stay where they are instead of meeting in one task.
-    The rest takes an ordinary shuffled join. Without hot keys that join is the whole plan.
-    Rows with a null key match nothing, so a hot null key skips the join.
-    """
-    keys = list(keys)
-    if hot is None:
-        hot = hot_keys(left, keys, hot_above)
-    if not hot:
-        return left.join(right, keys, "left")
-    listed = [row for row in hot if all(row[key] is not None for key in keys)]
-    added = [name for name in right.columns if name not in keys]
-    out = [*keys, *(name for name in left.columns if name not in keys), *added]
-
-    has_key = reduce(lambda a, b: a & b, (F.col(key).isNotNull() for key in keys))
-    parts = [
-        left.where(~has_key).select(
-            "*", *[F.lit(None).cast(right.schema[name].dataType).alias(name) for name in added]
-        )
-    ]
-    keyed = left.where(has_key)
-    if listed:
-        apart = F.broadcast(left.sparkSession.createDataFrame(listed, left.select(*keys).schema))
-        matches = F.broadcast(right.join(apart, keys, "left_semi"))
-        parts.append(keyed.join(apart, keys, "left_semi").join(matches, keys, "left"))
-        keyed = keyed.join(apart, keys, "left_anti")
-    parts.append(keyed.join(right, keys, "left"))
-    return reduce(DataFrame.unionByName, (part.select(*out) for part in parts))
-
-
-def guarded_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], validate: str = "m:1", hot_above: int = HOT_ROWS
-) -> DataFrame:
+
+def guarded_join(left: DataFrame, right: DataFrame, keys: Sequence[str], validate: str = "m:1") -> DataFrame:
     """Left join that first proves the promised cardinality, "1:1" or "m:1"."""
     if validate not in ("1:1", "m:1"):
         raise ValueError(f"unknown cardinality {validate!r}")
     require_unique(right, keys, "right")
     if validate == "1:1":
         require_unique(left, keys, "left")
-        return left.join(right, list(keys), "left")
-    return join_to_one(left, right, keys, hot_above=hot_above)
-
-
-def is_small(df: DataFrame, most: int = SMALL_ROWS) -> bool:
-    """Whether a frame has at most so many rows; reads no further than that."""
-    return df.limit(most + 1).count() <= most
-
-
-def dimension_join(
-    left: DataFrame,
-    dimension: DataFrame,
-    keys: Sequence[str],
-    small_rows: int = SMALL_ROWS,
-    counted_on: DataFrame | None = None,
-) -> DataFrame:
-    """m:1 join to a narrow dimension: broadcast when its counted size allows, by shuffle beyond that.
-
-    `counted_on` names a cheaper frame with the same keys to look for hot ones, such as the stored
-    table the left side was derived from.
-    """
-    require_unique(dimension, keys, "right")
-    if is_small(dimension, small_rows):
-        return left.join(F.broadcast(dimension), list(keys), "left")
-    return join_to_one(left, dimension, keys, hot_keys(left if counted_on is None else counted_on, keys))
+    return join_to_one(left, right, keys)
 
 
 def missing_from(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:

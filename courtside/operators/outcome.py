@@ -2,11 +2,11 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtside.functions import columns as C
-from courtside.operators.joins import HOT_ROWS, join_to_one
+from courtside.operators.joins import join_to_one
 
 GAME = ("GAME_DATE", "GAME_ID")
 
@@ -18,7 +18,7 @@ def team_points(
     return (
         df.dropna(subset=[*game, team])
         .groupBy(*game, team)
-        .agg(F.coalesce(F.sum(points), F.lit(0)).cast(df.schema[points].dataType).alias("TEAM_POINTS"))
+        .agg(F.coalesce(F.try_sum(points), F.lit(0)).cast(df.schema[points].dataType).alias("TEAM_POINTS"))
     )
 
 
@@ -40,8 +40,8 @@ def game_scores(
         df.dropna(subset=[*game, team, is_home])
         .groupBy(*game)
         .agg(
-            F.sum(F.when(F.col(is_home), scored)).alias("HOME_POINTS"),
-            F.sum(F.when(~F.col(is_home), scored)).alias("AWAY_POINTS"),
+            F.try_sum(F.when(F.col(is_home), scored)).alias("HOME_POINTS"),
+            F.try_sum(F.when(~F.col(is_home), scored)).alias("AWAY_POINTS"),
         )
     )
 
@@ -74,13 +74,11 @@ def with_outcome(
     team: str = "PLAYER_TEAM_ID",
     points: str = "points",
     is_home: str = "HOME_FLAG",
-    hot: list[Row] | None = None,
-    hot_above: int = HOT_ROWS,
 ) -> DataFrame:
     """Every row with HOME_TEAM_WIN_FLAG and PLAYER_TEAM_WIN_FLAG, from summed player points.
 
     Only the one flag per game travels back to the rows. A window over the game would put a whole
-    game in one task; the aggregate and the hot-key-safe join do not.
+    game in one task; the aggregate and the join do not.
     """
     flags = game_flags(df, game, team, points, is_home)
-    return with_win_flags(join_to_one(df, flags, game, hot, hot_above), is_home)
+    return with_win_flags(join_to_one(df, flags, game), is_home)

@@ -36,6 +36,27 @@ def scoreboard_games(scoreboard: DataFrame) -> DataFrame:
     ).select("GAME_DATE", F.col("g.gameId").cast("string").alias("GAME_ID"))
 
 
+def board_lines(scoreboard: DataFrame) -> DataFrame:
+    """One row per scoreboard line: its date, whether it is broken, and the ids of its games, null ones too.
+
+    A line is broken if it could not be parsed or lacks its scoreboard or games. Nothing is dropped and nothing raised.
+    """
+    games = F.col("scoreboard.games")
+    broken = games.isNull()
+    if "broken_line" in scoreboard.columns:
+        broken = broken | F.col("broken_line").isNotNull()
+    return scoreboard.select(
+        F.col("game_date").alias("GAME_DATE"),
+        broken.alias("broken"),
+        F.transform(games, lambda g: g["gameId"].cast("string")).alias("game_ids"),
+    )
+
+
+def listed_games(lines: DataFrame) -> DataFrame:
+    """One row per listed game of the lines that are not broken; an unidentified game has a null id."""
+    return lines.where("not broken").select("GAME_DATE", F.explode("game_ids").alias("GAME_ID"))
+
+
 def player_rows(payload: DataFrame, envelopes: Sequence[str]) -> DataFrame:
     """One row per player of both sides, home first; a side without players gives no rows."""
     sides = payload.select(

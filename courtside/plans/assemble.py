@@ -7,13 +7,15 @@ joined to the player rows once.
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from courtside.functions import columns as C
 from courtside.operators import outcome, payloads
-from courtside.operators.joins import dimension_join, guarded_join, hot_keys, join_to_one, require_unique
+from courtside.operators.joins import guarded_join, require_unique
 from courtside.operators.gates import check_columns
 from courtside.operators.shape import fill_missing, lock_schema
 
@@ -33,11 +35,16 @@ def player_table(
     if not checked:
         for name, rows in (("traditional", traditional), ("advanced", advanced), ("usage", usage)):
             require_unique(rows, keys, name)
+    return payloads.as_player_team(_box_scores(traditional, advanced, usage))
+
+
+def _box_scores(traditional: DataFrame, advanced: DataFrame, usage: DataFrame) -> DataFrame:
+    keys = payloads.STAT_KEYS
     table = traditional.join(payloads.suffixed(advanced, "_ADV"), keys, "left").join(
         payloads.suffixed(usage, "_USAGE"), keys, "left"
     )
-    check_columns(table.columns, required=payloads.STAT_KEYS)
-    return payloads.as_player_team(table)
+    check_columns(table.columns, required=keys)
+    return table
 
 
 def with_team_context(players: DataFrame, team_factors: DataFrame) -> DataFrame:
@@ -67,13 +74,11 @@ def with_outcome(players: DataFrame) -> DataFrame:
     return outcome.with_outcome(players)
 
 
-def with_dimensions(
-    players: DataFrame, player_dimension: DataFrame, arenas: DataFrame, counted_on: DataFrame | None = None
-) -> DataFrame:
+def with_dimensions(players: DataFrame, player_dimension: DataFrame, arenas: DataFrame) -> DataFrame:
     """Player attributes by player id, venue by the home team; the arena's own team columns stay out."""
     venues = arenas.withColumnRenamed("TEAM_ID", "HOME_TEAM_ID").drop("TEAM_TRICODE")
-    known = dimension_join(players, player_dimension, ["PLAYER_ID"], counted_on=counted_on)
-    return dimension_join(known, venues, ["HOME_TEAM_ID"])
+    known = guarded_join(players, player_dimension, ["PLAYER_ID"])
+    return guarded_join(known, venues, ["HOME_TEAM_ID"])
 
 
 def unmatched_players(players: DataFrame, player_dimension: DataFrame) -> DataFrame:
@@ -99,18 +104,20 @@ def assemble(
     usage: DataFrame,
     team_factors: DataFrame,
     live_games: DataFrame,
-    hot: list[Row] | None = None,
 ) -> DataFrame:
     """Player rows of all games at once, for inputs whose keys were found unique.
 
-    Equal to player_table, with_team_context, with_game_metadata and with_outcome in a row, but the
-    wide rows meet the per-team context in one join instead of three.
+    Equal to player_table, with_team_context, with_game_metadata and with_outcome in a row for rows that
+    have all their keys (others fail their date). The context of a game and team is brought to the grain of
+    the box scores on the key columns alone; it is then one more side of the join that the box scores share, so
+    the wide rows move once.
     """
-    players = player_table(traditional, advanced, usage, checked=True)
+    keys = payloads.STAT_KEYS
     context = team_game_context(traditional, team_factors, live_games)
-    if hot is None:
-        hot = hot_keys(payloads.as_player_team(traditional), GAME_TEAM)
-    return join_to_one(players, context, GAME_TEAM, hot)
+    own = traditional.select(*keys).withColumnRenamed("TEAM_ID", "PLAYER_TEAM_ID")
+    sides = own.join(context, GAME_TEAM, "left").withColumnRenamed("PLAYER_TEAM_ID", "TEAM_ID")
+    wide = _box_scores(traditional, advanced, usage).join(sides, keys, "left")
+    return payloads.as_player_team(wide)
 
 
 def finished(players: DataFrame, ingested_at: datetime) -> DataFrame:
@@ -131,6 +138,25 @@ def finished(players: DataFrame, ingested_at: datetime) -> DataFrame:
     return lock_schema(fill_missing(stamped))
 
 
+def repeated_examples(
+    frames: dict[str, tuple[DataFrame, Sequence[str]]], most: int | None = 5, day: str = "GAME_DATE"
+) -> DataFrame:
+    """Per date, up to `most` repeated keys (None: all) with their endpoint and how often they occur."""
+    reports = [
+        frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows")).where("key_rows > 1").select(
+            day, F.lit(name).alias("endpoint"),
+            F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys if k != day]).alias("key"),
+            "key_rows",
+        )
+        for name, (frame, keys) in frames.items()
+    ]
+    together = reduce(DataFrame.unionByName, reports)
+    if most is None:
+        return together
+    at = F.row_number().over(Window.partitionBy(day).orderBy("endpoint", "key"))
+    return together.withColumn("at", at).where(F.col("at") <= most).drop("at")
+
+
 def repeated_keys(frames: dict[str, tuple[DataFrame, Sequence[str]]], day: str = "GAME_DATE") -> DataFrame:
     """Per date, the number of repeated keys over all named frames."""
     reports = [

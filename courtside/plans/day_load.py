@@ -7,7 +7,7 @@ break a cardinality are known before the wide joins run, so those joins need no
 
 from collections.abc import Iterable
 from dataclasses import dataclass
-from datetime import date, datetime, timedelta, timezone
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 from zoneinfo import ZoneInfo
 
@@ -21,21 +21,28 @@ from courtside.operators import gates, payloads
 from courtside.operators.joins import missing_from
 from courtside.plans import assemble as A
 from courtside.plans.dimensions import backfill_players
-from courtside.session import scratch_folder
+from courtside.session import discard, scratch_folder
 from courtside.sources.landing import Landing, for_days
 from courtside.sources.store import Store, spread_days
 
 LOADED, FAILED = "loaded", "failed"
 NULL_CELLS = "null_cells"
-PAYLOAD_GATES = ["scoreboard_payload", "missing_game", "repeated_key"]
+PAYLOAD_GATES = ["scoreboard_payload", "unidentified_game", "missing_game", "repeated_key"]
 
 
 @dataclass(frozen=True)
 class LoadResult:
-    """The gate report and the ledger rows of one run."""
+    """The gate report and the ledger rows of one run, and why its dates failed.
+
+    `null_columns` has the columns with missing values per failed date, `repeated_keys` up to five keys per
+    date, `missing_games` the listed games without player rows.
+    """
 
     gates: DataFrame
     ledger: DataFrame
+    null_columns: DataFrame
+    repeated_keys: DataFrame
+    missing_games: DataFrame
     folder: str
 
 
@@ -47,10 +54,6 @@ def _per_day(frame: DataFrame, name: str, day: str = "GAME_DATE") -> DataFrame:
     return frame.groupBy(day).agg(F.count(F.lit(1)).alias(name))
 
 
-def _without_days(df: DataFrame, days: list[date]) -> DataFrame:
-    return calendar.without_days(df, days)
-
-
 def load_days(
     landing: Landing,
     store: Store,
@@ -60,11 +63,13 @@ def load_days(
     excluded: Iterable[str] = (),
     max_days: int | None = calendar.MAX_DAYS_PER_RUN,
     day_batch: int = calendar.DAYS_PER_BATCH,
+    keep_staged: bool = False,
 ) -> LoadResult:
     """Load the dates from start to end (MM/DD/YYYY) except the excluded ones.
 
     A date that fails a gate is recorded as failed and keeps its stored partition; the others are
-    replaced. A date without listed games is not recorded at all.
+    replaced. A date without listed games is not recorded at all. The staged rows are deleted after the load unless
+    `keep_staged`; the reports stay in the result's folder.
     """
     spark = landing.spark
     first, last, skipped = calendar.parse_range(start, end, excluded)
@@ -73,20 +78,32 @@ def load_days(
     batch = batch_id(moment)
     folder = scratch_folder(spark, f"load-{batch}")
 
-    def staged(name: str, df: DataFrame) -> DataFrame:
-        path = f"{folder}/{name}"
+    def staged(name: str, df: DataFrame, kind: str = "data") -> DataFrame:
+        path = f"{folder}/{kind}/{name}"
         df.write.parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
     def landed(payload: DataFrame) -> DataFrame:
         return for_days(payload, first, last, skipped)
 
-    boards = landed(landing.scoreboard())
-    bad_boards = boards.where("scoreboard.games is null").withColumnRenamed("game_date", "GAME_DATE")
-    games = staged("games", payloads.scoreboard_games(boards.where("scoreboard.games is not null")))
-    traditional = staged(
-        "traditional", payloads.player_rows(landed(landing.traditional()), [S.TRADITIONAL_ENVELOPE])
+    # A line without a date might belong to any date, so it stops the run.
+    lines = landing.scoreboard()
+    boards = staged(
+        "boards", payloads.board_lines(landed(lines).unionByName(lines.where("game_date is null")))
     )
+    dateless = boards.where("GAME_DATE is null").count()
+    if dateless:
+        raise ValueError(f"{dateless} scoreboard lines are malformed or without a date")
+    games = payloads.listed_games(boards)
+    bad_boards, unidentified = boards.where("broken"), games.where("GAME_ID is null")
+    listed = games.where("GAME_ID is not null").distinct()
+
+    # Only listed games are loaded. The other endpoints are joined to these rows, so theirs are left out by the way.
+    traditional = staged(
+        "traditional",
+        payloads.player_rows(landed(landing.traditional()), [S.TRADITIONAL_ENVELOPE])
+        .join(listed, A.GAME, "left_semi"),
+    )
     advanced = staged(
         "advanced", payloads.player_rows(landed(landing.advanced()), [S.ADVANCED_ENVELOPE])
     )
@@ -94,54 +111,53 @@ def load_days(
     factors = staged("four_factors", payloads.team_factor_rows(landed(landing.four_factors())))
     live = staged("live", payloads.live_game_rows(landed(landing.live())))
 
-    # Only listed games are loaded; the anti join is planned only when there is something to drop.
-    unlisted = staged("unlisted", missing_from(traditional, games, A.GAME))
-    if not unlisted.isEmpty():
-        traditional, advanced, usage, factors, live = (
-            rows.join(unlisted, A.GAME, "left_anti") for rows in (traditional, advanced, usage, factors, live)
-        )
-
-    repeated = A.repeated_keys(
-        {
-            "games": (games, A.GAME),
-            "traditional": (traditional, payloads.STAT_KEYS),
-            "advanced": (advanced, payloads.STAT_KEYS),
-            "usage": (usage, payloads.STAT_KEYS),
-            "four_factors": (factors, A.GAME_TEAM),
-            "live": (live, A.GAME),
-        }
-    )
-    days = games.select("GAME_DATE").union(bad_boards.select("GAME_DATE")).distinct()
+    keyed = {
+        "games": (games.where("GAME_ID is not null"), A.GAME),
+        "traditional": (traditional, payloads.STAT_KEYS),
+        "advanced": (advanced, payloads.STAT_KEYS),
+        "usage": (usage, payloads.STAT_KEYS),
+        "four_factors": (factors, A.GAME_TEAM),
+        "live": (live, A.GAME),
+    }
+    keyed = {
+        name: (rows.select(*keys).join(listed, A.GAME, "left_semi"), keys) for name, (rows, keys) in keyed.items()
+    }
+    missing = staged("missing_games", missing_from(listed, traditional, A.GAME), "report")
+    repeated = staged("repeated_keys", A.repeated_examples(keyed), "report")
+    days = boards.where("broken or size(game_ids) > 0").select("GAME_DATE").distinct()
     checks = [
         _per_day(bad_boards, "scoreboard_payload"),
-        _per_day(missing_from(games, traditional, A.GAME), "missing_game"),
-        repeated.withColumnRenamed("bad_rows", "repeated_key"),
+        _per_day(unidentified, "unidentified_game"),
+        _per_day(missing, "missing_game"),
+        A.repeated_keys(keyed).withColumnRenamed("bad_rows", "repeated_key"),
     ]
     payload_counts = staged(
         "payload_gates",
         reduce(lambda a, b: a.join(b, "GAME_DATE", "left"), checks, days).fillna(0, PAYLOAD_GATES),
     )
     payload_report = gates.long_report(payload_counts, PAYLOAD_GATES)
-    # At most one entry per calendar day of the run.
-    bad_days = [row[0] for row in payload_report.where("not pass").select("GAME_DATE").distinct().collect()]
-    good_days = _without_days(payload_counts.select("GAME_DATE"), bad_days)
+    # One row per calendar day of the run at most, which bounds the broadcast.
+    bad_days = F.broadcast(staged("bad_days", payload_report.where("not pass").select("GAME_DATE").distinct()))
+    good_days = payload_counts.select("GAME_DATE").join(bad_days, "GAME_DATE", "left_anti")
     traditional, advanced, usage, factors, live = (
-        _without_days(rows, bad_days) for rows in (traditional, advanced, usage, factors, live)
+        rows.join(bad_days, "GAME_DATE", "left_anti") for rows in (traditional, advanced, usage, factors, live)
     )
 
     # Players the dimension lacks are added before the one join to it.
     backfill_players(store, traditional.select("PLAYER_ID"), landing.player_info(), moment)
     joined = A.assemble(traditional, advanced, usage, factors, live)
-    described = A.with_dimensions(joined, store.players(), store.arenas(moment), counted_on=traditional)
+    described = A.with_dimensions(joined, store.players(), store.arenas(moment))
     complete = A.finished(described, moment)
     gates.check_columns(complete.columns)
     # Nulls are counted while the wide rows are at hand, so the gates need not read them all back.
     rows = staged("rows", complete.withColumn(NULL_CELLS, gates.null_cells(complete)))
 
     counts = staged("day_counts", gates.day_counts(rows, counted_nulls=NULL_CELLS))
-    report = staged("gates", payload_report.unionByName(gates.gate_report(counts, good_days)))
+    report = staged("gates", payload_report.unionByName(gates.gate_report(counts, good_days)), "report")
 
     failing = report.where("not pass").select("GAME_DATE").distinct()
+    nulls = gates.null_profile_by_day(rows.drop(NULL_CELLS).join(F.broadcast(failing), "GAME_DATE", "left_semi"))
+    nulls = staged("null_columns", nulls, "report")
     passing = staged("passing", counts.select("GAME_DATE", "rows").join(failing, "GAME_DATE", "left_anti"))
     store.create_log()
     store.replace_days(spread_days(rows.drop(NULL_CELLS), passing))
@@ -161,9 +177,12 @@ def load_days(
             F.lit(batch).alias("LOAD_BATCH_ID"),
             "BATCH_NO",
         ),
+        "report",
     )
     store.append_ledger(ledger)
-    return LoadResult(report, ledger, folder)
+    if not keep_staged:
+        discard(spark, f"{folder}/data")
+    return LoadResult(report, ledger, nulls, repeated, missing, folder)
 
 
 def schedule_yesterday(now: datetime) -> str:

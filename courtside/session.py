@@ -1,12 +1,11 @@
 """Session settings and the shared scratch folder."""
 
+import getpass
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_local_scratch: dict[str, str] = {}
-
 
 def build_session(name: str = "courtside", master: str | None = None, **settings: str) -> SparkSession:
     """A session with the settings the library is tested under; a cluster's own settings stay in force."""
@@ -26,13 +25,18 @@ def build_session(name: str = "courtside", master: str | None = None, **settings
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder that every executor can reach.
 
-    It lies under spark.checkpoint.dir. Only a local session without that setting gets a
-    folder of its own; a cluster session without it is refused.
+    It lies under spark.checkpoint.dir. Only a local session may lack that setting, as in tests; its
+    folder is then below the system's temporary one, by user and application. Other sessions are refused.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        app = spark.conf.get("spark.app.id", "")
-        base = _local_scratch.setdefault(app, tempfile.mkdtemp(prefix="courtside-"))
+        base = f"{tempfile.gettempdir()}/courtside-{getpass.getuser()}/{spark.conf.get('spark.app.id', 'session')}"
     return f"{base.rstrip('/')}/courtside/{purpose}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder of this library's own making, in whatever store it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

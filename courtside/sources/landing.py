@@ -23,12 +23,17 @@ class Landing:
     spark: SparkSession
     root: str
 
-    def _read(self, endpoint: str, schema: T.StructType, mode: str = "PERMISSIVE") -> DataFrame:
-        return self.spark.read.schema(schema).json(f"{self.root}/{endpoint}", mode=mode)
+    def _read(self, endpoint: str, schema: T.StructType) -> DataFrame:
+        return self.spark.read.schema(schema).json(f"{self.root}/{endpoint}", mode="PERMISSIVE")
 
     def scoreboard(self) -> DataFrame:
-        """A broken line elsewhere leaves a gap that fails its date; here it would hide a date, so it raises."""
-        return self._read("scoreboard", S.SCOREBOARD_PAYLOAD, "FAILFAST")
+        """Every line; `broken_line` holds the text of one that could not be parsed.
+
+        Its date is known if the folder is partitioned by date, and null otherwise.
+        """
+        schema = T.StructType([*S.SCOREBOARD_PAYLOAD.fields, T.StructField("broken_line", T.StringType())])
+        read = self.spark.read.schema(schema).option("columnNameOfCorruptRecord", "broken_line")
+        return read.json(f"{self.root}/scoreboard", mode="PERMISSIVE")
 
     def traditional(self) -> DataFrame:
         return self._read("traditional", S.TRADITIONAL_PAYLOAD)
@@ -65,8 +70,13 @@ def season_player_ids(listed: DataFrame, person: str = "PERSON_ID") -> DataFrame
 
 
 def player_attributes(info: DataFrame, wanted: DataFrame, player: str = "PLAYER_ID") -> DataFrame:
-    """POSITION, HEIGHT and EXP of the wanted ids; one row per id even if info was landed twice."""
+    """POSITION, HEIGHT and EXP of the wanted ids; one row per id even if info was landed twice.
+
+    Of several rows, one with the fewest absent attributes is taken, then the smallest. An absent experience stays
+    null and fails the null gate; it does not become text.
+    """
     found = info.join(wanted.select(player).distinct(), player, "left_semi")
-    return found.groupBy(player).agg(
-        F.min(F.struct("POSITION", "HEIGHT", F.col("SEASON_EXP").cast("string").alias("EXP"))).alias("a")
-    ).select(player, "a.*")
+    values = ["POSITION", "HEIGHT", F.col("SEASON_EXP").cast("string").alias("EXP")]
+    absent = sum(F.col(name).isNull().cast("int") for name in ("POSITION", "HEIGHT", "SEASON_EXP"))
+    best = F.min(F.struct(absent.alias("absent"), *values)).alias("a")
+    return found.groupBy(player).agg(best).select(player, "a.POSITION", "a.HEIGHT", "a.EXP")

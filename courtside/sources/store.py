@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from courtside import schema as S
-from courtside.operators.joins import SMALL_ROWS
 from courtside.sources.arenas import arena_rows
 
 # A day's rows go to files of about this many rows each.
 ROWS_PER_FILE = 2_000_000
+# So many dates of 12 bytes each are broadcast at most: 1.2 MB, which are 273 years.
+BROADCAST_DAYS = 100_000
 
 
 def table_exists(spark: SparkSession, path: str, schema: T.StructType) -> bool:
@@ -45,7 +46,7 @@ def spread_days(
         day, F.greatest(F.lit(1), F.ceil(F.col("rows") / rows_per_file)).cast("int").alias("file_slots")
     )
     size = files.agg(F.count(day).alias("days"), F.sum("file_slots").alias("slots")).first()
-    placed = df.join(F.broadcast(files) if size["days"] <= SMALL_ROWS else files, day)
+    placed = df.join(F.broadcast(files) if size["days"] <= BROADCAST_DAYS else files, day)
     slot = F.pmod(F.xxhash64(key), F.col("file_slots"))
     return (
         placed.withColumn("file_slot", slot)

@@ -16,7 +16,7 @@ from courtside.plans.dimensions import build_player_dimension
 from courtside.session import scratch_folder
 from courtside.sources.landing import Landing
 from courtside.sources.store import Store
-from courtside.workload.registry import spread, table
+from courtside.workload.registry import table
 
 INGESTED = datetime(2026, 3, 14, 5, 20, 56, tzinfo=timezone.utc)
 FIRST_DAY, LAST_DAY = "01/01/1990", "12/31/2010"
@@ -29,6 +29,8 @@ SHORT_OFFICIALS = "(month(o_orderdate) = 2 and o_orderstatus = 'P')"
 UNPLAYED_GAME = "(month(o_orderdate) = 5 and o_orderpriority = '3-MEDIUM')"
 REPEATED_PLAYER = "(month(o_orderdate) = 8 and o_orderpriority = '5-LOW')"
 NEGATIVE_MINUTES = "(month(o_orderdate) = 11 and o_orderpriority = '1-URGENT')"
+BROKEN_BOARD = "(month(o_orderdate) = 3 and year(o_orderdate) = 1994 and o_orderpriority = '4-NOT SPECIFIED')"
+UNIDENTIFIED_GAME = "(month(o_orderdate) = 4 and year(o_orderdate) = 1995 and o_orderpriority = '2-HIGH')"
 
 
 def whole(slot: str, i: int) -> str:
@@ -140,25 +142,38 @@ def _live() -> str:
 
 
 def payloads_of(spark: SparkSession, sf_dir: str, repeats: bool = True) -> dict[str, DataFrame]:
-    """Every endpoint's payloads as frames; `repeats` puts some players twice into an advanced box."""
-    orders = spread(table(spark, sf_dir, "orders"))
+    """Every endpoint's payloads as frames.
+
+    `repeats` puts some players twice into an advanced box, and every endpoint holds some games twice that are on no
+    scoreboard.
+    """
+    orders = table(spark, sf_dir, "orders")
     keys = [
         "cast(trunc(o_orderdate, 'MM') as date) as game_date",
         "lpad(cast(o_orderkey as string), 10, '0') as game_id",
     ]
-    listed = f"""struct(if({UNPLAYED_GAME},
-        array(struct(lpad(cast(o_orderkey as string), 10, '0') as gameId), struct(concat('9', o_orderkey) as gameId)),
-        array(struct(lpad(cast(o_orderkey as string), 10, '0') as gameId))) as games) as scoreboard"""
+    own = "struct(lpad(cast(o_orderkey as string), 10, '0') as gameId)"
+    listed = f"""struct(case when {BROKEN_BOARD} then null
+        when {UNIDENTIFIED_GAME} then array({own}, struct(cast(null as string) as gameId))
+        when {UNPLAYED_GAME} then array({own}, struct(concat('9', o_orderkey) as gameId))
+        else array({own}) end as games) as scoreboard"""
+    unlisted = orders.where("o_orderkey % 50 = 0").withColumn("copy", F.expr("explode(array(1, 2))"))
+    stray = [keys[0], "concat('8', o_orderkey) as game_id"]
+
+    def game(payload: str) -> DataFrame:
+        rows = orders.selectExpr(*keys, payload)
+        return rows.unionByName(unlisted.selectExpr(*stray, payload)) if repeats else rows
+
     people = table(spark, sf_dir, "customer").select(
         F.expr("explode(array(1, 2, 3, 4))").alias("slot"), "c_custkey", "c_acctbal", "c_mktsegment", "c_nationkey"
     )
     return {
         "scoreboard": orders.selectExpr(keys[0], listed),
-        "traditional": orders.selectExpr(*keys, _box("traditional", S.TRADITIONAL_ENVELOPE, S.TRADITIONAL)),
-        "advanced": orders.selectExpr(*keys, _box("advanced", S.ADVANCED_ENVELOPE, S.ADVANCED, repeats)),
-        "usage": orders.selectExpr(*keys, _box("usage", S.USAGE_ENVELOPE, S.USAGE)),
-        "four_factors": orders.selectExpr(*keys, _factors()),
-        "live": orders.selectExpr(*keys, _live()),
+        "traditional": game(_box("traditional", S.TRADITIONAL_ENVELOPE, S.TRADITIONAL)),
+        "advanced": game(_box("advanced", S.ADVANCED_ENVELOPE, S.ADVANCED, repeats)),
+        "usage": game(_box("usage", S.USAGE_ENVELOPE, S.USAGE)),
+        "four_factors": game(_factors()),
+        "live": game(_live()),
         "season_players": people.where("c_acctbal > 0").selectExpr("cast(c_custkey * 4 + slot as string) as PERSON_ID"),
         "player_info": people.selectExpr(
             "c_custkey * 4 + slot as PLAYER_ID", "c_mktsegment as POSITION",
@@ -226,7 +241,9 @@ def load_all(spark: SparkSession, sf_dir: str) -> tuple[Store, LoadResult]:
 # ---- the same rows in SQL ---------------------------------------------------
 
 MONTH_SQL = "cast(date_trunc('month', o_orderdate) as date)"
-BAD_SQL = f"{SHORT_OFFICIALS} or {UNPLAYED_GAME} or {REPEATED_PLAYER} or {NEGATIVE_MINUTES}"
+BAD_SQL = (
+    f"{SHORT_OFFICIALS} or {UNPLAYED_GAME} or {REPEATED_PLAYER} or {NEGATIVE_MINUTES} or {BROKEN_BOARD} or {UNIDENTIFIED_GAME}"
+)
 
 
 def _by_slot(home: str, away: str) -> str:

@@ -16,12 +16,14 @@ from courtside.sources.store import Store
 from courtside.workload.landed import (
     AWAY_TEAM,
     BAD_SQL,
+    BROKEN_BOARD,
     HOME_TEAM,
     INGESTED,
     MONTH_SQL,
     NEGATIVE_MINUTES,
     REPEATED_PLAYER,
     SHORT_OFFICIALS,
+    UNIDENTIFIED_GAME,
     UNPLAYED_GAME,
     columns_sql,
     flat_endpoints,
@@ -133,11 +135,15 @@ def player_dimension_build(spark, sf_dir):
 
 @query(f"""
 select cast({MONTH_SQL} as varchar) as game_date, lpad(cast(o_orderkey as varchar), 10, '0') as game_id from orders
+where not {BROKEN_BOARD}
 union all
 select cast({MONTH_SQL} as varchar), concat('9', o_orderkey) from orders where {UNPLAYED_GAME}
+union all
+select cast({MONTH_SQL} as varchar), null from orders where {UNIDENTIFIED_GAME}
 """)
 def scoreboard_games(spark, sf_dir):
-    return plain(payloads.scoreboard_games(landing_of(spark, sf_dir).scoreboard()))
+    """Listed games of the boards that are not broken, unidentified ones too."""
+    return plain(payloads.listed_games(payloads.board_lines(landing_of(spark, sf_dir).scoreboard())))
 
 
 def _stage_sql(names: list[str], overrides: dict[str, str] | None = None) -> str:
@@ -225,16 +231,19 @@ def load_ledger(spark, sf_dir):
 @query(f"""
 with m as (select cast({MONTH_SQL} as varchar) as game_date, 4 * count(*) as n,
     count(*) filter (where {UNPLAYED_GAME}) as unplayed, count(*) filter (where {REPEATED_PLAYER}) as repeated,
+    count(*) filter (where {BROKEN_BOARD}) as broken, count(*) filter (where {UNIDENTIFIED_GAME}) as unidentified,
     count(*) filter (where {NEGATIVE_MINUTES}) as negative, 8 * count(*) filter (where {SHORT_OFFICIALS}) as nulls
   from orders group by {MONTH_SQL}),
-g as (select game_date, 'scoreboard_payload' as gate, 0 as bad_rows from m
+ok as (select * from m where unplayed + repeated + broken + unidentified = 0),
+g as (select game_date, 'scoreboard_payload' as gate, broken as bad_rows from m
+  union all select game_date, 'unidentified_game', unidentified from m
   union all select game_date, 'missing_game', unplayed from m
   union all select game_date, 'repeated_key', repeated from m
-  union all select game_date, 'duplicate_row_key', 0 from m where unplayed + repeated = 0
-  union all select game_date, 'null_player_id', 0 from m where unplayed + repeated = 0
-  union all select game_date, 'negative_minutes', negative from m where unplayed + repeated = 0
-  union all select game_date, 'empty', 0 from m where unplayed + repeated = 0
-  union all select game_date, 'null_values', nulls from m where unplayed + repeated = 0)
+  union all select game_date, 'duplicate_row_key', 0 from ok
+  union all select game_date, 'null_player_id', 0 from ok
+  union all select game_date, 'negative_minutes', negative from ok
+  union all select game_date, 'empty', 0 from ok
+  union all select game_date, 'null_values', nulls from ok)
 select game_date, gate, cast(bad_rows as bigint) as bad_rows, bad_rows = 0 as pass from g
 """)
 def load_gates(spark, sf_dir):
@@ -242,6 +251,39 @@ def load_gates(spark, sf_dir):
     return plain(result.gates)
 
 
+@query(f"""
+select cast({MONTH_SQL} as varchar) as game_date, column_name, 4 * count(*) as null_rows
+from orders cross join (values ('REFEREE_3_ID'), ('REFEREE_3_NAME')) as c(column_name)
+where {SHORT_OFFICIALS} group by {MONTH_SQL}, column_name
+""")
+def load_null_columns(spark, sf_dir):
+    """Why dates failed the null gate: the columns with nulls, per failed date."""
+    _, result = loaded_store(spark, sf_dir)
+    return plain(result.null_columns)
+
+
+@query(f"""
+select game_date, endpoint, key, cast(2 as bigint) as key_rows from (
+  select cast({MONTH_SQL} as varchar) as game_date, 'advanced' as endpoint,
+    concat(lpad(cast(o_orderkey as varchar), 10, '0'), ', ', o_custkey * 4 + 1, ', ', {HOME_TEAM}) as key,
+    row_number() over (partition by {MONTH_SQL} order by lpad(cast(o_orderkey as varchar), 10, '0')) as n
+  from orders where {REPEATED_PLAYER}) r where n <= 5
+""")
+def load_repeated_keys(spark, sf_dir):
+    """Why dates failed the key gate: five repeated keys of each."""
+    _, result = loaded_store(spark, sf_dir)
+    return plain(result.repeated_keys)
+
+
+@query(f"""
+select cast({MONTH_SQL} as varchar) as game_date, concat('9', o_orderkey) as game_id from orders where {UNPLAYED_GAME}
+""")
+def load_missing_games(spark, sf_dir):
+    """Listed games that no payload answers."""
+    _, result = loaded_store(spark, sf_dir)
+    return plain(result.missing_games)
+
+
 SEASON, SEASON_END, EXCLUDED = date(1996, 1, 1), date(2000, 12, 31), [date(1997, 2, 1), date(1998, 8, 3)]
 KEPT_SQL = f"select distinct {MONTH_SQL} as d from orders where {MONTH_SQL} not in (select {MONTH_SQL} from orders where {BAD_SQL})"
 
@@ -332,3 +374,39 @@ def ledger_summary(spark, sf_dir):
     """Months by status, from a ledger that holds a month many times."""
     ledger = _monthly_orders(spark, sf_dir).withColumnRenamed("o_orderstatus", "STATUS")
     return plain(audits.run_summary(ledger).withColumn("day_list", F.array_join("day_list", ",")))
+
+
+@query("""
+with r as (select cast(date_trunc('month', o_orderdate) as date) as d, '1' as run,
+    case when bool_or(o_orderpriority = '1-URGENT' and o_orderkey % 7 = 0) then 'failed' else 'loaded' end as s
+  from orders group by 1
+  union all select cast(date_trunc('month', o_orderdate) as date), '2', 'loaded' from orders
+  where year(o_orderdate) >= 1996 group by 1)
+select cast(d as varchar) as game_date, arg_max(s, run) as status, max(run) as load_batch_id from r group by d
+""")
+def ledger_current(spark, sf_dir):
+    """The state of each month after a first run, in which some fail, and a second that repairs the later years."""
+    return plain(audits.current_status(_two_runs(spark, sf_dir)))
+
+
+@query("""
+with r as (select cast(date_trunc('month', o_orderdate) as date) as d, '1' as run,
+    case when bool_or(o_orderpriority = '1-URGENT' and o_orderkey % 7 = 0) then 'failed' else 'loaded' end as s
+  from orders group by 1
+  union all select cast(date_trunc('month', o_orderdate) as date), '2', 'loaded' from orders
+  where year(o_orderdate) >= 1996 group by 1)
+select run as load_batch_id, s as status, count(*) as days, string_agg(cast(d as varchar), ',' order by d) as day_list
+from r group by 1, 2
+""")
+def ledger_by_run(spark, sf_dir):
+    """The summary of each run on its own."""
+    summary = audits.run_summary(_two_runs(spark, sf_dir), run="LOAD_BATCH_ID")
+    return plain(summary.withColumn("day_list", F.array_join("day_list", ",")))
+
+
+def _two_runs(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").withColumn("GAME_DATE", F.expr("cast(trunc(o_orderdate, 'MM') as date)"))
+    first = orders.groupBy("GAME_DATE").agg(F.max((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderkey") % 7 == 0)).alias("bad"))
+    runs = first.select("GAME_DATE", F.when(F.col("bad"), "failed").otherwise("loaded").alias("STATUS"), F.lit("1").alias("LOAD_BATCH_ID"))
+    second = orders.where("year(GAME_DATE) >= 1996").select("GAME_DATE", F.lit("loaded").alias("STATUS"), F.lit("2").alias("LOAD_BATCH_ID"))
+    return runs.unionByName(second.distinct())

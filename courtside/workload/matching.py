@@ -118,7 +118,7 @@ from lineitem left join orders on l_orderkey = o_orderkey
 left join supplier on l_suppkey = s_suppkey left join nation on s_nationkey = n_nationkey
 """)
 def m1_enrich(spark, sf_dir):
-    """Lines with their order by a guarded m:1 join, then two dimensions by size-checked joins."""
+    """Lines with their order by a guarded m:1 join, then two dimensions likewise."""
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus", "o_orderpriority"
     )
@@ -126,8 +126,8 @@ def m1_enrich(spark, sf_dir):
     nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
     lines = table(spark, sf_dir, "lineitem").select(*LINE)
     ordered = joins.guarded_join(lines, orders, ["l_orderkey"], "m:1")
-    supplied = joins.dimension_join(ordered, suppliers, ["l_suppkey"])
-    return joins.dimension_join(supplied, nations, ["s_nationkey"]).drop("s_nationkey")
+    supplied = joins.guarded_join(ordered, suppliers, ["l_suppkey"])
+    return joins.guarded_join(supplied, nations, ["s_nationkey"]).drop("s_nationkey")
 
 
 def arenas_sql() -> str:

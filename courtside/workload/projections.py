@@ -9,7 +9,7 @@ from courtside.operators import payloads
 from courtside.operators.shape import fill_missing, lock_schema, stack
 from courtside.schema import box_score_schema, struct_of
 from courtside.sources.landing import season_player_ids
-from courtside.workload.registry import plain, query, spread, table
+from courtside.workload.registry import plain, query, table
 
 ENVELOPE = "boxScoreTraditional"
 SMALL_BOX = box_score_schema(ENVELOPE, struct_of("points bigint\nplusMinusPoints double"))
@@ -32,7 +32,7 @@ from lineitem where l_linestatus = 'O'
 """)
 def flatten_players(spark, sf_dir):
     """A nested box score per line, as JSON text and back, flattened to its players."""
-    documents = spread(table(spark, sf_dir, "lineitem")).selectExpr(
+    documents = table(spark, sf_dir, "lineitem").selectExpr(
         "to_date(l_shipdate) as game_date",
         "cast(l_orderkey as string) as game_id",
         """to_json(struct(struct(
@@ -244,3 +244,17 @@ def season_ids(spark, sf_dir):
         " else concat(' ', o_custkey) end as PERSON_ID"
     )
     return plain(season_player_ids(listing))
+
+
+@query("""
+with t as (select l_orderkey, l_linenumber, concat(l_orderkey, repeat('9', 3 * l_linenumber)) as m, l_partkey % 60 as s from lineitem)
+select l_orderkey, l_linenumber, concat(m, ':', s) as minutes,
+       coalesce(try_cast(try_cast(m as hugeint) * 60 + s as bigint), 0) as seconds from t
+""")
+def extreme_minutes(spark, sf_dir):
+    """Playing times up to far beyond 64 bits; such a value counts as no time and ends nothing."""
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber",
+        "concat(l_orderkey, repeat('9', cast(3 * l_linenumber as int)), ':', l_partkey % 60) as minutes",
+    )
+    return lines.withColumn("seconds", C.minutes_to_seconds(F.col("minutes")))

@@ -28,15 +28,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows dealt over the cores when the table has fewer files than that; otherwise untouched.
-
-    For work that costs much more per row than moving the row, such as building JSON documents.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 def plain(df: DataFrame) -> DataFrame:
     """Lower-case names, dates and UTC timestamps as text: the same on both engines."""
     shown = []

@@ -21,31 +21,47 @@ def as_set(df, columns):
     return sorted(map(str, df.select(*columns).collect()))
 
 
-def test_hot_keys_are_joined_apart(spark):
-    left = skewed(spark)
-    right = spark.range(0, 3000, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
-    split = joins.join_to_one(left, right, ["k"], hot_above=100)
-    plain = left.join(right, "k", "left")
-    assert split.count() == 3000
-    assert as_set(split, ["n", "k", "v", "w"]) == as_set(plain, ["n", "k", "v", "w"])
-    assert {r["k"] for r in joins.hot_keys(left, ["k"], 100)} == {0, None}
-    assert "BroadcastHashJoin" in split._jdf.queryExecution().executedPlan().toString()
-
-
-def test_no_hot_keys_means_a_plain_join(spark):
-    left, right = skewed(spark), spark.range(10).select(F.col("id").alias("k"))
-    assert joins.hot_keys(left, ["k"]) == []
-    assert joins.join_to_one(left, right, ["k"]).count() == 3000
+SPLIT = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+}
+
+
+@pytest.fixture
+def split_small(spark):
+    before = {key: spark.conf.get(key, None) for key in SPLIT}
+    for key, value in SPLIT.items():
+        spark.conf.set(key, value)
+    yield spark
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_one_scan_a_side_and_hot_keys_are_split(split_small, tmp_path):
+    spark = split_small
+    skewed(spark, 60_000).repartition(8).write.parquet(f"{tmp_path}/l")
+    spark.range(0, 3000, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w")).write.parquet(f"{tmp_path}/r")
+    left, right = spark.read.parquet(f"{tmp_path}/l"), spark.read.parquet(f"{tmp_path}/r")
+    joined = joins.join_to_one(left, right, ["k"])
+    rows = joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 2 and "skew=true" in plan
+    assert len(rows) == 60_000
+    assert all(r["w"] == (r["k"] * 10 if r["k"] is not None and r["k"] < 3000 and r["k"] % 2 == 0 else None) for r in rows)
 
 
 def test_outcome_with_a_hot_game(spark):
     rows = skewed(spark).select(
         F.col("k").alias("game"), "n", (F.col("n") % 2).alias("team"), (F.col("n") % 2 == 0).alias("home"), F.col("v").alias("pts")
     )
-    columns = ["game", "n", "HOME_TEAM_WIN_FLAG", "PLAYER_TEAM_WIN_FLAG"]
-    split = outcome.with_outcome(rows, ["game"], "team", "pts", "home", hot_above=50)
-    plain = outcome.with_outcome(rows, ["game"], "team", "pts", "home")
-    assert as_set(split, columns) == as_set(plain, columns)
+    found = {r["n"]: r for r in outcome.with_outcome(rows, ["game"], "team", "pts", "home").collect()}
+    scores = {True: sum(n % 7 for n in range(0, 3000, 3) if n % 2 == 0), False: sum(n % 7 for n in range(0, 3000, 3) if n % 2)}
+    won = scores[True] > scores[False]
+    assert len(found) == 3000
+    assert all(found[n]["HOME_TEAM_WIN_FLAG"] == won for n in range(0, 3000, 3))
+    assert not any(found[n]["HOME_TEAM_WIN_FLAG"] for n in range(1, 3000, 3))
 
 
 def test_guards(spark):
@@ -60,14 +76,6 @@ def test_guards(spark):
         joins.guarded_join(left, right, ["k"], "m:n")
 
 
-def test_dimension_join_by_size(spark):
-    left = skewed(spark)
-    dimension = spark.range(500).select(F.col("id").alias("k"), F.lit("d").alias("d"))
-    small = joins.dimension_join(left, dimension, ["k"])
-    large = joins.dimension_join(left, dimension, ["k"], small_rows=100)
-    assert as_set(small, ["n", "d"]) == as_set(large, ["n", "d"])
-
-
 def test_missing_from_ignores_nulls(spark):
     left = spark.createDataFrame([(1,), (1,), (None,), (2,)], "k int")
     assert [r[0] for r in joins.missing_from(left, left.where("k = 2"), ["k"]).collect()] == [1]

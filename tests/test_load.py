@@ -1,4 +1,6 @@
-from datetime import date, datetime, timezone
+import json
+from datetime import date, datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,8 +11,8 @@ from courtside.plans import assemble as A
 from courtside.plans.day_load import load_days, load_yesterday, schedule_yesterday
 from courtside.plans.dimensions import build_arena_dimension, build_player_dimension
 from courtside.plans.monitoring import command_center, data_health, game_integrity
-from courtside.operators.audits import run_summary
-from courtside.sources.landing import Landing
+from courtside.operators.audits import current_status, run_summary
+from courtside.sources.landing import Landing, player_attributes
 from courtside.sources.store import Store
 from fixtures import AWAY, DAY1, DAY2, DAY3, DAY4, HOME, Landed, other, player
 
@@ -174,15 +176,119 @@ def test_broken_lines(spark, tmp_path):
     assert {r["gate"] for r in result.gates.where("not pass").collect()} == {"null_values"}
     with open(f"{root}/scoreboard/part.json", "a") as out:
         out.write("{broken\n")
-    with pytest.raises(Exception, match="[Mm]alformed"):
+    with pytest.raises(ValueError, match="1 scoreboard lines are malformed"):
         load_days(Landing(spark, root), store, "01/05/2026", "01/05/2026", NOW)
 
 
-def test_a_large_dimension_is_joined_by_shuffle(spark, loaded, monkeypatch):
+def test_a_line_without_a_date_stops_the_run(spark, tmp_path):
+    landed = simple()
+    landed.files["scoreboard"].append({"scoreboard": {"games": [{"gameId": "77"}]}})
+    root = landed.write(tmp_path / "landing")
+    with pytest.raises(ValueError, match="without a date"):
+        load_days(Landing(spark, root), Store(spark, str(tmp_path / "store")), "01/05/2026", "01/05/2026", NOW)
+
+
+def test_a_broken_line_of_a_known_date_fails_that_date_alone(spark, tmp_path):
+    root = tmp_path / "landing"
+    landed = simple()
+    simple("2026-01-06", landed)
+    landed.write(root)
+    lines = (root / "scoreboard" / "part.json").read_text().splitlines()
+    (root / "scoreboard" / "part.json").unlink()
+    for line, tail in zip(lines, ("", "{broken\n"), strict=True):
+        day = json.loads(line)["game_date"]
+        (root / "scoreboard" / f"game_date={day}").mkdir()
+        (root / "scoreboard" / f"game_date={day}" / "part.json").write_text(line + "\n" + tail)
+    result = load_days(Landing(spark, str(root)), Store(spark, str(tmp_path / "store")), "01/05/2026", "01/06/2026", NOW)
+    assert {str(r["GAME_DATE"]): r["STATUS"] for r in result.ledger.collect()} == {DAY1: "loaded", DAY2: "failed"}
+    bad = result.gates.where("not pass").collect()
+    assert [(r["gate"], r["bad_rows"]) for r in bad] == [("scoreboard_payload", 1)]
+
+
+def test_an_unidentified_game_fails_its_date(spark, tmp_path):
+    landed = simple()
+    simple("2026-01-06", landed, listed=["1", None])
+    result = load_days(Landing(spark, landed.write(tmp_path / "l")), Store(spark, str(tmp_path / "s")), "01/05/2026", "01/06/2026", NOW)
+    assert {str(r["GAME_DATE"]): r["STATUS"] for r in result.ledger.collect()} == {DAY1: "loaded", DAY2: "failed"}
+    assert [r["gate"] for r in result.gates.where("not pass").collect()] == ["unidentified_game"]
+
+
+def test_an_overflow_ends_no_other_date(spark, tmp_path):
+    landed = simple()
+    simple("2026-01-06", landed, home=[player(1, minutes="999999999999999999:00")])
+    store = Store(spark, str(tmp_path / "s"))
+    load_days(Landing(spark, landed.write(tmp_path / "l")), store, "01/05/2026", "01/06/2026", NOW)
+    seconds = {(str(r["GAME_DATE"]), r["PLAYER_ID"]): r["minutes_SECONDS"] for r in store.log().collect()}
+    assert seconds == {(DAY1, 1): 600, (DAY1, 2): 600, (DAY2, 1): 0, (DAY2, 2): 600}
+
+
+def test_unlisted_games_count_nowhere(spark, tmp_path):
+    landed = simple()
+    for _ in range(2):
+        landed.game("2026-01-05", "99", [player(1)], [player(2)])
+    store = Store(spark, str(tmp_path / "s"))
+    result = load_days(Landing(spark, landed.write(tmp_path / "l")), store, "01/05/2026", "01/05/2026", NOW)
+    assert result.gates.where("not pass").count() == 0 and store.log().count() == 2
+
+
+def test_the_report_says_why(spark, tmp_path):
+    landed = simple(home=[player(1, assists=None)])
+    simple("2026-01-06", landed, home=[player(1), player(1)], listed=["1", "2"])
+    result = load_days(Landing(spark, landed.write(tmp_path / "l")), Store(spark, str(tmp_path / "s")), "01/05/2026", "01/06/2026", NOW)
+    assert [(str(r[0]), r[1], r[2]) for r in result.null_columns.collect()] == [(DAY1, "assists", 1)]
+    repeated = {(str(r[0]), r[1], r[2], r[3]) for r in result.repeated_keys.collect()}
+    assert repeated == {(DAY2, name, f"1, 1, {HOME}", 2) for name in ("traditional", "advanced", "usage")}
+    assert [(str(r[0]), r[1]) for r in result.missing_games.collect()] == [(DAY2, "2")]
+
+
+def test_staged_rows_go_after_the_load(spark, tmp_path):
+    landing = Landing(spark, simple().write(tmp_path / "l"))
+    store = Store(spark, str(tmp_path / "s"))
+    gone = load_days(landing, store, "01/05/2026", "01/05/2026", NOW)
+    kept = load_days(landing, store, "01/05/2026", "01/05/2026", NOW, keep_staged=True)
+    assert not Path(f"{gone.folder}/data").exists() and gone.gates.count() and gone.ledger.count() == 1
+    assert Path(f"{kept.folder}/data/rows").exists()
+
+
+def test_attributes_prefer_complete_rows(spark):
+    info = spark.createDataFrame([(1, None, "6-1", "3"), (1, "G", "6-2", "4"), (2, None, None, None)], "PLAYER_ID long, POSITION string, HEIGHT string, SEASON_EXP string")
+    found = {tuple(r) for r in player_attributes(info, info).collect()}
+    assert found == {(1, "G", "6-2", "4"), (2, None, None, None)}
+
+
+def test_wide_rows_move_once_before_the_write(spark, tmp_path):
+    landed = simple()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        landing = Landing(spark, landed.write(tmp_path / "l"))
+        rows = A.assemble(
+            payloads.player_rows(landing.traditional(), [S.TRADITIONAL_ENVELOPE]), payloads.player_rows(landing.advanced(), [S.ADVANCED_ENVELOPE]),
+            payloads.player_rows(landing.usage(), [S.USAGE_ENVELOPE]), payloads.team_factor_rows(landing.four_factors()), payloads.live_game_rows(landing.live()),
+        )
+        plan = rows._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    widths = []
+
+    def walk(node):
+        if "Exchange" in node.nodeName():
+            widths.append(node.output().size())
+        children = node.children()
+        for k in range(children.size()):
+            walk(children.apply(k))
+
+    walk(plan.initialPlan() if "Adaptive" in plan.nodeName() else plan)
+    assert len([w for w in widths if w > 40]) == 0 and len([w for w in widths if 15 < w <= 40]) <= 4, widths
+
+
+def test_a_large_dimension_is_joined_by_shuffle(spark, loaded):
     landing, store, _, _ = loaded
     before = sorted(map(tuple, store.log().collect()))
-    monkeypatch.setattr("courtside.operators.joins.is_small", lambda *_: False)
-    load_days(landing, store, "01/05/2026", "01/08/2026", NOW)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        load_days(landing, store, "01/05/2026", "01/08/2026", NOW)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sorted(map(tuple, store.log().collect())) == before
 
 
@@ -190,9 +296,12 @@ def test_failed_date_keeps_its_partition(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
     load_days(Landing(spark, simple().write(tmp_path / "a")), store, "01/05/2026", "01/05/2026", NOW)
     worse = simple(home=[player(1, assists=None)])
-    load_days(Landing(spark, worse.write(tmp_path / "b")), store, "01/05/2026", "01/05/2026", NOW)
+    later = NOW + timedelta(seconds=1)
+    load_days(Landing(spark, worse.write(tmp_path / "b")), store, "01/05/2026", "01/05/2026", later)
     assert store.log().count() == 2
-    assert run_summary(store.ledger()).count() == 2
+    by_run = {(r["LOAD_BATCH_ID"], r["STATUS"]): r["days"] for r in run_summary(store.ledger(), run="LOAD_BATCH_ID").collect()}
+    assert by_run == {("20260109060708", "loaded"): 1, ("20260109060709", "failed"): 1}
+    assert [r["STATUS"] for r in current_status(store.ledger()).collect()] == ["failed"]
 
 
 def test_yesterday(spark, tmp_path):
