@@ -165,7 +165,7 @@ def payloads_of(spark: SparkSession, sf_dir: str, repeats: bool = True) -> dict[
         return rows.unionByName(unlisted.selectExpr(*stray, payload)) if repeats else rows
 
     people = table(spark, sf_dir, "customer").select(
-        F.expr("explode(array(1, 2, 3, 4))").alias("slot"), "c_custkey", "c_acctbal", "c_mktsegment", "c_nationkey"
+        F.expr("explode(array(1, 2, 3, 4))").alias("slot"), "c_custkey", "c_mktsegment", "c_nationkey"
     )
     return {
         "scoreboard": orders.selectExpr(keys[0], listed),
@@ -174,7 +174,7 @@ def payloads_of(spark: SparkSession, sf_dir: str, repeats: bool = True) -> dict[
         "usage": game(_box("usage", S.USAGE_ENVELOPE, S.USAGE)),
         "four_factors": game(_factors()),
         "live": game(_live()),
-        "season_players": people.where("c_acctbal > 0").selectExpr("cast(c_custkey * 4 + slot as string) as PERSON_ID"),
+        "season_players": people.where("slot < 4").selectExpr("cast(c_custkey * 4 + slot as string) as PERSON_ID"),
         "player_info": people.selectExpr(
             "c_custkey * 4 + slot as PLAYER_ID", "c_mktsegment as POSITION",
             "concat('6-', c_nationkey) as HEIGHT", "cast(c_nationkey + slot as string) as SEASON_EXP",

@@ -30,6 +30,7 @@ from courtside.workload.landed import (
     landing_of,
     loaded_store,
     load_all,
+    minutes,
     rows_sql,
 )
 from courtside.workload.matching import arenas_sql
@@ -123,7 +124,7 @@ def arena_dimension(spark, sf_dir):
 @query("""
 select c_custkey * 4 + slot as player_id, c_mktsegment as position, concat('6-', c_nationkey) as height,
        cast(c_nationkey + slot as varchar) as exp
-from customer cross join (values (1), (2), (3), (4)) as slots(slot) where c_acctbal > 0
+from customer cross join (values (1), (2), (3)) as slots(slot)
 """)
 def player_dimension_build(spark, sf_dir):
     landing = landing_of(spark, sf_dir)
@@ -146,68 +147,66 @@ def scoreboard_games(spark, sf_dir):
     return plain(payloads.listed_games(payloads.board_lines(landing_of(spark, sf_dir).scoreboard())))
 
 
-def _stage_sql(names: list[str], overrides: dict[str, str] | None = None) -> str:
-    sql = columns_sql() | (overrides or {})
-    shown = ", ".join(f"{sql[name]} as {name.lower()}" for name in names)
-    return f"""select {shown} from orders cross join (values (1), (2), (3), (4)) as slots(slot)"""
+KINDS = {"bigint": "bigint", "double": "double", "boolean": "boolean"}
+BEFORE_FINISH = {"minutes": minutes("slot"), "minutes_ADV": "'12:00'", "minutes_USAGE": "'12:00'"}
+THIRD = {name: f"case when not {SHORT_OFFICIALS} then {columns_sql()[name]} end" for name in ("REFEREE_3_ID", "REFEREE_3_NAME")}
+
+
+def _stage_sql(*groups: list[str]) -> str:
+    """All columns that a stage has, in SQL over orders and slots."""
+    sql, shown = columns_sql() | BEFORE_FINISH | THIRD, []
+    for name in dict.fromkeys(name for group in groups for name in group):
+        kind = S.PLAYER_GAME[name].dataType.simpleString() if name in S.PLAYER_GAME.names else "string"
+        shown.append(f"cast({sql[name]} as {KINDS.get(kind, 'varchar')}) as {name.lower()}")
+    return f"""select {", ".join(shown)} from orders cross join (values (1), (2), (3), (4)) as slots(slot)"""
+
+
+def _named(text: str, suffix: str = "") -> list[str]:
+    return [f"{name}{suffix}" for name in S.struct_of(text).names]
 
 
-PLAYER_COLUMNS = [
-    "GAME_DATE", "GAME_ID", "PLAYER_ID", "PLAYER_NAME", "PLAYER_TEAM_ID", "PLAYER_TEAM_TRICODE",
-    "points", "assists", "fieldGoalsPercentage", "PIE_ADV", "usagePercentage_ADV", "usagePercentage_USAGE",
-    "percentagePoints_USAGE",
+PLAYERS = [
+    "GAME_DATE", "GAME_ID", "PLAYER_ID", "PLAYER_NAME", "PLAYER_TEAM_ID", "PLAYER_TEAM_TRICODE", "minutes", *_named(S.TRADITIONAL),
 ]
+BOXES = [*PLAYERS, "minutes_ADV", *_named(S.ADVANCED, "_ADV"), "minutes_USAGE", *_named(S.USAGE, "_USAGE")]
+FACTORS = _named(S.FOUR_FACTORS, "_TEAM")
+GAMES = [
+    "GAME_STATUS", "GAME_TIME_UTC", "HOME_TEAM_ID", "HOME_TEAM_TRICODE", "HOME_TEAM_POINTS", "AWAY_TEAM_ID", "AWAY_TEAM_TRICODE",
+    "AWAY_TEAM_POINTS", *(f"REFEREE_{i}_{part}" for part in ("ID", "NAME") for i in (1, 2, 3)),
+    "HOME_FLAG", "POINT_MARGIN", "GAME_TOTAL_POINTS",
+]
+FLAGS = ["HOME_TEAM_WIN_FLAG", "PLAYER_TEAM_WIN_FLAG"]
 
 
-@query(_stage_sql(PLAYER_COLUMNS))
+@query(_stage_sql(BOXES))
 def player_table(spark, sf_dir):
-    """Three box scores of a game side by side, keys checked 1:1."""
+    """Three box scores of a game side by side, keys checked 1:1, all their columns."""
     traditional, advanced, usage, _, _ = flat_endpoints(spark, sf_dir)
-    return plain(A.player_table(traditional, advanced, usage).select(*PLAYER_COLUMNS))
-
-
-FACTOR_COLUMNS = ["GAME_DATE", "GAME_ID", "PLAYER_ID", "PLAYER_TEAM_ID", *(f"{n}_TEAM" for n in S.struct_of(S.FOUR_FACTORS).names)]
+    return plain(A.player_table(traditional, advanced, usage))
 
 
-@query(_stage_sql(FACTOR_COLUMNS))
+@query(_stage_sql(PLAYERS, FACTORS))
 def team_context(spark, sf_dir):
     traditional, _, _, factors, _ = flat_endpoints(spark, sf_dir)
-    players = payloads.as_player_team(traditional)
-    return plain(A.with_team_context(players, factors).select(*FACTOR_COLUMNS))
-
-
-GAME_COLUMNS = [
-    "GAME_DATE", "GAME_ID", "PLAYER_ID", "HOME_FLAG", "HOME_TEAM_ID", "HOME_TEAM_TRICODE", "HOME_TEAM_POINTS",
-    "AWAY_TEAM_ID", "AWAY_TEAM_TRICODE", "AWAY_TEAM_POINTS", "POINT_MARGIN", "GAME_TOTAL_POINTS", "GAME_STATUS",
-    "GAME_TIME_UTC", "REFEREE_1_ID", "REFEREE_2_NAME", "REFEREE_3_ID", "REFEREE_3_NAME",
-]
-THIRD = {name: f"case when not {SHORT_OFFICIALS} then {columns_sql()[name]} end" for name in ("REFEREE_3_ID", "REFEREE_3_NAME")}
+    return plain(A.with_team_context(payloads.as_player_team(traditional), factors))
 
 
-@query(_stage_sql(GAME_COLUMNS, THIRD))
+@query(_stage_sql(PLAYERS, GAMES))
 def game_metadata(spark, sf_dir):
     traditional, _, _, _, live = flat_endpoints(spark, sf_dir)
-    players = payloads.as_player_team(traditional)
-    return plain(A.with_game_metadata(players, live).select(*GAME_COLUMNS))
-
+    return plain(A.with_game_metadata(payloads.as_player_team(traditional), live))
 
-OUTCOME_COLUMNS = ["GAME_DATE", "GAME_ID", "PLAYER_ID", "points", "HOME_FLAG", "HOME_TEAM_WIN_FLAG", "PLAYER_TEAM_WIN_FLAG"]
 
-
-@query(_stage_sql(OUTCOME_COLUMNS))
+@query(_stage_sql(PLAYERS, GAMES, FLAGS))
 def outcome_flags(spark, sf_dir):
     traditional, _, _, _, live = flat_endpoints(spark, sf_dir)
-    players = payloads.as_player_team(traditional)
-    return plain(A.with_outcome(A.with_game_metadata(players, live)).select(*OUTCOME_COLUMNS))
-
+    return plain(A.with_outcome(A.with_game_metadata(payloads.as_player_team(traditional), live)))
 
-ASSEMBLED_COLUMNS = [*OUTCOME_COLUMNS, "POINT_MARGIN", "PIE_ADV", "percentagePoints_USAGE", "teamTurnoverPercentage_TEAM"]
 
-
-@query(_stage_sql(ASSEMBLED_COLUMNS))
+@query(_stage_sql(BOXES, FACTORS, GAMES, FLAGS))
 def assembled_rows(spark, sf_dir):
-    """All endpoints to player rows with one wide join to the per-team context."""
-    return plain(A.assemble(*flat_endpoints(spark, sf_dir)).select(*ASSEMBLED_COLUMNS))
+    """All endpoints to player rows of all columns, the per-team context as one more side of the join."""
+    return plain(A.assemble(*flat_endpoints(spark, sf_dir)))
 
 
 @query(rows_sql())
@@ -351,19 +350,13 @@ def log_command_center(spark, sf_dir):
     return plain(figures.withColumn("days_behind", F.col("days_behind").cast("bigint")))
 
 
-EXPORT_COLUMNS = [
-    "ROW_KEY", "GAME_ID", "GAME_DATE", "PLAYER_ID", "PLAYER_NAME", "HOME_FLAG", "PLAYER_TEAM_WIN_FLAG", "minutes",
-    "points", "PIE_ADV", "INGESTED_AT_UTC", "LOAD_BATCH_ID",
-]
-
-
-@query(rows_sql(EXPORT_COLUMNS))
+@query(rows_sql())
 def export_and_read(spark, sf_dir):
-    """The stored log exported as CSV with its game ids cut to numbers, and read back."""
+    """The stored log exported as CSV with its game ids cut to numbers, and read back with all its columns."""
     store, _ = loaded_store(spark, sf_dir)
     path = scratch_folder(spark, "export")
     write_export(store.log().withColumn("GAME_ID", F.col("GAME_ID").cast("bigint").cast("string")), path)
-    return plain(read_export(spark, path).select(*EXPORT_COLUMNS))
+    return plain(read_export(spark, path))
 
 
 @query("""

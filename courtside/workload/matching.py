@@ -139,20 +139,20 @@ def arenas_sql() -> str:
 
 
 @query(f"""
-select o_orderkey, o_custkey as player_id, 1610612737 + o_custkey % 31 as home_team_id,
+select o_orderkey, 2 * o_custkey as player_id, 1610612737 + o_custkey % 31 as home_team_id,
        c_mktsegment as position, c_name as height, cast(c_nationkey as varchar) as exp,
        arena_name, arena_city, arena_state
-from orders left join customer on o_custkey = c_custkey and c_acctbal > 0
+from orders left join customer on 2 * o_custkey = c_custkey
 left join {arenas_sql()} on team_id = 1610612737 + o_custkey % 31
 """)
 def dimension_enrichment(spark, sf_dir):
     """Player attributes and venues; some players and one team are unknown and stay null."""
-    players = table(spark, sf_dir, "customer").where("c_acctbal > 0").selectExpr(
+    players = table(spark, sf_dir, "customer").selectExpr(
         "c_custkey as PLAYER_ID", "c_mktsegment as POSITION", "c_name as HEIGHT", "cast(c_nationkey as string) as EXP"
     )
     arenas = arena_rows(spark, STAMP).drop("LAST_UPDATED_UTC")
     rows = table(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey", "o_custkey as PLAYER_ID", "1610612737 + o_custkey % 31 as HOME_TEAM_ID"
+        "o_orderkey", "2 * o_custkey as PLAYER_ID", "1610612737 + o_custkey % 31 as HOME_TEAM_ID"
     )
     return plain(A.with_dimensions(rows, players, arenas))
 
@@ -173,33 +173,32 @@ def missing_members(spark, sf_dir):
 
 
 @query("""
-with wanted as (select distinct l_partkey as k from lineitem where l_quantity > 45),
-     known as (select p_partkey as k from part where p_size > 10)
+with wanted as (select distinct 2 * l_partkey as k from lineitem),
+     known as (select p_partkey as k from part)
 select (select count(*) from wanted) as season_players, (select count(*) from known) as dimension_players,
        (select count(*) from wanted where k not in (select k from known)) as missing_players,
        (select count(*) from known where k not in (select k from wanted)) as extra_players
 """)
 def season_coverage(spark, sf_dir):
-    season = table(spark, sf_dir, "lineitem").where("l_quantity > 45").selectExpr("l_partkey as PLAYER_ID")
-    dimension = table(spark, sf_dir, "part").where("p_size > 10").selectExpr("p_partkey as PLAYER_ID")
+    season = table(spark, sf_dir, "lineitem").selectExpr("2 * l_partkey as PLAYER_ID")
+    dimension = table(spark, sf_dir, "part").selectExpr("p_partkey as PLAYER_ID")
     return audits.season_coverage(season, dimension)
 
 
 @query("""
-select distinct o_custkey as player_id from orders
-where o_custkey not in (select c_custkey from customer where c_acctbal > 0)
+select distinct 2 * o_custkey as player_id from orders
+where 2 * o_custkey not in (select c_custkey from customer)
 """)
 def unmatched_after_join(spark, sf_dir):
-    players = table(spark, sf_dir, "orders").selectExpr("o_custkey as PLAYER_ID")
-    known = table(spark, sf_dir, "customer").where("c_acctbal > 0").selectExpr("c_custkey as PLAYER_ID")
+    players = table(spark, sf_dir, "orders").selectExpr("2 * o_custkey as PLAYER_ID")
+    known = table(spark, sf_dir, "customer").selectExpr("c_custkey as PLAYER_ID")
     return plain(A.unmatched_players(players, known))
 
 
 @query("""
-select distinct l_partkey as k from lineitem where l_quantity > 45
-  and l_partkey not in (select p_partkey from part where p_size > 10) order by k
+select distinct 2 * l_partkey as k from lineitem where 2 * l_partkey not in (select p_partkey from part) order by k
 """)
 def ordered_missing_members(spark, sf_dir):
-    season = table(spark, sf_dir, "lineitem").where("l_quantity > 45").selectExpr("l_partkey as k")
-    known = table(spark, sf_dir, "part").where("p_size > 10").selectExpr("p_partkey as k")
+    season = table(spark, sf_dir, "lineitem").selectExpr("2 * l_partkey as k")
+    known = table(spark, sf_dir, "part").selectExpr("p_partkey as k")
     return joins.missing_from(season, known, ["k"]).orderBy("k")
