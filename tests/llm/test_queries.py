@@ -1,0 +1,28 @@
+import os
+
+import pytest
+
+import __spark_entry__ as driver
+from compare import difference, duck
+from courtside.llm.queries import ORACLES, QUERIES
+
+SF_DIR = os.environ.get("QUERY_SF_DIR", "/root/testdata/sf0.001")
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="the given tables are absent")
+
+
+def test_all_are_registered():
+    assert {int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline"} == set(range(1, 11))
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_agrees_with_its_sql(llm, name):
+    assert not difference(llm, duck(SF_DIR), SF_DIR, QUERIES[name], ORACLES[name])
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"pipeline"}))
+def test_query_gives_a_row_for_every_input_row(llm, name):
+    kind = "embeddings" if name.startswith("op6") else "documents"
+    found, given = QUERIES[name](llm, SF_DIR), llm.read.parquet(f"{SF_DIR}/{kind}.parquet")
+    key = given.columns[0]
+    assert sorted(r[0] for r in found.select(key).collect()) == sorted(r[0] for r in given.select(key).collect())
