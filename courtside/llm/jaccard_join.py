@@ -12,7 +12,8 @@ percentage. The join is exact (up to equal 64-bit hashes of different shingles):
 4. Groups that still hold several components are cut into blocks; in each pair of blocks a signature tree
    (nodes with OR-combined token bitmaps, size ranges and component ranges) is traversed from both sides,
    dropping node pairs whose largest possible overlap is below what their sizes ask for.
-5. All candidate pairs are verified on the full sets; components follow from the links.
+5. All candidate pairs are verified on the full sets, those of crowded blocks within the block; components follow from
+   the links.
 
 No group is gathered whole: blocks hold about `BLOCK` members, and only blocks that can hold two
 components meet. Rows without text or words have no shingles and link with nothing. Rows that share an id
@@ -34,6 +35,7 @@ from courtside.llm.tables import components, runs, spread, staged, table
 BUCKETS = 1 << 17
 BLOCK = 512
 FAN = 8
+CANDIDATES = 4
 CACHED_WORDS = 300_000
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -75,19 +77,22 @@ def size_class(n: int) -> int:
 
 
 def signature(tokens: np.ndarray, kind: int) -> np.ndarray:
-    """Bitmap of a set for its size class and the next: four to eight bits a token there."""
-    bits = 1 << max(6, kind + 3)
+    """Bitmap of a set of a size class: two to four bits a token."""
+    bits = 1 << max(6, kind + 2)
     flags = np.zeros(bits, bool)
     flags[(tokens >> np.uint64(20)) & np.uint64(bits - 1)] = True
     return np.packbits(flags, bitorder="little")
 
 
-def fitted(sig: np.ndarray, kind: int) -> np.ndarray:
-    """The bitmap folded to the width of a size class."""
-    wide = 1 << max(3, kind - 1)
-    while len(sig) > wide:
-        sig = sig[: len(sig) // 2] | sig[len(sig) // 2 :]
-    return sig
+def fitted(sigs: list[bytes]) -> np.ndarray:
+    """The bitmaps folded to the width of the narrowest, as rows of 64-bit words."""
+    wide, out = min(map(len, sigs)), []
+    for raw in sigs:
+        sig = np.frombuffer(raw, np.uint8)
+        while len(sig) > wide:
+            sig = sig[: len(sig) // 2] | sig[len(sig) // 2 :]
+        out.append(sig)
+    return np.stack(out).view(np.uint64)
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -187,8 +192,7 @@ def plausible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
             sizes = batch[["n_a", "n_b"]].to_numpy(np.int64)
             keep = np.zeros(len(batch), bool)
             for k, (x, y) in enumerate(zip(batch["sig_a"], batch["sig_b"], strict=True)):
-                kind = size_class(int(sizes[k].max()))
-                x, y = (fitted(np.frombuffer(v, np.uint8), kind) for v in (x, y))
+                x, y = fitted([x, y])
                 lost = min(n - int(np.bitwise_count(v).sum()) for n, v in zip(sizes[k].tolist(), (x, y), strict=True))
                 overlap = int(np.bitwise_count(x & y).sum()) + lost
                 keep[k] = (100 + percent) * overlap >= percent * sizes[k].sum()
@@ -197,8 +201,8 @@ def plausible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInPandas(check, "a long, b long").distinct()
 
 
-def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets reach the percentage, compared on all shingles."""
+def token_sets(ids: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """(doc_id, tokens) of the given ids, made from their texts again and written."""
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = _WordHashes()
@@ -206,17 +210,25 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
             found = [shingle_set(t, words, hashes).tobytes() for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "tokens": found})
 
+    ids = staged(ids.select("doc_id").distinct(), "ids")
+    return staged(texts.join(ids, "doc_id", "left_semi").mapInPandas(sets, "doc_id long, tokens binary"), "sets")
+
+
+def alike(x: bytes, y: bytes, percent: int) -> bool:
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    common = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
+def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets reach the percentage, compared on all shingles."""
+
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keep = np.zeros(len(batch), bool)
-            for i, (x, y) in enumerate(zip(batch["x"], batch["y"], strict=True)):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
-                keep[i] = 100 * common >= percent * (len(x) + len(y) - common)
-            yield batch.loc[keep, ["a", "b"]]
+            keep = [alike(x, y, percent) for x, y in zip(batch["x"], batch["y"], strict=True)]
+            yield batch.loc[np.array(keep, bool), ["a", "b"]]
 
-    ids = staged(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
-    known = staged(texts.join(ids, "doc_id", "left_semi").mapInPandas(sets, "doc_id long, tokens binary"), "sets")
+    known = token_sets(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), texts, words)
     left, right = (known.select(F.col("doc_id").alias(i), F.col("tokens").alias(t)) for i, t in (("a", "x"), ("b", "y")))
     both = pairs.join(left, "a").join(right, "b")
     return both.mapInPandas(compare, "a long, b long")
@@ -286,8 +298,15 @@ def _children(i, j, left, right, level):
     return a[ok], b[ok]
 
 
-def _tree_pairs(members: DataFrame, reps: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs (a, b) between different components of a group.
+def _tree_links(
+    members: DataFrame, reps: DataFrame, comps: DataFrame, texts: DataFrame, words: int, percent: int
+) -> DataFrame:
+    """Links (a, b) between different components of a group.
+
+    A pair of blocks with few candidates returns these, and they are verified like other pairs. One with more
+    than `CANDIDATES` a member is dealt out again with the whole sets of its members, is compared where it
+    lies, and returns a spanning forest of its links. So a large group of texts just below the threshold makes no
+    rows for its pairs.
 
     In a group, members of its largest component and the others go to blocks of their own, so blocks of
     the largest component never meet each other.
@@ -331,30 +350,68 @@ def _tree_pairs(members: DataFrame, reps: DataFrame, comps: DataFrame, percent:
         )
     )
     dealt = rows.withColumn("pair", F.explode(partners)).select("key", "pair.i", "pair.j", "block", "doc_id", "component")
-    dealt = spread(dealt.join(reps.select("doc_id", "n_shingles", "sig"), "doc_id"), "key", "i", "j")
-    dealt = dealt.sortWithinPartitions("key", "i", "j", "component", "n_shingles", "doc_id")
+    dealt = staged(dealt, "dealt")
+    keys = ["key", "i", "j"]
+
+    def ordered(extra: DataFrame) -> DataFrame:
+        return spread(dealt.join(extra, "doc_id"), *keys).sortWithinPartitions(*keys, "component", "n_shingles", "doc_id")
 
     def traverse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for group in runs(batches, ["key", "i", "j"]):
+        for group in runs(batches, keys):
             a, b = block_candidates(group, percent)
-            if len(a):
-                yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+            if len(a) > CANDIDATES * len(group["doc_id"]):
+                yield pd.DataFrame({k: group[k][:1] for k in keys} | {"a": [None], "b": [None]})
+            elif len(a):
+                ids = group["doc_id"].astype(np.int64)
+                yield pd.DataFrame({k: group[k][0] for k in keys} | {"a": ids[a], "b": ids[b]})
+
+    narrow = reps.select("doc_id", "n_shingles", "sig")
+    found = staged(ordered(narrow).mapInPandas(traverse, "key long, i long, j long, a long, b long"), "candidates")
+    few = found.where("a is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    links = verified(staged(few, "pairs"), texts, words, percent)
+    full = found.where("a is null").select(*keys)
+    if full.isEmpty():
+        return links
+    dealt = staged(dealt.join(full, keys, "left_semi"), "dealt")
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in runs(batches, keys):
+            a, b = spanning(group, percent)
+            yield pd.DataFrame({"a": a, "b": b})
+
+    whole = narrow.join(token_sets(dealt, texts, words).dropDuplicates(["doc_id"]), "doc_id")
+    return links.unionByName(ordered(whole).mapInPandas(compare, "a long, b long").distinct())
+
+
+def spanning(group: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of links that connect all members of two blocks that links connect; what is connected is not compared."""
+    ids, label, out = group["doc_id"].astype(np.int64), {}, []
+
+    def root(x: int) -> int:
+        while label.setdefault(x, x) != x:
+            label[x] = x = label[label[x]]
+        return x
 
-    return dealt.mapInPandas(traverse, "a long, b long").distinct()
+    start = np.unique(group["component"].astype(np.int64), return_inverse=True)[1].tolist()
+    for a, b in zip(*(v.tolist() for v in block_candidates(group, percent)), strict=True):
+        x, y = root(start[a]), root(start[b])
+        if x != y and alike(group["tokens"][a], group["tokens"][b], percent):
+            label[max(x, y)] = min(x, y)
+            out.append((ids[a], ids[b]))
+    return np.array([a for a, _ in out], np.int64), np.array([b for _, b in out], np.int64)
 
 
 def block_candidates(group: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of the pairs between blocks i and j of a group that may link two components."""
+    """Places of the pairs between blocks i and j of a group that may link two components."""
     sizes, ids, comps, block = (group[c].astype(np.int64) for c in ("n_shingles", "doc_id", "component", "block"))
-    kind = size_class(int(sizes.max()))
-    sigs = np.stack([fitted(np.frombuffer(s, np.uint8), kind) for s in group["sig"]]).view(np.uint64)
+    sigs = fitted(group["sig"].tolist())
     left, right = (np.flatnonzero(block == group[side][0]) for side in ("i", "j"))
     if not len(left) or not len(right):
-        return ids[:0], ids[:0]
+        return left[:0], right[:0]
     x, y = (_Tree(sigs[at], sizes[at], comps[at]) for at in (left, right))
     i, j = linked_candidates(x, y, percent)
-    a, b = ids[left[i]], ids[right[j]]
-    return a[a != b], b[a != b]
+    a, b = left[i], right[j]
+    return a[ids[a] != ids[b]], b[ids[a] != ids[b]]
 
 
 def jaccard_components(
@@ -375,10 +432,8 @@ def jaccard_components(
     star = members.where("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
     links = staged(verified(staged(plausible(star, reps, percent), "pairs"), texts, words, percent), "links")
     first = components(links)
-    rest = staged(_tree_pairs(members, reps, first, percent), "pairs")
-    if not rest.isEmpty():
-        more = verified(rest, texts, words, percent)
-        first = components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    more = _tree_links(members, reps, first, texts, words, percent)
+    first = components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     found = classes.join(first.withColumnRenamed("node", "rep"), "rep", "left").select(
         "set_key", F.coalesce("component", "rep").alias("found")
     )

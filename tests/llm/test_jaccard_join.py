@@ -59,8 +59,10 @@ def test_same_as_brute_force(documents, words, percent):
     assert len(found) == len(rows)
 
 
-def test_blocks_of_a_large_mixed_group(documents, monkeypatch):
+@pytest.mark.parametrize("candidates", [0, 4, 10_000])
+def test_blocks_of_a_large_mixed_group(documents, monkeypatch, candidates):
     monkeypatch.setattr(J, "BLOCK", 8)
+    monkeypatch.setattr(J, "CANDIDATES", candidates)
     rows = corpus(9)
     found = J.jaccard_components(documents(rows), words=3, percent=70).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute(rows, 3, 70)
@@ -88,8 +90,7 @@ def test_a_folded_bitmap_bounds_the_overlap():
     rng = np.random.default_rng(2)
     a = np.unique(rng.integers(0, 2**63, 70, dtype=np.uint64))
     b = np.unique(np.concatenate([a[:50], rng.integers(0, 2**63, 9, dtype=np.uint64)]))
-    kind = J.size_class(max(len(a), len(b)))
-    x, y = (J.fitted(J.signature(v, J.size_class(len(v))), kind) for v in (a, b))
+    x, y = J.fitted([J.signature(v, J.size_class(len(v))).tobytes() for v in (a, b)])
     lost = min(len(v) - int(np.bitwise_count(s).sum()) for v, s in ((a, x), (b, y)))
     assert len(x) == len(y) and int(np.bitwise_count(x & y).sum()) + lost >= 50
 
