@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import functools
 import json
+import os
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -39,6 +40,7 @@ class WordCoder:
     """Encodes and decodes with a word-end BPE file."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         spec = json.loads(Path(path).read_text())
         model = spec["model"]
         self.whole = Tokenizer.from_file(path)
@@ -91,7 +93,7 @@ class WordCoder:
         for end, coder in ((False, self.inner), (True, self.ending)):
             known = self.fragments[end]
             new = list({f for f, e in zip(cuts, flags, strict=True) if e == end} - known.keys())
-            for fragment, code in zip(new, coder.encode_batch(new, add_special_tokens=False), strict=True):
+            for fragment, code in zip(new, coder.encode_batch_fast(new, add_special_tokens=False), strict=True):
                 known[fragment] = (" ".join(map(str, code.ids)), self.decode(code.ids))
         inner, ending = self.fragments
         found = [ending[f] if e else inner[f] for f, e in zip(cuts, flags, strict=True)]

@@ -8,24 +8,28 @@ A file is a sequence of blocks, all numbers little-endian:
 
     magic b"TIDS", u32 documents, u64 ids, u64 data bytes,
     documents x i64 doc_id, documents x u8 (1: doc_id is null), documents x u32 ids of the document,
-    (ids + 3) // 4 control bytes, the data bytes, b"\\n"
+    the control bytes, each document's beginning with a byte of its own, the data bytes, b"\\n"
+
+Texts are encoded once, into a staged table; the counts of ids and then the coded documents are made from it.
 
 Files are numbered in ascending order of doc_id (nulls first), and so are the documents in them. Spark's text writer
 puts them into any store it can write to: a block is the bytes of a line. The table of ranks lies beside the files.
 
 Each document ends with the id `end`. Null and empty texts have that id only; an empty table makes
-no blocks; rows that repeat an id lie next to each other, in the order of their text.
+no blocks; rows that repeat an id lie next to each other, in the order of their coded bytes.
 """
 
 from __future__ import annotations
 
 import functools
+import os
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +40,7 @@ from courtside.llm.plaintext import is_plain, parts, tokenizer_file
 from courtside.llm.tables import ship, staged, table
 from courtside.session import scratch_folder
 
-CACHED = 200_000
+CACHED = 500_000
 BLOCK_IDS = 1 << 18
 FILE_IDS = 1 << 24
 HEADER = struct.Struct("<4sIQQ")
@@ -49,6 +53,7 @@ class ByteCoder:
     """Encodes with a byte-level BPE file, piece by piece, with a bounded cache."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.whole = Tokenizer.from_file(path)
         self.whole.no_truncation()
         self.whole.no_padding()
@@ -64,24 +69,29 @@ class ByteCoder:
         """The text cut before its single spaces, between which no piece reaches over; None if it can't be cut so."""
         if not is_plain(text) or any(a in text for a in ("  ", " \n", "\n ", "\t", "\r", *self.added)):
             return None
-        first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]]
+        return text.replace(" ", "\0 ").split("\0")
 
     def encode_texts(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as little-endian u32."""
-        split = [self.chunks(t) for t in texts]
         if len(self.known) > CACHED:
             self.older, self.known = self.known, {}
-        new = set().union(*filter(None, split)) - self.known.keys()
+        split = [self.chunks(t) for t in texts]
+        found = [None if own is None else list(map(self.known.get, own)) for own in split]
+        new = {x for own, codes in zip(split, found, strict=True) if own and None in codes for x, c in zip(own, codes, strict=True) if c is None}
         for chunk in new & self.older.keys():
             self.known[chunk] = self.older[chunk]
-        new = list(new - self.known.keys())
+        new = [x for x in new if x not in self.known]
         self.known.update(zip(new, self._encode(new), strict=True))
         others = iter(self._encode([t for t, own in zip(texts, split, strict=True) if own is None]))
-        return [next(others) if own is None else b"".join(map(self.known.__getitem__, own)) for own in split]
+        out = []
+        for own, codes in zip(split, found, strict=True):
+            if own is not None and None in codes:
+                codes = map(self.known.__getitem__, own)
+            out.append(next(others) if own is None else b"".join(codes))
+        return out
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.whole.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, "<u4").tobytes() for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -95,52 +105,88 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-def id_counts(docs: DataFrame, tokenizer: str, end: int, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n) over all documents, each with its end id."""
+def id_kind(path: str, end: int) -> str:
+    """The numpy type that staged ids take: two bytes if the vocabulary fits."""
+    return "<u2" if max(coder(path).whole.get_vocab_size(), end + 1) <= 1 << 16 else "<u4"
+
+
+def tokenized(rows: DataFrame, path: str, tokenizer: str, end: int) -> DataFrame:
+    """(doc_id, ids with the end id) of rows (doc_id, text), written to a folder and read again."""
+    kind = id_kind(tokenizer, end)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use, stop = coder(tokenizer), np.array([end], kind).tobytes()
+        for batch in batches:
+            for part, texts in parts(batch, 4_000_000):
+                codes = [np.frombuffer(c, "<u4").astype(kind).tobytes() + stop for c in use.encode_texts(texts)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(codes, pa.binary())], names=["doc_id", "ids"])
+
+    rows.mapInArrow(encode, "doc_id long, ids binary").write.option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
+def _flat(column: pa.BinaryArray, kind: str) -> np.ndarray:
+    """The numbers of all values of a binary column, one after the other."""
+    ends = np.frombuffer(column.buffers()[1], "<i4")[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]].view(kind)
+
+
+def _cut(data: np.ndarray, sizes: np.ndarray) -> pa.BinaryArray:
+    """A binary column of values of so many bytes."""
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype("<i4")
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def id_counts(staged_ids: DataFrame, kind: str) -> DataFrame:
+    """(id, n) over all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        use = coder(tokenizer)
-        size = max(use.whole.get_vocab_size(), end + 1)
-        total = np.zeros(size, np.int64)
+        total = np.zeros(1, np.int64)
         for batch in batches:
-            for _, texts in parts(batch, 4_000_000):
-                codes = np.frombuffer(b"".join(use.encode_texts(texts)), "<u4")
-                total += np.bincount(codes, minlength=size)
-                total[end] += len(texts)
+            found = np.bincount(_flat(batch.column(0), kind), minlength=len(total))
+            found[: len(total)] += total
+            total = found
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["id", "n"])
 
-    rows = _texts(docs, id_col, text_col).mapInArrow(count, "id long, n long")
-    return rows.groupBy("id").agg(F.sum("n").alias("n"))
+    return staged_ids.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
-def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """Control bytes and data bytes."""
+def pack(ranks: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Control bytes, data bytes, and how many data bytes each of the documents of so many ids has."""
     lengths = 1 + (ranks > 0xFF) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    codes = np.zeros((len(ranks) + 3) // 4 * 4, np.uint8)
-    codes[: len(ranks)] = lengths - 1
+    codes = np.zeros(int(((sizes + 3) // 4 * 4).sum()), np.uint8)
+    codes[_real(sizes)] = lengths - 1
     control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1, dtype=np.uint8)
     data = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)[np.arange(4) < lengths[:, None]]
-    return control.tobytes(), data.tobytes()
+    before = np.concatenate([[0], np.cumsum(lengths)])
+    ends = np.cumsum(sizes)
+    return control, data, before[ends] - before[ends - sizes]
 
 
-def unpack(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
-    lengths = LENGTHS[control].ravel()[:n]
-    out = np.zeros((n, 4), np.uint8)
+def _real(sizes: np.ndarray) -> np.ndarray:
+    """Which places of control bytes stand for an id; documents begin with a byte each."""
+    padded = (sizes + 3) // 4 * 4
+    return np.arange(padded.sum()) - np.repeat(np.cumsum(padded) - padded, padded) < np.repeat(sizes, padded)
+
+
+def unpack(control: np.ndarray, data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The ranks of documents of so many ids, whose control bytes begin with a byte each."""
+    lengths = LENGTHS[control].ravel()[_real(sizes.astype(np.int64))]
+    out = np.zeros((len(lengths), 4), np.uint8)
     out[np.arange(4) < lengths[:, None]] = data
     return out.view("<u4").ravel()
 
 
-def block(ids: list[int | None], codes: list[bytes], rank_of: np.ndarray) -> bytes:
-    ranks = rank_of[np.frombuffer(b"".join(codes), "<u4")]
-    control, data = pack(ranks)
+def block(ids: list[int | None], sizes: list[int], controls: list[bytes], datas: list[bytes]) -> bytes:
+    data = b"".join(datas)
     return b"".join(
         [
-            HEADER.pack(MAGIC, len(ids), len(ranks), len(data)),
+            HEADER.pack(MAGIC, len(ids), sum(sizes), len(data)),
             np.array([i or 0 for i in ids], "<i8").tobytes(),
             bytes(i is None for i in ids),
-            np.array([len(c) // 4 for c in codes], "<u4").tobytes(),
-            control,
+            np.array(sizes, "<u4").tobytes(),
+            *controls,
             data,
         ]
     )
@@ -162,8 +208,11 @@ def blocks(content: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray,
             return found
 
         ids, nulls, lengths = take("<i8", docs), take("u1", docs), take("<u4", docs)
-        control, data = take("u1", (n + 3) // 4), take("u1", size)
-        yield ids, nulls, lengths, unpack(control, data, n)
+        control, data = take("u1", int(((lengths.astype(np.int64) + 3) // 4).sum())), take("u1", size)
+        ranks = unpack(control, data, lengths)
+        if len(ranks) != n:
+            raise ValueError(f"a block has {len(ranks)} ids and not {n}")
+        yield ids, nulls, lengths, ranks
         at += 1
 
 
@@ -171,36 +220,45 @@ def write(
     docs: DataFrame, path: str, tokenizer: str, *, end: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> None:
     """Writes the ranks to path/ranks and the files to path/ids."""
-    spark, rows = docs.sparkSession, _texts(docs, id_col, text_col)
-    counts = id_counts(rows, tokenizer, end, id_col="doc_id", text_col="text")
-    counts.write.parquet(f"{path}/ranks")
-    found = _ranked(spark, path)
-    rank_of = np.zeros(int(found.max()) + 1 if len(found) else 1, np.int64)
-    rank_of[found] = np.arange(len(found))
+    spark, kind = docs.sparkSession, id_kind(tokenizer, end)
+    found = tokenized(_texts(docs, id_col, text_col), f"{path}/encoded", tokenizer, end)
+    id_counts(found, kind).write.parquet(f"{path}/ranks")
+    order = _ranked(spark, path)
+    rank_of = np.zeros(int(order.max()) + 1 if len(order) else 1, np.int64)
+    rank_of[order] = np.arange(len(order))
     table_of = spark.sparkContext.broadcast(rank_of)
     total = spark.read.parquet(f"{path}/ranks").agg(F.sum("n")).first()[0] or 0
     files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // FILE_IDS))
 
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.binary_length(batch.column(1)).to_numpy().astype(np.int64) // np.dtype(kind).itemsize
+            control, data, lengths = pack(table_of.value[_flat(batch.column(1), kind)], sizes)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes), _cut(control, (sizes + 3) // 4), _cut(data, lengths)],
+                names=["doc_id", "n", "control", "data"],
+            )
+
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        use, stop = coder(tokenizer), np.array([end], "<u4").tobytes()
-        ids: list[int | None] = []
-        codes: list[bytes] = []
-        held = 0
+        held: list[tuple] = []
+        size = 0
         for batch in batches:
-            for part, texts in parts(batch, 2_000_000):
-                for doc_id, code in zip(part.column(0).to_pylist(), use.encode_texts(texts), strict=True):
-                    ids.append(doc_id)
-                    codes.append(code + stop)
-                    held += len(code) // 4 + 1
-                    if held >= BLOCK_IDS:
-                        yield pa.RecordBatch.from_arrays([pa.array([block(ids, codes, table_of.value)])], names=["block"])
-                        ids, codes, held = [], [], 0
-        if ids:
-            yield pa.RecordBatch.from_arrays([pa.array([block(ids, codes, table_of.value)])], names=["block"])
-
-    ordered = rows.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "text")
-    made = ordered.mapInArrow(lines, "block binary")
-    made.select(F.col("block").cast("string").alias("value")).write.option("lineSep", "\n").text(f"{path}/ids")
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                held.append(row)
+                size += row[1]
+                if size >= BLOCK_IDS:
+                    yield made(held)
+                    held, size = [], 0
+        if held:
+            yield made(held)
+
+    def made(held: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([block(*map(list, zip(*held, strict=True)))], pa.binary())], names=["block"])
+
+    coded = found.mapInArrow(code, "doc_id long, n long, control binary, data binary")
+    ordered = coded.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "control", "data")
+    written = ordered.mapInArrow(lines, "block binary").select(F.col("block").cast("string").alias("value"))
+    written.write.option("lineSep", "\n").text(f"{path}/ids")
 
 
 def _ranked(spark: SparkSession, path: str) -> np.ndarray:
