@@ -278,7 +278,8 @@ def test_wide_rows_move_once_before_the_write(spark, tmp_path):
             walk(children.apply(k))
 
     walk(plan.initialPlan() if "Adaptive" in plan.nodeName() else plan)
-    assert len([w for w in widths if w > 40]) == 0 and len([w for w in widths if 15 < w <= 40]) <= 4, widths
+    # The box scores have up to 27 columns, the joined rows 68 and more.
+    assert len(widths) >= 4 and max(widths) <= 40, widths
 
 
 def test_a_large_dimension_is_joined_by_shuffle(spark, loaded):
