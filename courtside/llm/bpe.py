@@ -158,11 +158,24 @@ def coder(path: str) -> WordCoder:
 
 
 def encoded(
-    docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", batch_chars: int = 2_000_000
+    docs: DataFrame,
+    tokenizer: str,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    place_col: str | None = None,
+    batch_chars: int = 2_000_000,
 ) -> DataFrame:
-    """Per row: doc_id, ids (decimal, joined by a space), n_tokens, decoded. The file must be there on every executor."""
+    """Per row: doc_id, ids (decimal, joined by a space), n_tokens, decoded, and place (long) where a column of it is named.
+
+    The file must be there on every executor.
+    """
     ship(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(text_col).cast("string").alias("text"),
+        *([F.col(place_col).cast("long").alias("place")] if place_col else []),
+    )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = coder(tokenizer)
@@ -175,11 +188,13 @@ def encoded(
                         pa.array([x for x, _ in found], pa.string()),
                         pa.array([x.count(" ") + 1 if x else 0 for x, _ in found], pa.int64()),
                         pa.array([x for _, x in found], pa.string()),
+                        *part.columns[2:],
                     ],
-                    names=["doc_id", "ids", "n_tokens", "decoded"],
+                    names=["doc_id", "ids", "n_tokens", "decoded", *part.schema.names[2:]],
                 )
 
-    return rows.mapInArrow(encode, "doc_id long, ids string, n_tokens long, decoded string")
+    kinds = "doc_id long, ids string, n_tokens long, decoded string"
+    return rows.mapInArrow(encode, kinds + ", place long" if place_col else kinds)
 
 
 def token_digests(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

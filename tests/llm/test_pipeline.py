@@ -56,3 +56,28 @@ def test_order_of_the_mixture_is_the_order_of_its_files(llm, documents):
     order = [r.doc_id for r in mixing.mixed(documents(rows), weights=weights, block_rows=4).collect()]
     place = {x[0]: (x[6], x[3]) for x in mix([(i, s) for i, _, _, s in rows], {"sa": 1, "sb": 3}, 4)}
     assert order == sorted(order, key=place.get) and schedule({"sa": 1, "sb": 3})[0] == 4
+
+
+def test_run_gives_the_place_in_the_mixture_over_several_files(llm, tmp_path, monkeypatch):
+    rng = random.Random(5)
+    words = [1 + 400 * (k % 50 == 0) + k % 11 for k in range(700)]
+    rows = [(k, " ".join(rng.choice(["red", "tall", "ox"]) for _ in range(n)), "en", "abc"[k % 7 % 3], n) for k, n in enumerate(words)]
+    sf = str(tmp_path)
+    docs = llm.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{sf}/documents.parquet")
+    want = [r.doc.doc_id for r in sorted(P.mixing.scheduled(docs).collect(), key=lambda r: (r.slot, r.offset))]
+    monkeypatch.setattr(P, "STAGES", [(n, f) for n, f in P.STAGES if n in ("mixing", "bpe")])
+    conf = {"spark.sql.shuffle.partitions": "7", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: llm.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            llm.conf.set(k, v)
+        P.mix_sources(llm, docs, sf).write.parquet(f"{sf}/mixed")
+        found = P.run(llm, sf).collect()
+    finally:
+        for k, v in old.items():
+            llm.conf.set(k, v)
+    mixture = llm.read.parquet(f"{sf}/mixed")
+    assert len(mixture.inputFiles()) > 3 and [r.doc_id for r in mixture.collect()] != want
+    assert [r.doc_id for r in sorted(P.placed(mixture).collect(), key=lambda r: r.place)] == want
+    assert {r.doc_id: r.place for r in found} == {i: k for k, i in enumerate(want)}
