@@ -8,7 +8,8 @@ counts of vote patterns; given labels of the training folds are one more voter,
 a voter's evidence is divided by one plus its correlations, so that voters that say the same thing count once.
 
 The posteriors of a bounded sample of training rows are the soft labels of a logistic classifier over hashed words and
-votes: at most `PER_SIDE` rows on either side of one half, those with the smallest hash of their id. Vote statistics
+votes: at most `PER_SIDE` rows on either side of one half, those with the smallest hash of their id. Each weighs as many rows
+as it stands for, so that the two sides have their shares of the training folds at every size. Vote statistics
 are over all rows of the training folds.
 
 Null and empty texts have no votes and no words and get the score of the intercept. An empty table gives no rows. Rows that
@@ -219,8 +220,15 @@ class ToxicityModel:
         return _sigmoid(np.array(raw, np.float64))
 
 
-def train(found: list[tuple[list[int], list[int]]], target: np.ndarray) -> ToxicityModel:
-    """Logistic regression on soft labels by Adam, with shrinkage that is stronger for words than for votes."""
+def train(
+    found: list[tuple[list[int], list[int]]], target: np.ndarray, weight: np.ndarray | None = None
+) -> ToxicityModel:
+    """Logistic regression on soft labels by Adam, with shrinkage that is stronger for words than for votes.
+
+    weight: how many rows each row stands for; one if not given.
+    """
+    weight = np.ones(len(found)) if weight is None else weight
+    share = weight / weight.sum()
     rows = np.repeat(np.arange(len(found)), [len(at) for _, at in found])
     columns = np.fromiter((c for _, at in found for c in at), np.int64, len(rows))
     values = np.repeat([1 / np.sqrt(max(1, len(at))) for _, at in found], [len(at) for _, at in found])
@@ -230,7 +238,7 @@ def train(found: list[tuple[list[int], list[int]]], target: np.ndarray) -> Toxic
     first, second = np.zeros_like(p), np.zeros_like(p)
     for k in range(1, STEPS + 1):
         raw = np.bincount(rows, values * p[columns], len(found)) + cast @ p[HASHED:-1] + p[-1]
-        slope = (_sigmoid(raw) - target) / len(found)
+        slope = (_sigmoid(raw) - target) * share
         g = np.concatenate(
             [np.bincount(columns, values * slope[rows], HASHED), slope @ cast, [slope.sum()]]
         ) + shrink * p
@@ -261,6 +269,7 @@ def fit(
         judged.where("p < 0.5").orderBy("mark", "doc_id").limit(per_side)
     )
     soft = {r["doc_id"]: r["p"] for r in chosen.collect()}
+    sides = {r["toxic"]: r["n"] for r in judged.groupBy((F.col("p") >= 0.5).alias("toxic")).agg(F.count("*").alias("n")).collect()}
     ids = docs.sparkSession.createDataFrame([(i,) for i in soft] or [(None,)], "doc_id long")
     rows = _texts(docs, id_col, text_col).join(F.broadcast(ids), "doc_id")
 
@@ -280,7 +289,12 @@ def fit(
     sample = rows.select("doc_id", "text").mapInArrow(describe, "doc_id long, votes array<int>, words array<int>").collect()
     sample = {r["doc_id"]: r for r in sorted(sample, key=lambda r: (r["doc_id"], r["votes"], r["words"]))}
     use = [sample[i] for i in sorted(sample)]
-    return train([(r["votes"], sorted(r["words"])) for r in use], np.array([soft[r["doc_id"]] for r in use]))
+    target = np.array([soft[r["doc_id"]] for r in use])
+    toxic = target >= 0.5
+    stands_for = {side: sides.get(side, 0) / max(1, int((toxic == side).sum())) for side in (True, False)}
+    return train(
+        [(r["votes"], sorted(r["words"])) for r in use], target, np.where(toxic, stands_for[True], stands_for[False])
+    )
 
 
 def scored(

@@ -111,6 +111,22 @@ def test_without_labels_the_voters_alone_tell(docs, labels):
     assert np.mean([found[i] == x for i, _, _, _, x in ROWS]) > 0.95
 
 
+def test_sampled_rows_weigh_what_they_stand_for(docs, labels):
+    found = [X.features(t, X._Places()) for _, t, *_ in ROWS[:60]]
+    target, times = np.linspace(0, 1, 60), np.arange(60) % 3 + 1
+    few = X.train(found, target, times.astype(float))
+    many = X.train([f for f, n in zip(found, times, strict=True) for _ in range(n)], np.repeat(target, times))
+    assert np.isclose(few.bias, many.bias, atol=1e-3) and np.allclose(few.votes, many.votes, atol=1e-3)
+
+
+def test_a_smaller_sample_keeps_the_share_of_toxic_texts(docs, labels):
+    given = labels.selectExpr("doc_id", "toxic AS y")
+    rows = [X.features(t, X._Places()) for _, t, *_ in ROWS]
+    whole, small = (X.fit(docs, given, per_side=n).score(rows) for n in (4000, 40))
+    log_odds = [np.log(s / (1 - s)).mean() for s in (whole, small)]
+    assert abs(log_odds[0] - log_odds[1]) < 0.4, log_odds
+
+
 @pytest.mark.parametrize(
     ("text", "names"),
     [
