@@ -285,7 +285,10 @@ def page_records(found: DataFrame) -> DataFrame:
     targets = rows.where("record_type = 'response'").groupBy(F.col("record").alias("refers")).agg(
         F.max("size").alias("target_size"), F.max("page_id").alias("refers_to")
     )
-    return rows.join(targets, "refers", "left").select(
+    pointing = rows.where("refers is not null").join(targets, "refers", "left")
+    none = F.lit(None).cast("long")
+    others = rows.where("refers is null").withColumns({"target_size": none, "refers_to": none})
+    return pointing.unionByName(others).select(
         "page_id",
         F.coalesce("size", "target_size").alias("payload_bytes"),
         "payload_digest",

@@ -73,3 +73,9 @@ def test_broken_records_are_told():
             W.unchunked(framing)
     assert W.unchunked(b"3;ext=1\r\nabc\r\n0\r\nTrailer: x\r\n\r\n") == b"abc"
     assert W.http_payload(b"HTTP/1.1 200 OK\r\nA: b\r\n\r\nplain") == b"plain"
+
+
+def test_rows_that_refer_to_nothing_are_not_joined(llm, tmp_path):
+    W.write(pages(llm, ROWS), f"{tmp_path}/w")
+    plan = W.page_records(W.read(llm, f"{tmp_path}/w"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "isnotnull(refers" in plan and "isnull(refers" in plan
