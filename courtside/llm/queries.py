@@ -12,6 +12,7 @@ from courtside.llm import (
     fim,
     jaccard_join,
     language_id,
+    merkle,
     mixing,
     quality,
     token_files,
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_token_id_files": token_files.op9_token_id_files,
     "op10_language_id": language_id.op10_language_id,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
     "op12_fill_in_middle": fim.op12_fill_in_middle,
     "pipeline": corpus_pipeline.run,
 }
@@ -39,6 +41,7 @@ ORACLES: dict[str, str] = {
     "op2_warc_records": warc.ORACLE,
     "op4_mix_sources": mixing.ORACLE,
     "op8_exact_dedup": exact_dedup.ORACLE,
+    "op11_merkle_manifest": merkle.ORACLE,
     "op12_fill_in_middle": fim.ORACLE,
 }
 if corpus_pipeline.ORACLE_SQL:
