@@ -14,6 +14,7 @@ from courtside.llm import (
     language_id,
     merkle,
     mixing,
+    neighbours,
     quality,
     token_files,
     toxicity,
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": language_id.op10_language_id,
     "op11_merkle_manifest": merkle.op11_merkle_manifest,
     "op12_fill_in_middle": fim.op12_fill_in_middle,
+    "op13_nearest_neighbours": neighbours.op13_nearest_neighbours,
     "pipeline": corpus_pipeline.run,
 }
 

@@ -11,7 +11,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="the given tab
 
 
 def test_all_are_registered():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline"} >= set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline"} == set(range(1, 14))
     assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
 
 
@@ -20,7 +20,7 @@ def test_query_agrees_with_its_sql(llm, name):
     assert not difference(llm, duck(SF_DIR), SF_DIR, QUERIES[name], ORACLES[name])
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"pipeline"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"pipeline", "op13_nearest_neighbours"}))
 def test_query_gives_a_row_for_every_input_row(llm, name):
     kind = "embeddings" if name.startswith("op6") else "documents"
     found, given = QUERIES[name](llm, SF_DIR), llm.read.parquet(f"{SF_DIR}/{kind}.parquet")
