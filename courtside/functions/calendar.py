@@ -1,7 +1,7 @@
 """Run dates: text checks on the driver, the calendar itself as rows."""
 
 from collections.abc import Iterable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -47,6 +47,21 @@ def run_days(
     return without_days(days, excluded, name)
 
 
+def days_between(first: date, last: date, excluded: Iterable[date] = ()) -> list[date]:
+    """The run's dates on the driver; for short runs."""
+    skipped = set(excluded)
+    days = [first + timedelta(days=k) for k in range((last - first).days + 1)]
+    return [day for day in days if day not in skipped]
+
+
+def asked_days(first: Column, last: Column, excluded: Iterable[date] = ()) -> Column:
+    """How many days a run from first to last asks for: both ends, less the excluded dates between them."""
+    span = F.datediff(last, first) + 1
+    for day in sorted(set(excluded)):
+        span -= F.lit(day).cast("date").between(first, last).cast("int")
+    return span
+
+
 def check_day_cap(first: date, last: date, excluded: Iterable[date], most: int | None) -> None:
     """Refuse a run over too many days; None lifts the limit."""
     span = (last - first).days + 1

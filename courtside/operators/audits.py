@@ -71,6 +71,54 @@ def games_with_few_players(
     return players.where(F.col("total_players") < least)
 
 
+def game_state(
+    df: DataFrame,
+    day: str = "GAME_DATE",
+    game: str = "GAME_ID",
+    team: str = "PLAYER_TEAM_ID",
+    player: str = "PLAYER_ID",
+    key: str = "ROW_KEY",
+) -> DataFrame:
+    """What the audits need of a stored table: a row per side of a game and one per game (whole_game), with its counts.
+
+    A date's rows depend on that date alone, so the state is replaced with its partition and never recomputed for the others.
+    A game id is a game of its date; one that is stored under several dates is one game on each.
+    """
+    counted = df.groupingSets([[day, game, team], [day, game]], day, game, team).agg(
+        F.grouping(team).cast("boolean").alias("whole_game"),
+        F.count(F.lit(1)).alias("total_rows"),
+        F.countDistinct(player).alias("players"),
+        F.countDistinct(key).alias("row_keys"),
+        F.countDistinct(team).alias("teams"),
+    )
+    return counted.select("whole_game", game, team, "total_rows", "players", "row_keys", "teams", day)
+
+
+def daily_status_of(state: DataFrame, day: str = "GAME_DATE") -> DataFrame:
+    """daily_status from the state; row keys hold their game, so no key is in two games of a date."""
+    counted = state.where("whole_game").groupBy(day).agg(
+        F.sum("total_rows").alias("total_rows"), F.sum("row_keys").alias("distinct_row_keys")
+    )
+    return counted.withColumn("duplicate_row_keys", F.col("total_rows") - F.col("distinct_row_keys")).orderBy(day)
+
+
+def games_without_two_teams_of(state: DataFrame, game: str = "GAME_ID") -> DataFrame:
+    games = state.where("whole_game").select(game, F.col("teams").alias("team_count"))
+    return games.where(F.col("team_count") != TEAMS_PER_GAME)
+
+
+def teams_with_few_players_of(
+    state: DataFrame, game: str = "GAME_ID", team: str = "PLAYER_TEAM_ID", least: int = LEAST_PLAYERS_PER_TEAM
+) -> DataFrame:
+    sides = state.where("not whole_game").select(game, team, F.col("players").alias("player_count"))
+    return sides.where(F.col("player_count") < least)
+
+
+def games_with_few_players_of(state: DataFrame, game: str = "GAME_ID", least: int = LEAST_PLAYERS_PER_GAME) -> DataFrame:
+    games = state.where("whole_game").select(game, F.col("players").alias("total_players"))
+    return games.where(F.col("total_players") < least)
+
+
 def corrupted_rows(
     df: DataFrame,
     keys: Sequence[str] = ("PLAYER_ID", "PLAYER_TEAM_ID", "GAME_ID"),
@@ -138,6 +186,13 @@ def current_status(
     return ledger.groupBy(day).agg(F.max_by(status, run).alias(status), F.max(run).alias(run))
 
 
+def ledger_snapshot(ledger: DataFrame, day: str = "GAME_DATE", run: str = "LOAD_BATCH_ID") -> DataFrame:
+    """The ledger's row of the latest run of each date, whole."""
+    others = [name for name in ledger.columns if name != day]
+    latest = ledger.groupBy(day).agg(F.max_by(F.struct(*others), run).alias("last"))
+    return latest.select(day, "last.*").select(*ledger.columns)
+
+
 def run_summary(
     ledger: DataFrame, status: str = "STATUS", day: str = "GAME_DATE", run: str | None = None
 ) -> DataFrame:

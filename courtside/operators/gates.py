@@ -1,12 +1,14 @@
 """Quality gates as one report: a row per date and gate, with the number of bad rows."""
 
 from collections.abc import Sequence
+from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from courtside.functions.calendar import DAYS_PER_BATCH
 from courtside.functions.columns import is_missing
 
 REQUIRED = ("ROW_KEY", "PLAYER_ID", "minutes_SECONDS")
@@ -23,6 +25,14 @@ def check_columns(names: Sequence[str], required: Sequence[str] = REQUIRED) -> N
         raise ValueError(f"duplicate column names: {repeated}")
 
 
+def column_report(df: DataFrame, required: Sequence[str] = REQUIRED) -> DataFrame:
+    """What check_columns would refuse, in rows: column_name, problem ("missing" or "duplicate") and times it occurs."""
+    names = df.columns
+    found = [(name, "missing", 0) for name in required if name not in names]
+    found += [(name, "duplicate", names.count(name)) for name in sorted(set(names)) if names.count(name) > 1]
+    return df.sparkSession.createDataFrame(found, "column_name string, problem string, times int")
+
+
 def _missing(df: DataFrame, name: str) -> Column:
     kind = df.schema[name].dataType
     return is_missing(F.col(name), isinstance(kind, (T.DoubleType, T.FloatType)))
@@ -81,6 +91,44 @@ def day_counts(
     )
 
 
+class ObservedDays:
+    """The counts of day_counts as metrics of the job that writes the rows, for a bounded list of dates.
+
+    Each observation holds `per` dates. Repeated keys cannot be observed; `counts` takes them from a narrow frame of the keys.
+    """
+
+    def __init__(self, days: Sequence[date], per: int = DAYS_PER_BATCH):
+        self.batches = [(Observation(), list(days[at : at + per])) for at in range(0, len(days), per)]
+
+    def watch(
+        self, df: DataFrame, nulls: Column, day: str = "GAME_DATE", player: str = "PLAYER_ID", seconds: str = "minutes_SECONDS"
+    ) -> DataFrame:
+        """The same rows, counted on their way; nothing is counted until an action has run through them."""
+        for observation, days in self.batches:
+            metrics = []
+            for value in days:
+                here = F.col(day) == F.lit(value).cast("date")
+                metrics += [
+                    F.count(F.when(here, 1)).alias(f"{value}|rows"),
+                    F.count(F.when(here & F.col(player).isNull(), 1)).alias(f"{value}|null_player_id"),
+                    F.count(F.when(here & (F.col(seconds) < 0), 1)).alias(f"{value}|negative_minutes"),
+                    F.sum(F.when(here, nulls)).alias(f"{value}|null_values"),
+                ]
+            df = df.observe(observation, *metrics)
+        return df
+
+    def counts(self, spark: SparkSession, keys: DataFrame, day: str = "GAME_DATE", key: str = "ROW_KEY") -> DataFrame:
+        """In the form of day_counts; waits for the watched action."""
+        names = ["rows", "null_player_id", "negative_minutes", "null_values"]
+        found = [
+            (value, *(observation.get[f"{value}|{name}"] or 0 for name in names)) for observation, days in self.batches for value in days
+        ]
+        seen = spark.createDataFrame(found, f"`{day}` date, " + ", ".join(f"{name} bigint" for name in names)).where("rows > 0")
+        per_key = keys.groupBy(day, key).agg((F.count(F.lit(1)) - 1).alias("n"))
+        repeats = per_key.groupBy(day).agg(F.sum("n").alias("duplicate_row_key"))
+        return seen.join(repeats, day, "left").fillna(0, ["duplicate_row_key"])
+
+
 def gate_report(counts: DataFrame, days: DataFrame | None = None, day: str = "GAME_DATE") -> DataFrame:
     """Long form of day_counts; a date of `days` without any row fails the gate for empty frames."""
     if days is not None:

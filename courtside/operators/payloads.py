@@ -17,6 +17,16 @@ TEAM_SUFFIX = "_TEAM"
 OFFICIAL_SLOTS = 3
 
 
+def _carried(payload: DataFrame) -> list[str]:
+    """The mark of rejected lines, if the payloads have it. A rejected line gives one row, so that its mark is kept."""
+    return ["reject"] if "reject" in payload.columns else []
+
+
+def _entries(entries, first, carried: Sequence[str]):
+    """The entries to explode: all of a sound line, one of a rejected one."""
+    return F.when(F.col("reject").isNull(), entries).otherwise(F.array(first)) if carried else entries
+
+
 def _envelope(payload: DataFrame, envelopes: Sequence[str]):
     found = [F.col(name) for name in envelopes if name in payload.columns]
     if not found:
@@ -49,6 +59,7 @@ def board_lines(scoreboard: DataFrame) -> DataFrame:
         F.col("game_date").alias("GAME_DATE"),
         broken.alias("broken"),
         F.transform(games, lambda g: g["gameId"].cast("string")).alias("game_ids"),
+        *_carried(scoreboard),
     )
 
 
@@ -59,20 +70,23 @@ def listed_games(lines: DataFrame) -> DataFrame:
 
 def player_rows(payload: DataFrame, envelopes: Sequence[str]) -> DataFrame:
     """One row per player of both sides, home first; a side without players gives no rows."""
+    carried = _carried(payload)
     sides = payload.select(
         F.col("game_date").alias("GAME_DATE"),
         F.col("game_id").cast("string").alias("GAME_ID"),
         _envelope(payload, envelopes).alias("e"),
+        *carried,
     )
-    teams = sides.select(
-        "GAME_DATE", "GAME_ID", F.explode(F.array("e.homeTeam", "e.awayTeam")).alias("t")
-    )
+    both = F.array("e.homeTeam", "e.awayTeam")
+    teams = sides.select("GAME_DATE", "GAME_ID", F.explode(_entries(both, F.col("e.homeTeam"), carried)).alias("t"), *carried)
+    listed = F.col("t.players")
     players = teams.select(
         "GAME_DATE",
         "GAME_ID",
         F.col("t.teamId").alias("teamId"),
         F.col("t.teamTricode").alias("teamTricode"),
-        F.explode("t.players").alias("p"),
+        F.explode(_entries(listed, F.get(listed, F.lit(0)), carried)).alias("p"),
+        *carried,
     )
     return players.select(
         "GAME_DATE",
@@ -84,6 +98,7 @@ def player_rows(payload: DataFrame, envelopes: Sequence[str]) -> DataFrame:
         C.to_id(F.col("teamId")).alias("TEAM_ID"),
         F.col("teamTricode").alias("TEAM_TRICODE"),
         "p.statistics.*",
+        *carried,
     )
 
 
@@ -104,13 +119,16 @@ def as_player_team(rows: DataFrame) -> DataFrame:
 
 def team_factor_rows(payload: DataFrame, envelopes: Sequence[str] = (FOUR_FACTORS_ENVELOPE,)) -> DataFrame:
     """Two team rows per game with the stored names of the four-factor columns."""
+    carried = _carried(payload)
+    both = F.array("e.homeTeam", "e.awayTeam")
     teams = payload.select(
         F.col("game_date").alias("GAME_DATE"),
         F.col("game_id").cast("string").alias("GAME_ID"),
         _envelope(payload, envelopes).alias("e"),
-    ).select("GAME_DATE", "GAME_ID", F.explode(F.array("e.homeTeam", "e.awayTeam")).alias("t"))
+        *carried,
+    ).select("GAME_DATE", "GAME_ID", F.explode(_entries(both, F.col("e.homeTeam"), carried)).alias("t"), *carried)
     flat = teams.select(
-        "GAME_DATE", "GAME_ID", C.to_id(F.col("t.teamId")).alias("PLAYER_TEAM_ID"), "t.statistics.*"
+        "GAME_DATE", "GAME_ID", C.to_id(F.col("t.teamId")).alias("PLAYER_TEAM_ID"), "t.statistics.*", *carried
     )
     factors = struct_of(FOUR_FACTORS).names
     return flat.drop("minutes").withColumnsRenamed(
@@ -135,4 +153,5 @@ def live_game_rows(payload: DataFrame) -> DataFrame:
         F.col("game.awayTeam.score").cast("bigint").alias("AWAY_TEAM_POINTS"),
         *[C.official(officials, i, "personId").alias(f"REFEREE_{i + 1}_ID") for i in slots],
         *[C.official(officials, i, "name").alias(f"REFEREE_{i + 1}_NAME") for i in slots],
+        *_carried(payload),
     )

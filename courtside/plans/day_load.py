@@ -16,18 +16,19 @@ from pyspark.sql import functions as F
 
 from courtside import schema as S
 from courtside.functions import calendar
-from courtside.functions.columns import batch_id
-from courtside.operators import gates, payloads
+from courtside.functions.columns import batch_id, row_key
+from courtside.operators import audits, gates, payloads
 from courtside.operators.joins import missing_from
 from courtside.plans import assemble as A
-from courtside.plans.dimensions import backfill_players
 from courtside.session import discard, scratch_folder
-from courtside.sources.landing import Landing, for_days
-from courtside.sources.store import Store, spread_days
+from courtside.sources.landing import REJECT, Landing, for_days, player_attributes, rejected, sound
+from courtside.sources.store import Store
 
 LOADED, FAILED = "loaded", "failed"
 NULL_CELLS = "null_cells"
-PAYLOAD_GATES = ["scoreboard_payload", "unidentified_game", "missing_game", "repeated_key"]
+PAYLOAD_GATES = ["scoreboard_payload", "unidentified_game", "rejected_line", "missing_game", "repeated_key"]
+# Runs of up to so many calendar days have their rows counted while they are written.
+OBSERVED_DAYS = 4 * calendar.DAYS_PER_BATCH
 
 
 @dataclass(frozen=True)
@@ -35,7 +36,7 @@ class LoadResult:
     """The gate report and the ledger rows of one run, and why its dates failed.
 
     `null_columns` has the columns with missing values per failed date, `repeated_keys` up to five keys per
-    date, `missing_games` the listed games without player rows.
+    date, `missing_games` the listed games without player rows, `rejects` the landed lines that could not be used.
     """
 
     gates: DataFrame
@@ -43,6 +44,7 @@ class LoadResult:
     null_columns: DataFrame
     repeated_keys: DataFrame
     missing_games: DataFrame
+    rejects: DataFrame
     folder: str
 
 
@@ -83,14 +85,13 @@ def load_days(
         df.write.parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
+    landing = landing.of_days(first, last)
+
     def landed(payload: DataFrame) -> DataFrame:
-        return for_days(payload, first, last, skipped)
+        return for_days(payload, first, last, skipped, undated=True)
 
-    # A line without a date might belong to any date, so it stops the run.
-    lines = landing.scoreboard()
-    boards = staged(
-        "boards", payloads.board_lines(landed(lines).unionByName(lines.where("game_date is null")))
-    )
+    # A scoreboard line without a date might belong to any date, so it stops the run.
+    boards = staged("boards", payloads.board_lines(landed(landing.checked_scoreboard())))
     dateless = boards.where("GAME_DATE is null").count()
     if dateless:
         raise ValueError(f"{dateless} scoreboard lines are malformed or without a date")
@@ -98,18 +99,18 @@ def load_days(
     bad_boards, unidentified = boards.where("broken"), games.where("GAME_ID is null")
     listed = games.where("GAME_ID is not null").distinct()
 
-    # Only listed games are loaded. The other endpoints are joined to these rows, so theirs are left out by the way.
-    traditional = staged(
-        "traditional",
-        payloads.player_rows(landed(landing.traditional()), [S.TRADITIONAL_ENVELOPE])
-        .join(listed, A.GAME, "left_semi"),
-    )
-    advanced = staged(
-        "advanced", payloads.player_rows(landed(landing.advanced()), [S.ADVANCED_ENVELOPE])
-    )
-    usage = staged("usage", payloads.player_rows(landed(landing.usage()), [S.USAGE_ENVELOPE]))
-    factors = staged("four_factors", payloads.team_factor_rows(landed(landing.four_factors())))
-    live = staged("live", payloads.live_game_rows(landed(landing.live())))
+    # Each endpoint is parsed once; its rejected lines are staged beside its rows. Only listed games are loaded: the other
+    # endpoints are joined to the traditional rows, so theirs are left out by the way.
+    boxes = {"traditional": S.TRADITIONAL_ENVELOPE, "advanced": S.ADVANCED_ENVELOPE, "usage": S.USAGE_ENVELOPE}
+    parsed = {name: payloads.player_rows(landed(landing.checked(name)), [envelope]) for name, envelope in boxes.items()}
+    parsed["four_factors"] = payloads.team_factor_rows(landed(landing.checked("four_factors")))
+    parsed["live"] = payloads.live_game_rows(landed(landing.checked("live")))
+    known = listed.withColumn("listed", F.lit(True))
+    wanted = parsed["traditional"].join(known, A.GAME, "left").where(F.col("listed") | F.col(REJECT).isNotNull())
+    parsed["traditional"] = wanted.drop("listed")
+    parsed = {name: staged(name, rows) for name, rows in parsed.items()}
+    traditional, advanced, usage, factors, live = map(sound, parsed.values())
+    lost = reduce(DataFrame.unionByName, [rejected(rows, name) for name, rows in {"scoreboard": boards, **parsed}.items()])
 
     keyed = {
         "games": (games.where("GAME_ID is not null"), A.GAME),
@@ -122,12 +123,16 @@ def load_days(
     keyed = {
         name: (rows.select(*keys).join(listed, A.GAME, "left_semi"), keys) for name, (rows, keys) in keyed.items()
     }
+    # A rejected line counts against its date unless it is known to be of a game that no scoreboard lists.
+    blamed = lost.where("endpoint <> 'scoreboard' and GAME_DATE is not null")
+    blamed = blamed.join(known, A.GAME, "left").where("GAME_ID is null or listed")
     missing = staged("missing_games", missing_from(listed, traditional, A.GAME), "report")
     repeated = staged("repeated_keys", A.repeated_examples(keyed), "report")
     days = boards.where("broken or size(game_ids) > 0").select("GAME_DATE").distinct()
     checks = [
         _per_day(bad_boards, "scoreboard_payload"),
         _per_day(unidentified, "unidentified_game"),
+        _per_day(blamed, "rejected_line"),
         _per_day(missing, "missing_game"),
         A.repeated_keys(keyed).withColumnRenamed("bad_rows", "repeated_key"),
     ]
@@ -144,15 +149,32 @@ def load_days(
     )
 
     # Players the dimension lacks are added before the one join to it.
-    backfill_players(store, traditional.select("PLAYER_ID"), landing.player_info(), moment)
+    store.create_players()
+    absent = staged("absent_players", missing_from(traditional.select("PLAYER_ID"), store.players(), ["PLAYER_ID"]))
+    if not absent.isEmpty():
+        wanted = absent.withColumn("wanted", F.lit(True))
+        info = landing.checked_info().join(wanted, "PLAYER_ID", "left").where(F.col("wanted") | F.col(REJECT).isNotNull())
+        info = staged("player_info", info.drop("wanted"))
+        store.append_players(player_attributes(sound(info), absent), moment)
+        lost = lost.unionByName(rejected(info, "player_info"))
+    lost = staged("rejects", lost, "report")
     joined = A.assemble(traditional, advanced, usage, factors, live)
     described = A.with_dimensions(joined, store.players(), store.arenas(moment))
     complete = A.finished(described, moment)
     gates.check_columns(complete.columns)
-    # Nulls are counted while the wide rows are at hand, so the gates need not read them all back.
-    rows = staged("rows", complete.withColumn(NULL_CELLS, gates.null_cells(complete)))
-
-    counts = staged("day_counts", gates.day_counts(rows, counted_nulls=NULL_CELLS))
+    # Nulls are counted while the wide rows are at hand, in short runs the other gates too, so these need not be read back.
+    complete = complete.withColumn(NULL_CELLS, gates.null_cells(complete))
+    span = calendar.days_between(first, last, skipped)
+    if len(span) <= OBSERVED_DAYS:
+        # Every row comes of one traditional row, so these have the row keys.
+        observed = gates.ObservedDays(span)
+        rows = staged("rows", observed.watch(complete, F.col(NULL_CELLS)))
+        keys = traditional.select("GAME_DATE", row_key(F.col("GAME_ID"), F.col("PLAYER_ID")).alias("ROW_KEY"))
+        counts = observed.counts(spark, keys)
+    else:
+        rows = staged("rows", complete)
+        counts = gates.day_counts(rows, counted_nulls=NULL_CELLS)
+    counts = staged("day_counts", counts)
     report = staged("gates", payload_report.unionByName(gates.gate_report(counts, good_days)), "report")
 
     failing = report.where("not pass").select("GAME_DATE").distinct()
@@ -160,10 +182,9 @@ def load_days(
     nulls = staged("null_columns", nulls, "report")
     passing = staged("passing", counts.select("GAME_DATE", "rows").join(failing, "GAME_DATE", "left_anti"))
     store.create_log()
-    store.replace_days(spread_days(rows.drop(NULL_CELLS), passing))
-
-    stored = store.log().where(F.col("GAME_DATE").between(F.lit(first), F.lit(last)))
-    verified = gates.row_count_check(passing, stored).where("pass")
+    verified = store.publish_days(rows.drop(NULL_CELLS), passing, batch).where("pass")
+    served = F.broadcast(verified.select("GAME_DATE"))
+    store.publish_state(audits.game_state(rows.join(served, "GAME_DATE", "left_semi")), batch)
     numbers = calendar.number_batches(calendar.run_days(spark, first, last, skipped), day_batch)
     ledger = staged(
         "ledger",
@@ -180,9 +201,10 @@ def load_days(
         "report",
     )
     store.append_ledger(ledger)
+    store.append_rejects(lost, batch)
     if not keep_staged:
         discard(spark, f"{folder}/data")
-    return LoadResult(report, ledger, nulls, repeated, missing, folder)
+    return LoadResult(report, ledger, nulls, repeated, missing, lost, folder)
 
 
 def schedule_yesterday(now: datetime) -> str:

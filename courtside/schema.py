@@ -194,6 +194,27 @@ LOAD_BATCH_ID string
 BATCH_NO int
 """)
 
+GAME_STATE = struct_of("""
+whole_game boolean
+GAME_ID string
+PLAYER_TEAM_ID bigint
+total_rows bigint
+players bigint
+row_keys bigint
+teams bigint
+GAME_DATE date
+""")
+
+REJECTS = struct_of("""
+endpoint string
+GAME_DATE date
+GAME_ID string
+file string
+line string
+reason string
+LOAD_BATCH_ID string
+""")
+
 # ---- landed payloads -------------------------------------------------------
 # Every landed row carries its date and game; ids stay text so that bad ones reach the coercion step.
 

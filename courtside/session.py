@@ -16,6 +16,8 @@ def build_session(name: str = "courtside", master: str | None = None, **settings
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # A task lists many date folders; by default each would be a task.
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": "128",
     }
     for key, value in {**defaults, **settings}.items():
         builder = builder.config(key, value)
@@ -40,3 +42,18 @@ def discard(spark: SparkSession, folder: str) -> None:
     """Deletes a folder of this library's own making, in whatever store it is."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
+def subfolders(spark: SparkSession, folder: str, prefix: str = "") -> list[str]:
+    """The paths right below a folder whose names start with the prefix, in whatever store it is, in one call; none if it is absent.
+
+    Names that start with an underscore or a dot, by which Spark marks files of its own, are left out.
+    """
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{prefix}*")
+    found = spark._jvm.org.apache.spark.deploy.SparkHadoopUtil.get().globPath(pattern).mkString("\n")
+    return sorted(place for place in found.split("\n") if place and place.rsplit("/", 1)[-1][0] not in "_.")

@@ -1,9 +1,10 @@
-"""Landed payloads derived from the given tables: one game per order, two players a side.
+"""Landed payloads derived from the given tables: one game per order, two players a side and more in some.
 
 The same formulas serve Spark (to write the JSON) and the SQL that the loaded rows must agree with.
-A document never grows beyond its order's own columns, so no order can make a large one.
+A document has at most MOST_PLAYERS players, so no order can make a large one.
 """
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,12 +25,24 @@ FIRST_DAY, LAST_DAY = "01/01/1990", "12/31/2010"
 HOME_TEAM = "(1610612737 + o_custkey % 30)"
 AWAY_TEAM = "(1610612737 + (o_custkey + 1 + o_orderkey % 29) % 30)"
 
-# Months in which one kind of order breaks a gate.
+# A game has four players and, in some, substitutes: odd slots play at home, so that sides have two to seven players.
+MOST_PLAYERS = 14
+PLAYERS = """(4 + case o_orderkey % 64 when 0 then 2 when 1 then 4 when 2 then 5 when 3 then 6 when 4 then 7
+    when 5 then 10 else 0 end)"""
+#: Substitutes come from so many rosters, apart from the customers' players.
+ROSTERS, FIRST_SUBSTITUTE = 50, 1000000000
+
+
+def at_home(slot: str) -> str:
+    return f"({slot} <= 2 or ({slot} > 4 and {slot} % 2 = 1))"
+
+
+# Months in which one kind of order breaks a gate on its date.
 SHORT_OFFICIALS = "(month(o_orderdate) = 2 and o_orderstatus = 'P')"
 UNPLAYED_GAME = "(month(o_orderdate) = 5 and o_orderpriority = '3-MEDIUM')"
 REPEATED_PLAYER = "(month(o_orderdate) = 8 and o_orderpriority = '5-LOW')"
 NEGATIVE_MINUTES = "(month(o_orderdate) = 11 and o_orderpriority = '1-URGENT')"
-BROKEN_BOARD = "(month(o_orderdate) = 3 and year(o_orderdate) = 1994 and o_orderpriority = '4-NOT SPECIFIED')"
+BROKEN_BOARD = "(month(o_orderdate) = 3 and year(o_orderdate) = 1998 and o_orderpriority = '4-NOT SPECIFIED')"
 UNIDENTIFIED_GAME = "(month(o_orderdate) = 4 and year(o_orderdate) = 1995 and o_orderpriority = '2-HIGH')"
 
 
@@ -42,7 +55,7 @@ def share(slot: str, i: int, spread: int) -> str:
 
 
 def player_id(slot: str) -> str:
-    return f"(o_custkey * 4 + {slot})"
+    return f"(case when {slot} > 4 then {FIRST_SUBSTITUTE} + o_custkey % {ROSTERS} * 32 + {slot} else o_custkey * 4 + {slot} end)"
 
 
 def minutes(slot: str) -> str:
@@ -92,6 +105,9 @@ def _player(endpoint: str, slot: str, text: str) -> str:
 def _box(endpoint: str, envelope: str, text: str, repeats: bool = False) -> str:
     def side(team: str, suffix: str, slots: tuple[str, ...]) -> str:
         players = "array(" + ", ".join(_player(endpoint, s, text) for s in slots) + ")"
+        first = 5 if "1" in slots else 6
+        substitutes = f"transform(sequence({first}, {PLAYERS}, 2), s -> {_player(endpoint, 's', text)})"
+        players = f"if({PLAYERS} < {first}, {players}, concat({players}, {substitutes}))"
         if repeats and "1" in slots:
             repeated = f"array({_player(endpoint, '1', text)})"
             players = f"if({REPEATED_PLAYER}, concat({players}, {repeated}), {players})"
@@ -149,7 +165,7 @@ def payloads_of(spark: SparkSession, sf_dir: str, repeats: bool = True) -> dict[
     """
     orders = table(spark, sf_dir, "orders")
     keys = [
-        "cast(trunc(o_orderdate, 'MM') as date) as game_date",
+        "cast(o_orderdate as date) as game_date",
         "lpad(cast(o_orderkey as string), 10, '0') as game_id",
     ]
     own = "struct(lpad(cast(o_orderkey as string), 10, '0') as gameId)"
@@ -167,6 +183,12 @@ def payloads_of(spark: SparkSession, sf_dir: str, repeats: bool = True) -> dict[
     people = table(spark, sf_dir, "customer").select(
         F.expr("explode(array(1, 2, 3, 4))").alias("slot"), "c_custkey", "c_mktsegment", "c_nationkey"
     )
+    # Those of the rosters that the orders name, which are no more than there are rosters.
+    rosters = orders.selectExpr(f"o_custkey % {ROSTERS} as roster").distinct()
+    substitutes = rosters.withColumn("slot", F.expr(f"explode(sequence(5, {MOST_PLAYERS}))")).selectExpr(
+        f"{FIRST_SUBSTITUTE} + roster * 32 + slot as PLAYER_ID", "'Substitute' as POSITION",
+        "concat('6-', slot) as HEIGHT", "cast(slot as string) as SEASON_EXP",
+    )
     return {
         "scoreboard": orders.selectExpr(keys[0], listed),
         "traditional": game(_box("traditional", S.TRADITIONAL_ENVELOPE, S.TRADITIONAL)),
@@ -178,26 +200,38 @@ def payloads_of(spark: SparkSession, sf_dir: str, repeats: bool = True) -> dict[
         "player_info": people.selectExpr(
             "c_custkey * 4 + slot as PLAYER_ID", "c_mktsegment as POSITION",
             "concat('6-', c_nationkey) as HEIGHT", "cast(c_nationkey + slot as string) as SEASON_EXP",
-        ),
+        ).unionByName(substitutes),
     }
 
 
+#: Endpoints that land by date; the others are about players.
+DATED = ("scoreboard", "traditional", "advanced", "usage", "four_factors", "live")
+
 _landings: dict[tuple[str, str], Landing] = {}
 _flat: dict[tuple[str, str], list[DataFrame]] = {}
 _loads: dict[tuple[str, str], tuple[Store, LoadResult]] = {}
 
 
 def landing_of(spark: SparkSession, sf_dir: str) -> Landing:
-    """The payloads written as JSON lines, once per session and folder of tables."""
+    """The payloads written as JSON lines in folders by date, once per session and folder of tables."""
     key = (spark.conf.get("spark.app.id"), sf_dir)
     if key not in _landings:
         root = scratch_folder(spark, "landing")
         for name, payload in payloads_of(spark, sf_dir).items():
-            payload.write.json(f"{root}/{name}")
+            if name in DATED:
+                write_by_date(payload, f"{root}/{name}")
+            else:
+                payload.write.json(f"{root}/{name}")
         _landings[key] = Landing(spark, root)
     return _landings[key]
 
 
+def write_by_date(payload: DataFrame, path: str) -> None:
+    """A folder per date; dates are dealt to tasks, so that a date is one file unless it is large."""
+    dealt = payload.repartition(payload.sparkSession.sparkContext.defaultParallelism, "game_date")
+    dealt.sortWithinPartitions("game_date").write.partitionBy("game_date").json(path)
+
+
 def flat_endpoints(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Flat rows of the five game endpoints, staged as parquet once per session and folder of tables.
 
@@ -224,7 +258,7 @@ def flat_endpoints(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 
 def loaded_store(spark: SparkSession, sf_dir: str) -> tuple[Store, LoadResult]:
-    """A store with all landed months loaded, once per session and folder of tables."""
+    """A store with all landed dates loaded, once per session and folder of tables."""
     key = (spark.conf.get("spark.app.id"), sf_dir)
     if key not in _loads:
         _loads[key] = load_all(spark, sf_dir)
@@ -233,27 +267,39 @@ def loaded_store(spark: SparkSession, sf_dir: str) -> tuple[Store, LoadResult]:
 
 def load_all(spark: SparkSession, sf_dir: str) -> tuple[Store, LoadResult]:
     landing = landing_of(spark, sf_dir)
-    store = Store(spark, scratch_folder(spark, "store"))
+    store = new_store(spark)
     build_player_dimension(store, landing.season_players(), landing.player_info(), INGESTED)
     return store, load_days(landing, store, FIRST_DAY, LAST_DAY, INGESTED, max_days=None)
 
 
+def new_store(spark: SparkSession) -> Store:
+    """A store whose log is a table of the session's catalog, under a name of its own."""
+    return Store(spark, scratch_folder(spark, "store"), f"player_game_log_{uuid.uuid4().hex}")
+
+
 # ---- the same rows in SQL ---------------------------------------------------
 
-MONTH_SQL = "cast(date_trunc('month', o_orderdate) as date)"
+DAY_SQL = "cast(o_orderdate as date)"
+SLOTS_SQL = f"unnest(generate_series(1, {MOST_PLAYERS})) as slots(slot)"
 BAD_SQL = (
     f"{SHORT_OFFICIALS} or {UNPLAYED_GAME} or {REPEATED_PLAYER} or {NEGATIVE_MINUTES} or {BROKEN_BOARD} or {UNIDENTIFIED_GAME}"
 )
 
 
 def _by_slot(home: str, away: str) -> str:
-    return f"case when slot <= 2 then {home} else {away} end"
+    return f"case when {at_home('slot')} then {home} else {away} end"
+
+
+def _points(slots: list[int]) -> str:
+    """Points of the slots that play, in SQL."""
+    return "(" + " + ".join(f"case when {s} <= {PLAYERS} then {whole(str(s), 17)} else 0 end" for s in slots) + ")"
 
 
 def columns_sql() -> dict[str, str]:
     """SQL per stored column, over orders, slot, customer and arenas."""
-    home_points = f"({whole('1', 17)} + {whole('2', 17)})"
-    away_points = f"({whole('3', 17)} + {whole('4', 17)})"
+    extra = range(5, MOST_PLAYERS + 1)
+    home_points = _points([1, 2, *extra[::2]])
+    away_points = _points([3, 4, *extra[1::2]])
     won = f"({home_points} > {away_points})"
     margin = f"({HOME_SCORE} - {AWAY_SCORE})"
     text = f"coalesce({minutes('slot')}, '0:00')"
@@ -265,10 +311,10 @@ def columns_sql() -> dict[str, str]:
         "PLAYER_NAME": f"case when slot = 2 then concat('First Family', {pid}) else concat('Player ', {pid}) end",
         "PLAYER_TEAM_ID": _by_slot(HOME_TEAM, AWAY_TEAM),
         "PLAYER_TEAM_TRICODE": f"concat('T', {_by_slot(HOME_TEAM, AWAY_TEAM)} - 1610612736)",
-        "HOME_FLAG": "slot <= 2",
+        "HOME_FLAG": at_home("slot"),
         "GAME_ID": "lpad(cast(o_orderkey as varchar), 10, '0')",
         "ROW_KEY": f"concat(lpad(cast(o_orderkey as varchar), 10, '0'), '_', {pid})",
-        "GAME_DATE": f"cast({MONTH_SQL} as varchar)",
+        "GAME_DATE": f"cast({DAY_SQL} as varchar)",
         "HOME_TEAM_ID": HOME_TEAM,
         "HOME_TEAM_TRICODE": f"concat('T', {HOME_TEAM} - 1610612736)",
         "HOME_TEAM_POINTS": HOME_SCORE,
@@ -278,15 +324,15 @@ def columns_sql() -> dict[str, str]:
         "POINT_MARGIN": _by_slot(margin, f"-{margin}"),
         "GAME_TOTAL_POINTS": f"{HOME_SCORE} + {AWAY_SCORE}",
         "HOME_TEAM_WIN_FLAG": won,
-        "PLAYER_TEAM_WIN_FLAG": f"(slot <= 2) = {won}",
+        "PLAYER_TEAM_WIN_FLAG": f"{at_home('slot')} = {won}",
         "GAME_STATUS": "o_orderpriority",
         "GAME_TIME_UTC": "concat(strftime(o_orderdate, '%Y-%m-%d'), 'T00:00:00Z')",
         "ARENA_NAME": "arena_name",
         "ARENA_CITY": "arena_city",
         "ARENA_STATE": "arena_state",
-        "POSITION": "c_mktsegment",
-        "HEIGHT": "concat('6-', c_nationkey)",
-        "EXP": "cast(c_nationkey + slot as varchar)",
+        "POSITION": "case when slot > 4 then 'Substitute' else c_mktsegment end",
+        "HEIGHT": "case when slot > 4 then concat('6-', slot) else concat('6-', c_nationkey) end",
+        "EXP": "cast(case when slot > 4 then slot else c_nationkey + slot end as varchar)",
         "minutes": text,
         "minutes_SECONDS": seconds,
         "DNP_FLAG": f"{seconds} = 0",
@@ -295,7 +341,7 @@ def columns_sql() -> dict[str, str]:
     sql |= statistics("traditional", "slot")
     sql |= {f"{n}_ADV": s for n, s in statistics("advanced", "slot").items()}
     sql |= {f"{n}_USAGE": s for n, s in statistics("usage", "slot").items()}
-    side = "(case when slot <= 2 then 1 else 2 end)"
+    side = f"(case when {at_home('slot')} then 1 else 2 end)"
     sql |= {f"{n}_TEAM": s for n, s in statistics("four_factors", side).items()}
     sql |= {f"REFEREE_{i}_ID": official_id(i) for i in (1, 2, 3)}
     sql |= {f"REFEREE_{i}_NAME": f"concat('Official ', {official_id(i)})" for i in (1, 2, 3)}
@@ -306,7 +352,7 @@ def columns_sql() -> dict[str, str]:
 
 
 def rows_sql(names: list[str] | None = None, where: str = "true") -> str:
-    """The stored rows of all months that pass, from the tables alone."""
+    """The stored rows of all dates that pass, from the tables alone."""
     from courtside.workload.matching import arenas_sql
 
     sql = columns_sql()
@@ -316,7 +362,7 @@ def rows_sql(names: list[str] | None = None, where: str = "true") -> str:
         kind = kinds.get(S.PLAYER_GAME[name].dataType.simpleString(), "varchar")
         shown.append(f"cast({sql[name]} as {kind}) as {name.lower()}")
     return f"""select {", ".join(shown)}
-from orders cross join (values (1), (2), (3), (4)) as slots(slot)
+from orders cross join {SLOTS_SQL}
 left join customer on o_custkey = c_custkey
 left join {arenas_sql()} on team_id = {HOME_TEAM}
-where {where} and {MONTH_SQL} not in (select {MONTH_SQL} from orders where {BAD_SQL})"""
+where slot <= {PLAYERS} and {where} and {DAY_SQL} not in (select {DAY_SQL} from orders where {BAD_SQL})"""

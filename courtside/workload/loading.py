@@ -19,27 +19,31 @@ from courtside.workload.landed import (
     BROKEN_BOARD,
     HOME_TEAM,
     INGESTED,
-    MONTH_SQL,
+    DAY_SQL,
     NEGATIVE_MINUTES,
+    PLAYERS,
     REPEATED_PLAYER,
     SHORT_OFFICIALS,
+    SLOTS_SQL,
     UNIDENTIFIED_GAME,
     UNPLAYED_GAME,
+    at_home,
     columns_sql,
     flat_endpoints,
     landing_of,
     loaded_store,
     load_all,
     minutes,
+    player_id,
     rows_sql,
 )
 from courtside.workload.matching import arenas_sql
 from courtside.workload.registry import plain, query, table
 
 
-def _monthly_orders(spark, sf_dir):
+def _daily_orders(spark, sf_dir):
     return table(spark, sf_dir, "orders").selectExpr(
-        "cast(trunc(o_orderdate, 'MM') as date) as GAME_DATE", "o_orderkey", "o_custkey", "o_orderstatus"
+        "cast(o_orderdate as date) as GAME_DATE", "o_orderkey", "o_custkey", "o_orderstatus"
     )
 
 
@@ -52,32 +56,36 @@ def _laid_out(rows):
 
 
 def _replaced(spark, sf_dir):
-    """All months written, then the months of 1996 replaced by their open orders."""
-    rows = _monthly_orders(spark, sf_dir)
-    path = scratch_folder(spark, "orders-by-month")
+    """All dates written, then the dates of 1996 replaced by their open orders."""
+    rows = _daily_orders(spark, sf_dir)
+    path = scratch_folder(spark, "orders-by-date")
     stores.replace_days(_laid_out(rows), path)
     again = rows.where("year(GAME_DATE) = 1996 and o_orderstatus = 'O'")
     stores.replace_days(_laid_out(again), path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
+#: Orders that are still there after the replacement; a date without an open order is not replaced.
+KEPT_ORDER_SQL = f"""(year(o_orderdate) <> 1996 or o_orderstatus = 'O'
+    or {DAY_SQL} not in (select {DAY_SQL} from orders where o_orderstatus = 'O'))"""
+
+
 @query(f"""
-select cast({MONTH_SQL} as varchar) as game_date, o_orderkey, o_custkey, o_orderstatus from orders
-where year(o_orderdate) <> 1996 or o_orderstatus = 'O'
+select cast({DAY_SQL} as varchar) as game_date, o_orderkey, o_custkey, o_orderstatus from orders where {KEPT_ORDER_SQL}
 """)
 def partition_replace(spark, sf_dir):
     return plain(_replaced(spark, sf_dir))
 
 
 @query(f"""
-select cast({MONTH_SQL} as varchar) as game_date, count(*) as expected_rows,
-       count(*) filter (where year(o_orderdate) <> 1996 or o_orderstatus = 'O') as stored_rows,
-       count(*) = count(*) filter (where year(o_orderdate) <> 1996 or o_orderstatus = 'O') as pass
-from orders group by {MONTH_SQL}
+select cast({DAY_SQL} as varchar) as game_date, count(*) as expected_rows,
+       count(*) filter (where {KEPT_ORDER_SQL}) as stored_rows,
+       count(*) = count(*) filter (where {KEPT_ORDER_SQL}) as pass
+from orders group by {DAY_SQL}
 """)
 def post_load_check(spark, sf_dir):
-    """Row counts per month after the replacement; the replaced months hold fewer than the source."""
-    return plain(gates.row_count_check(_counts(_monthly_orders(spark, sf_dir)), _replaced(spark, sf_dir)))
+    """Row counts per date after the replacement; the replaced dates hold fewer than the source."""
+    return plain(gates.row_count_check(_counts(_daily_orders(spark, sf_dir)), _replaced(spark, sf_dir)))
 
 
 SUPPLIERS = S.struct_of("""
@@ -135,12 +143,12 @@ def player_dimension_build(spark, sf_dir):
 
 
 @query(f"""
-select cast({MONTH_SQL} as varchar) as game_date, lpad(cast(o_orderkey as varchar), 10, '0') as game_id from orders
+select cast({DAY_SQL} as varchar) as game_date, lpad(cast(o_orderkey as varchar), 10, '0') as game_id from orders
 where not {BROKEN_BOARD}
 union all
-select cast({MONTH_SQL} as varchar), concat('9', o_orderkey) from orders where {UNPLAYED_GAME}
+select cast({DAY_SQL} as varchar), concat('9', o_orderkey) from orders where {UNPLAYED_GAME}
 union all
-select cast({MONTH_SQL} as varchar), null from orders where {UNIDENTIFIED_GAME}
+select cast({DAY_SQL} as varchar), null from orders where {UNIDENTIFIED_GAME}
 """)
 def scoreboard_games(spark, sf_dir):
     """Listed games of the boards that are not broken, unidentified ones too."""
@@ -158,17 +166,17 @@ def _stage_sql(*groups: list[str]) -> str:
     for name in dict.fromkeys(name for group in groups for name in group):
         kind = S.PLAYER_GAME[name].dataType.simpleString() if name in S.PLAYER_GAME.names else "string"
         shown.append(f"cast({sql[name]} as {KINDS.get(kind, 'varchar')}) as {name.lower()}")
-    return f"""select {", ".join(shown)} from orders cross join (values (1), (2), (3), (4)) as slots(slot)"""
+    return f"""select {", ".join(shown)} from orders cross join {SLOTS_SQL} where slot <= {PLAYERS}"""
 
 
 def _named(text: str, suffix: str = "") -> list[str]:
     return [f"{name}{suffix}" for name in S.struct_of(text).names]
 
 
-PLAYERS = [
+STAT_COLUMNS = [
     "GAME_DATE", "GAME_ID", "PLAYER_ID", "PLAYER_NAME", "PLAYER_TEAM_ID", "PLAYER_TEAM_TRICODE", "minutes", *_named(S.TRADITIONAL),
 ]
-BOXES = [*PLAYERS, "minutes_ADV", *_named(S.ADVANCED, "_ADV"), "minutes_USAGE", *_named(S.USAGE, "_USAGE")]
+BOXES = [*STAT_COLUMNS, "minutes_ADV", *_named(S.ADVANCED, "_ADV"), "minutes_USAGE", *_named(S.USAGE, "_USAGE")]
 FACTORS = _named(S.FOUR_FACTORS, "_TEAM")
 GAMES = [
     "GAME_STATUS", "GAME_TIME_UTC", "HOME_TEAM_ID", "HOME_TEAM_TRICODE", "HOME_TEAM_POINTS", "AWAY_TEAM_ID", "AWAY_TEAM_TRICODE",
@@ -185,19 +193,19 @@ def player_table(spark, sf_dir):
     return plain(A.player_table(traditional, advanced, usage))
 
 
-@query(_stage_sql(PLAYERS, FACTORS))
+@query(_stage_sql(STAT_COLUMNS, FACTORS))
 def team_context(spark, sf_dir):
     traditional, _, _, factors, _ = flat_endpoints(spark, sf_dir)
     return plain(A.with_team_context(payloads.as_player_team(traditional), factors))
 
 
-@query(_stage_sql(PLAYERS, GAMES))
+@query(_stage_sql(STAT_COLUMNS, GAMES))
 def game_metadata(spark, sf_dir):
     traditional, _, _, _, live = flat_endpoints(spark, sf_dir)
     return plain(A.with_game_metadata(payloads.as_player_team(traditional), live))
 
 
-@query(_stage_sql(PLAYERS, GAMES, FLAGS))
+@query(_stage_sql(STAT_COLUMNS, GAMES, FLAGS))
 def outcome_flags(spark, sf_dir):
     traditional, _, _, _, live = flat_endpoints(spark, sf_dir)
     return plain(A.with_outcome(A.with_game_metadata(payloads.as_player_team(traditional), live)))
@@ -211,16 +219,16 @@ def assembled_rows(spark, sf_dir):
 
 @query(rows_sql())
 def day_load(spark, sf_dir):
-    """A complete load of all landed months into a new store, read back with all its columns."""
+    """A complete load of all landed dates into a new store, read back with all its columns."""
     store, _ = load_all(spark, sf_dir)
     return plain(store.log())
 
 
 @query(f"""
-select cast({MONTH_SQL} as varchar) as game_date, case when bool_or({BAD_SQL}) then 'failed' else 'loaded' end as status,
-       case when bool_or({BAD_SQL}) then 0 else 4 * count(*) end as rows, '20260314052056' as load_batch_id,
-       cast(floor(date_diff('day', date '1990-01-01', {MONTH_SQL}) / 7) as integer) as batch_no
-from orders group by {MONTH_SQL}
+select cast({DAY_SQL} as varchar) as game_date, case when bool_or({BAD_SQL}) then 'failed' else 'loaded' end as status,
+       cast(case when bool_or({BAD_SQL}) then 0 else sum({PLAYERS}) end as bigint) as rows, '20260314052056' as load_batch_id,
+       cast(floor(date_diff('day', date '1990-01-01', {DAY_SQL}) / 7) as integer) as batch_no
+from orders group by {DAY_SQL}
 """)
 def load_ledger(spark, sf_dir):
     store, _ = loaded_store(spark, sf_dir)
@@ -228,14 +236,15 @@ def load_ledger(spark, sf_dir):
 
 
 @query(f"""
-with m as (select cast({MONTH_SQL} as varchar) as game_date, 4 * count(*) as n,
+with m as (select cast({DAY_SQL} as varchar) as game_date,
     count(*) filter (where {UNPLAYED_GAME}) as unplayed, count(*) filter (where {REPEATED_PLAYER}) as repeated,
     count(*) filter (where {BROKEN_BOARD}) as broken, count(*) filter (where {UNIDENTIFIED_GAME}) as unidentified,
-    count(*) filter (where {NEGATIVE_MINUTES}) as negative, 8 * count(*) filter (where {SHORT_OFFICIALS}) as nulls
-  from orders group by {MONTH_SQL}),
+    count(*) filter (where {NEGATIVE_MINUTES}) as negative, 2 * coalesce(sum({PLAYERS}) filter (where {SHORT_OFFICIALS}), 0) as nulls
+  from orders group by {DAY_SQL}),
 ok as (select * from m where unplayed + repeated + broken + unidentified = 0),
 g as (select game_date, 'scoreboard_payload' as gate, broken as bad_rows from m
   union all select game_date, 'unidentified_game', unidentified from m
+  union all select game_date, 'rejected_line', 0 from m
   union all select game_date, 'missing_game', unplayed from m
   union all select game_date, 'repeated_key', repeated from m
   union all select game_date, 'duplicate_row_key', 0 from ok
@@ -251,9 +260,9 @@ def load_gates(spark, sf_dir):
 
 
 @query(f"""
-select cast({MONTH_SQL} as varchar) as game_date, column_name, 4 * count(*) as null_rows
+select cast({DAY_SQL} as varchar) as game_date, column_name, cast(sum({PLAYERS}) as bigint) as null_rows
 from orders cross join (values ('REFEREE_3_ID'), ('REFEREE_3_NAME')) as c(column_name)
-where {SHORT_OFFICIALS} group by {MONTH_SQL}, column_name
+where {SHORT_OFFICIALS} group by {DAY_SQL}, column_name
 """)
 def load_null_columns(spark, sf_dir):
     """Why dates failed the null gate: the columns with nulls, per failed date."""
@@ -263,9 +272,9 @@ def load_null_columns(spark, sf_dir):
 
 @query(f"""
 select game_date, endpoint, key, cast(2 as bigint) as key_rows from (
-  select cast({MONTH_SQL} as varchar) as game_date, 'advanced' as endpoint,
+  select cast({DAY_SQL} as varchar) as game_date, 'advanced' as endpoint,
     concat(lpad(cast(o_orderkey as varchar), 10, '0'), ', ', o_custkey * 4 + 1, ', ', {HOME_TEAM}) as key,
-    row_number() over (partition by {MONTH_SQL} order by lpad(cast(o_orderkey as varchar), 10, '0')) as n
+    row_number() over (partition by {DAY_SQL} order by lpad(cast(o_orderkey as varchar), 10, '0')) as n
   from orders where {REPEATED_PLAYER}) r where n <= 5
 """)
 def load_repeated_keys(spark, sf_dir):
@@ -275,7 +284,7 @@ def load_repeated_keys(spark, sf_dir):
 
 
 @query(f"""
-select cast({MONTH_SQL} as varchar) as game_date, concat('9', o_orderkey) as game_id from orders where {UNPLAYED_GAME}
+select cast({DAY_SQL} as varchar) as game_date, concat('9', o_orderkey) as game_id from orders where {UNPLAYED_GAME}
 """)
 def load_missing_games(spark, sf_dir):
     """Listed games that no payload answers."""
@@ -284,7 +293,7 @@ def load_missing_games(spark, sf_dir):
 
 
 SEASON, SEASON_END, EXCLUDED = date(1996, 1, 1), date(2000, 12, 31), [date(1997, 2, 1), date(1998, 8, 3)]
-KEPT_SQL = f"select distinct {MONTH_SQL} as d from orders where {MONTH_SQL} not in (select {MONTH_SQL} from orders where {BAD_SQL})"
+KEPT_SQL = f"select distinct {DAY_SQL} as d from orders where {DAY_SQL} not in (select {DAY_SQL} from orders where {BAD_SQL})"
 
 
 def _health(spark, sf_dir):
@@ -293,10 +302,11 @@ def _health(spark, sf_dir):
 
 
 @query(f"""
-select cast({MONTH_SQL} as varchar) as game_date, 4 * count(*) as total_rows, 4 * count(*) as distinct_row_keys,
+select cast({DAY_SQL} as varchar) as game_date, cast(sum({PLAYERS}) as bigint) as total_rows,
+       cast(sum({PLAYERS}) as bigint) as distinct_row_keys,
        cast(0 as bigint) as duplicate_row_keys
-from orders where {MONTH_SQL} between date '{SEASON}' and date '{SEASON_END}' and {MONTH_SQL} in ({KEPT_SQL})
-group by {MONTH_SQL}
+from orders where {DAY_SQL} between date '{SEASON}' and date '{SEASON_END}' and {DAY_SQL} in ({KEPT_SQL})
+group by {DAY_SQL}
 """)
 def log_daily_status(spark, sf_dir):
     return plain(_health(spark, sf_dir).status)
@@ -311,26 +321,37 @@ def log_missing_days(spark, sf_dir):
     return plain(_health(spark, sf_dir).missing)
 
 
-AUDIT_DAY = date(1997, 3, 1)
+AUDIT_DAY = date(1997, 3, 14)
+SIDES_SQL = f"""select lpad(cast(o_orderkey as varchar), 10, '0') as game_id,
+    case when {at_home("slot")} then {HOME_TEAM} else {AWAY_TEAM} end as player_team_id
+  from orders cross join {SLOTS_SQL} where slot <= {PLAYERS} and {DAY_SQL} in ({KEPT_SQL}) and {DAY_SQL}"""
 
 
 @query(f"""
-select lpad(cast(o_orderkey as varchar), 10, '0') as game_id, team as player_team_id, cast(2 as bigint) as player_count
-from orders cross join unnest([{HOME_TEAM}, {AWAY_TEAM}]) as t(team)
-where {MONTH_SQL} between date '{SEASON}' and date '{SEASON_END}' and {MONTH_SQL} in ({KEPT_SQL})
+select game_id, player_team_id, count(*) as player_count from ({SIDES_SQL} between date '{SEASON}' and date '{SEASON_END}') s
+group by 1, 2 having count(*) < 5
 """)
 def log_low_player_teams(spark, sf_dir):
-    """The integrity audit over a range of stored dates; every derived team has two players."""
+    """The integrity audit over a range of stored dates; sides have two to seven players."""
     store, _ = loaded_store(spark, sf_dir)
     return plain(monitoring.game_integrity(store.log(), SEASON, SEASON_END).low_team_players)
 
 
 @query(f"""
-select lpad(cast(o_orderkey as varchar), 10, '0') as game_id, cast(4 as bigint) as total_players from orders
-where {MONTH_SQL} = date '{AUDIT_DAY}' and {MONTH_SQL} in ({KEPT_SQL})
+select game_id, count(*) as total_players from ({SIDES_SQL} between date '{SEASON}' and date '{SEASON_END}') s
+group by 1 having count(*) < 10
 """)
 def log_low_player_games(spark, sf_dir):
-    """The integrity audit of one stored date, which is how the audit runs day by day."""
+    """The same over games, which have four to fourteen players."""
+    store, _ = loaded_store(spark, sf_dir)
+    return plain(monitoring.game_integrity(store.log(), SEASON, SEASON_END).low_game_players)
+
+
+@query(f"""
+select game_id, count(*) as total_players from ({SIDES_SQL} = date '{AUDIT_DAY}') s group by 1 having count(*) < 10
+""")
+def log_low_player_day(spark, sf_dir):
+    """The audit of one stored date, which is how it runs day by day."""
     store, _ = loaded_store(spark, sf_dir)
     return plain(monitoring.game_integrity(store.log(), AUDIT_DAY).low_game_players)
 
@@ -338,11 +359,11 @@ def log_low_player_games(spark, sf_dir):
 @query(f"""
 select cast(max(d) as varchar) as last_game_date, '{SEASON_END}' as expected_latest,
        date_diff('day', max(d), date '{SEASON_END}') as days_behind,
-       4 * count(*) filter (where d <= date '{SEASON_END}') as total_rows,
-       count(*) filter (where d <= date '{SEASON_END}') as total_games,
-       4 * count(distinct o_custkey) filter (where d <= date '{SEASON_END}') as unique_players,
+       count(*) filter (where d <= date '{SEASON_END}') as total_rows,
+       count(distinct o_orderkey) filter (where d <= date '{SEASON_END}') as total_games,
+       count(distinct player) filter (where d <= date '{SEASON_END}') as unique_players,
        count(distinct d) filter (where d <= date '{SEASON_END}') as partition_count
-from (select {MONTH_SQL} as d, o_custkey from orders) t where d >= date '{SEASON}' and d in ({KEPT_SQL})
+from (select {DAY_SQL} as d, o_orderkey, {player_id("slot")} as player from orders cross join {SLOTS_SQL} where slot <= {PLAYERS}) t where d >= date '{SEASON}' and d in ({KEPT_SQL})
 """)
 def log_command_center(spark, sf_dir):
     store, _ = loaded_store(spark, sf_dir)
@@ -361,11 +382,11 @@ def export_and_read(spark, sf_dir):
 
 @query("""
 select o_orderstatus as status, count(*) as days, string_agg(cast(d as varchar), ',' order by d) as day_list
-from (select distinct o_orderstatus, cast(date_trunc('month', o_orderdate) as date) as d from orders) s group by 1
+from (select distinct o_orderstatus, cast(o_orderdate as date) as d from orders) s group by 1
 """)
 def ledger_summary(spark, sf_dir):
-    """Months by status, from a ledger that holds a month many times."""
-    ledger = _monthly_orders(spark, sf_dir).withColumnRenamed("o_orderstatus", "STATUS")
+    """Dates by status, from a ledger that holds a date many times."""
+    ledger = _daily_orders(spark, sf_dir).withColumnRenamed("o_orderstatus", "STATUS")
     return plain(audits.run_summary(ledger).withColumn("day_list", F.array_join("day_list", ",")))
 
 

@@ -9,7 +9,7 @@ from courtside.operators import payloads
 from courtside.operators.shape import fill_missing, lock_schema, stack
 from courtside.schema import box_score_schema, struct_of
 from courtside.sources.landing import season_player_ids
-from courtside.workload.registry import plain, query, table
+from courtside.workload.registry import dealt, plain, query, table
 
 ENVELOPE = "boxScoreTraditional"
 SMALL_BOX = box_score_schema(ENVELOPE, struct_of("points bigint\nplusMinusPoints double"))
@@ -32,7 +32,7 @@ from lineitem where l_linestatus = 'O'
 """)
 def flatten_players(spark, sf_dir):
     """A nested box score per line, as JSON text and back, flattened to its players."""
-    documents = table(spark, sf_dir, "lineitem").selectExpr(
+    documents = dealt(table(spark, sf_dir, "lineitem")).selectExpr(
         "to_date(l_shipdate) as game_date",
         "cast(l_orderkey as string) as game_id",
         """to_json(struct(struct(

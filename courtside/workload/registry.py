@@ -28,6 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """The rows dealt out evenly if they lie in fewer pieces than tasks can run, for work that costs far more than moving them."""
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks)
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Lower-case names, dates and UTC timestamps as text: the same on both engines."""
     shown = []

@@ -173,7 +173,7 @@ def test_broken_lines(spark, tmp_path):
         out.write('{"game_date": "2026-01-05", "game_id"\n')
     store = Store(spark, str(tmp_path / "store"))
     result = load_days(Landing(spark, root), store, "01/05/2026", "01/05/2026", NOW)
-    assert {r["gate"] for r in result.gates.where("not pass").collect()} == {"null_values"}
+    assert {r["gate"] for r in result.gates.where("not pass").collect()} == {"rejected_line"}
     with open(f"{root}/scoreboard/part.json", "a") as out:
         out.write("{broken\n")
     with pytest.raises(ValueError, match="1 scoreboard lines are malformed"):
