@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from courtside.llm.tables import ship, spread, staged, table
+from courtside.llm.plaintext import parts
+from courtside.llm.tables import columns_of, named, ship, spread, staged, table
 
 BUCKET_BYTES = 1 << 20
 MAX_DEPTH = 16
@@ -54,9 +55,9 @@ def _order(doc_id: int | None) -> tuple:
 def heads(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc, h, n): per batch and distinct text its smallest row, the text's hash and the rows it stands for."""
     rows = docs.select(
-        F.struct(*docs.columns).alias("doc"),
-        F.col(id_col).cast("long").alias("id"),
-        F.col(text_col).cast("string").alias("text"),
+        F.struct(*columns_of(docs)).alias("doc"),
+        named(id_col).cast("long").alias("id"),
+        named(text_col).cast("string").alias("text"),
     )
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,18 +92,19 @@ def digests(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            norms = [normalised(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(map(text_hash, norms), pa.int64()),
-                    pa.array([hashlib.sha256(x).hexdigest() for x in norms], pa.string()),
-                    pa.array(map(len, norms), pa.int64()),
-                ],
-                names=["doc_id", "h", "text_sha256", "size"],
-            )
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+            for part, texts in parts(batch, 1 << 20):
+                norms = [normalised(t) for t in texts]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        pa.array(map(text_hash, norms), pa.int64()),
+                        pa.array([hashlib.sha256(x).hexdigest() for x in norms], pa.string()),
+                        pa.array(map(len, norms), pa.int64()),
+                    ],
+                    names=["doc_id", "h", "text_sha256", "size"],
+                )
+
+    rows = docs.select(named(id_col).cast("long").alias("doc_id"), named(text_col).cast("string").alias("text"))
     return rows.mapInArrow(digest, "doc_id long, h long, text_sha256 string, size long")
 
 
@@ -196,7 +198,7 @@ def duplicates(
         yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows], schema=kind)
 
     kind = pa.schema([("text_sha256", pa.string()), ("keep_id", pa.int64()), ("group_size", pa.int64())])
-    own = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
+    own = docs.select(named(id_col).alias("i"), named(text_col).alias("t"))
     rows = staged(digests(own, "i", "t"), "digests")
     index = staged(
         _owned(own, rows, "i", "t", bucket_bytes).mapInArrow(

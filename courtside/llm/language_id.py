@@ -6,8 +6,9 @@ windows from end to end; the mean of their log-probabilities, weighted by their
 trained filters are tabled over byte pairs, which gives the same responses with far fewer operations.
 
 Training takes at most `PER_LANGUAGE` documents of each language, those with the smallest hash of their id, and
-`WINDOWS` windows of each, spread evenly over the text. Texts that are null or have no letter are `und` with score 0.
-An empty table gives no rows; without a labelled document in the training folds `train` raises ValueError.
+`WINDOWS` windows of each, spread evenly over the text; tasks cut them, and the driver gets these alone, some 200 KB a
+language. Texts that are null or have no letter are `und` with score 0.
+An empty table gives no rows; without a labelled document in the training folds every text is `und` with score 0.
 Rows that repeat an id are judged each by its own text.
 """
 
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from courtside.llm.plaintext import parts
-from courtside.llm.tables import crc_fold, ship, table
+from courtside.llm.tables import crc_fold, named, ship, table
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
@@ -90,7 +91,7 @@ class Scorer:
         return _log_softmax(hidden @ self.model.weights + self.model.bias)
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
-        known = [any(map(str.isalpha, t)) for t in texts]
+        known = [bool(self.model.languages) and any(map(str.isalpha, t)) for t in texts]
         cut = [windows(t.encode("utf-8", "surrogatepass")) if ok else None for t, ok in zip(texts, known, strict=True)]
         names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
         at = [k for k, ok in enumerate(known) if ok]
@@ -112,17 +113,17 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(1, keepdims=True))
 
 
-def train(texts: list[str], langs: list[str]) -> LanguageModel:
-    """Adam on the cross-entropy of the windows."""
-    rows, marks, languages = [], [], sorted(set(langs))
-    if not languages:
-        raise ValueError("no labelled texts to learn from")
-    for text, lang in zip(texts, langs, strict=True):
-        own = windows(text.encode("utf-8", "surrogatepass"))
-        own = own[np.unique(np.linspace(0, len(own) - 1, WINDOWS).astype(int))]
-        rows.append(own)
-        marks += [languages.index(lang)] * len(own)
-    x, y = np.concatenate(rows), np.array(marks)
+def sample(text: str) -> np.ndarray:
+    """The windows of a text that are learned from."""
+    own = windows(text.encode("utf-8", "surrogatepass"))
+    return own[np.unique(np.linspace(0, len(own) - 1, WINDOWS).astype(int))]
+
+
+def train(samples: list[np.ndarray], langs: list[str]) -> LanguageModel:
+    """Adam on the cross-entropy of the windows. Without samples the network knows no language."""
+    languages = sorted(set(langs))
+    x = np.concatenate([np.zeros((0, WINDOW), np.uint8), *samples])
+    y = np.array([languages.index(lang) for own, lang in zip(samples, langs, strict=True) for _ in own], np.int64)
     rng = np.random.default_rng(SEED)
     p = {"e": rng.normal(0, 0.3, (256, EMBED)), "w": rng.normal(0, 0.2, (len(WIDTHS) * FILTERS, len(languages))), "b": np.zeros(len(languages))}
     for k in WIDTHS:
@@ -130,7 +131,7 @@ def train(texts: list[str], langs: list[str]) -> LanguageModel:
     p = {k: v.astype(np.float32) for k, v in p.items()}
     first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
     step = 0
-    share = np.bincount(y, minlength=len(languages)) / len(y)
+    share = np.bincount(y, minlength=len(languages)) / max(1, len(y))
     for _ in range(EPOCHS):
         order = rng.permutation(len(x))
         for at in range(0, len(x), BATCH):
@@ -169,15 +170,18 @@ def _gradients(p: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, weight: n
     return {k: v.astype(np.float32) for k, v in grads.items()}
 
 
-def training_rows(docs: DataFrame, lang_col: str, per_language: int) -> DataFrame:
-    """At most so many rows of each language, those with the smallest hash of their id.
+def training_rows(
+    docs: DataFrame, lang_col: str, per_language: int, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(lang, text) of at most so many rows of each language, those with the smallest hash of their id.
 
     The hash up to which a language's rows are taken is found on ids alone, in 64 parts of a language first; so
     neither a language nor the texts of the others are gathered.
     """
-    rows = docs.where(F.col(lang_col).isNotNull() & (F.trim("text") != "")).select(
-        "doc_id", F.col(lang_col).alias("lang"), "text", F.xxhash64("doc_id").alias("mark")
+    rows = docs.select(
+        named(id_col).alias("doc_id"), named(lang_col).cast("string").alias("lang"), named(text_col).cast("string").alias("text")
     )
+    rows = rows.where(F.col("lang").isNotNull() & (F.trim("text") != "")).withColumn("mark", F.xxhash64("doc_id"))
     best = rows.select("lang", "mark", F.pmod("mark", F.lit(64)).alias("part"))
     for keys in (["lang", "part"], ["lang"]):
         best = _first(best, keys, per_language, "mark")
@@ -191,10 +195,21 @@ def _first(rows: DataFrame, keys: list[str], n: int, *order: str) -> DataFrame:
     return rows.withColumn("at", at).where(F.col("at") <= n).drop("at")
 
 
-def fit(docs: DataFrame, *, lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> LanguageModel:
-    rows = training_rows(docs, lang_col, per_language).collect()
-    rows.sort(key=lambda r: (r["lang"], r["text"]))
-    return train([r["text"] for r in rows], [r["lang"] for r in rows])
+def fit(
+    docs: DataFrame, *, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", per_language: int = PER_LANGUAGE
+) -> LanguageModel:
+    ship(docs.sparkSession)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, texts in parts(batch, 500_000):
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([sample(t).tobytes() for t in texts], pa.binary())], names=["lang", "windows"]
+                )
+
+    rows = training_rows(docs, lang_col, per_language, id_col, text_col).mapInArrow(cut, "lang string, windows binary").collect()
+    rows.sort(key=lambda r: (r["lang"], bytes(r["windows"])))
+    return train([np.frombuffer(r["windows"], np.uint8).reshape(-1, WINDOW) for r in rows], [r["lang"] for r in rows])
 
 
 def predicted(
@@ -213,7 +228,7 @@ def predicted(
                     names=["doc_id", "lang_pred", "score"],
                 )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(named(id_col).cast("long").alias("doc_id"), named(text_col).cast("string").alias("text"))
     return rows.mapInArrow(predict, "doc_id long, lang_pred string, score double").select(
         "doc_id",
         F.coalesce(crc_fold(F.col("doc_id"), folds) == held, F.lit(False)).alias("held_out"),

@@ -27,9 +27,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from courtside.llm.tables import runs, ship, staged, table
+from courtside.llm.tables import named, numbered, runs, ship, staged, table
 
 FAN = 8
 HEIGHT = 4
@@ -37,11 +36,6 @@ DIGEST = 32
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
-def named(column: str) -> Column:
-    """The column of exactly this name, whatever characters are in it."""
-    return F.col("`" + column.replace("`", "``") + "`")
-
-
 def framed(values: Sequence[Column]) -> Column:
     """Byte count, colon and value of each, `-` for null."""
     texts = [v.cast("string") for v in values]
@@ -154,26 +148,6 @@ def proof(path: str) -> str:
 # Tables ---------------------------------------------------------------------------------------------------------
 
 
-def numbered(rows: DataFrame, order: Sequence[str], group: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """The rows in a global order with `seq`, and per group and part of the order: first seq, rows before it in the group, rows of the group.
-
-    A row's number in its group is before + seq - first. The second table has a row for each part and at most one more for each group.
-    """
-    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = staged(placed.withColumn("seq", F.monotonically_increasing_id()), "ordered")
-    sizes = placed.groupBy(*group, F.shiftrightunsigned("seq", 33).alias("part")).agg(
-        F.count("*").alias("rows"), F.min("seq").alias("first")
-    )
-    by_part = Window.partitionBy(*group).orderBy("part")
-    return placed, sizes.select(
-        *group,
-        "part",
-        "first",
-        (F.sum("rows").over(by_part) - F.col("rows")).alias("before"),
-        F.sum("rows").over(Window.partitionBy(*group)).alias("n"),
-    )
-
-
 def _build(nodes: DataFrame, levels: int) -> DataFrame:
     """Blocks of so many levels of runs of nodes (tree, rank, n, leaf, and what goes along: id, known, claim)."""
 

@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from courtside.llm.tables import staged, table
+from courtside.llm.tables import columns_of, named, numbered, staged, table
 
 PERIOD = 1000
 BLOCK_ROWS = 64
+#: The order of the mixture; rows of sources without a weight come last.
+ORDER = ["late", "slot", "block", "offset", "source_key"]
 
 
 def source_weights(rows: DataFrame, weights: dict[str, int] | None = None) -> DataFrame:
@@ -118,9 +120,9 @@ def scheduled(
     (slot, offset) is the order of the mixture. Sources without a given weight have no slot and come last.
     """
     rows = docs.select(
-        F.struct(*docs.columns).alias("doc"),
-        F.col(id_col).alias("id"),
-        F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("n")).alias("source_key"),
+        F.struct(*columns_of(docs)).alias("doc"),
+        named(id_col).alias("id"),
+        F.coalesce(F.concat(F.lit("s"), named(source_col).cast("string")), F.lit("n")).alias("source_key"),
     )
     plan = staged(period(source_weights(rows.select("source_key"), weights)), "period")
     sources = plan.select("source_key", "w", "total").distinct()
@@ -146,7 +148,23 @@ def scheduled(
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """All rows, with their columns, in the order of the mixture."""
-    return scheduled(docs, **options).orderBy(F.col("slot").asc_nulls_last(), "offset", "source_key").select("doc.*")
+    return _timed(docs, **options).orderBy(*ORDER).select("doc.*")
+
+
+def _timed(docs: DataFrame, **options) -> DataFrame:
+    rows = scheduled(docs, **options).select("doc", "slot", "block", "offset", "source_key")
+    return rows.withColumn("late", F.col("slot").isNull())
+
+
+def placed(docs: DataFrame, **options) -> DataFrame:
+    """(doc, place): doc holds all columns of a row, place is its number in the mixture, from 0.
+
+    The schedule follows from ids, sources and counts alone, so it does not matter how the rows of a mixture were stored.
+    """
+    rows, parts = numbered(_timed(docs, **options), ORDER, [])
+    return rows.join(parts, F.shiftrightunsigned("seq", 33) == F.col("part")).select(
+        "doc", (F.col("before") + F.col("seq") - F.col("first")).alias("place")
+    )
 
 
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

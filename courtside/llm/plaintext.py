@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Printable ASCII, tab, line feed, carriage return, and the printable upper half of Latin-1 without the soft hyphen.
 PLAIN_BYTES = bytes([9, 10, 13, *range(32, 127), *range(161, 173), *range(174, 256)])
@@ -18,14 +20,21 @@ def is_plain(text: str) -> bool:
         return False
 
 
-def parts(batch: pa.RecordBatch, chars: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Pieces of a batch of (id, text) with about so many characters, or a single row; null texts are empty."""
-    texts, start, held = [t or "" for t in batch.column(1).to_pylist()], 0, 0
-    for i, text in enumerate(texts):
-        held += len(text)
-        if held >= chars or i + 1 == len(texts):
-            yield batch.slice(start, i + 1 - start), texts[start : i + 1]
-            start, held = i + 1, 0
+def cuts(column: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    """(start, end) of pieces of a text column with at most so many bytes, or of a single text."""
+    ends, start = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)), 0
+    while start < len(column):
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield start, end
+        start = end
+
+
+def parts(batch: pa.RecordBatch, size: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Pieces of a batch of (id, text, ...) with at most so many bytes of text, or a single row; null texts are empty."""
+    for start, end in cuts(batch.column(1), size):
+        part = batch.slice(start, end - start)
+        yield part, [t or "" for t in part.column(1).to_pylist()]
 
 
 def byte_alphabet() -> dict[int, str]:

@@ -2,13 +2,13 @@
 
 Each text becomes `NAMES` statistics of its bytes, words and lines. They are standardised, cut at `CLIP`
 deviations and mapped by random cosines, whose inner products approximate a Gaussian kernel. Every partition of
-labelled rows sums its part of the normal equations; the driver adds `SUMS` such sums of fixed size and solves.
+labelled rows sums its part of the normal equations, `SUMS` tasks add these up, and the driver solves.
 Ridge scores of the labelled rows are counted in `BINS` bins with their labels, and a monotone fit
 over the bins turns a score into a probability. All labelled rows of the training folds are used.
 
 Null and empty texts have the statistics of no words and get a score like any text; an empty table gives
 no rows; rows that repeat an id are scored each by its own text. Labels that are null, or whose id is null, are
-left out of the fit. Without a label of both kinds there is nothing to learn and `fit` raises ValueError.
+left out of the fit. Without a label of both kinds there is nothing to learn, and every score is 0.5, so that nothing is rejected.
 """
 
 from __future__ import annotations
@@ -21,15 +21,18 @@ from operator import eq
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm.tables import crc_fold, ship, staged, table
+from courtside.llm.plaintext import cuts, parts
+from courtside.llm.tables import columns_of, crc_fold, named, ship, staged, table
 
 COSINES = 256
 RIDGE = 1e-3
 CLIP = 4.0
 SUMS = 16
+PIECE = 1 << 20
 BINS = 512
 SEED = 7
 
@@ -117,30 +120,45 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [statistics(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.list_(pa.float64()))], names=["doc_id", "stats"]
-            )
+            for part, texts in parts(batch, PIECE):
+                found = [statistics(t) for t in texts]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(found, pa.list_(pa.float64()))], names=["doc_id", "stats"]
+                )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(named(id_col).cast("long").alias("doc_id"), named(text_col).cast("string").alias("text"))
     return rows.mapInArrow(measure, "doc_id long, stats array<double>")
 
 
-def _summed(rows: DataFrame, part) -> np.ndarray:
-    """The sum over all partitions of an array of fixed size that `part` makes of (stats, labels)."""
+def _summed(rows: DataFrame, part) -> np.ndarray | None:
+    """The sum over all partitions of an array of fixed size that `part` makes of (stats, labels); None without rows."""
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = 0.0
+        total = None
         for batch in batches:
             if len(batch):
-                total = total + part(np.stack(batch["stats"]), batch["y"].to_numpy(np.float64))
-        if not np.isscalar(total):
+                own = part(np.stack(batch["stats"]), batch["y"].to_numpy(np.float64))
+                total = own if total is None else total + own
+        if total is not None:
             yield pd.DataFrame({"total": [total.tobytes()]})
 
-    found = rows.repartition(SUMS).mapInPandas(add, "total binary").collect()
-    if not found:
-        raise ValueError("no labelled rows to learn from")
-    return np.sum([np.frombuffer(r.total) for r in found], axis=0)
+    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = None
+        for batch in batches:
+            for raw in batch["total"]:
+                total = np.frombuffer(raw) if total is None else total + np.frombuffer(raw)
+        if total is not None:
+            yield pd.DataFrame({"total": [total.tobytes()]})
+
+    found = rows.mapInPandas(add, "total binary").repartition(SUMS).mapInPandas(add_up, "total binary").collect()
+    return np.sum([np.frombuffer(r.total) for r in found], axis=0) if found else None
+
+
+def constant(value: float) -> QualityModel:
+    """Gives every text the same score."""
+    d = len(NAMES)
+    weights = np.zeros(COSINES + 1)
+    return QualityModel(np.zeros(d), np.ones(d), np.zeros((d, COSINES)), np.zeros(COSINES), weights, np.zeros(1), np.full(1, value))
 
 
 def fit(stats: DataFrame, labels: DataFrame) -> QualityModel:
@@ -148,9 +166,9 @@ def fit(stats: DataFrame, labels: DataFrame) -> QualityModel:
     rows = staged(stats.join(labels.where("y is not null"), "doc_id").select("stats", F.col("y").cast("double")), "training")
     d = len(NAMES)
     sums = _summed(rows, lambda x, y: np.concatenate([x.sum(0), (x * x).sum(0), [len(x), y.sum()]]))
-    n, ones = sums[-2:]
+    n, ones = sums[-2:] if sums is not None else (0, 0)
     if not 0 < ones < n:
-        raise ValueError("labels of both kinds are needed")
+        return constant(0.5)
     mean = sums[:d] / n
     scale = np.sqrt(np.maximum(sums[d : 2 * d] / n - mean**2, 1e-12)) + 1e-6
     rng = np.random.default_rng(SEED)
@@ -204,17 +222,20 @@ def scored(stats: DataFrame, model: QualityModel, threshold: float = 0.5, folds:
 
 
 def accepted(docs: DataFrame, model: QualityModel, *, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """The rows, with all their columns, whose text reaches the threshold."""
+    """The rows, with all their columns, whose text reaches the threshold. A row's text travels once, within the row."""
     ship(docs.sparkSession)
-    rows = docs.select(F.col(text_col).cast("string").alias("text"), F.struct(*docs.columns).alias("doc"))
+    rows, at = docs.select(F.struct(*columns_of(docs)).alias("doc")), docs.columns.index(text_col)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [statistics(t) for t in batch.column(0).to_pylist()]
-            if found:
-                yield batch.select(["doc"]).filter(pa.array(model.score(np.stack(found)) >= threshold))
-
-    return rows.mapInArrow(keep, rows.select("doc").schema).select("doc.*")
+            texts = pc.struct_field(batch.column(0), [at]).cast(pa.string())
+            for start, end in cuts(texts, PIECE):
+                found = [statistics(t) for t in texts.slice(start, end - start).to_pylist()]
+                good = model.score(np.stack(found)) >= threshold
+                if good.any():
+                    yield batch.slice(start, end - start).filter(pa.array(good))
+
+    return rows.mapInArrow(keep, rows.schema).select("doc.*")
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from courtside.session import scratch_folder
 
@@ -28,6 +29,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def named(column: str) -> Column:
+    """The column of exactly this name, whatever characters are in it."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    return [named(c) for c in df.columns]
+
+
 def staged(df: DataFrame, purpose: str, partition_by: Iterable[str] = ()) -> DataFrame:
     """The rows written to the shared folder and read again: a cut in the lineage that survives lost executors."""
     path = scratch_folder(df.sparkSession, purpose)
@@ -69,6 +79,26 @@ def _joined(parts: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
     return parts[0] if len(parts) == 1 else {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
 
 
+def numbered(rows: DataFrame, order: Sequence[str | Column], group: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows in a global order with `seq`, and per group and part of the order: first seq, rows before it in the group, rows of the group.
+
+    A row's number in its group is before + seq - first. The second table has a row for each part and at most one more for each group.
+    """
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = staged(placed.withColumn("seq", F.monotonically_increasing_id()), "ordered")
+    sizes = placed.groupBy(*group, F.shiftrightunsigned("seq", 33).alias("part")).agg(
+        F.count("*").alias("rows"), F.min("seq").alias("first")
+    )
+    by_part = Window.partitionBy(*group).orderBy("part")
+    return placed, sizes.select(
+        *group,
+        "part",
+        "first",
+        (F.sum("rows").over(by_part) - F.col("rows")).alias("before"),
+        F.sum("rows").over(Window.partitionBy(*group)).alias("n"),
+    )
+
+
 def crc_fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo the number of folds; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds

@@ -1,18 +1,20 @@
 """Toxicity by weak supervision: voters, a generative label model, a linear classifier on its posteriors.
 
-Every voter looks at a whole text and votes or abstains: one for each term of the lexicons, and patterns (masked
-spelling, address followed by an insult, shouting, runs of exclamation marks, and the absence of all insults).
+Every voter looks at a whole text and votes or abstains: one for each term of the lexicons, patterns (masked
+spelling, address followed by an insult, shouting, runs of exclamation marks, and the absence of all insults), and voters induced from
+the given labels: words and beginnings of words that toxic training texts hold far more often than the others, up to `INDUCED` of them.
 A voter that abstains says nothing. The label model takes each
 voter's chance of voting on toxic and on other texts and the prior, and estimates them by expectation maximisation over the
 counts of vote patterns; given labels of the training folds are one more voter, of fixed reliability `GIVEN`. Pairs of voters whose votes go together more than the model explains are correlated;
 a voter's evidence is divided by one plus its correlations, so that voters that say the same thing count once.
 
-The posteriors of a bounded sample of training rows are the soft labels of a logistic classifier over hashed words and
-votes: at most `PER_SIDE` rows on either side of one half, those with the smallest hash of their id. Each weighs as many rows
+The posteriors of a bounded sample of training rows, given labels included, are the soft labels of a logistic classifier over hashed words,
+their beginnings and votes: at most `PER_SIDE` rows on either side of one half, those with the smallest hash of their id. Each weighs as many rows
 as it stands for, so that the two sides have their shares of the training folds at every size. Vote statistics
-are over all rows of the training folds.
+are over all rows of the training folds; voters are induced from at most `PER_SIDE` rows of each label, chosen the same way.
 
-Null and empty texts have no votes and no words and get the score of the intercept. An empty table gives no rows. Rows that
+Null and empty texts have no votes and no words and get the score of the intercept. An empty table gives no rows. Without any training row
+there is nothing to learn, and every score is 0; without labels no voters are induced. Rows that
 repeat an id are scored each by its own text. Labels that are null are as good as no labels.
 """
 
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import dataclasses
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,14 +45,17 @@ LEXICON = {
 }
 TERMS = sorted({w for words in LEXICON.values() for w in words.split()})
 PATTERNS = ("masked", "address", "shouting", "exclaiming", "silent")
-VOTERS = (*TERMS, *PATTERNS)
+FIXED = (*TERMS, *PATTERNS)
 
 #: Chances of label 1 on other and on toxic texts.
 GIVEN = (0.02, 0.9)
-HASHED = 1 << 15
-PER_SIDE = 4000
+HASHED = 1 << 17
+PER_SIDE = 3000
 ROUNDS = 25
-STEPS = 500
+STEPS = 200
+#: Lengths of the beginnings of words, and what an induced voter needs: toxic texts that hold it, and how many times their share that of others.
+BEGINNINGS = (4, 6)
+INDUCED, SUPPORT, RATIO = 200, 4, 20.0
 CACHED_WORDS = 300_000
 FLOOR = 1e-4
 SEED = 3
@@ -58,54 +64,114 @@ _WORD = re.compile(r"[^\W\d_]+")
 _MASKED = re.compile(r"\b\w*[0-9@$!*]\w*[\w]")
 _PLAIN = str.maketrans("013457@$!*", "oieastasi ")
 _ADDRESS = re.compile(r"\byou(?:'re| are)?(?: such)?(?: an?| the)? (\w+)")
-_PLACE = {t: k for k, t in enumerate(VOTERS)}
 _TERM_SET = frozenset(TERMS)
 
 
-class _Places(dict):
-    """The hashed column of a word."""
+def pieces_of(word: str) -> list[str]:
+    """The word, and its beginnings, which end in a mark."""
+    return [word, *(word[:k] + "*" for k in BEGINNINGS if len(word) > k)]
 
-    def __missing__(self, word: str) -> int:
+
+class _Kept(dict):
+    """Values by word, made when first asked for; bounded."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, word: str):
         if len(self) >= CACHED_WORDS:
             self.clear()
-        place = self[word] = xxhash.xxh3_64_intdigest(word) % HASHED
-        return place
-
-
-def votes(text: str, words: set[str]) -> list[int]:
-    """The voters that speak up, given the lower-case words of a text; `silent` does where no insult was found."""
-    low = text.lower()
-    found = [_PLACE[t] for t in words & _TERM_SET]
-    if any(c in low for c in "013457@$!*") and any(
-        m.translate(_PLAIN).replace(" ", "") in _TERM_SET for m in _MASKED.findall(low)
-    ):
-        found.append(_PLACE["masked"])
-    if "you" in low and any(w in _TERM_SET for w in _ADDRESS.findall(low)):
-        found.append(_PLACE["address"])
-    if not found:
-        found.append(_PLACE["silent"])
-    upper = sum(map(str.isupper, text))
-    if upper > 20 and 2 * upper > sum(map(str.isalpha, text)):
-        found.append(_PLACE["shouting"])
-    if low.count("!") * 50 > len(low):
-        found.append(_PLACE["exclaiming"])
-    return sorted(found)
-
+        value = self[word] = self.make(word)
+        return value
+
+
+def _columns(word: str) -> list[int]:
+    return [xxhash.xxh3_64_intdigest(piece) % HASHED for piece in pieces_of(word)]
+
+
+class Voters:
+    """The fixed voters and the induced ones, which are pieces of words."""
+
+    def __init__(self, induced: tuple[str, ...] = ()):
+        self.names = (*FIXED, *induced)
+        self.place = {name: k for k, name in enumerate(self.names)}
+        self.of_piece = {piece: len(FIXED) + k for k, piece in enumerate(induced)}
+        self._make_cache()
+
+    def _make_cache(self) -> None:
+        self.of_word = _Kept(lambda word: [self.of_piece[p] for p in pieces_of(word) if p in self.of_piece])
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "of_word"}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self._make_cache()
+
+    def votes(self, text: str, words: set[str]) -> list[int]:
+        """The voters that speak up, given the lower-case words of a text; `silent` does where no insult was found."""
+        low = text.lower()
+        found = {self.place[t] for t in words & _TERM_SET}
+        if any(c in low for c in "013457@$!*") and any(
+            m.translate(_PLAIN).replace(" ", "") in _TERM_SET for m in _MASKED.findall(low)
+        ):
+            found.add(self.place["masked"])
+        if "you" in low and any(w in _TERM_SET for w in _ADDRESS.findall(low)):
+            found.add(self.place["address"])
+        for word in words:
+            found.update(self.of_word[word])
+        if not found:
+            found.add(self.place["silent"])
+        upper = sum(map(str.isupper, text))
+        if upper > 20 and 2 * upper > sum(map(str.isalpha, text)):
+            found.add(self.place["shouting"])
+        if low.count("!") * 50 > len(low):
+            found.add(self.place["exclaiming"])
+        return sorted(found)
+
+
+def words_of(text: str) -> set[str]:
+    return set(_WORD.findall(text.lower()))
+
+
+def induced(docs: DataFrame, labels: DataFrame, per_side: int = PER_SIDE) -> Voters:
+    """The voters, with those that labelled texts teach; docs: doc_id, text; labels: doc_id, y."""
+    mark = F.xxhash64("doc_id")
+    sides = [labels.where(F.col("y") == y).orderBy(mark, "doc_id").limit(per_side) for y in (1, 0)]
+    chosen = staged(sides[0].unionByName(sides[1]).select("doc_id", "y"), "labelled")
+    totals = {r["y"]: r["n"] for r in chosen.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    if not totals.get(1) or not totals.get(0):
+        return Voters()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, texts in parts(batch, 1_000_000):
+                found: tuple[Counter, Counter] = (Counter(), Counter())
+                for text, y in zip(texts, part.column(2).to_pylist(), strict=True):
+                    found[y].update({piece for word in words_of(text) for piece in pieces_of(word)})
+                names = sorted(found[0].keys() | found[1].keys())
+                yield pa.RecordBatch.from_pydict(
+                    {"piece": pa.array(names, pa.string()), "toxic": [found[1][n] for n in names], "other": [found[0][n] for n in names]}
+                )
 
-def features(text: str, places: dict[str, int]) -> tuple[list[int], list[int]]:
-    """Votes, and the hashed columns of the distinct words."""
-    words = set(_WORD.findall(text.lower()))
-    return votes(text, words), list({places[w] for w in words})
+    texts = docs.join(chosen, "doc_id").select("doc_id", "text", F.col("y").cast("int").alias("y"))
+    sums = texts.mapInArrow(count, "piece string, toxic long, other long").groupBy("piece").agg(
+        F.sum("toxic").alias("toxic"), F.sum("other").alias("other")
+    )
+    share, rest = ((F.col(c) + 0.5) / (totals[y] + 1) for c, y in (("toxic", 1), ("other", 0)))
+    best = sums.where(F.col("toxic") >= SUPPORT).withColumn("ratio", share / rest).where(F.col("ratio") >= RATIO)
+    best = best.orderBy((F.col("toxic") * F.log("ratio")).desc(), "piece").limit(INDUCED)
+    return Voters(tuple(r["piece"] for r in best.collect() if r["piece"] not in _TERM_SET))
 
 
-def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def measured(docs: DataFrame, voters: Voters, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id and votes."""
     ship(docs.sparkSession)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in parts(batch, 1_000_000):
-                found = [votes(t, set(_WORD.findall(t.lower()))) for t in texts]
+                found = [voters.votes(t, words_of(t)) for t in texts]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "votes"]
                 )
@@ -146,51 +212,54 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def label_model(votes_and_labels: DataFrame) -> LabelModel:
+def label_model(votes_and_labels: DataFrame, voters: Voters) -> LabelModel:
     """votes_and_labels: votes, y (0, 1 or null). Counts of equal rows are made once; each round sums over them in parts."""
-    v = len(VOTERS)
+    v = len(voters.names)
     patterns = staged(
         votes_and_labels.select("votes", F.coalesce(F.col("y").cast("int"), F.lit(-1)).alias("y"))
         .groupBy("votes", "y").agg(F.count("*").alias("n")),
         "votes",
     )
     start = np.vstack([np.full(v, 0.01), np.full(v, 0.2)])
-    start[:, [_PLACE["shouting"], _PLACE["exclaiming"]]] = 0.05
-    start[:, _PLACE["silent"]] = 0.95, 0.2
+    start[:, [voters.place["shouting"], voters.place["exclaiming"]]] = 0.05
+    start[:, voters.place["silent"]] = 0.95, 0.2
     model = LabelModel(start, np.array(GIVEN), 0.1, np.ones(v))
 
-    def totals(use: LabelModel) -> np.ndarray:
-        """Per side: rows, votes by voter; then votes by pairs of voters."""
+    def totals(use: LabelModel, pairs: bool) -> np.ndarray:
+        """Per side: rows, votes by voter; then, if asked for, votes by pairs of voters."""
+        size = 2 * (v + 1) + 2 * v * v * pairs
 
         def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            total = np.zeros(2 * (v + 1) + 2 * v * v)
+            total = np.zeros(size)
             for batch in batches:
                 cast, y, n = _matrix(batch["votes"].tolist(), v), batch["y"].to_numpy(), batch["n"].to_numpy()
                 p = _sigmoid(use.log_odds(cast, y))
-                sides, pairs = [], []
+                sides, joint = [], []
                 for share in ((1 - p) * n, p * n):
                     sides.append(np.concatenate([[share.sum()], share @ cast]))
-                    pairs.append(((cast * share[:, None]).T @ cast).ravel())
-                total += np.concatenate([*sides, *pairs])
+                    if pairs:
+                        joint.append(((cast * share[:, None]).T @ cast).ravel())
+                total += np.concatenate([*sides, *joint])
             yield pd.DataFrame({"total": [total.tobytes()]})
 
         rows = patterns.mapInPandas(add, "total binary").collect()
-        return np.sum([np.frombuffer(r.total) for r in rows], axis=0) if rows else np.zeros(2 * (v + 1) + 2 * v * v)
+        return np.sum([np.frombuffer(r.total) for r in rows], axis=0) if rows else np.zeros(size)
 
     for k in range(ROUNDS):
-        sums = totals(model)
+        half = k == ROUNDS // 2
+        sums = totals(model, half)
         sides = sums[: 2 * (v + 1)].reshape(2, v + 1)
         n = sides[:, :1]
         if not n.sum():
-            raise ValueError("no rows to learn from")
+            return model
         chances = np.clip((sides[:, 1:] + [[0.001], [0.01]]) / (n + 1), FLOOR, 1 - FLOOR)
         weights = model.weights
-        if k == ROUNDS // 2:
+        if half:
             weights = 1 / (1 + _correlations(sums[2 * (v + 1) :].reshape(2, v, v), chances, n.ravel()))
         new = LabelModel(chances, model.gold, float(np.clip(n[1, 0] / n.sum(), 0.001, 0.5)), weights)
-        settled = np.abs(new.chances - model.chances).max() < 1e-5 and k > ROUNDS // 2
+        settled = np.abs(new.chances - model.chances).max() < 1e-4
         model = new
-        if settled:
+        if settled and k > ROUNDS // 2:
             break
     return model
 
@@ -208,61 +277,86 @@ def _correlations(pairs: np.ndarray, chances: np.ndarray, n: np.ndarray) -> np.n
 
 @dataclasses.dataclass(frozen=True)
 class ToxicityModel:
+    voters: Voters
     words: np.ndarray
     votes: np.ndarray
     bias: float
 
-    def score(self, found: list[tuple[list[int], list[int]]]) -> np.ndarray:
-        raw = [
-            self.bias + self.votes[cast].sum() + (self.words[at].sum() / np.sqrt(len(at)) if at else 0.0)
-            for cast, at in found
-        ]
-        return _sigmoid(np.array(raw, np.float64))
+    def scorer(self):
+        """Scores texts; keeps the weights of the words it has met."""
+
+        def weigh(word: str) -> tuple[float, int]:
+            at = _columns(word)
+            return float(self.words[at].sum()), len(at)
+
+        kept = _Kept(weigh)
+
+        def score(texts: list[str]) -> np.ndarray:
+            raw = np.empty(len(texts))
+            for k, text in enumerate(texts):
+                words = words_of(text)
+                total = count = 0
+                for word in words:
+                    value, n = kept[word]
+                    total += value
+                    count += n
+                raw[k] = self.bias + self.votes[self.voters.votes(text, words)].sum() + (total / count**0.5 if count else 0.0)
+            return np.where(np.isneginf(raw), 0.0, _sigmoid(raw))
+
+        return score
 
 
 def train(
-    found: list[tuple[list[int], list[int]]], target: np.ndarray, weight: np.ndarray | None = None
+    found: list[tuple[list[int], list[int]]], target: np.ndarray, voters: Voters, weight: np.ndarray | None = None
 ) -> ToxicityModel:
     """Logistic regression on soft labels by Adam, with shrinkage that is stronger for words than for votes.
 
-    weight: how many rows each row stands for; one if not given.
+    found: votes and columns of each row; weight: how many rows each stands for, one if not given. Without rows every score is 0.
     """
+    v = len(voters.names)
+    if not found:
+        return ToxicityModel(voters, np.zeros(HASHED), np.zeros(v), -np.inf)
     weight = np.ones(len(found)) if weight is None else weight
     share = weight / weight.sum()
-    rows = np.repeat(np.arange(len(found)), [len(at) for _, at in found])
-    columns = np.fromiter((c for _, at in found for c in at), np.int64, len(rows))
-    values = np.repeat([1 / np.sqrt(max(1, len(at))) for _, at in found], [len(at) for _, at in found])
-    cast = _matrix([c for c, _ in found], len(VOTERS))
-    p = np.zeros(HASHED + len(VOTERS) + 1)
-    shrink = np.concatenate([np.full(HASHED, 3e-3), np.full(len(VOTERS), 1e-5), [0.0]])
+    counts = np.array([len(at) for _, at in found])
+    rows = np.repeat(np.arange(len(found)), counts)
+    columns = np.concatenate([np.asarray(at, np.int64) for _, at in found])
+    used, columns = np.unique(columns, return_inverse=True)
+    values = np.repeat(1 / np.sqrt(np.maximum(1, counts)), counts)
+    cast = _matrix([c for c, _ in found], v)
+    h = len(used)
+    p = np.zeros(h + v + 1)
+    shrink = np.concatenate([np.full(h, 1e-3), np.full(v, 1e-5), [0.0]])
     first, second = np.zeros_like(p), np.zeros_like(p)
     for k in range(1, STEPS + 1):
-        raw = np.bincount(rows, values * p[columns], len(found)) + cast @ p[HASHED:-1] + p[-1]
+        raw = np.bincount(rows, values * p[columns], len(found)) + cast @ p[h:-1] + p[-1]
         slope = (_sigmoid(raw) - target) * share
-        g = np.concatenate(
-            [np.bincount(columns, values * slope[rows], HASHED), slope @ cast, [slope.sum()]]
-        ) + shrink * p
+        g = np.concatenate([np.bincount(columns, values * slope[rows], h), slope @ cast, [slope.sum()]]) + shrink * p
         first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
         p -= 0.1 * (first / (1 - 0.9**k)) / (np.sqrt(second / (1 - 0.999**k)) + 1e-8)
-    return ToxicityModel(p[:HASHED], p[HASHED:-1], float(p[-1]))
+    words = np.zeros(HASHED)
+    words[used] = p[:h]
+    return ToxicityModel(voters, words, p[h:-1], float(p[-1]))
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", per_side: int = PER_SIDE
 ) -> ToxicityModel:
     """docs: rows of the training folds; labels: doc_id, y, of which those of other folds are left out already."""
-    cast = staged(measured(docs, id_col, text_col), "votes")
-    given = labels.where("y is not null").groupBy("doc_id").agg(F.max("y").alias("y"))
-    both = cast.join(given, "doc_id", "left").select("doc_id", "votes", "y")
-    model = label_model(both)
+    texts = _texts(docs, id_col, text_col).where("doc_id is not null")
+    given = staged(labels.where("y is not null").groupBy("doc_id").agg(F.max("y").alias("y")), "given")
+    voters = induced(texts, given, per_side)
+    cast = staged(measured(docs, voters, id_col, text_col), "votes")
+    both = staged(cast.join(given, "doc_id", "left").select("doc_id", "votes", F.coalesce(F.col("y").cast("int"), F.lit(-1)).alias("y")), "both")
+    model = label_model(both.select("votes", F.when(F.col("y") >= 0, F.col("y")).alias("y")), voters)
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            p = _sigmoid(model.log_odds(_matrix(batch["votes"].tolist(), len(VOTERS)))) if len(batch) else []
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "p": p})
+            cast = _matrix(batch["votes"].tolist(), len(voters.names))
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "p": _sigmoid(model.log_odds(cast, batch["y"].to_numpy()))})
 
     judged = staged(
-        cast.where("doc_id is not null").mapInPandas(judge, "doc_id long, p double")
+        both.where("doc_id is not null").mapInPandas(judge, "doc_id long, p double")
         .withColumn("mark", F.xxhash64("doc_id")), "posteriors",
     )
     chosen = judged.where("p >= 0.5").orderBy("mark", "doc_id").limit(per_side).unionByName(
@@ -271,30 +365,30 @@ def fit(
     soft = {r["doc_id"]: r["p"] for r in chosen.collect()}
     sides = {r["toxic"]: r["n"] for r in judged.groupBy((F.col("p") >= 0.5).alias("toxic")).agg(F.count("*").alias("n")).collect()}
     ids = docs.sparkSession.createDataFrame([(i,) for i in soft] or [(None,)], "doc_id long")
-    rows = _texts(docs, id_col, text_col).join(F.broadcast(ids), "doc_id")
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = _Places()
+        columns = _Kept(_columns)
         for batch in batches:
-            found = [features(t or "", places) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([c for c, _ in found], pa.list_(pa.int32())),
-                    pa.array([at for _, at in found], pa.list_(pa.int32())),
-                ],
-                names=["doc_id", "votes", "words"],
-            )
-
-    sample = rows.select("doc_id", "text").mapInArrow(describe, "doc_id long, votes array<int>, words array<int>").collect()
+            for part, own in parts(batch, 1_000_000):
+                words = [words_of(t) for t in own]
+                found = [np.array(sorted(c for w in ws for c in columns[w]), np.int32) for ws in words]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        pa.array([voters.votes(t, ws) for t, ws in zip(own, words, strict=True)], pa.list_(pa.int32())),
+                        pa.array([at.tobytes() for at in found], pa.binary()),
+                    ],
+                    names=["doc_id", "votes", "words"],
+                )
+
+    sample = texts.join(F.broadcast(ids), "doc_id").mapInArrow(describe, "doc_id long, votes array<int>, words binary").collect()
     sample = {r["doc_id"]: r for r in sorted(sample, key=lambda r: (r["doc_id"], r["votes"], r["words"]))}
     use = [sample[i] for i in sorted(sample)]
     target = np.array([soft[r["doc_id"]] for r in use])
     toxic = target >= 0.5
     stands_for = {side: sides.get(side, 0) / max(1, int((toxic == side).sum())) for side in (True, False)}
-    return train(
-        [(r["votes"], sorted(r["words"])) for r in use], target, np.where(toxic, stands_for[True], stands_for[False])
-    )
+    found = [(r["votes"], np.frombuffer(r["words"], np.int32)) for r in use]
+    return train(found, target, voters, np.where(toxic, stands_for[True], stands_for[False]))
 
 
 def scored(
@@ -303,13 +397,13 @@ def scored(
 ) -> DataFrame:
     """Per row: doc_id, held_out, score, predicted. A null id is not held out."""
     ship(docs.sparkSession)
+    use = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = _Places()
+        scorer = use.value.scorer()
         for batch in batches:
             for part, texts in parts(batch, 1_000_000):
-                found = model.score([features(t, places) for t in texts])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found)], names=["doc_id", "score"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scorer(texts))], names=["doc_id", "score"])
 
     return _texts(docs, id_col, text_col).mapInArrow(score, "doc_id long, score double").select(
         "doc_id",

@@ -79,5 +79,29 @@ def test_run_gives_the_place_in_the_mixture_over_several_files(llm, tmp_path, mo
             llm.conf.set(k, v)
     mixture = llm.read.parquet(f"{sf}/mixed")
     assert len(mixture.inputFiles()) > 3 and [r.doc_id for r in mixture.collect()] != want
-    assert [r.doc_id for r in sorted(P.placed(mixture).collect(), key=lambda r: r.place)] == want
     assert {r.doc_id: r.place for r in found} == {i: k for k, i in enumerate(want)}
+
+
+CLASHING = "file row place start slot block source_key seq part before first n doc h stats y text_sha256 component_id".split()
+
+
+def test_clashing_and_dotted_columns(llm, tmp_path):
+    rows = [(k, f"some text {k} with words {k * 7}", "en", "ab"[k % 2], 9, *range(len(CLASHING)), "x") for k in range(60)]
+    kinds = ", ".join(f"{c} int" for c in CLASHING)
+    docs = llm.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars int, {kinds}, `a.b` string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    llm.createDataFrame([(k, k % 3 > 0, 0) for k in range(60)], "doc_id long, quality boolean, toxic int").selectExpr(
+        "doc_id", "cast(quality as int) as quality", "toxic"
+    ).write.parquet(f"{tmp_path}/labels.parquet")
+    for name, stage in P.STAGES[:-1]:
+        kept = stage(llm, docs, str(tmp_path))
+        assert kept.columns == docs.columns, name
+        assert all(tuple(r) == rows[r.doc_id] for r in kept.collect()), name
+    places = sorted(r.place for r in P.encode(llm, docs, str(tmp_path)).collect())
+    assert places == list(range(60))
+
+
+def test_empty_tables(llm, tmp_path):
+    llm.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars int").write.parquet(f"{tmp_path}/documents.parquet")
+    llm.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert P.run(llm, str(tmp_path)).collect() == []
