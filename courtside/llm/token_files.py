@@ -10,13 +10,14 @@ A file is a sequence of blocks, all numbers little-endian:
     documents x i64 doc_id, documents x u8 (1: doc_id is null), documents x u32 ids of the document,
     the control bytes, each document's beginning with a byte of its own, the data bytes, b"\\n"
 
-Texts are encoded once, into a staged table; the counts of ids and then the coded documents are made from it.
+Texts are encoded once, into a staged table; the counts of ids are made from it, and the coded documents as they are written, after they
+were dealt out by doc_id.
 
 Files are numbered in ascending order of doc_id (nulls first), and so are the documents in them. Spark's text writer
 puts them into any store it can write to: a block is the bytes of a line. The table of ranks lies beside the files.
 
 Each document ends with the id `end`. Null and empty texts have that id only; an empty table makes
-no blocks; rows that repeat an id lie next to each other, in the order of their coded bytes.
+no blocks; rows that repeat an id lie next to each other, in the order of their ids' bytes.
 """
 
 from __future__ import annotations
@@ -30,7 +31,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -41,6 +41,7 @@ from courtside.llm.tables import ship, staged, table
 from courtside.session import scratch_folder
 
 CACHED = 500_000
+RUN_CHARS = 20_000
 BLOCK_IDS = 1 << 18
 FILE_IDS = 1 << 24
 HEADER = struct.Struct("<4sIQQ")
@@ -58,10 +59,11 @@ class ByteCoder:
         self.whole.no_truncation()
         self.whole.no_padding()
         self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        #: The splitting pattern of byte-level vocabularies, a fixed value.
-        self.pieces = regex.compile(
-            r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-        )
+        vocab = self.whole.get_vocab()
+        #: How many bytes of text each id stands for.
+        self.sizes = np.zeros(max(vocab.values(), default=0) + 1, np.int64)
+        for token, number in vocab.items():
+            self.sizes[number] = len(token)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -81,7 +83,7 @@ class ByteCoder:
         for chunk in new & self.older.keys():
             self.known[chunk] = self.older[chunk]
         new = [x for x in new if x not in self.known]
-        self.known.update(zip(new, self._encode(new), strict=True))
+        self.known.update(zip(new, self._encode_chunks(new), strict=True))
         others = iter(self._encode([t for t, own in zip(texts, split, strict=True) if own is None]))
         out = []
         for own, codes in zip(split, found, strict=True):
@@ -90,6 +92,39 @@ class ByteCoder:
             out.append(next(others) if own is None else b"".join(codes))
         return out
 
+    def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
+        """The ids of chunks, many of them in one text: no piece reaches over a space, nor over a line feed between two that have none there.
+
+        A token's bytes tell where it lies, so the ids are cut at the chunks' ends. Should a token lie across one, the chunks are encoded alone.
+        """
+        out: list[bytes | None] = [None] * len(chunks)
+        runs = []
+        for between, places in (
+            ("", [k for k, c in enumerate(chunks) if c[:1] == " "]),
+            ("\n", [k for k, c in enumerate(chunks) if c and c[0] not in " \n"]),
+        ):
+            sizes = np.fromiter((len(chunks[k]) for k in places), np.int64, len(places))
+            number = np.cumsum(sizes) // RUN_CHARS
+            for own in np.split(np.arange(len(places)), np.flatnonzero(np.diff(number)) + 1):
+                if len(own):
+                    runs.append((between, [places[k] for k in own.tolist()]))
+        texts = [between.join([chunks[k] for k in places]) for between, places in runs]
+        for (between, places), codes in zip(runs, self._encode(texts), strict=True):
+            own = [chunks[k] for k in places]
+            lengths = np.fromiter((len(c) if c.isascii() else len(c.encode()) for c in own), np.int64, len(own)) + len(between)
+            ends = np.cumsum(lengths) - len(between)
+            starts = ends - lengths + len(between)
+            past = np.concatenate([[0], np.cumsum(self.sizes[np.frombuffer(codes, "<u4")])])
+            first, last = np.searchsorted(past, starts), np.searchsorted(past, ends)
+            whole = (past[np.minimum(first, len(past) - 1)] == starts) & (past[np.minimum(last, len(past) - 1)] == ends)
+            for k, a, b, ok in zip(places, first.tolist(), last.tolist(), whole.tolist(), strict=True):
+                if ok:
+                    out[k] = codes[4 * a : 4 * b]
+        rest = [k for k, code in enumerate(out) if code is None]
+        for k, code in zip(rest, self._encode([chunks[k] for k in rest]), strict=True):
+            out[k] = code
+        return out
+
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -131,12 +166,6 @@ def _flat(column: pa.BinaryArray, kind: str) -> np.ndarray:
     return np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]].view(kind)
 
 
-def _cut(data: np.ndarray, sizes: np.ndarray) -> pa.BinaryArray:
-    """A binary column of values of so many bytes."""
-    ends = np.concatenate([[0], np.cumsum(sizes)]).astype("<i4")
-    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))])
-
-
 def id_counts(staged_ids: DataFrame, kind: str) -> DataFrame:
     """(id, n) over all documents."""
 
@@ -178,16 +207,15 @@ def unpack(control: np.ndarray, data: np.ndarray, sizes: np.ndarray) -> np.ndarr
     return out.view("<u4").ravel()
 
 
-def block(ids: list[int | None], sizes: list[int], controls: list[bytes], datas: list[bytes]) -> bytes:
-    data = b"".join(datas)
+def block(ids: np.ndarray, nulls: np.ndarray, sizes: np.ndarray, control: np.ndarray, data: np.ndarray) -> bytes:
     return b"".join(
         [
-            HEADER.pack(MAGIC, len(ids), sum(sizes), len(data)),
-            np.array([i or 0 for i in ids], "<i8").tobytes(),
-            bytes(i is None for i in ids),
-            np.array(sizes, "<u4").tobytes(),
-            *controls,
-            data,
+            HEADER.pack(MAGIC, len(ids), int(sizes.sum()), len(data)),
+            ids.astype("<i8").tobytes(),
+            nulls.astype(np.uint8).tobytes(),
+            sizes.astype("<u4").tobytes(),
+            control.tobytes(),
+            data.tobytes(),
         ]
     )
 
@@ -230,33 +258,23 @@ def write(
     total = spark.read.parquet(f"{path}/ranks").agg(F.sum("n")).first()[0] or 0
     files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // FILE_IDS))
 
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = pc.binary_length(batch.column(1)).to_numpy().astype(np.int64) // np.dtype(kind).itemsize
+            if not len(sizes):
+                continue
             control, data, lengths = pack(table_of.value[_flat(batch.column(1), kind)], sizes)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes), _cut(control, (sizes + 3) // 4), _cut(data, lengths)],
-                names=["doc_id", "n", "control", "data"],
-            )
-
-    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        size = 0
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                held.append(row)
-                size += row[1]
-                if size >= BLOCK_IDS:
-                    yield made(held)
-                    held, size = [], 0
-        if held:
-            yield made(held)
-
-    def made(held: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([block(*map(list, zip(*held, strict=True)))], pa.binary())], names=["block"])
-
-    coded = found.mapInArrow(code, "doc_id long, n long, control binary, data binary")
-    ordered = coded.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "control", "data")
+            ids = pc.fill_null(batch.column(0), 0).to_numpy()
+            nulls = batch.column(0).is_null().to_numpy(zero_copy_only=False)
+            at, cat, dat = (np.concatenate([[0], np.cumsum(n)]) for n in (sizes, (sizes + 3) // 4, lengths))
+            cuts = [0, *(np.flatnonzero(np.diff(at[1:] // BLOCK_IDS)) + 1).tolist(), len(sizes)]
+            made = [
+                block(ids[a:b], nulls[a:b], sizes[a:b], control[cat[a] : cat[b]], data[dat[a] : dat[b]])
+                for a, b in zip(cuts, cuts[1:], strict=False)
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["block"])
+
+    ordered = found.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "ids")
     written = ordered.mapInArrow(lines, "block binary").select(F.col("block").cast("string").alias("value"))
     written.write.option("lineSep", "\n").text(f"{path}/ids")
 

@@ -3,6 +3,8 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from courtside.llm import token_files as T
@@ -16,14 +18,32 @@ def brute(rows):
     library = Tokenizer.from_file(FILE)
     out, start = [], 0
     encoded = [(i, np.array([*library.encode(text or "", add_special_tokens=False).ids, 0], "<u4")) for i, text in rows]
-    counts = Counter(int(x) for _, ids in encoded for x in ids)
-    rank = {x: k for k, x in enumerate(sorted(counts, key=lambda x: (-counts[x], x)))}
-    for i, ids in sorted(encoded, key=lambda r: (r[0] is not None, r[0] or 0, [x.tobytes() for x in T.pack(np.array([rank[int(x)] for x in r[1]]), np.array([len(r[1])]))])):
+    for i, ids in sorted(encoded, key=lambda r: (r[0] is not None, r[0] or 0, r[1].astype("<u2").tobytes())):
         out.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
         start += len(ids)
     return out
 
 
+@given(st.lists(st.text("ab Zé\n\t.'s1ÿ", max_size=12), max_size=30, unique=True), st.integers(1, 60))
+@settings(max_examples=200, deadline=None)
+def test_chunks_in_one_text_as_alone(texts, run):
+    use = T.coder(FILE)
+    chunks = list(dict.fromkeys(c for t in texts for c in use.chunks(t) or []))
+    size, T.RUN_CHARS = T.RUN_CHARS, run
+    try:
+        assert use._encode_chunks(chunks) == use._encode(chunks)
+    finally:
+        T.RUN_CHARS = size
+
+
+def test_most_chunks_are_cut_out_of_one_text(monkeypatch):
+    use, calls = T.ByteCoder(FILE), []
+    whole = use._encode
+    monkeypatch.setattr(use, "_encode", lambda texts: calls.append(len(texts)) or whole(texts))
+    chunks = [f" word{k}" for k in range(500)] + [f"Word{k}\n" for k in range(500)] + ["", "\n\nx"]
+    assert use._encode_chunks(chunks) == whole(chunks) and calls == [2, 2]
+
+
 @pytest.mark.parametrize("block_ids", [1, 1 << 18])
 def test_same_as_the_library(llm, documents, tmp_path, monkeypatch, block_ids):
     monkeypatch.setattr(T, "BLOCK_IDS", block_ids)
