@@ -8,10 +8,12 @@ percentage. The join is exact (up to equal 64-bit hashes of different shingles):
    first `n - ceil(t n) + 1` of each, so representatives that share such a shingle (and a size class) form
    a group. Commonness comes from a sketch of all shingles; it only orders them, so its errors cost time,
    never links. Passages that many documents share thus fall out of the groups.
-3. Each group is first linked through its smallest member. What is one component then needs no pairs.
-4. Groups that still hold several components are cut into blocks; in each pair of blocks a signature tree
-   (nodes with OR-combined token bitmaps, size ranges and component ranges) is traversed from both sides,
-   dropping node pairs whose largest possible overlap is below what their sizes ask for.
+3. Each group is cut into blocks, and the group's smallest member goes to all of them. A block's members, in the order of their sizes,
+   are the leaves of a signature tree (nodes with OR-combined token bitmaps, size ranges and component ranges), which is traversed
+   against itself, dropping node pairs whose largest possible overlap is below what their sizes ask for. Every member gives one
+   candidate: the smallest member of the group if the traversal reached it, else the first one. Verified, these give components.
+4. In groups that still hold several components, pairs of blocks are traversed from both sides, now dropping node pairs of one
+   component too, and all that is left is a candidate.
 5. All candidate pairs are verified on the full sets, those of crowded blocks within the block; components follow from
    the links.
 
@@ -33,7 +35,8 @@ from pyspark.sql import functions as F
 from courtside.llm.tables import components, runs, spread, staged, table
 
 BUCKETS = 1 << 17
-BLOCK = 512
+BLOCK = 2048
+PIECE_WORDS = 1 << 20
 FAN = 8
 CANDIDATES = 4
 CACHED_WORDS = 300_000
@@ -178,27 +181,62 @@ def _groups(reps: DataFrame) -> DataFrame:
     return staged(rows.join(kept, "key"), "groups")
 
 
-def plausible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sizes and bitmaps allow the percentage."""
-    sizes = reps.select("doc_id", "n_shingles")
-    for side in ("a", "b"):
-        pairs = pairs.join(sizes.select(F.col("doc_id").alias(side), F.col("n_shingles").alias(f"n_{side}")), side)
-    pairs = pairs.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    for side in ("a", "b"):
-        pairs = pairs.join(reps.select(F.col("doc_id").alias(side), F.col("sig").alias(f"sig_{side}")), side)
+def first_candidates(members: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b): per member of a block of a group at most one, to the group's smallest member or to the first one in reach."""
+    blocks = F.ceil(F.col("size") / BLOCK)
+    own = F.pmod(F.xxhash64("doc_id"), blocks)
+    everywhere = F.col("doc_id") == F.col("pivot")
+    places = F.when(everywhere, F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(F.array(own))
+    dealt = members.select("key", "pivot", "doc_id", F.explode(places).alias("block")).join(reps.select("doc_id", "n_shingles", "sig"), "doc_id")
+    keys = ["key", "block"]
 
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sizes = batch[["n_a", "n_b"]].to_numpy(np.int64)
-            keep = np.zeros(len(batch), bool)
-            for k, (x, y) in enumerate(zip(batch["sig_a"], batch["sig_b"], strict=True)):
-                x, y = fitted([x, y])
-                lost = min(n - int(np.bitwise_count(v).sum()) for n, v in zip(sizes[k].tolist(), (x, y), strict=True))
-                overlap = int(np.bitwise_count(x & y).sum()) + lost
-                keep[k] = (100 + percent) * overlap >= percent * sizes[k].sum()
-            yield batch.loc[keep, ["a", "b"]]
+    def traverse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for group in runs(batches, keys):
+            ids = group["doc_id"].astype(np.int64)
+            i, j = own_candidates(group, percent)
+            if len(i):
+                to_pivot = ids[i] == int(group["pivot"][0])
+                order = np.lexsort((i, ~to_pivot, j))
+                first = np.unique(j[order], return_index=True)[1]
+                at = order[first]
+                held.append((ids[i[at]], ids[j[at]]))
+            if len(held) >= 10_000:
+                yield _pairs(held)
+                held = []
+        yield _pairs(held)
+
+    dealt = dealt.repartition(*keys).sortWithinPartitions(*keys, "n_shingles", "doc_id")
+    return dealt.mapInPandas(traverse, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _pairs(held: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
+    a, b = (np.concatenate([np.zeros(0, np.int64), *(pair[k] for pair in held)]) for k in (0, 1))
+    return pd.DataFrame({"a": a, "b": b})
 
-    return pairs.mapInPandas(check, "a long, b long").distinct()
+
+def own_candidates(group: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j) of the members that survive a traversal of a block's tree against itself, each pair from both sides of the smallest member.
+
+    The smallest member of the group comes as i only; of other pairs, the one that comes first is i.
+    """
+    n = len(group["doc_id"])
+    if n == 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    ids, sizes = group["doc_id"].astype(np.int64), group["n_shingles"].astype(np.int64)
+    pivot = ids == int(group["pivot"][0])
+    sigs = fitted(group["sig"].tolist())
+    if n <= FAN:  # one node: its members are compared as they are
+        i, j = np.triu_indices(n, 1)
+        level = _Tree.leaves(sigs, sizes, np.arange(n))
+        ok = _survive(level, level, i, j, percent)
+        i, j = i[ok], j[ok]
+    else:
+        tree = _Tree(sigs, sizes, np.arange(n))
+        i, j = linked_candidates(tree, tree, percent)
+        i, j = i[i < j], j[i < j]
+    swap = pivot[j]
+    return np.where(swap, j, i), np.where(swap, i, j)
 
 
 def token_sets(ids: DataFrame, texts: DataFrame, words: int) -> DataFrame:
@@ -237,9 +275,12 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
 class _Tree:
     """Levels of nodes over members sorted by component and size; level 0 holds the members."""
 
+    @staticmethod
+    def leaves(sigs: np.ndarray, sizes: np.ndarray, comps: np.ndarray) -> tuple:
+        return sigs, sizes, sizes, comps, comps, sizes - np.bitwise_count(sigs).sum(1, dtype=np.int64)
+
     def __init__(self, sigs: np.ndarray, sizes: np.ndarray, comps: np.ndarray):
-        excess = sizes - np.bitwise_count(sigs).sum(1, dtype=np.int64)
-        self.levels = [(sigs, sizes, sizes, comps, comps, excess)]
+        self.levels = [self.leaves(sigs, sizes, comps)]
         while len(self.levels[-1][0]) > 1:
             sigs, low, high, first, last, excess = self.levels[-1]
             at = np.arange(0, len(sigs), FAN)
@@ -261,7 +302,8 @@ def _survive(x: tuple, y: tuple, i: np.ndarray, j: np.ndarray, percent: int) ->
     ok = (100 * xh[i] >= percent * yl[j]) & (100 * yh[j] >= percent * xl[i])
     ok &= ~((xf[i] == xt[i]) & (xf[i] == yf[j]) & (yf[j] == yt[j]))
     at = np.flatnonzero(ok)
-    for part in np.array_split(at, max(1, len(at) // 50_000)):
+    # The bitmaps of large sets are wide, so pieces are bounded by bytes.
+    for part in np.array_split(at, len(at) * max(1, xs.shape[1]) // PIECE_WORDS + 1):
         a, b = i[part], j[part]
         overlap = np.bitwise_count(xs[a] & ys[b]).sum(1, dtype=np.int64) + np.minimum(xe[a], ye[b])
         ok[part] = (100 + percent) * overlap >= percent * (xl[a] + yl[b])
@@ -279,6 +321,8 @@ def linked_candidates(left: _Tree, right: _Tree, percent: int) -> tuple[np.ndarr
         keep = np.concatenate(
             [_survive(x, y, a, b, percent) for a, b in zip(*(np.array_split(v, len(v) // 500_000 + 1) for v in (i, j)), strict=True)]
         )
+        if left is right:
+            keep &= i <= j
         i, j = i[keep], j[keep]
         if level and len(i):
             (i, j) = _children(i, j, left, right, level)
@@ -429,8 +473,8 @@ def jaccard_components(
     )
     reps = staged(reps.dropDuplicates(["set_key"]).select("doc_id", "n_shingles", "sig", "keys"), "reps")
     members = _groups(reps)
-    star = members.where("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = staged(verified(staged(plausible(star, reps, percent), "pairs"), texts, words, percent), "links")
+    pairs = staged(first_candidates(members, reps, percent), "pairs")
+    links = staged(verified(pairs, texts, words, percent), "links")
     first = components(links)
     more = _tree_links(members, reps, first, texts, words, percent)
     first = components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
