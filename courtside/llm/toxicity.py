@@ -50,9 +50,9 @@ FIXED = (*TERMS, *PATTERNS)
 #: Chances of label 1 on other and on toxic texts.
 GIVEN = (0.02, 0.9)
 HASHED = 1 << 17
-PER_SIDE = 3000
+PER_SIDE = 2500
 ROUNDS = 25
-STEPS = 200
+STEPS = 150
 #: Lengths of the beginnings of words, and what an induced voter needs: toxic texts that hold it, and how many times their share that of others.
 BEGINNINGS = (4, 6)
 INDUCED, SUPPORT, RATIO = 200, 4, 20.0
@@ -65,6 +65,9 @@ _MASKED = re.compile(r"\b\w*[0-9@$!*]\w*[\w]")
 _PLAIN = str.maketrans("013457@$!*", "oieastasi ")
 _ADDRESS = re.compile(r"\byou(?:'re| are)?(?: such)?(?: an?| the)? (\w+)")
 _TERM_SET = frozenset(TERMS)
+_NOT_UPPER = bytes(k for k in range(256) if not 65 <= k <= 90)
+_NOT_LOWER = bytes(k for k in range(256) if not 97 <= k <= 122)
+_NOT_ASCII = bytes(range(128, 256))
 
 
 def pieces_of(word: str) -> list[str]:
@@ -89,6 +92,27 @@ def _columns(word: str) -> list[int]:
     return [xxhash.xxh3_64_intdigest(piece) % HASHED for piece in pieces_of(word)]
 
 
+class _Tokens(_Kept):
+    """By stretch without white space: its words, and whether it is a masked insult."""
+
+    def __init__(self):
+        super().__init__(self._token)
+
+    @staticmethod
+    def _token(token: str) -> tuple[tuple[str, ...], bool]:
+        masked = any(m.translate(_PLAIN).replace(" ", "") in _TERM_SET for m in _MASKED.findall(token))
+        return tuple(set(_WORD.findall(token))), masked
+
+    def words(self, low: str) -> tuple[set[str], bool]:
+        words: set[str] = set()
+        masked = False
+        for token in set(low.split()):
+            own, odd = self[token]
+            words.update(own)
+            masked |= odd
+        return words, masked
+
+
 class Voters:
     """The fixed voters and the induced ones, which are pieces of words."""
 
@@ -99,7 +123,11 @@ class Voters:
         self._make_cache()
 
     def _make_cache(self) -> None:
-        self.of_word = _Kept(lambda word: [self.of_piece[p] for p in pieces_of(word) if p in self.of_piece])
+        self.of_word = _Kept(self._of_word)
+
+    def _of_word(self, word: str) -> tuple[int, ...]:
+        terms = [self.place[word]] if word in _TERM_SET else []
+        return (*terms, *(self.of_piece[p] for p in pieces_of(word) if p in self.of_piece))
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "of_word"}
@@ -108,30 +136,40 @@ class Voters:
         self.__dict__.update(state)
         self._make_cache()
 
-    def votes(self, text: str, words: set[str]) -> list[int]:
-        """The voters that speak up, given the lower-case words of a text; `silent` does where no insult was found."""
-        low = text.lower()
-        found = {self.place[t] for t in words & _TERM_SET}
-        if any(c in low for c in "013457@$!*") and any(
-            m.translate(_PLAIN).replace(" ", "") in _TERM_SET for m in _MASKED.findall(low)
-        ):
+    def votes(self, text: str, low: str, found: set[int], masked: bool) -> list[int]:
+        """The voters that speak up: those found in the words, and the patterns; `silent` does where no insult was found."""
+        if masked:
             found.add(self.place["masked"])
         if "you" in low and any(w in _TERM_SET for w in _ADDRESS.findall(low)):
             found.add(self.place["address"])
-        for word in words:
-            found.update(self.of_word[word])
         if not found:
             found.add(self.place["silent"])
-        upper = sum(map(str.isupper, text))
-        if upper > 20 and 2 * upper > sum(map(str.isalpha, text)):
+        if shouts(text):
             found.add(self.place["shouting"])
         if low.count("!") * 50 > len(low):
             found.add(self.place["exclaiming"])
         return sorted(found)
 
+    def read(self, text: str, tokens: _Tokens) -> tuple[list[int], set[str]]:
+        """The votes and the lower-case words of a text."""
+        low = text.lower()
+        words, masked = tokens.words(low)
+        found: set[int] = set()
+        for word in words:
+            if cast := self.of_word[word]:
+                found.update(cast)
+        return self.votes(text, low, found, masked), words
+
 
-def words_of(text: str) -> set[str]:
-    return set(_WORD.findall(text.lower()))
+def shouts(text: str) -> bool:
+    """More than 20 capital letters, and more than half of the letters; most texts are told by their ASCII letters alone."""
+    raw = text.encode("utf-8", "surrogatepass")
+    upper, lower, plain = (len(raw.translate(None, rest)) for rest in (_NOT_UPPER, _NOT_LOWER, _NOT_ASCII))
+    other = len(text) - plain
+    if upper + other <= 20 or 2 * (upper + other) <= upper + lower:
+        return False
+    capitals = sum(map(str.isupper, text))
+    return capitals > 20 and 2 * capitals > sum(map(str.isalpha, text))
 
 
 def induced(docs: DataFrame, labels: DataFrame, per_side: int = PER_SIDE) -> Voters:
@@ -144,11 +182,12 @@ def induced(docs: DataFrame, labels: DataFrame, per_side: int = PER_SIDE) -> Vot
         return Voters()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = _Tokens()
         for batch in batches:
             for part, texts in parts(batch, 1_000_000):
                 found: tuple[Counter, Counter] = (Counter(), Counter())
                 for text, y in zip(texts, part.column(2).to_pylist(), strict=True):
-                    found[y].update({piece for word in words_of(text) for piece in pieces_of(word)})
+                    found[y].update({piece for word in tokens.words(text.lower())[0] for piece in pieces_of(word)})
                 names = sorted(found[0].keys() | found[1].keys())
                 yield pa.RecordBatch.from_pydict(
                     {"piece": pa.array(names, pa.string()), "toxic": [found[1][n] for n in names], "other": [found[0][n] for n in names]}
@@ -169,9 +208,10 @@ def measured(docs: DataFrame, voters: Voters, id_col: str = "doc_id", text_col:
     ship(docs.sparkSession)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = _Tokens()
         for batch in batches:
             for part, texts in parts(batch, 1_000_000):
-                found = [voters.votes(t, words_of(t)) for t in texts]
+                found = [voters.read(t, tokens)[0] for t in texts]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "votes"]
                 )
@@ -285,22 +325,26 @@ class ToxicityModel:
     def scorer(self):
         """Scores texts; keeps the weights of the words it has met."""
 
-        def weigh(word: str) -> tuple[float, int]:
+        def weigh(word: str) -> tuple[float, int, tuple[int, ...]]:
             at = _columns(word)
-            return float(self.words[at].sum()), len(at)
+            return float(self.words[at].sum()), len(at), self.voters._of_word(word)
 
-        kept = _Kept(weigh)
+        kept, tokens = _Kept(weigh), _Tokens()
 
         def score(texts: list[str]) -> np.ndarray:
             raw = np.empty(len(texts))
             for k, text in enumerate(texts):
-                words = words_of(text)
-                total = count = 0
+                low, total, count = text.lower(), 0.0, 0
+                words, masked = tokens.words(low)
+                found: set[int] = set()
                 for word in words:
-                    value, n = kept[word]
+                    value, n, cast = kept[word]
                     total += value
                     count += n
-                raw[k] = self.bias + self.votes[self.voters.votes(text, words)].sum() + (total / count**0.5 if count else 0.0)
+                    if cast:
+                        found.update(cast)
+                cast = self.voters.votes(text, low, found, masked)
+                raw[k] = self.bias + self.votes[cast].sum() + (total / count**0.5 if count else 0.0)
             return np.where(np.isneginf(raw), 0.0, _sigmoid(raw))
 
         return score
@@ -367,15 +411,15 @@ def fit(
     ids = docs.sparkSession.createDataFrame([(i,) for i in soft] or [(None,)], "doc_id long")
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = _Kept(_columns)
+        columns, tokens = _Kept(_columns), _Tokens()
         for batch in batches:
             for part, own in parts(batch, 1_000_000):
-                words = [words_of(t) for t in own]
-                found = [np.array(sorted(c for w in ws for c in columns[w]), np.int32) for ws in words]
+                seen = [voters.read(t, tokens) for t in own]
+                found = [np.array(sorted(c for w in ws for c in columns[w]), np.int32) for _, ws in seen]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
-                        pa.array([voters.votes(t, ws) for t, ws in zip(own, words, strict=True)], pa.list_(pa.int32())),
+                        pa.array([cast for cast, _ in seen], pa.list_(pa.int32())),
                         pa.array([at.tobytes() for at in found], pa.binary()),
                     ],
                     names=["doc_id", "votes", "words"],

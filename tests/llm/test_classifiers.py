@@ -138,12 +138,18 @@ def test_a_smaller_sample_keeps_the_share_of_toxic_texts(docs, labels):
 )
 def test_votes(text, names):
     voters = X.Voters()
-    assert {voters.names[k] for k in voters.votes(text, X.words_of(text))} == names
+    assert {voters.names[k] for k in voters.read(text, X._Tokens())[0]} == names
+
+
+@pytest.mark.parametrize("text", ["", "ÄÖÜ" * 20 + "a" * 10, "A" * 21, "A" * 20, "A" * 30 + "b" * 30, "A" * 31 + "b" * 30, "É" * 21 + "e" * 21, "日本" * 40])
+def test_shouting_is_told_as_letter_by_letter(text):
+    upper = sum(map(str.isupper, text))
+    assert X.shouts(text) == (upper > 20 and 2 * upper > sum(map(str.isalpha, text)))
 
 
 def described(voters, text):
-    words = X.words_of(text)
-    return voters.votes(text, words), [c for w in words for c in X._columns(w)]
+    cast, words = voters.read(text, X._Tokens())
+    return cast, [c for w in words for c in X._columns(w)]
 
 
 def slurred(seed, n=600):
@@ -180,7 +186,7 @@ def test_induced_voters_as_counted_one_by_one(llm, documents):
     voters = X.induced(docs.select("doc_id", "text"), labels)
     counts, totals = (Counter(), Counter()), Counter(y for *_, y in rows)
     for _, text, y in rows:
-        counts[y].update({p for w in X.words_of(text) for p in X.pieces_of(w)})
+        counts[y].update({p for w in X._Tokens().words(text.lower())[0] for p in X.pieces_of(w)})
     ratio = {p: (n + 0.5) / (totals[1] + 1) / ((counts[0][p] + 0.5) / (totals[0] + 1)) for p, n in counts[1].items()}
     want = {p for p, n in counts[1].items() if n >= X.SUPPORT and ratio[p] >= X.RATIO}
     assert want and set(voters.names[len(X.FIXED) :]) == want
