@@ -11,6 +11,7 @@ from courtside.operators import audits, gates
 from courtside.plans import monitoring
 from courtside.plans.day_load import load_days
 from courtside.session import scratch_folder
+from courtside.sources import store as stores
 from courtside.sources.landing import Landing, rejected
 from courtside.sources.published import PublishedTable, expected_counts
 from courtside.sources.store import Store
@@ -247,3 +248,18 @@ def empty_days(spark, sf_dir):
     )
     days = calendar.run_days(spark, date(1995, 1, 1), date(1996, 12, 31))
     return plain(gates.gate_report(gates.day_counts(rows), days).where("gate = 'empty'"))
+
+
+@query(f"""
+select cast({DAY_SQL} as varchar) as game_date, count(*) as rows, count(*) - count(case when o_totalprice > 100000 then o_custkey end) as customer,
+       count(*) - count(nullif(o_orderstatus, 'O')) as status
+from orders group by 1
+""")
+def footer_statistics(spark, sf_dir):
+    """Rows and nulls per date of a stored table of orders, from the footers of its files."""
+    rows = table(spark, sf_dir, "orders").selectExpr(
+        "case when o_totalprice > 100000 then o_custkey end as customer", "nullif(o_orderstatus, 'O') as status", "cast(o_orderdate as date) as GAME_DATE"
+    )
+    path = scratch_folder(spark, "orders-by-date")
+    stores.replace_days(rows.repartition(spark.sparkContext.defaultParallelism, "GAME_DATE"), path)
+    return plain(stores.footer_counts(spark, path, rows.schema, ["customer", "status"]))

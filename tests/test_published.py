@@ -212,3 +212,16 @@ def test_column_report_and_check_agree(spark):
     assert found == {("b", "missing", 0), ("a", "duplicate", 2)}
     with pytest.raises(ValueError):
         gates.check_columns(df.columns, ["ROW_KEY"])
+
+
+def test_footer_counts_equal_a_scan(spark, tmp_path):
+    plain = Store(spark, str(tmp_path / "plain"))
+    load_days(Landing(spark, landed_days().write(tmp_path / "l")), plain, "01/05/2026", "01/06/2026", NOW)
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    found = stores.footer_counts(spark, plain.log_path, S.PLAYER_GAME, ["PLAYER_ID", "points", "POSITION"])
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+    assert sorted(map(tuple, found.collect())) == [(date.fromisoformat(d), 3, 0, 0, 0) for d in (DAY1, DAY2)]
+    holes = spark.createDataFrame([(1, None, date(2026, 1, 5)), (None, "x", date(2026, 1, 5)), (None, "y", date(2026, 1, 6))], "a int, b string, GAME_DATE date")
+    holes.write.partitionBy("GAME_DATE").parquet(str(tmp_path / "holes"))
+    found = stores.footer_counts(spark, str(tmp_path / "holes"), holes.schema, ["a", "b"])
+    assert sorted(map(tuple, found.collect())) == [(date(2026, 1, 5), 2, 1, 1), (date(2026, 1, 6), 1, 1, 0)]
