@@ -5,12 +5,13 @@ one. Of equal texts the row with the smallest id stays (a null id only if there
 
 1. Each Arrow batch sends one head per distinct text: its smallest row and the number of rows. So a text
    that fills a third of the table reaches its owner once a batch, not once a row.
-2. The directory: buckets over `BUCKET_BYTES` are split by one more bit of the hash, doubling the directory,
-   until none is overfull, holds a single hash, or is `MAX_DEPTH` bits deep. It has at most 2^MAX_DEPTH
-   slots, which bounds its broadcast.
+2. The directory begins with one bit of the hash. In rounds, buckets over `BUCKET_BYTES` that hold more than one
+   hash are split by one more bit; the directory doubles when a bucket to split is as deep as it is. Buckets end at `MAX_DEPTH` bits, so
+   that a histogram of that many bits is all the rounds need, and the broadcast directory has at most 2^MAX_DEPTH slots.
 3. Each bucket's owner task reads its heads in hash order, chains texts of equal hash and compares their
    bytes. It holds the chain of one hash at a time.
-4. The resolved entries are written to the shared folder as the index and looked up by every row.
+4. The resolved entries are written to the shared folder as the index. Every row is looked up there by the bucket that the directory
+   gives its hash and by the hash; within the chain, by the digest of its bytes.
 
 Empty tables give no rows. Rows that repeat an id and a text are one document: all are marked as kept,
 `survivors` returns one of them.
@@ -19,9 +20,10 @@ Empty tables give no rows. Rows that repeat an id and a text are one document: a
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -52,7 +54,7 @@ def _order(doc_id: int | None) -> tuple:
     return (doc_id is None, doc_id or 0)
 
 
-def heads(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def heads(docs: DataFrame, id_col: str, text_col: str, hash_of: Callable[[bytes], int] = text_hash) -> DataFrame:
     """(doc, h, n): per batch and distinct text its smallest row, the text's hash and the rows it stands for."""
     rows = docs.select(
         F.struct(*columns_of(docs)).alias("doc"),
@@ -73,7 +75,7 @@ def heads(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(at),
-                    pa.array(map(text_hash, found), pa.int64()),
+                    pa.array(map(hash_of, found), pa.int64()),
                     pa.array([n for _, n in found.values()], pa.int64()),
                 ],
                 names=["doc", "h", "n"],
@@ -87,8 +89,8 @@ def _longs(*names: str) -> list[T.StructField]:
     return [T.StructField(n, T.LongType()) for n in names]
 
 
-def digests(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Per row: doc_id, h, text_sha256 and the bytes of the normalised text."""
+def digests(docs: DataFrame, id_col: str, text_col: str, hash_of: Callable[[bytes], int] = text_hash) -> DataFrame:
+    """Per row: doc_id, h, text_sha256 and the number of bytes of the normalised text."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,7 +99,7 @@ def digests(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
-                        pa.array(map(text_hash, norms), pa.int64()),
+                        pa.array(map(hash_of, norms), pa.int64()),
                         pa.array([hashlib.sha256(x).hexdigest() for x in norms], pa.string()),
                         pa.array(map(len, norms), pa.int64()),
                     ],
@@ -108,42 +110,51 @@ def digests(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.mapInArrow(digest, "doc_id long, h long, text_sha256 string, size long")
 
 
+def grown(sizes: np.ndarray, hashes: np.ndarray, bucket_bytes: int) -> tuple[np.ndarray, int]:
+    """The directory's bucket by slot, and its depth in bits, from bytes and distinct hashes by the first MAX_DEPTH bits.
+
+    A bucket is named after its first slot.
+    """
+    depth, buckets = 1, [(1, 0), (1, 1)]
+    done = []
+    while buckets:
+        split = []
+        for d, q in buckets:
+            own = slice(q << (MAX_DEPTH - d), (q + 1) << (MAX_DEPTH - d))
+            over = sizes[own].sum() > bucket_bytes and hashes[own].sum() > 1 and d < MAX_DEPTH
+            (split if over else done).append((d, q))
+        depth = max([depth, *(d + 1 for d, _ in split)])
+        buckets = [(d + 1, 2 * q + bit) for d, q in split for bit in (0, 1)]
+    slots = np.empty(1 << depth, np.int64)
+    for d, q in done:
+        slots[q << (depth - d) : (q + 1) << (depth - d)] = q << (depth - d)
+    return slots, depth
+
+
 def directory(hashes: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> tuple[DataFrame, int]:
     """(slot, bucket) of the directory over rows of (h, size), and its depth in bits.
 
-    A node of the prefix tree is a bucket if it fits and its parent does not. Equal hashes count once,
-    as equal texts reach the owner a few times only.
+    Equal hashes count once, as equal texts reach the owner a few times only. The histogram has 2^MAX_DEPTH rows at most.
     """
-    leaf = F.shiftrightunsigned("h", 64 - MAX_DEPTH)
     fine = (
         hashes.groupBy("h").agg(F.max("size").alias("size"))
-        .groupBy(leaf.alias("p")).agg(F.sum("size").alias("size"), F.count("*").alias("n"))
-    )
-    nodes = (
-        fine.select(F.explode(F.sequence(F.lit(1), F.lit(MAX_DEPTH))).alias("d"), "p", "size", "n")
-        .groupBy("d", F.expr(f"shiftright(p, {MAX_DEPTH} - d)").alias("q"))
-        .agg(F.sum("size").alias("size"), F.sum("n").alias("n"))
-        .select("d", "q", ((F.col("size") <= bucket_bytes) | (F.col("n") == 1) | (F.col("d") == MAX_DEPTH)).alias("fits"))
-    )
-    nodes = staged(nodes, "directory")
-    parents = nodes.select((F.col("d") + 1).alias("d"), F.col("q").alias("up"), F.col("fits").alias("whole"))
-    buckets = (
-        nodes.withColumn("up", F.shiftright("q", 1)).join(parents, ["d", "up"], "left")
-        .where("fits and not coalesce(whole, false)").select("d", "q")
-    )
-    depth = buckets.agg(F.max("d")).first()[0] or 1
-    first = F.expr(f"shiftleft(q, {depth} - d)")
-    slots = buckets.select(
-        F.explode(F.sequence(first, first + F.expr(f"shiftleft(1L, {depth} - d)") - 1)).alias("slot"),
-        first.alias("bucket"),
-    )
-    return slots, depth
+        .groupBy(F.shiftrightunsigned("h", 64 - MAX_DEPTH).alias("p")).agg(F.sum("size").alias("size"), F.count("*").alias("n"))
+    ).toPandas()
+    sizes, counts = np.zeros((2, 1 << MAX_DEPTH), np.int64)
+    sizes[fine["p"].to_numpy(np.int64)] = fine["size"].to_numpy(np.int64)
+    counts[fine["p"].to_numpy(np.int64)] = fine["n"].to_numpy(np.int64)
+    slots, depth = grown(sizes, counts, bucket_bytes)
+    rows = pd.DataFrame({"slot": np.arange(len(slots)), "bucket": slots})
+    return hashes.sparkSession.createDataFrame(rows, "slot long, bucket long"), depth
+
 
+def _located(rows: DataFrame, slots: DataFrame, depth: int) -> DataFrame:
+    """Adds the bucket of each row's hash."""
+    return rows.withColumn("slot", F.shiftrightunsigned("h", 64 - depth)).join(F.broadcast(slots), "slot").drop("slot")
 
-def _owned(docs: DataFrame, hashes: DataFrame, id_col: str, text_col: str, bucket_bytes: int) -> DataFrame:
-    slots, depth = directory(hashes, bucket_bytes)
-    rows = heads(docs, id_col, text_col).withColumn("slot", F.shiftrightunsigned("h", 64 - depth))
-    rows = rows.join(F.broadcast(slots), "slot").select(
+
+def _owned(docs: DataFrame, slots: DataFrame, depth: int, id_col: str, text_col: str, hash_of: Callable[[bytes], int]) -> DataFrame:
+    rows = _located(heads(docs, id_col, text_col, hash_of), slots, depth).select(
         "bucket",
         "h",
         "n",
@@ -184,29 +195,31 @@ def chains(batches: Iterable[pa.RecordBatch]) -> Iterator[list]:
 
 
 def duplicates(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = BUCKET_BYTES
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    bucket_bytes: int = BUCKET_BYTES,
+    hash_of: Callable[[bytes], int] = text_hash,
 ) -> DataFrame:
-    """Per row: doc_id, keep_id, group_size, kept, text_sha256."""
+    """Per row: doc_id, keep_id, group_size, kept, text_sha256. hash_of: a text's place in the index, as a signed 64-bit number."""
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, rows = ["text_sha256", "keep_id", "group_size"], []
+        names, rows = kind.names, []
         for norm, _, _, doc_id, n in chains(batches):
-            rows.append((hashlib.sha256(norm).hexdigest(), doc_id, n))
+            rows.append((hash_of(norm), hashlib.sha256(norm).hexdigest(), doc_id, n))
             if len(rows) == 10_000:
                 yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows], schema=kind)
                 rows = []
         yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows], schema=kind)
 
-    kind = pa.schema([("text_sha256", pa.string()), ("keep_id", pa.int64()), ("group_size", pa.int64())])
+    kind = pa.schema([("h", pa.int64()), ("text_sha256", pa.string()), ("keep_id", pa.int64()), ("group_size", pa.int64())])
     own = docs.select(named(id_col).alias("i"), named(text_col).alias("t"))
-    rows = staged(digests(own, "i", "t"), "digests")
-    index = staged(
-        _owned(own, rows, "i", "t", bucket_bytes).mapInArrow(
-            entries, "text_sha256 string, keep_id long, group_size long"
-        ),
-        "index",
-    )
-    return rows.join(index, "text_sha256").select(
+    rows = staged(digests(own, "i", "t", hash_of), "digests")
+    slots, depth = directory(rows, bucket_bytes)
+    owned = _owned(own, slots, depth, "i", "t", hash_of)
+    index = staged(owned.mapInArrow(entries, "h long, text_sha256 string, keep_id long, group_size long"), "index")
+    return _located(rows, slots, depth).join(_located(index, slots, depth), ["bucket", "h", "text_sha256"]).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
 
@@ -227,7 +240,8 @@ def survivors(
             yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
     ship(docs.sparkSession)
-    rows = _owned(docs, digests(docs, id_col, text_col), id_col, text_col, bucket_bytes)
+    slots, depth = directory(digests(docs, id_col, text_col), bucket_bytes)
+    rows = _owned(docs, slots, depth, id_col, text_col, text_hash)
     kept = rows.mapInArrow(keep, T.StructType([rows.schema["doc"]]))
     return kept.select("doc.*")
 

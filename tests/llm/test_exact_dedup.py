@@ -48,6 +48,29 @@ def test_directory_doubles_until_buckets_fit(llm):
     assert max(sizes.values()) <= 200
 
 
+@pytest.mark.parametrize("bits", [0, 1, 60])
+def test_colliding_hashes_are_told_apart(documents, bits):
+    """Texts of a few hashes only, the first bits of which are the same or not."""
+    found = D.duplicates(documents(ROWS), bucket_bytes=50, hash_of=lambda norm: (len(norm) % 3 << bits) - (1 << 63)).collect()
+    assert Counter((r.doc_id, r.keep_id, r.group_size, r.kept, r.text_sha256) for r in found) == brute(ROWS)
+
+
+def test_only_overfull_buckets_are_split():
+    import numpy as np
+
+    sizes, hashes = np.zeros((2, 1 << D.MAX_DEPTH), np.int64)
+    sizes[:4], hashes[:4] = 10, 1  # four hashes that share all but their last two bits
+    slots, depth = D.grown(sizes, hashes, 15)
+    assert depth == D.MAX_DEPTH and len(slots) == 1 << depth and slots[:4].tolist() == [0, 1, 2, 3]
+    assert len(set(slots.tolist())) == D.MAX_DEPTH + 2 and slots[-1] == 1 << depth - 1
+    slots, depth = D.grown(sizes, hashes, 20)
+    assert depth == D.MAX_DEPTH - 1 and slots[:2].tolist() == [0, 1]
+    sizes[:4], hashes[:4] = (100, 0, 0, 0), (1, 0, 0, 0)  # one hash can't be split
+    assert D.grown(sizes, hashes, 15)[1] == 1
+    sizes[:4], hashes[:4] = (100, 0, 0, 0), (5, 0, 0, 0)  # several, but the bits are used up
+    assert D.grown(sizes, hashes, 15)[1] == D.MAX_DEPTH
+
+
 def test_null_and_repeated_ids_and_no_rows(documents):
     rows = [(None, "a"), (None, "a"), (4, "b"), (4, "b"), (None, "b")]
     found = Counter((r.doc_id, r.keep_id, r.group_size, r.kept) for r in D.duplicates(documents(rows)).collect())
