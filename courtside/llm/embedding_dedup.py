@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm.tables import components, runs, ship, spread, staged, table
+from courtside.llm.tables import components, named, runs, ship, spread, staged, table
 
 BLOCK = 1024
 A_CODE = 48
@@ -39,6 +39,12 @@ def plan(n: int, threshold: float, recall: float) -> tuple[int, int]:
     return bits, max(1, math.ceil(math.log(1 - recall) / math.log(1 - same)))
 
 
+def vector_type(vectors: DataFrame, vector_col: str) -> str:
+    """The type that vectors are moved in: single precision if they are stored so, which loses nothing, else double."""
+    kind = vectors.select(named(vector_col).alias("v")).schema["v"].dataType.simpleString()
+    return "array<float>" if kind == "array<float>" else "array<double>"
+
+
 def usable(vector: Column) -> Column:
     odd = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return F.coalesce(vector.isNotNull() & (F.size(vector) > 0) & ~odd & F.exists(vector, lambda x: x != 0), F.lit(False))
@@ -104,9 +110,9 @@ def near_duplicates(
 ) -> DataFrame:
     """Per row: vec_id, n_links, component_id, kept."""
     ship(vectors.sparkSession)
-    vector = F.col("vector")
+    vector, kind = F.col("vector"), vector_type(vectors, vector_col)
     rows = vectors.select(
-        F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector")
+        named(id_col).cast("long").alias("vec_id"), named(vector_col).cast(kind).alias("vector")
     ).withColumn("ok", usable(vector) & F.col("vec_id").isNotNull())
     vector = F.transform("vector", lambda x: x + F.lit(0.0))
     rows = rows.select(
@@ -118,6 +124,7 @@ def near_duplicates(
     )
     reps = staged(reps, "vectors")
     bits, tables = plan(reps.count(), threshold, recall)
+    narrow, code_type = next((n, t) for n, t in ((pa.int16(), "short"), (pa.int32(), "int"), (pa.int64(), "long")) if bits < n.bit_width)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,12 +139,12 @@ def near_duplicates(
                 for k, row in zip(at.tolist(), signs(x, bits, tables), strict=True):
                     found[k] = row
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(found, pa.list_(pa.int64()))], names=["rep", "copies", "vector", "codes"]
+                [*batch.columns, pa.array(found, pa.list_(narrow))], names=["rep", "copies", "vector", "codes"]
             )
 
     coded = staged(
         reps.select("rep", "copies", "vector").mapInArrow(
-            code, "rep long, copies long, vector array<double>, codes array<long>"
+            code, f"rep long, copies long, vector {kind}, codes array<{code_type}>"
         ),
         "codes",
     )

@@ -27,8 +27,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from courtside.llm.embedding_dedup import usable
-from courtside.llm.tables import runs, ship, staged, table
+from courtside.llm.embedding_dedup import usable, vector_type
+from courtside.llm.tables import named, runs, ship, staged, table
 
 LEAF = 1024
 BRANCH = 16
@@ -283,7 +283,7 @@ def calibrated(vectors: DataFrame, forest: dict[int, Tree], k: int, probes: int,
 def collapsed(vectors: DataFrame, id_col: str, vector_col: str, is_query: str, k: int) -> tuple[DataFrame, DataFrame]:
     """Distinct vectors (rep, vector, ids: the k + 1 smallest, query_id: the smallest query or null), and the queries (query_id, rep)."""
     rows = vectors.select(
-        F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{vector_col}`").cast("array<double>").alias("vector")
+        named(id_col).cast("long").alias("vec_id"), named(vector_col).cast(vector_type(vectors, vector_col)).alias("vector")
     )
     rows = rows.where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
     plain = F.transform("vector", lambda x: x + F.lit(0.0))
@@ -328,7 +328,8 @@ def nearest(
                 yield pd.DataFrame({"rep": batch["rep"].to_numpy()[rows], "vector": list(x), "size": size, "leaves": leaves})
 
     asked = found.where("query_id is not null").select("rep", "vector")
-    asked = staged(asked.mapInPandas(walk, "rep long, vector array<double>, size long, leaves array<long>"), "visits")
+    kind = vector_type(vectors, vector_col)
+    asked = staged(asked.mapInPandas(walk, f"rep long, vector {kind}, size long, leaves array<long>"), "visits")
     visited = asked.select("size", F.explode("leaves").alias("leaf")).groupBy("size", "leaf").count()
     # Per leaf its blocks of vectors and of queries; as many entries as leaves.
     blocks = {
@@ -336,7 +337,7 @@ def nearest(
     }
     blocks = {key: n for key, n in blocks.items() if n[0]}
     dealt = spark.sparkContext.broadcast(blocks)
-    kinds = "size long, leaf long, i long, j long, asks boolean, rep long, vector array<double>"
+    kinds = f"size long, leaf long, i long, j long, asks boolean, rep long, vector {kind}"
 
     def deal(batches: Iterator[pd.DataFrame], asks: bool) -> Iterator[pd.DataFrame]:
         """A row for every pair of blocks that the vector belongs to: i numbers blocks of vectors, j those of queries."""

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from courtside.session import scratch_folder
+from courtside.session import discard, scratch_folder
 
 
 def ship(spark: SparkSession) -> None:
@@ -40,9 +40,13 @@ def columns_of(df: DataFrame) -> list[Column]:
 
 def staged(df: DataFrame, purpose: str, partition_by: Iterable[str] = ()) -> DataFrame:
     """The rows written to the shared folder and read again: a cut in the lineage that survives lost executors."""
+    return _staged_at(df, purpose, partition_by)[0]
+
+
+def _staged_at(df: DataFrame, purpose: str, partition_by: Iterable[str] = ()) -> tuple[DataFrame, str]:
     path = scratch_folder(df.sparkSession, purpose)
     df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -104,28 +108,27 @@ def crc_fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
-def components(edges: DataFrame, limit: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of the edges (a, b); the component is its smallest node.
 
     Large-star and small-star steps take turns until the edges no longer change. Each step is an
     aggregation to the smallest neighbour and an equi-join with it, so the neighbours of a node never
-    meet in one task. Edges are written once a round. Null ends and loops are ignored.
+    meet in one task. Edges are written once a round, and those of the round before are deleted. Null ends and loops are ignored.
     """
-    now = staged(
+    now, path = _staged_at(
         edges.where("a is not null and b is not null and a <> b")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct(),
         "edges",
     )
     seen = _digest(now)
-    for _ in range(limit):
-        now = staged(_small_star(_large_star(now)), "edges")
-        new = _digest(now)
-        if new == seen:
+    while True:
+        new, new_path = _staged_at(_small_star(_large_star(now)), "edges")
+        discard(edges.sparkSession, path)
+        now, path, before = new, new_path, seen
+        seen = _digest(now)
+        if seen == before:
             break
-        seen = new
-    else:
-        raise RuntimeError(f"components did not settle in {limit} rounds")
     centres = now.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(centres)
 
