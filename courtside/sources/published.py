@@ -35,7 +35,7 @@ class PublishedTable:
         if not self.spark.catalog.tableExists(self.table):
             self.spark.sql(
                 f"CREATE TABLE {self.table} ({self.schema.toDDL()}) USING parquet PARTITIONED BY ({self.day}) "
-                f"LOCATION '{self.root}/table'"
+                f"LOCATION {_quoted(f'{self.root}/table')}"
             )
 
     def rows(self) -> DataFrame:
@@ -57,7 +57,7 @@ class PublishedTable:
         fresh = []
         for value in sorted(days):
             place = f"PARTITION ({self.day}=DATE'{value}')"
-            location = f"LOCATION '{folder}/{self.day}={value}'"
+            location = f"LOCATION {_quoted(f'{folder}/{self.day}={value}')}"
             if str(value) in known:
                 self.spark.sql(f"ALTER TABLE {self.table} {place} SET {location}")
             else:
@@ -76,16 +76,16 @@ class PublishedTable:
         self.swap(folder, [row[self.day] for row in found if row["pass"] and row["stored_rows"]])
         return self.spark.createDataFrame(found, report.schema)
 
-    def _served(self) -> set[str]:
-        """The partition folders that dates point at, without scheme."""
-        return {file.rsplit("/", 1)[0].split(":")[-1].lstrip("/") for file in self.rows().inputFiles()}
+    def _served(self) -> set[tuple[str, ...]]:
+        """(version, date folder) that dates point at. A version's name is unique, so how a store spells the path before it is no matter."""
+        return {tuple(file.split("/")[-3:-1]) for file in self.rows().inputFiles()}
 
     def unserved(self) -> Iterator[str]:
         """Folders of dates in versions that no partition points at any more."""
         served = self._served()
         for version in subfolders(self.spark, f"{self.root}/versions"):
             for folder in subfolders(self.spark, version, f"{self.day}="):
-                if folder.split(":")[-1].lstrip("/") not in served:
+                if tuple(folder.split("/")[-2:]) not in served:
                     yield folder
 
     def retire(self) -> int:
@@ -96,6 +96,11 @@ class PublishedTable:
         return len(gone)
 
 
+def _quoted(text: str) -> str:
+    """A text as a literal of SQL."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def expected_counts(rows: DataFrame, day: str = "GAME_DATE") -> DataFrame:
     """Rows per date, in the form that an audit expects."""
     return rows.groupBy(day).agg(F.count(F.lit(1)).alias("rows"))

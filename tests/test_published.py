@@ -72,6 +72,16 @@ def test_publishing_reads_only_the_asked_dates(spark, table):
     assert "PartitionFilters: [isnotnull(GAME_DATE" in plan and "InMemoryFileIndex(1 paths)" in plan
 
 
+def test_roots_with_odd_characters(spark, tmp_path):
+    made = PublishedTable(spark, "published_odd", str(tmp_path / "it's a root"), ROWS)
+    made.create()
+    for version in (1, 2):
+        new = rows(spark, version, DAY1)
+        made.publish(new, expected_counts(new), str(version))
+    assert made.retire() == 1 and served(made) == {(DAY1, 2): 4}
+    spark.sql("DROP TABLE published_odd")
+
+
 def test_no_rows_publish_nothing(spark, table):
     none = rows(spark, 1)
     assert table.publish(none, expected_counts(none), "1").collect() == [] and served(table) == {}
