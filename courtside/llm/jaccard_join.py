@@ -10,10 +10,11 @@ percentage. The join is exact (up to equal 64-bit hashes of different shingles):
    never links. Passages that many documents share thus fall out of the groups.
 3. Each group is cut into blocks, and the group's smallest member goes to all of them. A block's members, in the order of their sizes,
    are the leaves of a signature tree (nodes with OR-combined token bitmaps, size ranges and component ranges), which is traversed
-   against itself, dropping node pairs whose largest possible overlap is below what their sizes ask for. Every member gives one
-   candidate: the smallest member of the group if the traversal reached it, else the first one. Verified, these give components.
-4. In groups that still hold several components, pairs of blocks are traversed from both sides, now dropping node pairs of one
-   component too, and all that is left is a candidate.
+   against itself, dropping node pairs whose largest possible overlap is below what their sizes ask for. The pairs of leaves that remain are
+   candidates. A crowded block gives one for each member only: the smallest member of the group if the traversal reached it, else the
+   first one. Verified, the candidates give components.
+4. Groups of several blocks and crowded ones that still hold several components are traversed again, by pairs of blocks from both sides,
+   now dropping node pairs of one component too; all that is left is a candidate.
 5. All candidate pairs are verified on the full sets, those of crowded blocks within the block; components follow from
    the links.
 
@@ -164,7 +165,7 @@ def described(texts: DataFrame, words: int, percent: int) -> DataFrame:
 
 def _groups(reps: DataFrame) -> DataFrame:
     """(key, doc_id, pivot, size) of groups of two or more; groups with the same members are kept once."""
-    rows = reps.select(F.explode("keys").alias("key"), "doc_id").repartition("key")
+    rows = reps.select("doc_id", F.explode("keys").alias("key")).repartition("key")
     facts = rows.groupBy("key").agg(
         F.count("*").alias("size"),
         F.min("doc_id").alias("pivot"),
@@ -182,37 +183,51 @@ def _groups(reps: DataFrame) -> DataFrame:
 
 
 def first_candidates(members: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b): per member of a block of a group at most one, to the group's smallest member or to the first one in reach."""
+    """(key, a, b) of the pairs of each block of a group that its tree lets through; rows without a pair name groups that need more.
+
+    A block with more than `CANDIDATES` a member gives one for each member, the group's smallest member if that is in reach, else the
+    first one, and its group needs more; so do groups of several blocks.
+    """
     blocks = F.ceil(F.col("size") / BLOCK)
     own = F.pmod(F.xxhash64("doc_id"), blocks)
     everywhere = F.col("doc_id") == F.col("pivot")
     places = F.when(everywhere, F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(F.array(own))
-    dealt = members.select("key", "pivot", "doc_id", F.explode(places).alias("block")).join(reps.select("doc_id", "n_shingles", "sig"), "doc_id")
+    dealt = members.select("key", "pivot", "doc_id", (blocks > 1).alias("cut"), F.explode(places).alias("block"))
+    dealt = dealt.join(reps.select("doc_id", "n_shingles", "sig"), "doc_id")
     keys = ["key", "block"]
 
     def traverse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        unfinished: list[int] = []
         for group in runs(batches, keys):
-            ids = group["doc_id"].astype(np.int64)
+            ids, key = group["doc_id"].astype(np.int64), int(group["key"][0])
             i, j = own_candidates(group, percent)
-            if len(i):
+            crowded = len(i) > CANDIDATES * len(ids)
+            if crowded:
                 to_pivot = ids[i] == int(group["pivot"][0])
                 order = np.lexsort((i, ~to_pivot, j))
-                first = np.unique(j[order], return_index=True)[1]
-                at = order[first]
-                held.append((ids[i[at]], ids[j[at]]))
+                at = order[np.unique(j[order], return_index=True)[1]]
+                i, j = i[at], j[at]
+            if crowded or group["cut"][0]:
+                unfinished.append(key)
+            if len(i):
+                a, b = ids[i], ids[j]
+                held.append((np.full(len(a), key), np.minimum(a, b), np.maximum(a, b)))
             if len(held) >= 10_000:
-                yield _pairs(held)
+                yield _pairs(held, [])
                 held = []
-        yield _pairs(held)
+        yield _pairs(held, unfinished)
 
     dealt = dealt.repartition(*keys).sortWithinPartitions(*keys, "n_shingles", "doc_id")
-    return dealt.mapInPandas(traverse, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return dealt.mapInPandas(traverse, "key long, a long, b long")
 
 
-def _pairs(held: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
-    a, b = (np.concatenate([np.zeros(0, np.int64), *(pair[k] for pair in held)]) for k in (0, 1))
-    return pd.DataFrame({"a": a, "b": b})
+def _pairs(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]], unfinished: list[int]) -> pd.DataFrame:
+    """Distinct pairs, each with one of its keys, and a row without a pair for each unfinished group."""
+    key, a, b = (np.concatenate([np.zeros(0, np.int64), *(part[k] for part in held)]) for k in range(3))
+    pairs = pd.DataFrame({"key": key, "a": a, "b": b}).drop_duplicates(["a", "b"])
+    more = pd.DataFrame({"key": np.unique(np.array(unfinished, np.int64))})
+    return pd.concat([pairs, more]).astype({"key": "int64", "a": "Int64", "b": "Int64"})
 
 
 def own_candidates(group: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -466,17 +481,21 @@ def jaccard_components(
     Null or empty texts: 0 shingles, a component of their own. An empty table gives no rows.
     """
     texts = _texts(docs, id_col, text_col)
-    rows = staged(described(texts, words, percent), "shingles")
-    classes = rows.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    reps = rows.where("set_key is not null and doc_id is not null").join(
-        classes.select("set_key", F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi"
-    )
-    reps = staged(reps.dropDuplicates(["set_key"]).select("doc_id", "n_shingles", "sig", "keys"), "reps")
+    rows = staged(described(texts, words, percent).withColumn("row", F.monotonically_increasing_id()), "shingles")
+    sets = rows.where("set_key is not null").select("set_key", "doc_id", "row")
+    classes = sets.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
+    # The rows that are not the first of their set are mostly few, so they are taken out of the wide rows, and not the others put in.
+    kept = sets.where("doc_id is not null").groupBy("set_key").agg(F.min(F.struct("doc_id", "row")).alias("first"))
+    copies = sets.join(kept, "set_key", "left").where("first is null or row <> first.row").select("row")
+    reps = rows.where("set_key is not null").join(staged(copies, "copies"), "row", "left_anti")
     members = _groups(reps)
-    pairs = staged(first_candidates(members, reps, percent), "pairs")
+    reps = staged(reps.select("doc_id", "n_shingles", "sig"), "reps")
+    found = staged(first_candidates(members, reps, percent), "candidates")
+    pairs = staged(found.where("a is not null").select("a", "b").distinct(), "pairs")
     links = staged(verified(pairs, texts, words, percent), "links")
     first = components(links)
-    more = _tree_links(members, reps, first, texts, words, percent)
+    left = members.join(found.where("a is null").select("key").distinct(), "key", "left_semi")
+    more = _tree_links(left, reps, first, texts, words, percent)
     first = components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     found = classes.join(first.withColumnRenamed("node", "rep"), "rep", "left").select(
         "set_key", F.coalesce("component", "rep").alias("found")
