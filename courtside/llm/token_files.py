@@ -10,14 +10,13 @@ A file is a sequence of blocks, all numbers little-endian:
     documents x i64 doc_id, documents x u8 (1: doc_id is null), documents x u32 ids of the document,
     the control bytes, each document's beginning with a byte of its own, the data bytes, b"\\n"
 
-Texts are encoded once, into a staged table; the counts of ids are made from it, and the coded documents as they are written, after they
-were dealt out by doc_id.
+Texts are encoded once, into a staged table, which is deleted in the end; the counts of ids and then the coded documents are made from it.
 
 Files are numbered in ascending order of doc_id (nulls first), and so are the documents in them. Spark's text writer
 puts them into any store it can write to: a block is the bytes of a line. The table of ranks lies beside the files.
 
 Each document ends with the id `end`. Null and empty texts have that id only; an empty table makes
-no blocks; rows that repeat an id lie next to each other, in the order of their ids' bytes.
+no blocks; rows that repeat an id lie next to each other, in the order of their coded bytes.
 """
 
 from __future__ import annotations
@@ -38,7 +37,7 @@ from tokenizers import Tokenizer
 
 from courtside.llm.plaintext import is_plain, parts, tokenizer_file
 from courtside.llm.tables import ship, staged, table
-from courtside.session import scratch_folder
+from courtside.session import discard, scratch_folder
 
 CACHED = 500_000
 RUN_CHARS = 20_000
@@ -166,6 +165,12 @@ def _flat(column: pa.BinaryArray, kind: str) -> np.ndarray:
     return np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]].view(kind)
 
 
+def _cut(data: np.ndarray, sizes: np.ndarray) -> pa.BinaryArray:
+    """A binary column of values of so many bytes."""
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype("<i4")
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))])
+
+
 def id_counts(staged_ids: DataFrame, kind: str) -> DataFrame:
     """(id, n) over all documents."""
 
@@ -257,16 +262,31 @@ def write(
     table_of = spark.sparkContext.broadcast(rank_of)
     total = spark.read.parquet(f"{path}/ranks").agg(F.sum("n")).first()[0] or 0
     files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // FILE_IDS))
+    # A file per range of ids, of about as many documents each; the coding runs once, as no sort has to sample its rows.
+    shares = [k / files for k in range(1, files)]
+    ends = np.array(found.approxQuantile("doc_id", shares, 0.1 / files) if shares else [], np.float64)
 
-    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = pc.binary_length(batch.column(1)).to_numpy().astype(np.int64) // np.dtype(kind).itemsize
-            if not len(sizes):
-                continue
             control, data, lengths = pack(table_of.value[_flat(batch.column(1), kind)], sizes)
-            ids = pc.fill_null(batch.column(0), 0).to_numpy()
-            nulls = batch.column(0).is_null().to_numpy(zero_copy_only=False)
-            at, cat, dat = (np.concatenate([[0], np.cumsum(n)]) for n in (sizes, (sizes + 3) // 4, lengths))
+            ids, nulls = _ids(batch.column(0))
+            file = np.where(nulls, 0, np.searchsorted(ends, ids.astype(np.float64)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes), _cut(control, (sizes + 3) // 4), _cut(data, lengths), pa.array(file, pa.int32())],
+                names=["doc_id", "n", "control", "data", "file"],
+            )
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, nulls = _ids(batch.column(0))
+            sizes = batch.column(1).to_numpy()
+            control, data = (_flat(batch.column(k), "u1") for k in (2, 3))
+            at, cat, dat = (
+                np.concatenate([[0], np.cumsum(n)]) for n in (sizes, *(pc.binary_length(batch.column(k)).to_numpy().astype(np.int64) for k in (2, 3)))
+            )
             cuts = [0, *(np.flatnonzero(np.diff(at[1:] // BLOCK_IDS)) + 1).tolist(), len(sizes)]
             made = [
                 block(ids[a:b], nulls[a:b], sizes[a:b], control[cat[a] : cat[b]], data[dat[a] : dat[b]])
@@ -274,9 +294,16 @@ def write(
             ]
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["block"])
 
-    ordered = found.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "ids")
+    coded = found.mapInArrow(code, "doc_id long, n long, control binary, data binary, file int")
+    ordered = coded.repartitionById(files, "file").sortWithinPartitions("doc_id", "control", "data")
     written = ordered.mapInArrow(lines, "block binary").select(F.col("block").cast("string").alias("value"))
     written.write.option("lineSep", "\n").text(f"{path}/ids")
+    discard(spark, f"{path}/encoded")
+
+
+def _ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Ids, 0 for null ones, and which are null."""
+    return pc.fill_null(column, 0).to_numpy(), column.is_null().to_numpy(zero_copy_only=False)
 
 
 def _ranked(spark: SparkSession, path: str) -> np.ndarray:
