@@ -65,6 +65,7 @@ _MASKED = re.compile(r"\b\w*[0-9@$!*]\w*[\w]")
 _PLAIN = str.maketrans("013457@$!*", "oieastasi ")
 _ADDRESS = re.compile(r"\byou(?:'re| are)?(?: such)?(?: an?| the)? (\w+)")
 _TERM_SET = frozenset(TERMS)
+_ENDS = ".,;:!?\"'()[]-…«»„“”"
 _NOT_UPPER = bytes(k for k in range(256) if not 65 <= k <= 90)
 _NOT_LOWER = bytes(k for k in range(256) if not 97 <= k <= 122)
 _NOT_ASCII = bytes(range(128, 256))
@@ -72,7 +73,8 @@ _NOT_ASCII = bytes(range(128, 256))
 
 def pieces_of(word: str) -> list[str]:
     """The word, and its beginnings, which end in a mark."""
-    return [word, *(word[:k] + "*" for k in BEGINNINGS if len(word) > k)]
+    n = len(word)
+    return [word, *[word[:k] + "*" for k in BEGINNINGS if n > k]]
 
 
 class _Kept(dict):
@@ -88,8 +90,12 @@ class _Kept(dict):
         return value
 
 
+def _column(piece: str) -> int:
+    return xxhash.xxh3_64_intdigest(piece) % HASHED
+
+
 def _columns(word: str) -> list[int]:
-    return [xxhash.xxh3_64_intdigest(piece) % HASHED for piece in pieces_of(word)]
+    return [_column(piece) for piece in pieces_of(word)]
 
 
 class _Tokens(_Kept):
@@ -100,17 +106,15 @@ class _Tokens(_Kept):
 
     @staticmethod
     def _token(token: str) -> tuple[tuple[str, ...], bool]:
+        core = token.strip(_ENDS)
+        if core.isalpha():  # one word, and nothing masked in it
+            return (core,), False
         masked = any(m.translate(_PLAIN).replace(" ", "") in _TERM_SET for m in _MASKED.findall(token))
         return tuple(set(_WORD.findall(token))), masked
 
     def words(self, low: str) -> tuple[set[str], bool]:
-        words: set[str] = set()
-        masked = False
-        for token in set(low.split()):
-            own, odd = self[token]
-            words.update(own)
-            masked |= odd
-        return words, masked
+        found = set(map(self.__getitem__, set(low.split())))
+        return {word for own, _ in found for word in own}, any([odd for _, odd in found])
 
 
 class Voters:
@@ -126,8 +130,12 @@ class Voters:
         self.of_word = _Kept(self._of_word)
 
     def _of_word(self, word: str) -> tuple[int, ...]:
-        terms = [self.place[word]] if word in _TERM_SET else []
-        return (*terms, *(self.of_piece[p] for p in pieces_of(word) if p in self.of_piece))
+        return self.of_pieces(pieces_of(word))
+
+    def of_pieces(self, pieces: list[str]) -> tuple[int, ...]:
+        """The voters of a word, given its pieces."""
+        cast = [self.of_piece[p] for p in pieces if p in self.of_piece]
+        return (self.place[pieces[0]], *cast) if pieces[0] in _TERM_SET else tuple(cast)
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "of_word"}
@@ -325,9 +333,11 @@ class ToxicityModel:
     def scorer(self):
         """Scores texts; keeps the weights of the words it has met."""
 
+        weights = self.words.tolist()
+
         def weigh(word: str) -> tuple[float, int, tuple[int, ...]]:
-            at = _columns(word)
-            return float(self.words[at].sum()), len(at), self.voters._of_word(word)
+            pieces = pieces_of(word)
+            return sum([weights[_column(p)] for p in pieces]), len(pieces), self.voters.of_pieces(pieces)
 
         kept, tokens = _Kept(weigh), _Tokens()
 
