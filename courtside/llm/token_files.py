@@ -26,6 +26,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -52,8 +53,9 @@ LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 class ByteCoder:
     """Encodes with a byte-level BPE file, piece by piece, with a bounded cache."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kind: str = "<u4"):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        self.kind = np.dtype(kind)
         self.whole = Tokenizer.from_file(path)
         self.whole.no_truncation()
         self.whole.no_padding()
@@ -73,23 +75,21 @@ class ByteCoder:
         return text.replace(" ", "\0 ").split("\0")
 
     def encode_texts(self, texts: list[str]) -> list[bytes]:
-        """Per text its ids as little-endian u32."""
+        """Per text its ids as numbers of the coder's kind."""
         if len(self.known) > CACHED:
             self.older, self.known = self.known, {}
         split = [self.chunks(t) for t in texts]
-        found = [None if own is None else list(map(self.known.get, own)) for own in split]
-        new = {x for own, codes in zip(split, found, strict=True) if own and None in codes for x, c in zip(own, codes, strict=True) if c is None}
-        for chunk in new & self.older.keys():
-            self.known[chunk] = self.older[chunk]
-        new = [x for x in new if x not in self.known]
-        self.known.update(zip(new, self._encode_chunks(new), strict=True))
+        known, older = self.known, self.older
+        new = []
+        for chunk in dict.fromkeys(chain.from_iterable(filter(None, split))):
+            if chunk not in known:
+                if (code := older.get(chunk)) is None:
+                    new.append(chunk)
+                else:
+                    known[chunk] = code
+        known.update(zip(new, self._encode_chunks(new), strict=True))
         others = iter(self._encode([t for t, own in zip(texts, split, strict=True) if own is None]))
-        out = []
-        for own, codes in zip(split, found, strict=True):
-            if own is not None and None in codes:
-                codes = map(self.known.__getitem__, own)
-            out.append(next(others) if own is None else b"".join(codes))
-        return out
+        return [next(others) if own is None else b"".join(map(known.__getitem__, own)) for own in split]
 
     def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
         """The ids of chunks, many of them in one text: no piece reaches over a space, nor over a line feed between two that have none there.
@@ -97,7 +97,7 @@ class ByteCoder:
         A token's bytes tell where it lies, so the ids are cut at the chunks' ends. Should a token lie across one, the chunks are encoded alone.
         """
         out: list[bytes | None] = [None] * len(chunks)
-        runs = []
+        runs, width = [], self.kind.itemsize
         for between, places in (
             ("", [k for k, c in enumerate(chunks) if c[:1] == " "]),
             ("\n", [k for k, c in enumerate(chunks) if c and c[0] not in " \n"]),
@@ -113,25 +113,25 @@ class ByteCoder:
             lengths = np.fromiter((len(c) if c.isascii() else len(c.encode()) for c in own), np.int64, len(own)) + len(between)
             ends = np.cumsum(lengths) - len(between)
             starts = ends - lengths + len(between)
-            past = np.concatenate([[0], np.cumsum(self.sizes[np.frombuffer(codes, "<u4")])])
+            past = np.concatenate([[0], np.cumsum(self.sizes[np.frombuffer(codes, self.kind)])])
             first, last = np.searchsorted(past, starts), np.searchsorted(past, ends)
             whole = (past[np.minimum(first, len(past) - 1)] == starts) & (past[np.minimum(last, len(past) - 1)] == ends)
             for k, a, b, ok in zip(places, first.tolist(), last.tolist(), whole.tolist(), strict=True):
                 if ok:
-                    out[k] = codes[4 * a : 4 * b]
+                    out[k] = codes[width * a : width * b]
         rest = [k for k, code in enumerate(out) if code is None]
         for k, code in zip(rest, self._encode([chunks[k] for k in rest]), strict=True):
             out[k] = code
         return out
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(e.ids, self.kind).tobytes() for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 @functools.lru_cache(maxsize=2)
-def coder(path: str) -> ByteCoder:
+def coder(path: str, kind: str = "<u4") -> ByteCoder:
     """The coder of a file, made once in a Python worker."""
-    return ByteCoder(path)
+    return ByteCoder(path, kind)
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -149,10 +149,10 @@ def tokenized(rows: DataFrame, path: str, tokenizer: str, end: int) -> DataFrame
     kind = id_kind(tokenizer, end)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        use, stop = coder(tokenizer), np.array([end], kind).tobytes()
+        use, stop = coder(tokenizer, kind), np.array([end], kind).tobytes()
         for batch in batches:
             for part, texts in parts(batch, 4_000_000):
-                codes = [np.frombuffer(c, "<u4").astype(kind).tobytes() + stop for c in use.encode_texts(texts)]
+                codes = [c + stop for c in use.encode_texts(texts)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(codes, pa.binary())], names=["doc_id", "ids"])
 
     rows.mapInArrow(encode, "doc_id long, ids binary").write.option("compression", "zstd").parquet(path)

@@ -108,3 +108,12 @@ def test_best_keeps_ties_by_id():
     scores = np.array([[1.0, 0.5, 1.0, 0.2] + [0.1] * 30])
     row, column = nn.best(scores, np.array([9, 2, 3, 1, *range(100, 130)]), 3)
     assert row.tolist() == [0, 0, 0] and column.tolist() == [2, 0, 1]
+
+
+def test_vectors_in_single_precision(llm):
+    rows = [(i, np.float32(v).tolist()) for i, v in clustered(800, 5)]
+    df = llm.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {}
+    for r in nn.nearest(df, leaf_rows=32, recall=1.0, probes=1000).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    same({q: [x[1:] for x in sorted(own)] for q, own in got.items()}, plainly(rows))
