@@ -177,12 +177,13 @@ class Store:
         return whole[-1].rsplit("/", 1)[1] if whole else None
 
     def current_ledger(self) -> DataFrame:
-        """The row of the latest run of each date. Only runs after the last snapshot are read."""
+        """The row of the latest run of each date. Only the snapshot and the runs from its last one on are read."""
         upto, ledger = self._snapshot(), self.ledger()
         if upto is None:
             return ledger_snapshot(ledger)
         kept = self.spark.read.schema(S.LEDGER).parquet(f"{self.snapshot_path}/{upto}").select(*S.LEDGER.names)
-        return ledger_snapshot(kept.unionByName(ledger.where(F.col("LOAD_BATCH_ID") > upto)))
+        # The last run of the snapshot may have been repeated since.
+        return ledger_snapshot(kept.unionByName(ledger.where(F.col("LOAD_BATCH_ID") >= upto)))
 
     def replace_days(self, rows: DataFrame) -> None:
         """Overwrite the dates present in `rows` and leave every other date alone."""
