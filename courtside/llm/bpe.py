@@ -32,7 +32,7 @@ from tokenizers import Tokenizer, models
 from courtside.llm.plaintext import byte_alphabet, is_plain, parts, tokenizer_file
 from courtside.llm.tables import ship, table
 
-CACHED = 200_000
+CACHED = 100_000
 SYMBOLS = 512
 
 
