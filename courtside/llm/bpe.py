@@ -58,6 +58,10 @@ class WordCoder:
         self.older: dict[str, tuple[str, str]] = {}
         self.fragments: tuple[dict, dict] = ({}, {})
 
+    def forget(self) -> None:
+        """Empties the caches."""
+        self.chunks, self.older, self.fragments = {}, {}, ({}, {})
+
     def _joined(self, vocab: dict[str, int]) -> np.ndarray:
         """Which pairs of symbols stand next to each other inside a token."""
         found = np.zeros(SYMBOLS * SYMBOLS, bool)
@@ -179,6 +183,7 @@ def encoded(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = coder(tokenizer)
+        use.forget()  # a worker lives on between tasks and stages
         for batch in batches:
             for part, texts in parts(batch, batch_chars):
                 found = list(use.encode_texts(texts))
@@ -192,6 +197,7 @@ def encoded(
                     ],
                     names=["doc_id", "ids", "n_tokens", "decoded", *part.schema.names[2:]],
                 )
+        use.forget()
 
     kinds = "doc_id long, ids string, n_tokens long, decoded string"
     return rows.mapInArrow(encode, kinds + ", place long" if place_col else kinds)

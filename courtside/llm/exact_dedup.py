@@ -3,8 +3,8 @@ r"""Exact dedup: an extendible-hash index whose buckets are key ranges of a 64-b
 Texts are equal when identical after every `[\x20\x09-\x0D]+` became one space; a null text is an empty
 one. Of equal texts the row with the smallest id stays (a null id only if there is no other).
 
-1. Each Arrow batch sends one head per distinct text: its smallest row and the number of rows. So a text
-   that fills a third of the table reaches its owner once a batch, not once a row.
+1. Each piece of an Arrow batch sends one head per distinct text: its smallest row and the number of rows. So a text
+   that fills a third of the table reaches its owner once a piece, not once a row.
 2. The directory begins with one bit of the hash. In rounds, buckets over `BUCKET_BYTES` that hold more than one
    hash are split by one more bit; the directory doubles when a bucket to split is as deep as it is. Buckets end at `MAX_DEPTH` bits, so
    that a histogram of that many bits is all the rounds need, and the broadcast directory has at most 2^MAX_DEPTH slots.
@@ -25,16 +25,18 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from courtside.llm.plaintext import parts
+from courtside.llm.plaintext import cuts, parts
 from courtside.llm.tables import columns_of, named, ship, spread, staged, table
 
 BUCKET_BYTES = 1 << 20
 MAX_DEPTH = 16
+PIECE = 4 << 20
 SPACE = b" \t\n\x0b\x0c\r"
 
 
@@ -55,31 +57,31 @@ def _order(doc_id: int | None) -> tuple:
 
 
 def heads(docs: DataFrame, id_col: str, text_col: str, hash_of: Callable[[bytes], int] = text_hash) -> DataFrame:
-    """(doc, h, n): per batch and distinct text its smallest row, the text's hash and the rows it stands for."""
-    rows = docs.select(
-        F.struct(*columns_of(docs)).alias("doc"),
-        named(id_col).cast("long").alias("id"),
-        named(text_col).cast("string").alias("text"),
-    )
+    """(doc, h, n): per piece of a batch and distinct text its smallest row, the text's hash and the rows it stands for."""
+    rows = docs.select(F.struct(*columns_of(docs)).alias("doc"))
+    id_at, text_at = docs.columns.index(id_col), docs.columns.index(text_col)
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: dict[bytes, list] = {}
-            ids = batch.column(1).to_pylist()
-            for i, text in enumerate(batch.column(2).to_pylist()):
-                entry = found.setdefault(normalised(text), [i, 0])
-                entry[1] += 1
-                if _order(ids[i]) < _order(ids[entry[0]]):
-                    entry[0] = i
-            at = pa.array([i for i, _ in found.values()], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(at),
-                    pa.array(map(hash_of, found), pa.int64()),
-                    pa.array([n for _, n in found.values()], pa.int64()),
-                ],
-                names=["doc", "h", "n"],
-            )
+            all_texts = pc.struct_field(batch.column(0), [text_at]).cast(pa.string())
+            all_ids = pc.struct_field(batch.column(0), [id_at]).cast(pa.int64())
+            for start, end in cuts(all_texts, PIECE):
+                found: dict[bytes, list] = {}
+                ids = all_ids.slice(start, end - start).to_pylist()
+                for i, text in enumerate(all_texts.slice(start, end - start).to_pylist()):
+                    entry = found.setdefault(normalised(text), [i, 0])
+                    entry[1] += 1
+                    if _order(ids[i]) < _order(ids[entry[0]]):
+                        entry[0] = i
+                at = pa.array([start + i for i, _ in found.values()], pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(at),
+                        pa.array(map(hash_of, found), pa.int64()),
+                        pa.array([n for _, n in found.values()], pa.int64()),
+                    ],
+                    names=["doc", "h", "n"],
+                )
 
     kind = T.StructType([T.StructField("doc", rows.schema["doc"].dataType), *_longs("h", "n")])
     return rows.mapInArrow(reduce, kind)
@@ -158,8 +160,7 @@ def _owned(docs: DataFrame, slots: DataFrame, depth: int, id_col: str, text_col:
         "bucket",
         "h",
         "n",
-        F.col(f"doc.`{id_col}`").cast("long").alias("id"),
-        F.col(f"doc.`{text_col}`").cast("string").alias("text"),
+        F.col("doc").getField(id_col).cast("long").alias("id"),
         "doc",
     )
     return spread(rows, "bucket").sortWithinPartitions("bucket", "h")
@@ -181,16 +182,20 @@ class _Chain:
         self.entries.append([norm, batch, i, doc_id, n])
 
 
-def chains(batches: Iterable[pa.RecordBatch]) -> Iterator[list]:
-    """[text, batch, row, id, rows] of each distinct text; the batches come in order of h."""
+def chains(batches: Iterable[pa.RecordBatch], text_at: int) -> Iterator[list]:
+    """[text, batch, row, id, rows] of each distinct text, which is that field of doc; the batches come in order of h."""
     now = None
     for batch in batches:
-        columns = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("h", "n", "id", "text"))
-        for i, (h, n, doc_id, text) in enumerate(zip(*columns, strict=True)):
-            if now is None or h != now.h:
-                yield from now.entries if now else ()
-                now = _Chain(h)
-            now.add(normalised(text), batch, i, doc_id, n)
+        texts = pc.struct_field(batch.column("doc"), [text_at]).cast(pa.string())
+        for start, end in cuts(texts, PIECE):
+            part = batch.slice(start, end - start)
+            columns = (part.column(c).to_pylist() for c in ("h", "n", "id"))
+            own = texts.slice(start, end - start).to_pylist()
+            for i, (h, n, doc_id, text) in enumerate(zip(*columns, own, strict=True), start):
+                if now is None or h != now.h:
+                    yield from now.entries if now else ()
+                    now = _Chain(h)
+                now.add(normalised(text), batch, i, doc_id, n)
     yield from now.entries if now else ()
 
 
@@ -206,7 +211,7 @@ def duplicates(
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, rows = kind.names, []
-        for norm, _, _, doc_id, n in chains(batches):
+        for norm, _, _, doc_id, n in chains(batches, 1):
             rows.append((hash_of(norm), hashlib.sha256(norm).hexdigest(), doc_id, n))
             if len(rows) == 10_000:
                 yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows], schema=kind)
@@ -231,15 +236,16 @@ def survivors(
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
-        for _, batch, i, _, _ in chains(batches):
+        for _, batch, i, _, _ in chains(batches, text_at):
             held.append(batch.select(["doc"]).slice(i, 1))
-            if len(held) == 500:
+            if len(held) == 200:
                 yield from pa.Table.from_batches(held).combine_chunks().to_batches()
                 held = []
         if held:
             yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
     ship(docs.sparkSession)
+    text_at = docs.columns.index(text_col)
     slots, depth = directory(digests(docs, id_col, text_col), bucket_bytes)
     rows = _owned(docs, slots, depth, id_col, text_col, text_hash)
     kept = rows.mapInArrow(keep, T.StructType([rows.schema["doc"]]))

@@ -35,8 +35,8 @@ def test_same_as_brute_force(documents, bucket_bytes):
 def test_texts_of_equal_hash_are_told_apart_by_their_bytes(documents, monkeypatch):
     import pyarrow as pa
 
-    batch = pa.RecordBatch.from_pydict({"h": [7] * 5, "n": [1, 2, 3, 4, 5], "id": [4, 3, 2, 1, None], "text": ["a", "b", "a", "b ", "a"]})
-    assert [(e[0], e[3], e[4]) for e in D.chains([batch, batch])] == [(b"a", 2, 18), (b"b", 3, 4), (b"b ", 1, 8)]
+    batch = pa.RecordBatch.from_pydict({"h": [7] * 5, "n": [1, 2, 3, 4, 5], "id": [4, 3, 2, 1, None], "doc": [{"t": t} for t in ("a", "b", "a", "b ", "a")]})
+    assert [(e[0], e[3], e[4]) for e in D.chains([batch, batch], 0)] == [(b"a", 2, 18), (b"b", 3, 4), (b"b ", 1, 8)]
 
 
 def test_directory_doubles_until_buckets_fit(llm):
