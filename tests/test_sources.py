@@ -1,5 +1,9 @@
+import glob
+import os
 from datetime import datetime, timezone
 
+import pytest
+
 from courtside import schema as S
 from courtside.operators.shape import fill_missing
 from courtside.sources.export_csv import read_export
@@ -7,6 +11,7 @@ from courtside.sources.landing import Landing, player_attributes, season_player_
 from courtside.sources.store import Store
 from fixtures import DAY1, DAY2, Landed, player
 from courtside.operators import payloads
+from courtside.workload import landed
 
 NOW = datetime(2026, 1, 9, tzinfo=timezone.utc)
 
@@ -96,3 +101,19 @@ def test_absent_payload_parts(spark, tmp_path):
 
 def test_fill_missing_keeps_extra_columns(spark):
     assert "extra" in fill_missing(spark.range(1).withColumnRenamed("id", "extra")).columns
+
+
+def test_landings_are_compressed_and_written_as_asked_for(spark):
+    """Orders move, not payloads: no exchange or sort below a write has a payload in it."""
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("the given tables are absent")
+    landed._landings.clear()
+    landing = landed.landing_of(spark, "/root/testdata/sf0.001", "scoreboard")
+    written = glob.glob(f"{landing.root}/**/part-*", recursive=True)
+    assert written and all("/scoreboard/" in f and f.endswith(".json.gz") for f in written)
+    for name, payload in landed.payloads_of(spark, "/root/testdata/sf0.001", by_date=True).items():
+        plan = payload._jdf.queryExecution().optimizedPlan().toString()
+        moved = plan[plan.index("Repartition") :] if name in landed.DATED else ""
+        assert "struct(" not in moved and "named_struct" not in moved, name
+    assert landed.landing_of(spark, "/root/testdata/sf0.001").root == landing.root
+    assert sorted(os.listdir(landing.root)) == sorted([*landed.DATED, "season_players", "player_info"])
