@@ -1,13 +1,15 @@
 """A corpus pipeline: quality filter, exact and near dedup, mixing by source, tokenisation.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the stage before it kept; `run` writes the rows of each
-stage to the shared folder and reads them again. All but the last return the columns they were given. A reader of several
-files is free to take them in any order, so the last stage returns each row's place in the mixture as a column.
+stage to the shared folder and reads them again. All but the last return the columns they were given. The mixture is the order in
+which its rows are stored. A reader of several files is free to take them in any order, so the last stage returns each row's place there as
+a column.
 """
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from courtside.llm import bpe, exact_dedup, jaccard_join, mixing, quality
 from courtside.llm.plaintext import tokenizer_file
@@ -44,25 +46,36 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs)
 
 
-def addressed(docs: DataFrame, *columns: str) -> DataFrame:
-    """The columns and each row's address, at_file and at_row; rows that are not read from Parquet files are written first."""
-    address = [F.col("_metadata.file_path").alias("at_file"), F.col("_metadata.row_index").alias("at_row")]
+def stored_places(docs: DataFrame, *columns: str) -> DataFrame:
+    """The columns and `place`, a row's number in the order in which docs is stored: part files by their number, then rows.
+
+    Only addresses are counted, and the files' counts are joined to the rows; the rows don't move. A reader may take the files
+    in any order. Rows that are not all the rows of their Parquet files are written first.
+    """
+    address = [F.col("_metadata.file_name").alias("at_file"), F.col("_metadata.row_index").alias("at_row")]
     try:
         rows = docs.select(*columns, *address)
-        rows.schema  # resolves the names
-        return rows
+        files = _files(rows)
+        whole = files.where("rows <> last + 1").isEmpty()
     except AnalysisException:
-        return staged(docs.select(*columns), "addressed").select(*columns, *address)
+        whole = False
+    if not whole:
+        rows = staged(docs.select(*columns), "stored").select(*columns, *address)
+        files = _files(rows)
+    number = F.regexp_extract("at_file", r"^part-(\d+)", 1).try_cast("long")
+    before = F.sum("rows").over(Window.orderBy(number, "at_file").rowsBetween(Window.unboundedPreceding, -1))
+    starts = staged(files.select("at_file", F.coalesce(before, F.lit(0)).alias("start")), "files")
+    return rows.join(F.broadcast(starts), "at_file").select(*columns, (F.col("start") + F.col("at_row")).alias("place"))
 
 
-def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids, the digest of the text that the ids decode to, and the row's place in the mixture.
+def _files(rows: DataFrame) -> DataFrame:
+    """A row per file: its rows and the last one's index."""
+    return rows.groupBy("at_file").agg(F.count("*").alias("rows"), F.max("at_row").alias("last"))
 
-    Places are worked out without the texts, which move once, to meet them at their rows' addresses.
-    """
-    rows, address = addressed(docs, "doc_id", "text", "source"), ["at_file", "at_row"]
-    places = mixing.placed(rows.select("doc_id", "source", *address)).select("doc.at_file", "doc.at_row", "place")
-    placed = rows.select("doc_id", "text", *address).join(places, address)
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids, the digest of the text that the ids decode to, and the row's place in the mixture as it was stored."""
+    placed = stored_places(docs, "doc_id", "text")
     rows = bpe.encoded(placed, tokenizer_file("word_bpe_49k.json"), place_col="place")
     ids = F.when(F.col("n_tokens") > 0, F.split("ids", " ").cast("array<int>")).otherwise(F.array().cast("array<int>"))
     return rows.select("doc_id", "n_tokens", ids.alias("ids"), F.sha2("decoded", 256).alias("decoded_sha256"), "place")

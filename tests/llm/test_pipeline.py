@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import corpus_pipeline as P
+from pyspark.sql import functions as F
 from courtside.llm import bpe, quality
 from courtside.llm.plaintext import tokenizer_file
 from test_exact_dedup import brute as exact
@@ -105,3 +106,16 @@ def test_empty_tables(llm, tmp_path):
     llm.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars int").write.parquet(f"{tmp_path}/documents.parquet")
     llm.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert P.run(llm, str(tmp_path)).collect() == []
+
+
+def test_the_last_stage_takes_places_from_the_stored_mixture(llm, tmp_path):
+    rows = [(k, f"text {k}", "en", "ab"[k % 2], 6) for k in range(200)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    backwards = docs.repartitionByRange(5, F.desc("doc_id")).sortWithinPartitions(F.desc("doc_id"))
+    backwards.write.parquet(f"{tmp_path}/other")
+    stored = llm.read.parquet(f"{tmp_path}/other")
+    found = P.encode(llm, stored, str(tmp_path))
+    assert {r.doc_id: r.place for r in found.collect()} == {k: 199 - k for k in range(200)}
+    assert "hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+    some = P.encode(llm, stored.where("doc_id % 3 = 0"), str(tmp_path)).collect()
+    assert sorted(r.place for r in some) == list(range(67))
