@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from courtside.llm.plaintext import is_plain, parts, tokenizer_file
+from courtside.llm.plaintext import cuts, is_plain, parts, tokenizer_file
 from courtside.llm.tables import ship, staged, table
 from courtside.session import discard, scratch_folder
 
@@ -44,6 +44,8 @@ CACHED = 500_000
 RUN_CHARS = 20_000
 BLOCK_IDS = 1 << 18
 FILE_IDS = 1 << 24
+#: Coding takes some fifty bytes for each of an id's.
+CODED_BYTES = 1 << 20
 HEADER = struct.Struct("<4sIQQ")
 MAGIC = b"TIDS"
 #: Lengths of the four ids that a control byte stands for.
@@ -175,6 +177,7 @@ def id_counts(staged_ids: DataFrame, kind: str) -> DataFrame:
     """(id, n) over all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder.cache_clear()
         total = np.zeros(1, np.int64)
         for batch in batches:
             found = np.bincount(_flat(batch.column(0), kind), minlength=len(total))
@@ -249,6 +252,20 @@ def blocks(content: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray,
         at += 1
 
 
+def coded(batch: pa.RecordBatch, rank_of: np.ndarray, ends: np.ndarray, kind: str, size: int = CODED_BYTES) -> Iterator[pa.RecordBatch]:
+    """(doc_id, n, control, data, file) of rows (doc_id, ids), in pieces of at most so many bytes of ids, or of a single row."""
+    for a, b in cuts(batch.column(1), size):
+        doc_id, codes = (batch.column(k).slice(a, b - a) for k in (0, 1))
+        sizes = pc.binary_length(codes).to_numpy().astype(np.int64) // np.dtype(kind).itemsize
+        control, data, lengths = pack(rank_of[_flat(codes, kind)], sizes)
+        ids, nulls = _ids(doc_id)
+        file = np.where(nulls, 0, np.searchsorted(ends, ids.astype(np.float64)))
+        yield pa.RecordBatch.from_arrays(
+            [doc_id, pa.array(sizes), _cut(control, (sizes + 3) // 4), _cut(data, lengths), pa.array(file, pa.int32())],
+            names=["doc_id", "n", "control", "data", "file"],
+        )
+
+
 def write(
     docs: DataFrame, path: str, tokenizer: str, *, end: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> None:
@@ -267,15 +284,9 @@ def write(
     ends = np.array(found.approxQuantile("doc_id", shares, 0.1 / files) if shares else [], np.float64)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder.cache_clear()  # a worker lives on between stages; this one has nothing to encode any more
         for batch in batches:
-            sizes = pc.binary_length(batch.column(1)).to_numpy().astype(np.int64) // np.dtype(kind).itemsize
-            control, data, lengths = pack(table_of.value[_flat(batch.column(1), kind)], sizes)
-            ids, nulls = _ids(batch.column(0))
-            file = np.where(nulls, 0, np.searchsorted(ends, ids.astype(np.float64)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes), _cut(control, (sizes + 3) // 4), _cut(data, lengths), pa.array(file, pa.int32())],
-                names=["doc_id", "n", "control", "data", "file"],
-            )
+            yield from coded(batch, table_of.value, ends, kind)
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -287,15 +298,15 @@ def write(
             at, cat, dat = (
                 np.concatenate([[0], np.cumsum(n)]) for n in (sizes, *(pc.binary_length(batch.column(k)).to_numpy().astype(np.int64) for k in (2, 3)))
             )
-            cuts = [0, *(np.flatnonzero(np.diff(at[1:] // BLOCK_IDS)) + 1).tolist(), len(sizes)]
+            bounds = [0, *(np.flatnonzero(np.diff(at[1:] // BLOCK_IDS)) + 1).tolist(), len(sizes)]
             made = [
                 block(ids[a:b], nulls[a:b], sizes[a:b], control[cat[a] : cat[b]], data[dat[a] : dat[b]])
-                for a, b in zip(cuts, cuts[1:], strict=False)
+                for a, b in zip(bounds, bounds[1:], strict=False)
             ]
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["block"])
 
-    coded = found.mapInArrow(code, "doc_id long, n long, control binary, data binary, file int")
-    ordered = coded.repartitionById(files, "file").sortWithinPartitions("doc_id", "control", "data")
+    packed = found.mapInArrow(code, "doc_id long, n long, control binary, data binary, file int")
+    ordered = packed.repartitionById(files, "file").sortWithinPartitions("doc_id", "control", "data")
     written = ordered.mapInArrow(lines, "block binary").select(F.col("block").cast("string").alias("value"))
     written.write.option("lineSep", "\n").text(f"{path}/ids")
     discard(spark, f"{path}/encoded")

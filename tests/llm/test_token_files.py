@@ -75,3 +75,19 @@ def test_frequent_ids_take_one_byte():
     assert control.tobytes() == b"\0\0" and data.tobytes() == b"\0" * 8 and lengths.tolist() == [8]
     with pytest.raises(ValueError):
         list(T.blocks(b"not a block at all, but long enough for a header"))
+
+
+def test_documents_are_coded_in_bounded_pieces():
+    import numpy as np
+    import pyarrow as pa
+    from courtside.llm import token_files as T
+
+    rng = np.random.default_rng(4)
+    codes = [rng.integers(0, 900, n).astype("<u2").tobytes() for n in (*rng.integers(1, 60, 300), 2000)]
+    doc_ids = [None, *range(1, len(codes))]
+    batch = pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(codes, pa.binary())], names=["doc_id", "ids"])
+    ranks, ends = rng.permutation(900), np.array([100.0, 200.0])
+    whole = pa.Table.from_batches(list(T.coded(batch, ranks, ends, "<u2", 1 << 30)))
+    pieces = list(T.coded(batch, ranks, ends, "<u2", 1000))
+    assert pa.Table.from_batches(pieces).to_pylist() == whole.to_pylist()
+    assert len(pieces) > 15 and all(p.num_rows == 1 or sum(p.column(1).to_pylist()) <= 500 for p in pieces)
