@@ -6,7 +6,7 @@ import pytest
 
 from courtside import schema as S
 from courtside.operators.shape import fill_missing
-from courtside.sources.export_csv import read_export
+from courtside.sources.export_csv import read_export, write_export
 from courtside.sources.landing import Landing, player_attributes, season_player_ids
 from courtside.sources.store import Store
 from fixtures import DAY1, DAY2, Landed, player
@@ -117,3 +117,11 @@ def test_landings_are_compressed_and_written_as_asked_for(spark):
         assert "struct(" not in moved and "named_struct" not in moved, name
     assert landed.landing_of(spark, "/root/testdata/sf0.001").root == landing.root
     assert sorted(os.listdir(landing.root)) == sorted([*landed.DATED, "season_players", "player_info"])
+
+
+def test_compressed_exports_read_back(spark, tmp_path):
+    rows = fill_missing(spark.createDataFrame([("0022500001", 7)], "GAME_ID string, PLAYER_ID long")).select(*S.PLAYER_GAME.names)
+    write_export(rows, str(tmp_path / "plain"))
+    write_export(rows, str(tmp_path / "small"), "gzip")
+    assert glob.glob(f"{tmp_path}/small/*.csv.gz") and glob.glob(f"{tmp_path}/plain/*.csv")
+    assert read_export(spark, str(tmp_path / "small")).collect() == read_export(spark, str(tmp_path / "plain")).collect()
