@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from courtside import schema as S
 from courtside.operators import payloads
 from courtside.plans import assemble as A
+from courtside.plans import day_load
 from courtside.plans.day_load import load_days, load_yesterday, schedule_yesterday
 from courtside.plans.dimensions import build_arena_dimension, build_player_dimension
 from courtside.plans.monitoring import command_center, data_health, game_integrity
 from courtside.operators.audits import current_status, run_summary
+from courtside.session import _SHUFFLES_GO, shuffles_dropped
 from courtside.sources.landing import Landing, player_attributes
 from courtside.sources.store import Store
 from fixtures import AWAY, DAY1, DAY2, DAY3, DAY4, HOME, Landed, other, player
@@ -343,3 +345,36 @@ def test_arena_build(spark, tmp_path):
     build_arena_dimension(store, NOW)
     assert store.arenas(NOW).count() == store.arenas(NOW).select("TEAM_ID").distinct().count() == 30
     assert store.arenas(NOW).where(F.col("ARENA_NAME").isNull()).count() == 0
+
+
+def test_pieces_of_a_run_are_whole_dates():
+    days = [date(2026, 1, k) for k in range(1, 6)]
+    assert day_load.piece_starts(zip(days, [3, 3, 9, 1, 1], strict=True), 6) == [days[2], days[3]]
+    assert day_load.piece_starts([(days[0], 9)], 6) == [] and day_load.piece_starts([], 6) == []
+
+
+def test_a_run_in_pieces_gives_what_a_whole_one_gives(spark, tmp_path, monkeypatch):
+    landing = Landing(spark, landed_days().write(tmp_path / "landing"))
+    found, joined, assemble = [], [], A.assemble
+    monkeypatch.setattr(A, "assemble", lambda *frames: joined.append(1) or assemble(*frames))
+    for games in (1, 100):
+        store = Store(spark, str(tmp_path / f"store{games}"))
+        build_player_dimension(store, landing.season_players(), landing.player_info(), NOW)
+        result = load_days(landing, store, "12/01/2025", "01/31/2026", NOW, max_days=None, piece_games=games)
+        assert not Path(f"{result.folder}/data").exists()
+        reports = (result.gates, result.ledger, result.null_columns, result.repeated_keys, result.missing_games, result.rejects.drop("file"))
+        found.append([sorted(map(str, frame.collect())) for frame in (store.log(), store.state(), *reports)])
+    assert found[0] == found[1] and len(found[0][0]) == 8
+    assert len(joined) == 3 + 1
+
+
+def test_jobs_leave_no_shuffle_files(spark, tmp_path):
+    def files():
+        manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {block.toString() for block in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(manager.getAllBlocks())}
+
+    setting, before = spark.conf.get(_SHUFFLES_GO), files()
+    with shuffles_dropped(spark):
+        spark.range(1000).repartition(3, "id").write.parquet(str(tmp_path / "rows"))
+    assert files() <= before and spark.conf.get(_SHUFFLES_GO) == setting
+    spark.range(1000).repartition(3, "id").write.parquet(str(tmp_path / "more"))
