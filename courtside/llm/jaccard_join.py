@@ -29,10 +29,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from courtside.llm.plaintext import cuts, parts
 from courtside.llm.tables import components, runs, spread, staged, table
 
 BUCKETS = 1 << 17
@@ -40,7 +42,9 @@ BLOCK = 2048
 PIECE_WORDS = 1 << 20
 FAN = 8
 CANDIDATES = 4
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
+#: Batches are worked on in pieces of so many bytes of text or of sets, or of a single row.
+PIECE_BYTES = 2_000_000
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -106,17 +110,16 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def commonness(texts: DataFrame, words: int) -> np.ndarray:
     """Per bucket of shingles, the doublings by which its count passes the mean; BUCKETS bytes in all."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, total = _WordHashes(), np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for text in batch["text"]:
-                np.add.at(total, (shingle_set(text, words, hashes) & np.uint64(BUCKETS - 1)).astype(np.int64), 1)
+            for _, own in parts(batch, PIECE_BYTES):
+                for text in own:
+                    np.add.at(total, (shingle_set(text, words, hashes) & np.uint64(BUCKETS - 1)).astype(np.int64), 1)
         at = np.flatnonzero(total)
-        yield pd.DataFrame({"bucket": at, "n": total[at]})
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["bucket", "n"])
 
-    rows = (
-        texts.select("text").mapInPandas(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    ).toPandas()
+    rows = texts.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(BUCKETS)
     counts[rows["bucket"].to_numpy(np.int64)] = rows["n"].to_numpy(np.float64)
     return np.floor(np.log2(np.maximum(counts / max(counts.mean(), 1.0), 1.0))).astype(np.uint8)
@@ -139,28 +142,34 @@ def described(texts: DataFrame, words: int, percent: int) -> DataFrame:
     """
     common = texts.sparkSession.sparkContext.broadcast(commonness(texts, words))
 
-    def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
         for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                tokens = shingle_set(text, words, hashes)
-                n = len(tokens)
-                if not n:
-                    rows.append((0, None, None, None))
-                    continue
-                kind, first = size_class(n), prefix(tokens, common.value, percent)
-                keys = _mixed(first ^ CLASS_MARKS[kind])
-                if 100 * n >= percent << (kind + 1):
-                    keys = np.concatenate([keys, _mixed(first ^ CLASS_MARKS[kind + 1])])
-                rows.append(
-                    (n, xxhash.xxh3_128_hexdigest(tokens.tobytes()), signature(tokens, kind).tobytes(), keys.view(np.int64))
-                )
-            out = pd.DataFrame(rows, columns=["n_shingles", "set_key", "sig", "keys"])
-            out.insert(0, "doc_id", batch["doc_id"].to_numpy())
-            yield out
-
-    return texts.mapInPandas(describe, "doc_id long, n_shingles long, set_key string, sig binary, keys array<long>")
+            yield from description(batch, words, percent, common.value, hashes)
+
+    return texts.mapInArrow(describe, "doc_id long, n_shingles long, set_key string, sig binary, keys array<long>")
+
+
+def description(
+    batch: pa.RecordBatch, words: int, percent: int, common: np.ndarray, hashes: dict[bytes, int], size: int = PIECE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """What `described` gives for rows (doc_id, text), in pieces of at most so many bytes of text, or of a single row."""
+    for part, texts in parts(batch, size):
+        rows = []
+        for text in texts:
+            tokens = shingle_set(text, words, hashes)
+            n = len(tokens)
+            if not n:
+                rows.append((0, None, None, None))
+                continue
+            kind, first = size_class(n), prefix(tokens, common, percent)
+            keys = _mixed(first ^ CLASS_MARKS[kind])
+            if 100 * n >= percent << (kind + 1):
+                keys = np.concatenate([keys, _mixed(first ^ CLASS_MARKS[kind + 1])])
+            rows.append((n, xxhash.xxh3_128_hexdigest(tokens.tobytes()), signature(tokens, kind).tobytes(), keys.view(np.int64)))
+        kinds = (pa.int64(), pa.string(), pa.binary(), pa.list_(pa.int64()))
+        made = [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+        yield pa.RecordBatch.from_arrays([part.column(0), *made], names=["doc_id", "n_shingles", "set_key", "sig", "keys"])
 
 
 def _groups(reps: DataFrame) -> DataFrame:
@@ -257,14 +266,15 @@ def own_candidates(group: dict[str, np.ndarray], percent: int) -> tuple[np.ndarr
 def token_sets(ids: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """(doc_id, tokens) of the given ids, made from their texts again and written."""
 
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
         for batch in batches:
-            found = [shingle_set(t, words, hashes).tobytes() for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "tokens": found})
+            for part, own in parts(batch, PIECE_BYTES):
+                found = pa.array([shingle_set(t, words, hashes).tobytes() for t in own], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), found], names=["doc_id", "tokens"])
 
     ids = staged(ids.select("doc_id").distinct(), "ids")
-    return staged(texts.join(ids, "doc_id", "left_semi").mapInPandas(sets, "doc_id long, tokens binary"), "sets")
+    return staged(texts.join(ids, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets, "doc_id long, tokens binary"), "sets")
 
 
 def alike(x: bytes, y: bytes, percent: int) -> bool:
@@ -276,15 +286,17 @@ def alike(x: bytes, y: bytes, percent: int) -> bool:
 def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the percentage, compared on all shingles."""
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [alike(x, y, percent) for x, y in zip(batch["x"], batch["y"], strict=True)]
-            yield batch.loc[np.array(keep, bool), ["a", "b"]]
+            for start, end in cuts(batch.column(2), PIECE_BYTES):
+                part = batch.slice(start, end - start)
+                keep = [alike(x, y, percent) for x, y in zip(*(part.column(k).to_pylist() for k in (2, 3)), strict=True)]
+                yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     known = token_sets(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), texts, words)
     left, right = (known.select(F.col("doc_id").alias(i), F.col("tokens").alias(t)) for i, t in (("a", "x"), ("b", "y")))
     both = pairs.join(left, "a").join(right, "b")
-    return both.mapInPandas(compare, "a long, b long")
+    return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
 class _Tree:

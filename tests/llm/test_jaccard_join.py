@@ -2,6 +2,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from courtside.llm import jaccard_join as J
@@ -100,3 +101,15 @@ def test_components_of_chains_stars_and_loops(llm):
     found = {r.node: r.component for r in components(llm.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {k: 0 for k in range(51)} | {k: 100 for k in range(100, 160)} | {160: 160, 400: 160, 401: 160}
     assert components(llm.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_batches_are_described_in_bounded_pieces():
+    texts = [" ".join(f"w{k}x{i}" for i in range(2000)) for k in range(6)] + [None, ""]
+    batch = pa.record_batch({"doc_id": list(range(8)), "text": texts})
+    common = np.zeros(J.BUCKETS, np.uint8)
+    size = 2 * len(texts[0])
+    pieces = list(J.description(batch, 5, 80, common, J._WordHashes(), size))
+    assert [p.num_rows for p in pieces] == [2, 2, 4]
+    whole = list(J.description(batch, 5, 80, common, J._WordHashes(), 1 << 30))
+    assert len(whole) == 1 and pa.Table.from_batches(pieces).to_pylist() == pa.Table.from_batches(whole).to_pylist()
+    assert pieces[-1].column("n_shingles").to_pylist() == [1996, 1996, 0, 0]
