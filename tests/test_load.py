@@ -368,6 +368,22 @@ def test_a_run_in_pieces_gives_what_a_whole_one_gives(spark, tmp_path, monkeypat
     assert len(joined) == 3 + 1
 
 
+def test_a_piece_is_published_before_the_next_one_is_joined(spark, tmp_path, monkeypatch):
+    landing, store = Landing(spark, landed_days().write(tmp_path / "landing")), Store(spark, str(tmp_path / "store"))
+    build_player_dimension(store, landing.season_players(), landing.player_info(), NOW)
+    scratch = Path(spark.conf.get("spark.checkpoint.dir"), "courtside")
+    before, held, assemble = set(scratch.glob("load-*/data/rows/*")), [], A.assemble
+
+    def watched(*frames):
+        held.append((len(set(scratch.glob("load-*/data/rows/*")) - before), store.log().count() if len(held) else 0))
+        return assemble(*frames)
+
+    monkeypatch.setattr(A, "assemble", watched)
+    load_days(landing, store, "12/01/2025", "01/31/2026", NOW, max_days=None, piece_games=1)
+    assert [rows for rows, _ in held] == [0, 0, 0]
+    assert held[0][1] == 0 < held[1][1] <= held[2][1]
+
+
 def test_jobs_leave_no_shuffle_files(spark, tmp_path):
     def files():
         manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
