@@ -174,7 +174,8 @@ def description(
 
 def _groups(reps: DataFrame) -> DataFrame:
     """(key, doc_id, pivot, size) of groups of two or more; groups with the same members are kept once."""
-    rows = reps.select("doc_id", F.explode("keys").alias("key")).repartition("key")
+    # The join asks for keys that are not null; asked for here, both uses of the rows are alike and share one exchange.
+    rows = reps.select("doc_id", F.explode("keys").alias("key")).where("key is not null").repartition("key")
     facts = rows.groupBy("key").agg(
         F.count("*").alias("size"),
         F.min("doc_id").alias("pivot"),

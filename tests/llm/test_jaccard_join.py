@@ -113,3 +113,16 @@ def test_batches_are_described_in_bounded_pieces():
     whole = list(J.description(batch, 5, 80, common, J._WordHashes(), 1 << 30))
     assert len(whole) == 1 and pa.Table.from_batches(pieces).to_pylist() == pa.Table.from_batches(whole).to_pylist()
     assert pieces[-1].column("n_shingles").to_pylist() == [1996, 1996, 0, 0]
+
+
+def test_keys_of_groups_are_shuffled_once(spark, monkeypatch):
+    monkeypatch.setattr(J, "staged", lambda frame, name: frame)
+    reps = spark.createDataFrame([(1, [5, 6]), (2, [5, 7])], "doc_id long, keys array<long>")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = J._groups(reps)
+        assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r.key, r.doc_id, r.pivot, r["size"]) for r in found.collect()) == [(5, 1, 1, 2), (5, 2, 1, 2)]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
