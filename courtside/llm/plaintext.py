@@ -12,12 +12,17 @@ import pyarrow.compute as pc
 PLAIN_BYTES = bytes([9, 10, 13, *range(32, 127), *range(161, 173), *range(174, 256)])
 
 
-def is_plain(text: str) -> bool:
-    """Only characters of PLAIN_BYTES: one code point each in every normal form, the same class in any Unicode version."""
+def plain_bytes(text: str) -> bytes | None:
+    """The text in Latin-1 if it has only characters of PLAIN_BYTES: one code point each in every normal form, the same class in any Unicode version."""
     try:
-        return not text.encode("latin-1").translate(None, PLAIN_BYTES)
+        found = text.encode("latin-1")
     except UnicodeEncodeError:
-        return False
+        return None
+    return None if found.translate(None, PLAIN_BYTES) else found
+
+
+def is_plain(text: str) -> bool:
+    return plain_bytes(text) is not None
 
 
 def cuts(column: pa.Array, size: int) -> Iterator[tuple[int, int]]:

@@ -10,7 +10,7 @@ A file is a sequence of blocks, all numbers little-endian:
     documents x i64 doc_id, documents x u8 (1: doc_id is null), documents x u32 ids of the document,
     the control bytes, each document's beginning with a byte of its own, the data bytes, b"\\n"
 
-Texts are encoded once, into a staged table, which is deleted in the end; the counts of ids and then the coded documents are made from it.
+Texts are encoded once, each different piece once while it is cached, into a staged table, which is deleted in the end; the counts of ids and then the coded documents are made from it.
 
 Files are numbered in ascending order of doc_id (nulls first), and so are the documents in them. Spark's text writer
 puts them into any store it can write to: a block is the bytes of a line. The table of ranks lies beside the files.
@@ -22,11 +22,13 @@ no blocks; rows that repeat an id lie next to each other, in the order of their
 from __future__ import annotations
 
 import functools
+import json
 import os
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +38,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from courtside.llm.plaintext import cuts, is_plain, parts, tokenizer_file
+from courtside.llm.plaintext import byte_alphabet, cuts, parts, plain_bytes, tokenizer_file
 from courtside.llm.tables import ship, staged, table
 from courtside.session import discard, scratch_folder
 
 CACHED = 500_000
 RUN_CHARS = 20_000
+#: Texts of about so many bytes are cut at a time; the more, the fewer look-ups.
+PART_BYTES = 8_000_000
 BLOCK_IDS = 1 << 18
 FILE_IDS = 1 << 24
 #: Coding takes some fifty bytes for each of an id's.
@@ -52,8 +56,39 @@ MAGIC = b"TIDS"
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 
 
+#: Classes of plain characters: white space, letters, numbers, others.
+BLANK, LETTER, NUMBER, OTHER = range(4)
+KINDS = np.array([BLANK if c.isspace() else {"L": LETTER, "N": NUMBER}.get(unicodedata.category(c)[0], OTHER) for c in map(chr, range(256))], np.uint8)
+#: What byte-level files cut off after an apostrophe that begins a piece.
+ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
+
+
+def piece_bounds(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where the pieces of texts of plain characters begin, as byte-level files cut them, and where the last one ends.
+
+    `data` has the texts in Latin-1, one after the other. A piece is a run of letters, of numbers or of other characters, with one space
+    before it, or an apostrophe with an ending, or white space, of which the last character is apart if something follows.
+    """
+    n, kinds = len(data), KINDS[data]
+    blank = kinds == BLANK
+    begins = np.zeros(n + 1, bool)
+    begins[0], begins[ends] = True, True
+    at = begins.copy()
+    at[1:n] |= (kinds[1:] != kinds[:-1]) & (data[:-1] != ord(" "))
+    at[1 : n - 1] |= blank[1:-1] & blank[:-2] & ~blank[2:] & ~begins[2:n]
+    marks = np.flatnonzero((data == ord("'")) & at[:n])
+    if len(marks):
+        last = ends[np.searchsorted(ends, marks, "right")]
+        after = np.concatenate([data, np.zeros(2, np.uint8)])
+        for ending in ENDINGS:
+            held = (marks + len(ending) < last) & np.all([after[marks + k] == ord(c) for k, c in enumerate(ending, 1)], 0)
+            at[marks[held] + 1] = False
+            at[marks[held] + 1 + len(ending)] = True
+    return np.flatnonzero(at)
+
+
 class ByteCoder:
-    """Encodes with a byte-level BPE file, piece by piece, with a bounded cache."""
+    """Encodes with a byte-level BPE file, each different piece once, with a bounded cache."""
 
     def __init__(self, path: str, kind: str = "<u4"):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -67,67 +102,124 @@ class ByteCoder:
         self.sizes = np.zeros(max(vocab.values(), default=0) + 1, np.int64)
         for token, number in vocab.items():
             self.sizes[number] = len(token)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        spec = json.loads(Path(path).read_text())
+        cutter = spec["pre_tokenizer"] or {}
+        #: Whether the file cuts texts as `piece_bounds` does.
+        self.cuts_known = not spec["normalizer"] and [cutter.get(k) for k in ("type", "use_regex", "add_prefix_space")] == ["ByteLevel", True, False]
+        lines = {"type": "Split", "pattern": {"String": "\n"}, "behavior": "Removed", "invert": False}
+        alone = {"added_tokens": [], "normalizer": None, "pre_tokenizer": lines, "post_processor": None, "truncation": None, "padding": None}
+        #: The file's model for pieces that are cut already, a line each, in symbols.
+        self.by_line = Tokenizer.from_str(json.dumps(spec | alone))
+        alphabet = byte_alphabet()
+        self.space, self.symbols = alphabet[ord(" ")], {b: c for b, c in alphabet.items() if b != ord("\n")}
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def _plain(self, text: str) -> bytes | None:
+        """The text in Latin-1 if numpy can cut it: plain, without an added token."""
+        return None if not self.cuts_known or any(a in text for a in self.added) else plain_bytes(text)
 
     def chunks(self, text: str) -> list[str] | None:
-        """The text cut before its single spaces, between which no piece reaches over; None if it can't be cut so."""
-        if not is_plain(text) or any(a in text for a in ("  ", " \n", "\n ", "\t", "\r", *self.added)):
+        """The pieces of a text; None if it can't be cut so."""
+        if (plain := self._plain(text)) is None:
             return None
-        return text.replace(" ", "\0 ").split("\0")
+        bounds = piece_bounds(np.frombuffer(plain, np.uint8), np.array([len(plain)]))
+        return [text[i:j] for i, j in zip(bounds.tolist(), bounds[1:].tolist(), strict=False)]
 
     def encode_texts(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as numbers of the coder's kind."""
+        plain = [self._plain(t) for t in texts]
+        found = iter(self._encode_plain([p for p in plain if p is not None]))
+        others = iter(self._encode([t for t, p in zip(texts, plain, strict=True) if p is None]))
+        return [next(others if p is None else found) for p in plain]
+
+    def _encode_plain(self, texts: list[bytes]) -> list[bytes]:
+        """Arrow numbers the different pieces of all texts, so that each is looked up once, and puts their ids in the texts' order."""
+        data = b"".join(texts)
+        ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+        bounds = piece_bounds(np.frombuffer(data, np.uint8), ends)
+        buffers = [None, pa.py_buffer(bounds), pa.py_buffer(data)]
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, buffers).dictionary_encode()
+        different = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        codes = pa.array(self._piece_codes(different), pa.large_binary()).take(pieces.indices)
+        flat = memoryview(codes.buffers()[2] or b"")
+        at = np.frombuffer(codes.buffers()[1], np.int64, len(bounds))[np.searchsorted(bounds, ends)].tolist()
+        return [bytes(flat[i:j]) for i, j in zip([0, *at], at, strict=False)]
+
+    def _piece_codes(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of different pieces."""
         if len(self.known) > CACHED:
             self.older, self.known = self.known, {}
-        split = [self.chunks(t) for t in texts]
         known, older = self.known, self.older
+        codes = list(map(known.get, pieces))
         new = []
-        for chunk in dict.fromkeys(chain.from_iterable(filter(None, split))):
-            if chunk not in known:
-                if (code := older.get(chunk)) is None:
-                    new.append(chunk)
-                else:
-                    known[chunk] = code
-        known.update(zip(new, self._encode_chunks(new), strict=True))
-        others = iter(self._encode([t for t, own in zip(texts, split, strict=True) if own is None]))
-        return [next(others) if own is None else b"".join(map(known.__getitem__, own)) for own in split]
+        for piece in [p for p, code in zip(pieces, codes, strict=True) if code is None]:
+            if (code := older.get(piece)) is None:
+                new.append(piece)
+            else:
+                known[piece] = code
+        known.update(self._line_codes(new))
+        rest = [p for p in new if p not in known]
+        known.update(zip(rest, self._encode_chunks([p.decode("latin-1") for p in rest]), strict=True))
+        return [known[p] if code is None else code for p, code in zip(pieces, codes, strict=True)]
+
+    def _line_codes(self, pieces: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Pieces with their ids, in the vocabulary's symbols and a line each, so that nothing has to cut them; those of white space are left out."""
+        for ascii_only in (True, False):
+            own = [p for p in pieces if p.isascii() == ascii_only and not p.isspace()]
+            runs, texts = _runs(own, [len(p) + 1 for p in own]), []
+            for run in runs:
+                text = b"\n".join(run).decode("latin-1")
+                texts.append(text.replace(" ", self.space) if ascii_only else text.encode().decode("latin-1").translate(self.symbols))
+            for run, codes in zip(runs, self._encode(texts, self.by_line), strict=True):
+                lengths = [len(p) if ascii_only else len(p.decode("latin-1").encode()) for p in run]
+                yield from ((p, code) for p, code in zip(run, self._cut(codes, lengths, 0), strict=True) if code is not None)
 
     def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
-        """The ids of chunks, many of them in one text: no piece reaches over a space, nor over a line feed between two that have none there.
+        """The ids of pieces, many of them in one text: no piece reaches over a space, nor over a line feed between two that have none there.
 
-        A token's bytes tell where it lies, so the ids are cut at the chunks' ends. Should a token lie across one, the chunks are encoded alone.
+        A token's bytes tell where it lies, so the ids are cut at the pieces' ends. Should a token lie across one, the pieces are encoded alone.
         """
         out: list[bytes | None] = [None] * len(chunks)
-        runs, width = [], self.kind.itemsize
-        for between, places in (
-            ("", [k for k, c in enumerate(chunks) if c[:1] == " "]),
-            ("\n", [k for k, c in enumerate(chunks) if c and c[0] not in " \n"]),
-        ):
-            sizes = np.fromiter((len(chunks[k]) for k in places), np.int64, len(places))
-            number = np.cumsum(sizes) // RUN_CHARS
-            for own in np.split(np.arange(len(places)), np.flatnonzero(np.diff(number)) + 1):
-                if len(own):
-                    runs.append((between, [places[k] for k in own.tolist()]))
+        runs = [
+            (between, run)
+            for between, places in (
+                ("", [k for k, c in enumerate(chunks) if c[:1] == " "]),
+                ("\n", [k for k, c in enumerate(chunks) if c and c[0] not in " \n"]),
+            )
+            for run in _runs(places, [len(chunks[k]) for k in places])
+        ]
         texts = [between.join([chunks[k] for k in places]) for between, places in runs]
         for (between, places), codes in zip(runs, self._encode(texts), strict=True):
-            own = [chunks[k] for k in places]
-            lengths = np.fromiter((len(c) if c.isascii() else len(c.encode()) for c in own), np.int64, len(own)) + len(between)
-            ends = np.cumsum(lengths) - len(between)
-            starts = ends - lengths + len(between)
-            past = np.concatenate([[0], np.cumsum(self.sizes[np.frombuffer(codes, self.kind)])])
-            first, last = np.searchsorted(past, starts), np.searchsorted(past, ends)
-            whole = (past[np.minimum(first, len(past) - 1)] == starts) & (past[np.minimum(last, len(past) - 1)] == ends)
-            for k, a, b, ok in zip(places, first.tolist(), last.tolist(), whole.tolist(), strict=True):
-                if ok:
-                    out[k] = codes[width * a : width * b]
+            lengths = [len(chunks[k].encode()) for k in places]
+            for k, code in zip(places, self._cut(codes, lengths, len(between)), strict=True):
+                out[k] = code
         rest = [k for k, code in enumerate(out) if code is None]
         for k, code in zip(rest, self._encode([chunks[k] for k in rest]), strict=True):
             out[k] = code
         return out
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+    def _cut(self, codes: bytes, lengths: list[int], between: int) -> Iterator[bytes | None]:
+        """The ids of strings of so many bytes that were encoded together, with so many bytes between two; None where a token lies across an end."""
+        width = self.kind.itemsize
+        sizes = np.array(lengths, np.int64) + between
+        ends = np.cumsum(sizes) - between
+        starts = ends - sizes + between
+        past = np.concatenate([[0], np.cumsum(self.sizes[np.frombuffer(codes, self.kind)])])
+        first, last = np.searchsorted(past, starts), np.searchsorted(past, ends)
+        whole = (past[np.minimum(first, len(past) - 1)] == starts) & (past[np.minimum(last, len(past) - 1)] == ends)
+        for a, b, ok in zip((width * first).tolist(), (width * last).tolist(), whole.tolist(), strict=True):
+            yield codes[a:b] if ok else None
+
+    def _encode(self, texts: list[str], use: Tokenizer | None = None) -> list[bytes]:
+        found = (use or self.whole).encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, self.kind).tobytes() for e in found]
+
+
+def _runs(items: list, sizes: list[int]) -> list[list]:
+    """The items in runs of about RUN_CHARS characters."""
+    bounds = np.flatnonzero(np.diff(np.cumsum(np.array(sizes, np.int64)) // RUN_CHARS)) + 1
+    return [items[a:b] for a, b in zip([0, *bounds.tolist()], [*bounds.tolist(), len(items)], strict=True) if a < b]
 
 
 @functools.lru_cache(maxsize=2)
@@ -153,7 +245,7 @@ def tokenized(rows: DataFrame, path: str, tokenizer: str, end: int) -> DataFrame
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use, stop = coder(tokenizer, kind), np.array([end], kind).tobytes()
         for batch in batches:
-            for part, texts in parts(batch, 4_000_000):
+            for part, texts in parts(batch, PART_BYTES):
                 codes = [c + stop for c in use.encode_texts(texts)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(codes, pa.binary())], names=["doc_id", "ids"])
 

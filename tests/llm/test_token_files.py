@@ -46,6 +46,22 @@ def test_most_chunks_are_cut_out_of_one_text(monkeypatch):
     assert use._encode_chunks(chunks) == whole(chunks) and calls == [2, 2]
 
 
+@given(st.lists(st.lists(st.sampled_from([*"ab sté.,1²'\n\t\r!", "  ", "'re", "'ll", "'s", "日", "<|endoftext|>"]), max_size=20).map("".join), max_size=8))
+@settings(max_examples=300, deadline=None)
+def test_texts_as_the_library_encodes_them(texts):
+    use = T.coder(FILE)
+    assert use.encode_texts(texts) == use._encode(texts)
+
+
+def test_a_piece_is_encoded_once_for_all_its_neighbours(monkeypatch):
+    use, given_chars = T.ByteCoder(FILE), []
+    whole = use._encode
+    monkeypatch.setattr(use, "_encode", lambda texts, *by: given_chars.append(sum(map(len, texts))) or whole(texts, *by))
+    texts = [" ".join(f"word{'abcdefghij'[k % 10] * (k // 10 + 1)}{end}" for k in range(100)) for end in (".", ",", "!", "?")]
+    assert use.encode_texts(texts) == whole(texts)
+    assert sum(given_chars) < 1.2 * len(texts[0])
+
+
 @pytest.mark.parametrize("block_ids", [1, 1 << 18])
 def test_same_as_the_library(llm, documents, tmp_path, monkeypatch, block_ids):
     monkeypatch.setattr(T, "BLOCK_IDS", block_ids)
