@@ -394,3 +394,22 @@ def test_jobs_leave_no_shuffle_files(spark, tmp_path):
         spark.range(1000).repartition(3, "id").write.parquet(str(tmp_path / "rows"))
     assert files() <= before and spark.conf.get(_SHUFFLES_GO) == setting
     spark.range(1000).repartition(3, "id").write.parquet(str(tmp_path / "more"))
+
+
+def test_one_game_endpoint_of_the_tables_lies_landed_at_a_time(spark, monkeypatch, tmp_path):
+    from courtside.session import exists
+    from courtside.workload import landed
+
+    land, there = landed._land, []
+    tables = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").where("o_orderdate between '1996-01-06' and '1996-01-12'")
+    tables.coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.read.parquet("/root/testdata/sf0.001/customer.parquet").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+
+    def recorded(spark, sf_dir, name, root):
+        land(spark, sf_dir, name, root)
+        there.append([n for n in landed.DATED if exists(spark, f"{root}/{n}")])
+
+    monkeypatch.setattr(landed, "_land", recorded)
+    monkeypatch.setattr(landed, "_landings", {})
+    _, result = landed.load_all(spark, str(tmp_path))
+    assert result.ledger.where("STATUS = 'loaded'").count() and len(there) == 8 and max(map(len, there)) == 1
