@@ -125,3 +125,24 @@ def test_compressed_exports_read_back(spark, tmp_path):
     write_export(rows, str(tmp_path / "small"), "gzip")
     assert glob.glob(f"{tmp_path}/small/*.csv.gz") and glob.glob(f"{tmp_path}/plain/*.csv")
     assert read_export(spark, str(tmp_path / "small")).collect() == read_export(spark, str(tmp_path / "plain")).collect()
+
+
+def test_a_load_of_all_dates_lands_few_files(spark, tmp_path):
+    """Without a folder by date, so that thousands of dates aren't as many files; the rows are those of the folders."""
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("the given tables are absent")
+    tables = "/root/testdata/sf0.001"
+    flat = landed.LandingAtNeed(spark, str(tmp_path / "flat"), sf_dir=tables)
+    rows = {name: flat.checked(name).drop("reject") for name in ("four_factors", "live")}
+    for name in rows:
+        files = glob.glob(f"{tmp_path}/flat/{name}/**/part-*", recursive=True)
+        assert files and len(files) <= spark.sparkContext.defaultParallelism and all(f.endswith(".json.gz") for f in files)
+        landed._land_by_date(spark, tables, name, str(tmp_path / "dated"))
+        dated = Landing(spark, str(tmp_path / "dated")).checked(name).drop("reject")
+        assert sorted(map(str, dated.collect())) == sorted(map(str, rows[name].collect()))
+
+
+def test_only_asked_for_payloads_are_made(spark, monkeypatch):
+    monkeypatch.setattr(landed, "_box", lambda *a: pytest.fail("a box score is made"))
+    if os.path.isdir("/root/testdata/sf0.001"):
+        assert list(landed.payloads_of(spark, "/root/testdata/sf0.001", names=["live"])) == ["live"]
