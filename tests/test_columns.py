@@ -151,3 +151,14 @@ def test_gate_report_for_empty_days(spark):
 def test_stamp_is_utc(spark):
     moment = datetime(2026, 3, 14, 5, 20, 56, tzinfo=timezone.utc)
     assert spark.range(1).select(F.lit(moment).cast("string")).first()[0] == "2026-03-14 05:20:56"
+
+
+def test_ids_that_a_cast_refuses_are_kept_from_it(spark):
+    """A refused cast is an exception thrown and caught, for each value."""
+    ids = ["7", " -7\t", "+7\x00", "7.0", "7.5", "7e1", "x7", "", None, "9007199254740993", "9223372036854775807"]
+    assert one(spark, ids, "string", C.to_id) == [7, -7, 7, 7, None, 70, None, None, None, 9007199254740993, 9223372036854775807]
+    frame = spark.createDataFrame([(value,) for value in ids], "v string").select(C.to_id(F.col("v")).alias("id"))
+    plan = frame._jdf.queryExecution().analyzed().toString()
+    assert plan.index("RLIKE") < plan.index("try_cast")
+    casts = spark.createDataFrame([(value,) for value in ids], "v string").select("v", (~F.col("v").rlike(C._NO_WHOLE_NUMBER)).alias("cast"))
+    assert {r["v"] for r in casts.where("cast").collect()} == {"7", " -7\t", "+7\x00", "", "9007199254740993", "9223372036854775807"}
