@@ -146,3 +146,10 @@ def test_only_asked_for_payloads_are_made(spark, monkeypatch):
     monkeypatch.setattr(landed, "_box", lambda *a: pytest.fail("a box score is made"))
     if os.path.isdir("/root/testdata/sf0.001"):
         assert list(landed.payloads_of(spark, "/root/testdata/sf0.001", names=["live"])) == ["live"]
+
+
+def test_payloads_of_one_file_are_made_in_many_tasks(spark):
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("the given tables are absent")
+    made = landed.payloads_of(spark, "/root/testdata/sf0.001", names=["scoreboard"])["scoreboard"]
+    assert "Repartition" in made._jdf.queryExecution().optimizedPlan().toString()
